@@ -1,11 +1,17 @@
 """The queries of this subpackage, by name, and DuckDB SQL for those that SQL can express."""
 
+from waymark.llm.decontaminate import OP3_SQL, op3_benchmark_decontamination
 from waymark.llm.neardup import OP10_SQL, op10_superminhash_neardup
+from waymark.llm.sharding import OP9_SQL, op9_stratified_interleave
 
 QUERIES = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op9_stratified_interleave": op9_stratified_interleave,
     "op10_superminhash_neardup": op10_superminhash_neardup,
 }
 
 ORACLES = {
+    "op3_benchmark_decontamination": OP3_SQL,
+    "op9_stratified_interleave": OP9_SQL,
     "op10_superminhash_neardup": OP10_SQL,
 }
