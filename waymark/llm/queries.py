@@ -1,17 +1,24 @@
 """The queries of this subpackage, by name, and DuckDB SQL for those that SQL can express."""
 
+from waymark.llm.chat import op2_chat_windows
 from waymark.llm.decontaminate import OP3_SQL, op3_benchmark_decontamination
 from waymark.llm.neardup import OP10_SQL, op10_superminhash_neardup
 from waymark.llm.sharding import OP9_SQL, op9_stratified_interleave
+from waymark.llm.urlfilter import op1_url_markov_ratio
+from waymark.llm.warc import OP8_SQL, op8_warc_transactions
 
 QUERIES = {
+    "op1_url_markov_ratio": op1_url_markov_ratio,
+    "op2_chat_windows": op2_chat_windows,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op8_warc_transactions": op8_warc_transactions,
     "op9_stratified_interleave": op9_stratified_interleave,
     "op10_superminhash_neardup": op10_superminhash_neardup,
 }
 
 ORACLES = {
     "op3_benchmark_decontamination": OP3_SQL,
+    "op8_warc_transactions": OP8_SQL,
     "op9_stratified_interleave": OP9_SQL,
     "op10_superminhash_neardup": OP10_SQL,
 }
