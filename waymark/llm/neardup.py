@@ -12,7 +12,22 @@ from waymark.llm.components import components
 from waymark.llm.superminhash import signatures
 from waymark.llm.textbytes import NON_SPACE, U64, list_of_longs, mix, shingles, words
 
-_SIGNED = "n_shingles long, d1 long, d2 long, bands array<long>, k1 long, k2 long"
+_SIGNED = "n_shingles long, d1 long, d2 long, bands array<long>, k1 long, k2 long, odd array<long>"
+
+#: Bits of an odd sketch, in words of 64.
+_ODD_WORDS = 16
+
+
+def _odd_sketch(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each set 1024 bits: the parity of the elements that hash there.
+
+    Two sketches differ in at most as many bits as the sets differ in elements.
+    """
+    bits = np.zeros((len(offsets) - 1) * _ODD_WORDS * 64, dtype=np.int32)
+    of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    np.add.at(bits, of * (_ODD_WORDS * 64) + (mix(h ^ U64(0x0DD)) >> U64(54)).astype(np.int64), 1)
+    return np.packbits((bits & 1).astype(np.uint8).reshape(-1, _ODD_WORDS * 64), axis=1).view(np.int64)
+
 
 
 def _sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -26,7 +41,7 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, n_shingles, d1, d2, bands, k1, k2) per row of (doc_id, text).
 
     d1, d2: a 128-bit digest of the shingle set; bands: a hash for each band of the signature;
-    k1, k2: 128 bits, one of each of the first 128 slots' values.
+    k1, k2: 128 bits, one of each of the first 128 slots' values; odd: the odd sketch of the set.
     """
     m = bands * rows
     salt = mix(np.arange(1, bands + 1, dtype=np.uint64))
@@ -45,8 +60,8 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             where = np.zeros(len(counts) + 1, dtype=np.int64)
             np.cumsum(np.where(counts > 0, bands, 0), out=where[1:])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(w.first, w.last - w.first), pa.array(counts.astype(np.int64)), pa.array(_sum(mix(h ^ U64(0xA5A5A5A5)), at).view(np.int64)), pa.array(_sum(mix(h + U64(0x1234567)), at).view(np.int64)), list_of_longs(cut[filled].reshape(-1), where), pa.array(k[:, 0]), pa.array(k[:, 1])],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands", "k1", "k2"],
+                [batch.column(0).slice(w.first, w.last - w.first), pa.array(counts.astype(np.int64)), pa.array(_sum(mix(h ^ U64(0xA5A5A5A5)), at).view(np.int64)), pa.array(_sum(mix(h + U64(0x1234567)), at).view(np.int64)), list_of_longs(cut[filled].reshape(-1), where), pa.array(k[:, 0]), pa.array(k[:, 1]), list_of_longs(_odd_sketch(h, at).reshape(-1), np.arange(len(counts) + 1) * _ODD_WORDS)],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands", "k1", "k2", "odd"],
             )
 
     return arrow_map(docs, f"doc_id long, {_SIGNED}", one)
@@ -82,9 +97,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
 
     Exact copies fall into one node by the digest of their sets, so a large group of copies
     costs a row each. Nodes that share a band (missed with probability (1 - 0.8**4)**32 < 1e-7
-    at the threshold) are compared in two passes: with the smallest node of their bucket, and
-    then, across components only, with all others of the bucket that a size bound and a
-    128-bit sketch (seven standard deviations below the threshold) leave. Every link is
+    at the threshold) are compared in two passes: with the node of their bucket that shares most
+    buckets, and then, across components only, with all others of the bucket that a bound on sizes, an
+    exact bound from odd sketches and a 128-bit sketch (seven standard deviations below the
+    threshold) leave; none of these is a row of its own. Every link is
     confirmed on full sets. Groups come from union-find on partitions, then star contraction.
 
     Cases: null or wordless text: empty set, linked with nothing. Rows that repeat an id are one
@@ -94,23 +110,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(sign(docs, size, bands, rows), "signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
-    by_digest = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.count("*").alias("copies"))
+    by_digest = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("odd").alias("odd"), F.count("*").alias("copies"))
     nodes = stored(by_digest, "nodes")
     copies = filled.select("doc_id", "d1", "d2").join(nodes.where("copies > 1").select("d1", "d2", "node"), ["d1", "d2"]).where("doc_id != node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("members")).where("members > 1")
-    members = stored(banded.join(buckets.select("band", "leader"), "band"), "members")
+    buckets = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    members = stored(banded.join(buckets, "band"), "members")
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     sets = stored(shingle_sets(docs.join(wanted, "doc_id", "left_semi"), size).dropDuplicates(["node"]), "sets")
 
-    stars = members.where("node != leader").select(F.col("leader").alias("v"), F.col("node").alias("u")).distinct()
+    # The node whose buckets hold the most others is the likeliest original of a group of copies.
+    support = members.groupBy("node").agg(F.sum("members").alias("support"))
+    leaders = members.join(support, "node").groupBy("band").agg(F.max(F.struct("support", (-F.col("node")).alias("minus"))).alias("lead")).select("band", (-F.col("lead.minus")).alias("leader"))
+    stars = members.join(leaders, "band").where("node != leader").select(F.col("leader").alias("v"), F.col("node").alias("u")).distinct()
     first = stored(_verified(stars.select("u", "v"), sets, percent), "links")
 
     reached = components(first)
     placed = members.select("band", "node").join(reached, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
     split = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("band")
-    open_ = stored(placed.join(split, "band").join(nodes.select("node", "n", "k1", "k2").dropDuplicates(["node"]), "node"), "open")
+    open_ = stored(placed.join(split, "band").join(nodes.select("node", "n", "k1", "k2", "odd").dropDuplicates(["node"]), "node"), "open")
     a, b = open_.alias("a"), open_.alias("b")
     # Equal bits of two signatures' sketches: (1 + J) / 2 of them, give or take.
     share = (1 + percent / 100) / 2
@@ -118,6 +137,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     agree = int(slots * share - 7 * (slots * share * (1 - share)) ** 0.5)
     cond = (F.col("a.band") == F.col("b.band")) & (F.col("a.part") < F.col("b.part")) & (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
     cond &= F.bit_count(F.col("a.k1").bitwiseXOR(F.col("b.k1"))) + F.bit_count(F.col("a.k2").bitwiseXOR(F.col("b.k2"))) <= slots - agree
+    # |A ^ B| <= (|A| + |B|) * (100 - p) / (100 + p) says the same as the threshold, and the odd sketches differ in no more bits.
+    odd = F.lit(0)
+    for k in range(_ODD_WORDS):
+        odd = odd + F.bit_count(F.get("a.odd", F.lit(k)).bitwiseXOR(F.get("b.odd", F.lit(k))))
+    cond &= odd * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent)
     across = a.join(b, cond).select(F.col("b.node").alias("u"), F.col("a.node").alias("v")).distinct()
     second = _verified(across, sets, percent)
 
