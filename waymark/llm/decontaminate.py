@@ -80,8 +80,11 @@ def _blocks(benchmark: DataFrame, limit: int):
         yield ids, texts
 
 
-def _hits(docs: DataFrame, index: Index, size: int) -> DataFrame:
-    """(row, spans, items) for each row of (row, text): word ranges hit, as starts and ends in turn, and items found."""
+def _prober(docs: DataFrame, index: Index, size: int):
+    """A function of a text column that gives, for runs of rows, the words, each row's ranges hit and items found.
+
+    docs has a column text, in all rows of which the tokens are counted.
+    """
     spark = docs.sparkSession
     sizes = sorted({min(size, len(t)) for t in index.text})
     wanted = {n: np.unique(np.concatenate([g for g, t in zip(index.grams, index.text) if min(size, len(t)) == n])) for n in sizes}
@@ -113,10 +116,10 @@ def _hits(docs: DataFrame, index: Index, size: int) -> DataFrame:
             prefix[n].setdefault(int(g[k]), []).append((i, k))
     shared = spark.sparkContext.broadcast((prefix, index.text, index.item, index.ids))
 
-    def probe(batch: pa.RecordBatch):
+    def probe(column: pa.Array):
         prefix, texts, item, ids = shared.value
         keys = {n: np.array(sorted(v), dtype=np.uint64) for n, v in prefix.items() if v}
-        for w in words(batch.column(1), ALNUM):
+        for w in words(column, ALNUM):
             rows = w.last - w.first
             spans: list[list[int]] = [[] for _ in range(rows)]
             items: list[set[str]] = [set() for _ in range(rows)]
@@ -133,12 +136,23 @@ def _hits(docs: DataFrame, index: Index, size: int) -> DataFrame:
                         if start >= lo and end <= hi and tuple(w.text(start, end)) == texts[i]:
                             spans[row] += [start - lo, end - lo]
                             items[row].add(ids[item[i]])
+            yield w, spans, items
+
+    return probe
+
+
+def _hits(docs: DataFrame, index: Index, size: int) -> DataFrame:
+    """(row, n_words, spans, items) for each row of (row, text): ranges of words hit, as starts and ends in turn, and items found."""
+    probe = _prober(docs, index, size)
+
+    def one(batch: pa.RecordBatch):
+        for w, spans, items in probe(batch.column(1)):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(w.first, rows), pa.array(np.diff(w.first_word).astype(np.int64)), pa.array([_merged(s) for s in spans], pa.list_(pa.int64())), pa.array([sorted(s) for s in items], pa.list_(pa.string()))],
+                [batch.column(0).slice(w.first, w.last - w.first), pa.array(np.diff(w.first_word).astype(np.int64)), pa.array([_merged(s) for s in spans], pa.list_(pa.int64())), pa.array([sorted(s) for s in items], pa.list_(pa.string()))],
                 names=["row", "n_words", "spans", "items"],
             )
 
-    return arrow_map(docs.select("row", "text"), f"row {docs.schema['row'].dataType.simpleString()}, n_words long, spans array<long>, items array<string>", probe)
+    return arrow_map(docs.select("row", "text"), f"row {docs.schema['row'].dataType.simpleString()}, n_words long, spans array<long>, items array<string>", one)
 
 
 def _merged(spans: list[int]) -> list[int]:
@@ -189,6 +203,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, size:
     return counts.join(merged, "row", "left").select(F.col("row.id").alias(id_col), "n_words", F.coalesce(merge("spans"), empty[0]).alias("spans"), F.coalesce("items", empty[1]).alias("items"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, size: int = 3, block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of the benchmark occurs; the cases of contamination() hold."""
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("text"))
+    at, out = docs.columns.index(text_col), docs
+    for block in _blocks(items, block_bytes):
+        probe = _prober(docs.select(F.col(text_col).alias("text")), _index(*block, window, size), size)
+
+        def one(batch: pa.RecordBatch, probe=probe):
+            for w, spans, _ in probe(batch.column(at)):
+                yield batch.slice(w.first, w.last - w.first).filter(pa.array([not s for s in spans], pa.bool_()))
+
+        out = arrow_map(out, docs.schema, one)
+    return out
+
+
 def n_hit(spans: str) -> Column:
     """Words in the ranges: ends less starts."""
     return F.aggregate(F.transform(spans, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)

@@ -150,6 +150,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """docs, with all columns, less all but one document of each group of near_duplicates().
+
+    The document that stays is that of the smallest id. Of rows that repeat an id the smallest, column by
+    column, stays; rows with a null id, which are in no group, all stay.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    dropped = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    left = docs.join(dropped, id_col, "left_anti").select(docs.columns)
+    again = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    if not again.take(1):
+        return left
+    others = [c for c in docs.columns if c != id_col]
+    one = left.join(again, id_col, "left_semi").groupBy(id_col).agg(F.min(F.struct(*others)).alias("_one")).select(id_col, "_one.*").select(docs.columns)
+    return left.join(again, id_col, "left_anti").select(docs.columns).unionByName(one)
+
+
 def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, four-word shingles, similarity 0.8."""
     return near_duplicates(read(spark, sf_dir, "documents"), size=4)

@@ -178,21 +178,40 @@ def _chunks(column: pa.Array):
         yield w, data[at[0] : at[-1]], at - at[0]
 
 
-def classify(docs: DataFrame, sample: int = 4000, bits: int = 14, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score, posterior, good) for every row.
+@dataclass
+class Classifier:
+    """What judging needs: the label model and the linear scorer."""
+
+    model: LabelModel
+    weights: np.ndarray
+    bias: float
+    bits: int
+    threshold: float
+
+    def judge(self, column: pa.Array):
+        """(first row, last row, scores, posteriors, decisions) of runs of rows."""
+        known = _function_hashes()
+        for w, data, at in _chunks(column):
+            m = _measures(w, data, at, known)
+            posterior, again = self.model.posterior(_votes(m)), _repeats(m)
+            score = np.zeros(len(posterior))
+            for r in np.flatnonzero(m["words"] > 0):
+                cells, values = _features(data[at[r] : at[r + 1]], self.bits, again[r])
+                score[r] = 1 / (1 + np.exp(-np.clip((self.weights[cells] * values).sum() + self.bias, -30, 30)))
+            yield w.first, w.last, score.round(6), posterior.round(6), (score >= self.threshold) & (m["words"] > 0)
+
+
+def fit(docs: DataFrame, sample: int = 4000, bits: int = 14, threshold: float = 0.5, text_col: str = "text") -> Classifier:
+    """Fit the label model on all rows, and the scorer on its posteriors for a bounded sample.
 
     Eleven heuristic labellers accept, reject or abstain on the whole text. Expectation-maximisation
     over the counts of vote patterns of all documents (3**11 at most, whatever the input) estimates
     their accuracies and the share of good documents. The posterior labels of a seeded sample of about
     `sample` distinct texts train a linear scorer of hashed three-byte features, each by the root of
-    its share of the text, and three measures of repetition; the scorer then judges every row: score is its chance of being good, good is
-    score >= threshold.
-
-    Cases: a null, empty or wordless text is rejected with score 0; a very long text counts whole; equal
-    texts get equal scores; no rows: none. Other columns are not read.
+    its share of the text, and three measures of repetition. Without any rows
+    the classifier rejects all.
     """
-    spark = docs.sparkSession
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    plain = docs.select(F.col(text_col).alias("text"))
     known = _function_hashes()
 
     def patterns(batches):
@@ -207,7 +226,7 @@ def classify(docs: DataFrame, sample: int = 4000, bits: int = 14, threshold: flo
     found = plain.select("text").mapInArrow(patterns, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").collect()
     total = sum(r["n"] for r in found)
     if not total:
-        return plain.select("doc_id", F.lit(0.0).alias("score"), F.lit(0.0).alias("posterior"), F.lit(False).alias("good"))
+        return Classifier(LabelModel(0.5, np.full((2, len(LABELLERS), 3), 0.5)), np.zeros((1 << bits) + 3), -30.0, bits, threshold)
     codes = np.array([r["code"] for r in found])
     model = fit_label_model(codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3, np.array([r["n"] for r in found], float))
 
@@ -230,20 +249,38 @@ def classify(docs: DataFrame, sample: int = 4000, bits: int = 14, threshold: flo
         cells, values = rows["cells"].combine_chunks(), rows["values"].combine_chunks()
         lengths = np.diff(cells.offsets.to_numpy())
         weights, bias = fit_linear(np.repeat(np.arange(len(rows)), lengths), cells.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy().astype(np.float64), rows["good"].to_numpy(), bits)
-    shared = spark.sparkContext.broadcast((weights, bias))
+    return Classifier(model, weights, bias, bits, threshold)
 
-    def judge(batch: pa.RecordBatch):
-        w_, b_ = shared.value
-        for w, data, at in _chunks(batch.column(1)):
-            m = _measures(w, data, at, known)
-            good, again = model.posterior(_votes(m)), _repeats(m)
-            score = np.zeros(len(good))
-            for r in np.flatnonzero(m["words"] > 0):
-                cells, values = _features(data[at[r] : at[r + 1]], bits, again[r])
-                score[r] = 1 / (1 + np.exp(-np.clip((w_[cells] * values).sum() + b_, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.first, w.last - w.first), pa.array(score.round(6)), pa.array(good.round(6)), pa.array((score >= threshold) & (np.diff(w.first_word) > 0))], names=["doc_id", "score", "posterior", "good"])
 
-    return arrow_map(plain, "doc_id long, score double, posterior double, good boolean", judge)
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(doc_id, score, posterior, good) for every row, by a classifier fitted to all of docs (options: see fit()).
+
+    score is the scorer's chance that the text is good, posterior the label model's; good is
+    score >= threshold.
+
+    Cases: a null, empty or wordless text is rejected with score 0; a very long text counts whole; equal
+    texts get equal scores; no rows: none. Other columns are not read.
+    """
+    own = fit(docs, text_col=text_col, **options)
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+    def one(batch: pa.RecordBatch):
+        for a, b, score, posterior, good in own.judge(batch.column(1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(score), pa.array(posterior), pa.array(good)], names=["doc_id", "score", "posterior", "good"])
+
+    return arrow_map(plain, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, score double, posterior double, good boolean", one)
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs, with all their columns, that classify() calls good; the same cases hold."""
+    own = fit(docs, text_col=text_col, **options)
+    at = docs.columns.index(text_col)
+
+    def one(batch: pa.RecordBatch):
+        for a, b, _, _, good in own.judge(batch.column(at)):
+            yield batch.slice(a, b - a).filter(pa.array(good))
+
+    return arrow_map(docs, docs.schema, one)
 
 
 def op5_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
