@@ -20,9 +20,9 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def _uuid(kind: str, row: Column) -> Column:
-    """A record id, from the kind of record and the row's number."""
-    h = F.md5(F.concat_ws(":", F.lit(kind), row.cast("string")))
+def _uuid(kind: str, *row: Column) -> Column:
+    """A record id, from the kind of record and what tells rows apart."""
+    h = F.md5(F.concat_ws("\n", F.lit(kind), *[F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("")) for c in row]))
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12)), F.lit(">"))
 
 
@@ -46,30 +46,31 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     large as an input split. Only digests and ids are shuffled, unless the list of repeated
     digests is too large to broadcast, which adaptive execution finds out at run time.
 
-    Cases: ids that are null come after all others; of rows with the same id and payload one is
-    the response; a null url leaves its header out; control characters in urls are percent-encoded;
+    Cases: a row whose id is null is no other's response; rows that share the smallest id are all responses,
+    and equal rows write equal records; a null url leaves its header out; control characters in urls are percent-encoded;
     no rows: no records. Other columns are not read.
     """
     body = F.coalesce(F.col(payload_col), F.lit(""))
     digest = F.sha2(F.encode(body, "UTF-8"), 256)
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), body.alias("body"), digest.alias("digest"), F.octet_length(body).cast("long").alias("n"))
-    order = F.struct(F.col("id").isNull().alias("late"), "id", "row")
-    firsts = rows.where(F.col("n") >= least_revisit).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", F.col("first.row").alias("first_row"))
-    rows = rows.join(firsts, "digest", "left").withColumn("again", F.coalesce(F.col("row") != F.col("first_row"), F.lit(False)) & (F.col("n") >= least_revisit))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), body.alias("body"), digest.alias("digest"), F.octet_length(body).cast("long").alias("n"))
+    order = F.struct(F.col("id").isNull().alias("late"), "id", "url")
+    firsts = rows.where(F.col("n") >= least_revisit).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1").where("first.id is not null").select("digest", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"))
+    again = (F.col("n") >= least_revisit) & F.col("first_id").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first_id")))
+    rows = rows.join(firsts, "digest", "left").withColumn("again", again)
     url = F.col("url")
     for c in [*range(32), 127]:
         url = F.replace(url, F.lit(chr(c)), F.lit(f"%{c:02X}"))
     path_of = F.coalesce(F.nullif(F.regexp_extract(url, r"^[^:]*://[^/?#]*([^#]*)", 1), F.lit("")), F.lit("/"))
-    own, stamp = _uuid("response", F.col("row")), F.lit(date)
+    own, stamp = _uuid("response", F.col("id"), F.col("url"), F.col("digest")), F.lit(date)
     head = _text("HTTP/1.1 200 OK", _CRLF, "Content-Type: text/html; charset=utf-8", _CRLF, "Content-Length: ", F.col("n").cast("string"), _END)
     http = F.when(F.col("again"), head).otherwise(F.concat(head, F.col("body")))
-    request = _record("request", [("WARC-Record-ID", _uuid("request", F.col("row"))), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/http; msgtype=request"))], _text("GET ", F.coalesce(path_of, F.lit("/")), " HTTP/1.1", _CRLF, "Host: ", F.coalesce(F.regexp_extract(url, r"^[^:]*://([^/?#]*)", 1), F.lit("")), _END))
+    request = _record("request", [("WARC-Record-ID", _uuid("request", F.col("id"), F.col("url"), F.col("digest"))), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/http; msgtype=request"))], _text("GET ", F.coalesce(path_of, F.lit("/")), " HTTP/1.1", _CRLF, "Host: ", F.coalesce(F.regexp_extract(url, r"^[^:]*://([^/?#]*)", 1), F.lit("")), _END))
     response = _record(
         F.when(F.col("again"), "revisit").otherwise("response"),
-        [("WARC-Record-ID", own), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), ("WARC-Refers-To", F.when(F.col("again"), _uuid("response", F.col("first_row")))), ("WARC-Profile", F.when(F.col("again"), F.lit(_REVISIT))), ("Content-Type", F.lit("application/http; msgtype=response"))],
+        [("WARC-Record-ID", own), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), ("WARC-Refers-To", F.when(F.col("again"), _uuid("response", F.col("first_id"), F.col("first_url"), F.col("digest")))), ("WARC-Profile", F.when(F.col("again"), F.lit(_REVISIT))), ("Content-Type", F.lit("application/http; msgtype=response"))],
         http,
     )
-    metadata = _record("metadata", [("WARC-Record-ID", _uuid("metadata", F.col("row"))), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.coalesce(F.concat(F.lit("page-id: "), F.col("id").cast("string"), F.lit(_CRLF)), F.lit("")), F.lit("via: waymark"), F.lit(_CRLF)))
+    metadata = _record("metadata", [("WARC-Record-ID", _uuid("metadata", F.col("id"), F.col("url"), F.col("digest"))), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.coalesce(F.concat(F.lit("page-id: "), F.col("id").cast("string"), F.lit(_CRLF)), F.lit("")), F.lit("via: waymark"), F.lit(_CRLF)))
     # One line of the sink for a capture: its records, apart by what also ends the line.
     rows.select(F.concat_ws(_END, request, response, metadata).alias("value")).write.option("lineSep", _END).option("compression", "gzip").text(path)
 
@@ -160,7 +161,7 @@ def captures(records: DataFrame) -> DataFrame:
     naming = response.select(F.explode("concurrent_to").alias("record_id"), "capture")
     links = named.unionByName(naming).distinct()
     members = other.drop("concurrent_to").join(links, "record_id").withColumn("record", F.struct("record_id", "target_uri", "date", "block"))
-    gathered = members.groupBy("capture").agg(F.sort_array(F.collect_list(F.when(F.col("type") == "request", F.col("record")))).alias("requests"), F.sort_array(F.collect_list(F.when(F.col("type") == "metadata", F.col("record")))).alias("metadata"))
+    gathered = members.groupBy("capture").agg(F.sort_array(F.collect_set(F.when(F.col("type") == "request", F.col("record")))).alias("requests"), F.sort_array(F.collect_set(F.when(F.col("type") == "metadata", F.col("record")))).alias("metadata"))
     return response.drop("concurrent_to").join(gathered, "capture", "left")
 
 
@@ -179,7 +180,7 @@ def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("to"),
     )
-    targets = rows.where("record_type = 'response'").select(F.col("capture").alias("to"), F.col("page_id").alias("refers_to"))
+    targets = rows.where("record_type = 'response'").select(F.col("capture").alias("to"), F.col("page_id").alias("refers_to")).distinct()
     wanted = rows.where("to is not null").select("to").distinct()
     return rows.join(targets.join(wanted, "to", "left_semi"), "to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
