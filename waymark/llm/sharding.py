@@ -21,7 +21,7 @@ def _bucket_offsets(counts: DataFrame, keys: list[str], bucket: str) -> DataFram
     return counts.withColumn("before", F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1))).na.fill(0, ["before"])
 
 
-def stratified_shards(df: DataFrame, shards: int, seed: str = "waymark", source_col: str = "source", key_col: str = "doc_id", rows_per_bucket: int = 4096, max_buckets: int = 65536) -> DataFrame:
+def stratified_shards(df: DataFrame, shards: int, seed: str = "waymark", source_col: str = "source", key_col: str = "doc_id", rows_per_bucket: int = 512, max_buckets: int = 65536) -> DataFrame:
     """df with shard (0 .. shards - 1) and slot (gapless from 0 within a shard).
 
     Rows are shuffled within each source by a seeded hash of their key, and ranked; a row's
