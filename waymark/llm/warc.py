@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import read, scratch_path
+from waymark.llm.common import read, scratch_path, stored
 
 _CRLF = "\r\n"
 _END = "\r\n\r\n"
@@ -57,9 +57,11 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     firsts = rows.where(F.col("n") >= least_revisit).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1").where("first.id is not null").select("digest", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"))
     again = (F.col("n") >= least_revisit) & F.col("first_id").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first_id")))
     rows = rows.join(firsts, "digest", "left").withColumn("again", again)
-    url = F.col("url")
+    encoded = F.col("url")
     for c in [*range(32), 127]:
-        url = F.replace(url, F.lit(chr(c)), F.lit(f"%{c:02X}"))
+        encoded = F.replace(encoded, F.lit(chr(c)), F.lit(f"%{c:02X}"))
+    rows = rows.withColumn("uri", F.when(F.col("url").rlike(r"[\x00-\x1F\x7F]"), encoded).otherwise(F.col("url")))
+    url = F.col("uri")
     path_of = F.coalesce(F.nullif(F.regexp_extract(url, r"^[^:]*://[^/?#]*([^#]*)", 1), F.lit("")), F.lit("/"))
     own, stamp = _uuid("response", F.col("id"), F.col("url"), F.col("digest")), F.lit(date)
     head = _text("HTTP/1.1 200 OK", _CRLF, "Content-Type: text/html; charset=utf-8", _CRLF, "Content-Length: ", F.col("n").cast("string"), _END)
@@ -148,14 +150,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row for each response or revisit: response, requests, metadata.
+    """One nested row for each response or revisit: response (with any further columns of records), requests, metadata.
 
     Requests and metadata join the response or revisit that they name in concurrent_to, or that
     names them. Their payloads aren't shuffled: joins carry records without one, and the response
     moves once. A record that leads to no response is left out; a capture may lack the others.
     """
     main = F.col("type").isin("response", "revisit")
-    response = records.where(main).select(F.col("record_id").alias("capture"), F.struct("type", "record_id", "refers_to", "target_uri", "date", "payload_digest", "http_length", F.col("block").alias("http"), "payload").alias("response"), "concurrent_to")
+    further = [c for c in records.columns if c not in ("type", "record_id", "refers_to", "target_uri", "date", "payload_digest", "http_length", "block", "concurrent_to")]
+    response = records.where(main).select(F.col("record_id").alias("capture"), F.struct("type", "record_id", "refers_to", "target_uri", "date", "payload_digest", "http_length", F.col("block").alias("http"), *further).alias("response"), "concurrent_to")
     other = records.where(~main).select("record_id", "type", "target_uri", "date", "block", "concurrent_to")
     named = other.select("record_id", F.explode("concurrent_to").alias("capture"))
     naming = response.select(F.explode("concurrent_to").alias("record_id"), "capture")
@@ -169,14 +172,16 @@ def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages to archives and back; a row for each capture."""
     path = scratch_path(spark, "warc")
     write_warc(read(spark, sf_dir, "pages"), path)
-    found = captures(read_warc(spark, path))
-    body = F.encode(F.col("response.payload"), "UTF-8")
+    body = F.encode("payload", "UTF-8")
+    # The archives are parsed once: what is asked of payloads is computed as they pass, and they go.
+    records = stored(read_warc(spark, path).withColumn("n", F.octet_length(body).cast("long")).withColumn("sha", F.sha2(body, 256)).drop("payload", "file"), "records")
+    found = captures(records)
     revisit = F.col("response.type") == "revisit"
     rows = found.select(
         F.col("capture"),
         F.expr("try_cast(nullif(regexp_extract(metadata[0].block, 'page-id: (-?[0-9]+)', 1), '') as bigint)").alias("page_id"),
-        F.when(revisit, F.col("response.http_length")).otherwise(F.octet_length(body).cast("long")).alias("payload_bytes"),
-        F.when(revisit, F.regexp_replace("response.payload_digest", "^sha256:", "")).otherwise(F.sha2(body, 256)).alias("payload_digest"),
+        F.when(revisit, F.col("response.http_length")).otherwise(F.col("response.n")).alias("payload_bytes"),
+        F.when(revisit, F.regexp_replace("response.payload_digest", "^sha256:", "")).otherwise(F.col("response.sha")).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("to"),
     )
