@@ -44,7 +44,7 @@ def chunk_members(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_manifest(spark: SparkSession, d: str) -> DataFrame:
-    return partition.chunk_manifest(members(spark, d), CELL).select("chunk", "cx", "cy", "frames", "core_frames", F.array_join("passes", ",").alias("passes"), _r("centre_x"), _r("centre_y"), "x0", "y0", "x1", "y1")
+    return partition.chunk_manifest(members(spark, d), CELL).select("chunk", "cx", "cy", "frames", "core_frames", F.array_join("passes", ",").alias("passes"), _r("centre_x", 3), _r("centre_y", 3), "x0", "y0", "x1", "y1")
 
 
 def pass_split(spark: SparkSession, d: str) -> DataFrame:
