@@ -15,7 +15,7 @@ fx_members as (
 _MANIFEST = f"""{_MEMBERS},
 fx_manifest as (
   select chunk, cx, cy, count(*) as frames, count(*) filter (is_core) as core_frames, array_to_string(list_sort(list(distinct video)), ',') as passes,
-    round(avg(x), 3) as centre_x, round(avg(y), 3) as centre_y, cx * 20.0e0 as x0, cy * 20.0e0 as y0, (cx + 1) * 20.0e0 as x1, (cy + 1) * 20.0e0 as y1
+    round(avg(x) + 1e-7, 3) as centre_x, round(avg(y) + 1e-7, 3) as centre_y, cx * 20.0e0 as x0, cy * 20.0e0 as y0, (cx + 1) * 20.0e0 as x1, (cy + 1) * 20.0e0 as y1
   from fx_members group by chunk, cx, cy
 )"""
 
@@ -61,7 +61,7 @@ ORACLES = {
     "frame_sequence": f"with {FRAMES_SQL} select * from fx_frames",
     "geo_round_trip": f"with {FRAMES_SQL} select seq, round(x, 3) as e, round(y, 3) as n, round(z, 3) as u from fx_frames",
     "local_plane": f"""with {FRAMES_SQL}
-      select seq, round(radians((-76.69057e0 + x / 86000) - -76.69057e0) * (6378137.0e0 * cos(radians(38.98138e0))), 4) as ax, round(z, 4) as ay, round(-(radians((38.98138e0 + y / 111320) - 38.98138e0) * 6378137.0e0), 4) as az from fx_frames""",
+      select seq, round(radians((-76.69057e0 + x / 86000) - -76.69057e0) * (6378137.0e0 * cos(radians(38.98138e0))), 3) as ax, round(z, 3) as ay, round(-(radians((38.98138e0 + y / 111320) - 38.98138e0) * 6378137.0e0), 3) as az from fx_frames""",
     "chunk_members": f"with {_MEMBERS} select chunk, cx, cy, seq, is_core from fx_members",
     "chunk_manifest": f"with {_MANIFEST} select * from fx_manifest",
     "pass_split": f"with {_PASSES} select video, pass, min(seq) as first_seq, max(seq) as last_seq, count(*) as frames from fx_passes group by 1, 2",
@@ -146,7 +146,7 @@ ORACLES = {
       e as (select *, row_number() over (partition by video order by seq) - 1 as k, count(*) over (partition by video) as n from fx_frames),
       o as (select e.video, e.seq, e.k, e.n, unnest(generate_series(-4, 4)) as d from e),
       j as (select o.seq, avg(s.x) as x, avg(s.y) as y, avg(s.z) as z from o join e s on s.video = o.video and s.k = greatest(0, least(o.n - 1, o.k + o.d)) group by o.seq)
-      select seq as i, round(x, 4) as x, round(y, 4) as y, round(z, 4) as z from j""",
+      select seq as i, round(x, 3) as x, round(y, 3) as y, round(z, 3) as z from j""",
     "path_headings": f"""with {FRAMES_SQL},
       e as (select *, row_number() over (partition by video order by seq) - 1 as k, count(*) over (partition by video) as n from fx_frames),
       j as (select e.seq, a.x - e.x as ox, a.y - e.y as oy, a.z - e.z as oz, e.x - b.x as bx, e.y - b.y as by_, e.z - b.z as bz from e join e a on a.video = e.video and a.k = least(e.n - 1, e.k + 4) join e b on b.video = e.video and b.k = greatest(0, e.k - 4)),

@@ -32,7 +32,7 @@ def local_plane(spark: SparkSession, d: str) -> DataFrame:
     g = frames(spark, d).select("seq", (F.lit(ORIGIN[0]) + F.col("y") / 111320).alias("lat"), (F.lit(ORIGIN[1]) + F.col("x") / 86000).alias("lon"), "z")
     x, y = geo.local_xy(F.col("lat"), F.col("lon"), *ORIGIN[:2])
     a, b, c = geo.y_up(x, y, F.col("z"))
-    return g.select("seq", F.round(a, 4).alias("ax"), F.round(b, 4).alias("ay"), F.round(c, 4).alias("az"))
+    return g.select("seq", F.round(a, 3).alias("ax"), F.round(b, 3).alias("ay"), F.round(c, 3).alias("az"))
 
 
 def members(spark: SparkSession, d: str) -> DataFrame:
@@ -44,7 +44,7 @@ def chunk_members(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_manifest(spark: SparkSession, d: str) -> DataFrame:
-    return partition.chunk_manifest(members(spark, d), CELL).select("chunk", "cx", "cy", "frames", "core_frames", F.array_join("passes", ",").alias("passes"), _r("centre_x", 3), _r("centre_y", 3), "x0", "y0", "x1", "y1")
+    return partition.chunk_manifest(members(spark, d), CELL).select("chunk", "cx", "cy", "frames", "core_frames", F.array_join("passes", ",").alias("passes"), F.round(F.col("centre_x") + 1e-7, 3).alias("centre_x"), F.round(F.col("centre_y") + 1e-7, 3).alias("centre_y"), "x0", "y0", "x1", "y1")
 
 
 def pass_split(spark: SparkSession, d: str) -> DataFrame:
@@ -151,7 +151,7 @@ def path_resample(spark: SparkSession, d: str) -> DataFrame:
 
 def path_smooth(spark: SparkSession, d: str) -> DataFrame:
     p = frames(spark, d).select("video", F.col("seq").alias("i"), F.col("t").alias("s"), "x", "y", "z")
-    return drive.smooth(p, ["video"], 9).select("i", _r("x", 4), _r("y", 4), _r("z", 4))
+    return drive.smooth(p, ["video"], 9).select("i", _r("x", 3), _r("y", 3), _r("z", 3))
 
 
 def path_headings(spark: SparkSession, d: str) -> DataFrame:
