@@ -29,7 +29,7 @@ def plain(row):
     return tuple(round(v, 5) + 0.0 if isinstance(v, float) else int(v) if isinstance(v, int) else v for v in row)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query_matches_sql(spark, name):
     names, want = duck(ORACLES[name])
     got = [plain(x) for x in QUERIES[name](spark, SMALL).select(*names).collect()]

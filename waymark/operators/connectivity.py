@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,10 @@ def pass_groups(matrix: DataFrame, rounds: int = 50) -> DataFrame:
     The matrix has a row a pair of passes of a capture, which Spark counts in thousands; each round is a join and a
     grouped minimum on it, materialised by checkpoint so that no plan grows, until no label changes.
     """
+    sc = matrix.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        # Only a session without spark.checkpoint.dir, as in tests.
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="waymark-"))
     edges = matrix.where("a != b").select("a", "b")
     label = matrix.select(F.col("a").alias("pass")).distinct().withColumn("group", F.col("pass"))
     before = None

@@ -180,3 +180,36 @@ ORACLES = {
     "verdicts": f"""with {FRAMES_SQL} select seq, case when abs(z) < 1 then 'agree' when abs(z) < 3 then 'marginal' else 'DISAGREE' end as verdict, round(10 * log10(1 / greatest(abs(x) / 1e4, 1e-12)), 6) as psnr,
       greatest(32, 6 * greatest(1, seq % 5) * 12 * 2) as neighbours, round(0.5e0 * 1920 / tan(radians(60 + seq % 40) / 2), 6) as fx from fx_frames""",
 }
+
+_MATRIX = ORACLES["pass_pair_matrix"].replace("select a, b, pairs from h union all select b, a, pairs from h where a <> b", "").rstrip().rstrip(",")
+_MATRIX += ", m as (select a, b, pairs from h union all select b, a, pairs from h where a <> b)"
+_VERTICES = f"""{FRAMES_SQL}, v as (select cast(substr(video, 2) as bigint) as pass, seq, x, y, z from fx_frames)"""
+
+ORACLES |= {
+    "weak_pass_list": f"""{_MATRIX}, w as (select a as pass, coalesce(sum(pairs) filter (a = b), 0)::bigint as intra, coalesce(sum(pairs) filter (a <> b), 0)::bigint as cross from m group by a)
+      select pass, intra, "cross" from w where intra > 0 and "cross" < 0.6 * intra""".replace(" as cross", ' as "cross"'),
+    "pass_components": f"""{_MATRIX.replace("with ", "with recursive ", 1)}, l as (select a, b from m where a % 8 = b % 8 or a + b = 22), c(node, root) as (select distinct a, a from l union select l.b, c.root from c join l on l.a = c.node)
+      select node as pass, min(root) as "group" from c group by node""",
+    "capture_centres": f"""with {FRAMES_SQL}, i as (select seq, x + k as x, y, z from fx_frames, (values (0), (1), (2), (3), (4), (5)) v(k) where (seq + k) % 17 <> 0 and (seq + k) % 5 <> 0)
+      select seq, round(avg(x), 3) as x, round(avg(y), 3) as y, round(avg(z), 3) as z from i group by seq""",
+    "camera_deal": f"""with {_MANIFEST}, seen as (select seq as image_id, x + k * 4 as x, y - k * 2 as y from fx_frames, (values (-3), (-2), (-1), (0), (1), (2), (3)) v(k)),
+      near as (select chunk, seq as image_id from fx_frames, fx_manifest where x between x0 - 4 and x1 + 4 and y between y0 - 4 and y1 + 4),
+      wide as (select chunk, seq as image_id from fx_frames, fx_manifest where x between x0 - 10 and x1 + 10 and y between y0 - 10 and y1 + 10),
+      enough as (select chunk, image_id from seen, fx_manifest where x between x0 and x1 and y between y0 and y1 group by 1, 2 having count(*) >= 3)
+      select * from near union select * from wide join enough using (chunk, image_id)""",
+    "cell_states": f"""with {_MEMBERS}, few as (select chunk from fx_members where cx % 2 = 0 group by chunk having count(*) >= 2), d as (select chunk, count(*) as dealt, count(*) filter (seq % 17 <> 3) as registered from fx_members where chunk not in (select chunk from few) group by chunk)
+      select chunk, dealt, registered, case when registered >= 0.9 * dealt then 'relocated' else 'hole' end as state from d""",
+    "coverage_ratio": f"""with {FRAMES_SQL} select count(*) filter (seq % 9 <> 0) as registered, count(*) as reference, round(count(*) filter (seq % 9 <> 0) / count(*)::double, 6) as ratio, count(*) filter (seq % 9 <> 0) >= 0.85 * count(*) as ok from fx_frames""",
+    "mean_psnr": f"""with {FRAMES_SQL} select seq % 4 as checkpoint, count(*) as views, round(avg(10 * log10(1 / greatest(abs(x) / 1e4, 1e-12))), 4) as psnr from fx_frames group by 1""",
+    "largest_pass": f"""with {_PASSES}, n as (select video, pass, count(*) as points from fx_passes group by 1, 2) select video, pass, points from n qualify row_number() over (partition by video order by points desc, pass) = 1""",
+    "pass_cover": f"""with {_VERTICES}, n as (select pass, count(*) as n from v group by pass), h as (select distinct a.pass, a.seq, b.pass as other from v a join v b on a.pass <> b.pass and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= 4)
+      select h.pass, other, round(count(*) / any_value(n)::double, 6) as share from h join n on n.pass = h.pass group by h.pass, other""",
+    "exact_seams": f"""with {_CHUNK_POINTS}, p as (select * from fx_points where seq % 3 = 0), d as (select a.chunk as a, b.chunk as b, abs(a.z - b.z) as dz from p a join p b on a.chunk < b.chunk and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 36.0e0),
+      s as (select a, b, count(*) as pairs, quantile_cont(dz, 0.5) as m, quantile_cont(dz, 0.9) as p from d group by a, b having count(*) >= 20)
+      select a, b, pairs, round(m, 6) as median_dz, round(p, 6) as p90_dz, case when m < 1 then 'agree' when m < 3 then 'marginal' else 'DISAGREE' end as verdict from s""",
+    "newest_profiles": "select p_brand as name, p_partkey as dir_order, p_size as priority from part qualify row_number() over (partition by p_brand order by p_partkey desc) = 1",
+    "missing_images": f"with {FRAMES_SQL} select seq as name from fx_frames where seq % 2 = 0 and seq % 3 = 0",
+}
+
+# DuckDB rounds small negative numbers to -0.0, Spark to 0.0; adding 0.0 makes them one.
+ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in ORACLES.items()}

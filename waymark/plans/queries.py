@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions import geo, scalars
-from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, seams, world
+from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, world
 from waymark.plans.fixtures import FRAMES_SQL, GAUSSIANS_SQL, ORIGIN, frames, gaussians
 
 CELL, HALO, LEAST = 20.0, 4.0, 5
@@ -216,10 +216,82 @@ def verdicts(spark: SparkSession, d: str) -> DataFrame:
     return f.select("seq", scalars.verdict(F.abs("z")).alias("verdict"), F.round(scalars.psnr(F.abs(F.col("x")) / 1e4), 6).alias("psnr"), scalars.neighbours(F.lit(6), F.col("seq") % 5, 12).alias("neighbours"), F.round(scalars.focal(F.lit(1920), 60 + F.col("seq") % 40), 6).alias("fx"))
 
 
+def weak_pass_list(spark: SparkSession, d: str) -> DataFrame:
+    return connectivity.weak_passes(pass_pair_matrix(spark, d), 0.6)
+
+
+def pass_components(spark: SparkSession, d: str) -> DataFrame:
+    return connectivity.pass_groups(pass_pair_matrix(spark, d).where("a % 8 = b % 8 or a + b = 22"))
+
+
+def capture_centres(spark: SparkSession, d: str) -> DataFrame:
+    """Six views of each position, off by whole millimetres, some without a pose or a number."""
+    f = frames(spark, d).select("seq", "x", "y", "z", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k"))
+    name = F.when((F.col("seq") + F.col("k")) % 17 == 0, F.lit("cam0/none.jpg")).otherwise(F.format_string("cam%d/%06d.jpg", "k", "seq"))
+    images = f.select(name.alias("name"), F.when((F.col("seq") + F.col("k")) % 5 != 0, F.col("x") + F.col("k")).alias("x"), F.col("y"), F.col("z"))
+    return align.capture_centres(images).select("seq", _r("x", 3), _r("y", 3), _r("z", 3))
+
+
+def camera_deal(spark: SparkSession, d: str) -> DataFrame:
+    """Frames as cameras dealt to cells by the rule that also counts what they observe."""
+    f = frames(spark, d)
+    cells = chunk_manifest(spark, d).select("chunk", "x0", "y0", "x1", "y1")
+    seen = f.select(F.col("seq").alias("image_id"), "x", "y", F.explode(F.sequence(F.lit(-3), F.lit(3))).alias("k")).select("image_id", (F.col("x") + F.col("k") * 4).alias("x"), (F.col("y") - F.col("k") * 2).alias("y"))
+    return partition.camera_rule(f.select(F.col("seq").alias("image_id"), "x", "y"), seen, cells, "inria", 4.0, 3)
+
+
+def cell_states(spark: SparkSession, d: str) -> DataFrame:
+    m = members(spark, d)
+    dealt = m.select("chunk", F.concat(F.lit("n"), F.col("seq")).alias("name"))
+    registered = frames(spark, d).where("seq % 17 != 3").select(F.concat(F.lit("n"), F.col("seq")).alias("name"))
+    images = m.where("cx % 2 = 0").select("chunk", F.col("seq").alias("image_id"))
+    return align.empty_cells(dealt, registered, images)
+
+
+def coverage_ratio(spark: SparkSession, d: str) -> DataFrame:
+    f = frames(spark, d)
+    return align.coverage_gate(f.where("seq % 9 != 0").select("seq"), f.select("seq")).select("registered", "reference", _r("ratio"), "ok")
+
+
+def mean_psnr(spark: SparkSession, d: str) -> DataFrame:
+    f = frames(spark, d).select((F.col("seq") % 4).alias("checkpoint"), scalars.psnr(F.abs(F.col("x")) / 1e4).alias("p"))
+    return f.groupBy("checkpoint").agg(F.count("*").alias("views"), F.round(F.avg("p"), 4).alias("psnr"))
+
+
+def largest_pass(spark: SparkSession, d: str) -> DataFrame:
+    p = passes.split_passes(frames(spark, d), ["video"], 1.5, 30)
+    return drive.longest_pass(p, ["video"]).groupBy("video", "pass").agg(F.count("*").alias("points"))
+
+
+def route_chain(spark: SparkSession, d: str) -> DataFrame:
+    p = frames(spark, d).select(F.expr("cast(substring(video, 2) as bigint)").alias("pass"), "seq", "x", "y", "z")
+    return route.build_route(p, 60.0, 5.0, 0.9, 2.0)
+
+
+def pass_cover(spark: SparkSession, d: str) -> DataFrame:
+    p = frames(spark, d).select(F.expr("cast(substring(video, 2) as bigint)").alias("pass"), "seq", "x", "y", "z")
+    return route.coverage(p, 2.0).select("pass", "other", _r("share"))
+
+
+def exact_seams(spark: SparkSession, d: str) -> DataFrame:
+    return seams.seam_pairs(_chunk_points(spark, d).where("seq % 3 = 0"), exact=True).select("a", "b", "pairs", _r("median_dz"), _r("p90_dz"), "verdict")
+
+
+def newest_profiles(spark: SparkSession, d: str) -> DataFrame:
+    p = spark.read.parquet(f"{d}/part.parquet")
+    return capture.override(p.select(F.col("p_brand").alias("name"), F.col("p_partkey").alias("dir_order"), F.col("p_size").alias("priority")))
+
+
+def missing_images(spark: SparkSession, d: str) -> DataFrame:
+    f = frames(spark, d)
+    return capture.missing(f.where("seq % 2 = 0").select(F.col("seq").alias("name")), f.where("seq % 3 != 0").select(F.col("seq").alias("name")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         chunk_manifest, frame_sequence, geo_round_trip, local_plane, chunk_members, pass_split, corridor_points, corridor_band, frame_selection, time_nudge, telemetry_interpolation, seam_pairs, seam_report, seam_gate, footprint_overlap, merge_totals, lod_tiles, corridor_guard,
         residual_summary, residuals_by_video, warp_windows, path_resample, path_smooth, path_headings, road_ribbon, pass_pair_matrix, queue_state, holdout_common, sequence_ranking, budget, clip_pieces, newest_steps, verdicts,
+        weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images,
     )
 }
