@@ -21,16 +21,42 @@ _SEGMENT = re.compile(" +[^ ]*|[^ ]+")
 _STEP = 0x9E3779B97F4A7C15
 
 
+class Table:
+    """Open addressing over a fixed array of 64-bit hashes; find() gives their places, or -1."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.shift = 64 - max(4, (8 * len(hashes)).bit_length())
+        self.slots = np.full(1 << (64 - self.shift), -1, dtype=np.int32)
+        left = np.arange(len(hashes))
+        slot = (hashes >> U64(self.shift)).astype(np.int64)
+        while len(left):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = left[free]
+            lost = self.slots[slot] != left
+            left, slot = left[lost], (slot[lost] + 1) % len(self.slots)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        slot = (wanted >> U64(self.shift)).astype(np.int64)
+        at = self.slots[slot]
+        odd = np.flatnonzero((at >= 0) & (self.hashes[at] != wanted))
+        while len(odd):
+            slot[odd] = (slot[odd] + 1) % len(self.slots)
+            at[odd] = self.slots[slot[odd]]
+            odd = odd[(at[odd] >= 0) & (self.hashes[at[odd]] != wanted[odd])]
+        return at
+
+
 @dataclass
 class Vocabulary:
     """weight of each ordinary piece, with blanks as blanks; ids of byte pieces; what each id decodes to.
 
-    starts[k] has, for the first k + 1 characters of any piece: their hashes, ascending, and the piece
+    starts[k] has, for the first k + 1 characters of any piece, a hash table of their hashes, and the piece
     that ends there (-1 if none) with its weight.
     """
 
     weight: dict[str, tuple[int, float]]
-    starts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    starts: list[tuple[Table, np.ndarray, np.ndarray]]
     byte: list[int]
     byte_weight: float
     decoded: list[bytes]
@@ -39,16 +65,15 @@ class Vocabulary:
 _FACTOR = 0xD1342543DE82EF95
 
 
-def _starts(weight: dict[str, tuple[int, float]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _starts(weight: dict[str, tuple[int, float]]) -> list[tuple[Table, np.ndarray, np.ndarray]]:
     out = []
     for k in range(1, max(map(len, weight), default=0) + 1):
         heads = sorted({t[:k] for t in weight if len(t) >= k})
         hashes = np.zeros(len(heads), dtype=np.uint64)
         for at in range(k):
             hashes = hashes * U64(_FACTOR) + np.array([ord(t[at]) + 1 for t in heads], dtype=np.uint64)
-        order = np.argsort(hashes)
         own = [weight.get(t, (-1, 0.0)) for t in heads]
-        out.append((hashes[order], np.array([x[0] for x in own], dtype=np.int64)[order], np.array([x[1] for x in own])[order]))
+        out.append((Table(mix(hashes)), np.array([x[0] for x in own], dtype=np.int32), np.array([x[1] for x in own])))
     return out
 
 
@@ -88,10 +113,11 @@ def load_vocabulary(model: bytes, power: float = 1.0) -> Vocabulary:
 class Lattices:
     """Lattices of segments (blanks, then a word), filtered forwards, as flat arrays to sample from.
 
-    Node k of a segment is its first k characters; its edges are the pieces that end there, with
-    cumulated chances in units of 2**-32. An edge's key is (node << 32) + chance up to it, so a draw of
-    32 bits finds its edge by one binary search over all nodes of all segments. Sums run within a
-    segment in a fixed order, so a segment's chances don't depend on its neighbours.
+    A segment has a node for each of its starts, the empty one too; a node's edges are the pieces that end
+    there, longer ones first, with cumulated chances in units of 2**-32 and the node they come from. Node k's
+    edges start at first[k]; a draw of 32 bits takes the first edge whose chance isn't below it. Nodes
+    are numbered by depth, then segment, so filtering and sampling share one order without a sort. Sums
+    run within a node in a fixed order, so a segment's chances don't depend on its neighbours.
     """
 
     def __init__(self, vocabulary: Vocabulary, best: bool = False):
@@ -104,7 +130,8 @@ class Lattices:
         self.known: dict[str, int] = {}
         self.last = np.zeros(0, np.int64)  # the end node of each segment
         self.nodes = 0
-        self.keys, self.steps, self.at, self.n = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
+        self.first = np.zeros(0, np.int64)
+        self.upto, self.steps, self.back, self.at, self.n = (np.zeros(0, t) for t in (np.uint32, np.int32, np.int32, np.int32, np.int32))
 
     def _spell(self, character: int) -> tuple[int, int]:
         """Where ids has the byte pieces of a character, and how many."""
@@ -116,84 +143,88 @@ class Lattices:
 
     def add(self, segments: list[str]) -> None:
         """Put distinct new segments in."""
+        segments = sorted(segments, key=len, reverse=True)
         lengths = np.fromiter(map(len, segments), np.int64, len(segments))
         text = np.frombuffer("".join(segments).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        first = np.cumsum(lengths) - lengths
         of = np.repeat(np.arange(len(segments)), lengths)
-        inner = np.arange(len(text)) - first[of]
+        inner = np.arange(len(text)) - (np.cumsum(lengths) - lengths)[of]
         room = lengths[of] - inner
+        # Nodes of depth k: level[k] + segment, for the segments of at least k characters.
+        level = np.concatenate([[0], np.cumsum(len(segments) - np.searchsorted(lengths[::-1], np.arange(lengths[0] + 1)))])
         # Pieces from every place, by ever longer starts of pieces.
         place, hashed = np.arange(len(text)), np.zeros(len(text), dtype=np.uint64)
         single = np.zeros(len(text), dtype=bool)
         found = []
-        for k, (hashes, piece, weight) in enumerate(self.v.starts):
+        for k, (table, piece, weight) in enumerate(self.v.starts):
             keep = room[place] > k
-            place, hashed = place[keep], hashed[keep] * U64(_FACTOR) + text[place[keep] + k] + U64(1)
-            at = np.minimum(np.searchsorted(hashes, hashed), len(hashes) - 1)
-            hit = hashes[at] == hashed
+            place = place[keep]
+            hashed = hashed[keep] * U64(_FACTOR) + text[place + k] + U64(1)
+            at = table.find(mix(hashed))
+            hit = at >= 0
             place, hashed, at = place[hit], hashed[hit], at[hit]
-            whole = piece[at] >= 0
-            found.append((place[whole], np.full(int(whole.sum()), k + 1), piece[at[whole]], np.ones(int(whole.sum()), np.int64), weight[at[whole]]))
+            own = piece[at]
+            whole = np.flatnonzero(own >= 0)
+            found.append((k + 1, place[whole], own[whole], 1, weight[at[whole]]))
             if not k:
                 single[place[whole]] = True
         rest = np.flatnonzero(~single)
         if len(rest):
             kinds, back = np.unique(text[rest], return_inverse=True)
-            spelled = np.array([self._spell(int(c)) for c in kinds])[back]
-            found.append((rest, np.ones(len(rest), np.int64), spelled[:, 0], spelled[:, 1], self.v.byte_weight ** spelled[:, 1].astype(float)))
-        start, step, at, count, weight = (np.concatenate(x) for x in zip(*found))
-        # Nodes have one more for each segment; edges go by their end, longer ones first.
-        end = start + step
-        node, depth = self.nodes + end + of[start], inner[start] + step
-        order = np.lexsort((-step, node, depth))
-        node, depth, step, at, count, weight = (x[order] for x in (node, depth, step, at, count, weight))
-        alpha = np.zeros(len(text) + len(segments))
-        zero = first + np.arange(len(segments))
-        alpha[zero] = 1.0
-        each = np.empty(len(node))
-        total = np.empty(len(node))
-        bounds = np.searchsorted(depth, np.arange(1, (lengths.max() if len(lengths) else 0) + 2))
-        local = node - self.nodes
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            ends = local[a:b]
-            each[a:b] = alpha[ends - step[a:b]] * weight[a:b]
-            new = np.ones(b - a, dtype=bool)
-            new[1:] = ends[1:] != ends[:-1]
-            heads = np.flatnonzero(new)
-            sums = (np.maximum if self.best else np.add).reduceat(each[a:b], heads)
-            alpha[ends[heads]] = sums
-            total[a:b] = np.repeat(sums, np.diff(np.append(heads, b - a)))
-            low = ends[heads][sums < 1e-150]
+            spelled = np.array([self._spell(int(c)) for c in kinds], dtype=np.int32)[back]
+            found.append((1, rest, spelled[:, 0], spelled[:, 1], self.v.byte_weight ** spelled[:, 1].astype(float)))
+        ends = [level[inner[place] + k] + of[place] for k, place, *_ in found]
+        counts = np.zeros(level[-1], np.int64)
+        for node in ends:
+            counts[node] += 1
+        first = np.concatenate([[0], np.cumsum(counts)])
+        fill, total_edges = first[:-1].copy(), int(first[-1])
+        step, back, at, count = (np.empty(total_edges, np.int32) for _ in range(4))
+        weight = np.empty(total_edges)
+        for (k, place, own, n, w), node in sorted(zip(found, ends), key=lambda x: -x[0][0]):
+            to = fill[node]
+            fill[node] += 1
+            step[to], back[to], at[to], count[to], weight[to] = k, level[inner[place]] + of[place], own, n, w
+        alpha = np.zeros(level[-1])
+        alpha[: level[1]] = 1.0
+        each, total = np.empty(total_edges), np.empty(total_edges)
+        for depth in range(1, len(level) - 1):
+            nodes = slice(level[depth], level[depth + 1])
+            a, b = first[nodes.start], first[nodes.stop]
+            each[a:b] = alpha[back[a:b]] * weight[a:b]
+            sums = (np.maximum if self.best else np.add).reduceat(each[a:b], first[nodes] - a)
+            alpha[nodes] = sums
+            total[a:b] = np.repeat(sums, counts[nodes])
+            low = np.flatnonzero(sums < 1e-150)
             if len(low):
                 # Only ratios matter: lift those that a later piece can still start from.
-                lift = 1.0 / alpha[low]
-                begin = zero[np.searchsorted(zero, low, side="right") - 1]
-                for back in range(len(self.v.starts) + 1):
-                    near = low - back
-                    alpha[near[near >= begin]] *= lift[near >= begin]
-        order = np.argsort(node, kind="stable")
-        node, step, at, count, each, total = (x[order] for x in (node, step, at, count, each, total))
+                lift = 1.0 / sums[low]
+                for up in range(max(0, depth - len(self.v.starts)), depth + 1):
+                    alpha[level[up] + low] *= lift
+        begin = len(self.steps)
+        heads = first[:-1][counts > 0]
         if self.best:
             top = np.flatnonzero(each == total)
-            top = top[np.append(True, node[top][1:] != node[top][:-1])]
-            node, step, at, count = node[top], step[top], at[top], count[top]
-            upto = np.full(len(node), 0xFFFFFFFF, dtype=np.uint64)
+            owner = np.repeat(np.arange(level[-1]), counts)[top]
+            new = np.append(True, owner[1:] != owner[:-1])
+            top, owner = top[new], owner[new]
+            first = np.zeros(level[-1], np.int64)
+            first[owner] = np.arange(len(top))
+            step, back, at, count = step[top], back[top], at[top], count[top]
+            run = np.full(len(top), 0xFFFFFFFF, dtype=np.int64)
         else:
             share = np.floor(each / total * 4294967296.0).astype(np.int64)
-            head = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
             run = np.cumsum(share)
-            run -= np.repeat(run[head] - share[head], np.diff(np.append(head, len(node))))
+            run -= np.repeat(run[heads] - share[heads], counts[counts > 0])
             run = np.minimum(run, 0xFFFFFFFF)
-            run[np.append(head[1:], len(node)) - 1] = 0xFFFFFFFF
-            upto = run.astype(np.uint64)
-        self.keys = np.concatenate([self.keys, (node.astype(np.uint64) << U64(32)) | upto])
-        self.steps, self.at, self.n = (np.concatenate([old, part]) for old, part in ((self.steps, step), (self.at, at), (self.n, count)))
+            run[first[1:][counts > 0] - 1] = 0xFFFFFFFF
+        self.first = np.concatenate([self.first, begin + first[: level[-1]]])
+        self.upto, self.steps, self.back, self.at, self.n = (np.concatenate([old, part.astype(old.dtype)]) for old, part in ((self.upto, run), (self.steps, step), (self.back, back + self.nodes), (self.at, at), (self.n, count)))
         self.known.update(zip(segments, range(len(self.known), len(self.known) + len(segments))))
-        self.last = np.concatenate([self.last, self.nodes + first + lengths + np.arange(len(segments))])
-        self.nodes += len(text) + len(segments)
+        self.last = np.concatenate([self.last, self.nodes + level[lengths] + np.arange(len(segments))])
+        self.nodes += int(level[-1])
 
 
-def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int = 60_000) -> tuple[np.ndarray, np.ndarray]:
+def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int = 40_000) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in turn, and the texts' offsets. keys: 64 bits for each text, which seed its draws.
 
     The draw at an end of a piece hangs on the key and the character's place alone, so a text and its
@@ -204,7 +235,7 @@ def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int =
         lattices.clear()
     split = [_SEGMENT.findall(f" {text}") for text in texts]
     every = [s for own in split for s in own]
-    fresh = sorted(set(every) - lattices.known.keys())
+    fresh = [s for s in set(every) if s not in lattices.known]
     if fresh:
         lattices.add(fresh)
     per_text = np.fromiter(map(len, split), np.int64, len(split))
@@ -218,13 +249,18 @@ def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int =
     places, edges = [], []
     while len(node):
         draw = mix(seed + (where - begin_of_text[of]).astype(np.uint64) * U64(_STEP)) >> U64(32)
-        edge = np.searchsorted(lattices.keys, (node.astype(np.uint64) << U64(32)) | draw)
+        edge = lattices.first[node]
+        draw = draw.astype(np.uint32)
+        on = np.flatnonzero(lattices.upto[edge] < draw)
+        while len(on):
+            edge[on] += 1
+            on = on[lattices.upto[edge[on]] < draw[on]]
         step = lattices.steps[edge]
         places.append(where)
         edges.append(edge)
         left = left - step
         go = left > 0
-        node, where, left, seed, of = (node - step)[go], (where - step)[go], left[go], seed[go], of[go]
+        node, where, left, seed, of = lattices.back[edge][go], (where - step)[go], left[go], seed[go], of[go]
     if not edges:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     place, edge = np.concatenate(places), np.concatenate(edges)
@@ -253,7 +289,7 @@ def tokenize(docs: DataFrame, mode: str = "sample", seed: int = 0, power: float
     the text: lossless says so, by decoding each row, and text_sha256 is that of the decoded text.
 
     The model is read on the driver and broadcast (refused above 64 MB). A task holds the lattices of at most
-    60,000 distinct segments besides those of 500 kB of text.
+    40,000 distinct segments besides those of 500 kB of text.
 
     Cases: a null or empty text has the one piece of the blank put before it; a null id seeds as 0; equal
     rows get equal pieces; very long texts are encoded whole; no rows: none. Other columns are not read.
