@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.functions import geo, scalars
+from waymark.functions import geo, optics, scalars
 from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, world
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
@@ -197,3 +197,23 @@ def test_queue_stream_matches_batch(spark, tmp_path):
     got = {(r.item, r.attempts, r.state) for r in spark.table("queue_out").collect()}
     want = {(r.item, r.attempts, r.state) for r in capture.queue_status(df, "2024-01-01 00:05:00").collect()}
     assert want == {("a", 0, "done"), ("b", 2, "failed"), ("c", 0, "running")} and want <= got
+
+
+def test_published_layouts(spark):
+    df = spark.createDataFrame([(5952, 1920), (4096, 1344)], "w int, h int")
+    layout = optics.cube_layout(F.col("w"), F.col("h"))
+    a, b = df.select(layout["side"], layout["blend"], F.round(F.lit(90.0) + layout["overlap_deg"], 2)).collect()
+    assert tuple(a) == (2016, 96, 94.74) and tuple(b)[1:] == (32, 92.2)
+
+
+def test_reprojection(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0, 2.0), (2, 0.0, 0.0, -2.0)], "point_id long, x double, y double, z double")
+    seen = spark.createDataFrame([(1, 1, 53.0, 54.0), (2, 1, 0.0, 0.0)], "point_id long, image_id long, u double, v double")
+    images = spark.createDataFrame([(1, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 100.0, 100.0, 50.0, 50.0)], "image_id long, qw double, qx double, qy double, qz double, tx double, ty double, tz double, fx double, fy double, cx double, cy double")
+    assert tuple(align.reprojection_rms(points, seen, images).first()) == (1, 5.0)
+    assert math.isnan(align.reprojection_rms(points, seen.limit(0), images).first().rms)
+
+
+def test_degrees_minutes_seconds(spark):
+    d, m, s = optics.degrees_minutes_seconds(F.lit(-12.5125))
+    assert tuple(spark.range(1).select(d, m, F.round(s, 3)).first()) == (12, 30, 45.0)

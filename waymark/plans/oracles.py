@@ -207,6 +207,14 @@ ORACLES |= {
     "exact_seams": f"""with {_CHUNK_POINTS}, p as (select * from fx_points where seq % 3 = 0), d as (select a.chunk as a, b.chunk as b, abs(a.z - b.z) as dz from p a join p b on a.chunk < b.chunk and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 36.0e0),
       s as (select a, b, count(*) as pairs, quantile_cont(dz, 0.5) as m, quantile_cont(dz, 0.9) as p from d group by a, b having count(*) >= 20)
       select a, b, pairs, round(m, 6) as median_dz, round(p, 6) as p90_dz, case when m < 1 then 'agree' when m < 3 then 'marginal' else 'DISAGREE' end as verdict from s""",
+    "pass_overlap": f"""with {_VERTICES}, w as (select * from v where seq % 2 = 0), d as (select a.pass as a, b.pass as b, a.seq, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) as d from w a join w b on a.pass < b.pass group by 1, 2, 3),
+      n as (select pass, count(*) as n from w group by pass)
+      select a, b, count(*) as near, round(count(*) / any_value(n)::double, 6) as share, round(quantile_cont(d, 0.5), 4) as median from d join n on n.pass = a where d < 3 group by a, b""",
+    "cube_layouts": """with p as (select distinct p_size * 64 + 3000 as w, p_size * 16 + 900 as h from part), s as (select w, h, (w - h) // 2 as side, (w - h) // 2 - h as blend from p)
+      select w, h, side, blend, round((2 * (0.5e0 / (1 - 2 * (blend / side::double))) - 1) * 45, 6) as overlap_deg from s""",
+    "lens_pixels": f"""with {FRAMES_SQL}, n as (select seq, x / sqrt(x*x + y*y + z*z) as x, y / sqrt(x*x + y*y + z*z) as y, z / sqrt(x*x + y*y + z*z) as z from fx_frames where x <> 0 and y <> 0),
+      t as (select *, acos(greatest(-1, least(1, y))) as th, atan2(-z, x) as phi from n), r as (select *, 2 * sin(th / 2) * 1400 / (2 * sin(radians(100) / 2)) as r from t)
+      select seq, round((atan2(x, y) / (2 * pi()) + 0.5e0) * 5760, 3) as ex, round((0.5e0 - asin(greatest(-1, least(1, z))) / pi()) * 2880, 3) as ey, round(1440 - r * cos(phi), 3) as fx, round(1440 - r * sin(phi), 3) as fy, th <= radians(100) as seen from r""",
     "newest_profiles": "select p_brand as name, p_partkey as dir_order, p_size as priority from part qualify row_number() over (partition by p_brand order by p_partkey desc) = 1",
     "missing_images": f"with {FRAMES_SQL} select seq as name from fx_frames where seq % 2 = 0 and seq % 3 = 0",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.functions import geo, scalars
+from waymark.functions import geo, optics, scalars
 from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, world
 from waymark.plans.fixtures import FRAMES_SQL, GAUSSIANS_SQL, ORIGIN, frames, gaussians
 
@@ -287,11 +287,31 @@ def missing_images(spark: SparkSession, d: str) -> DataFrame:
     return capture.missing(f.where("seq % 2 = 0").select(F.col("seq").alias("name")), f.where("seq % 3 != 0").select(F.col("seq").alias("name")))
 
 
+def pass_overlap(spark: SparkSession, d: str) -> DataFrame:
+    p = frames(spark, d).where("seq % 2 = 0").select(F.expr("cast(substring(video, 2) as bigint)").alias("pass"), "seq", "x", "y")
+    return align.pass_overlap(p, 3.0).select("a", "b", "near", _r("share"), _r("median", 4))
+
+
+def cube_layouts(spark: SparkSession, d: str) -> DataFrame:
+    p = spark.read.parquet(f"{d}/part.parquet").select((F.col("p_size") * 64 + 3000).alias("w"), (F.col("p_size") * 16 + 900).alias("h")).distinct()
+    layout = optics.cube_layout(F.col("w"), F.col("h"))
+    return p.select("w", "h", layout["side"].alias("side"), layout["blend"].alias("blend"), F.round(layout["overlap_deg"], 6).alias("overlap_deg"))
+
+
+def lens_pixels(spark: SparkSession, d: str) -> DataFrame:
+    """Directions of frames from the origin, in an equirectangular image and in a fisheye lens."""
+    f = frames(spark, d).where("x != 0 and y != 0").withColumn("n", F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")))
+    v = tuple(F.col(c) / F.col("n") for c in ("x", "y", "z"))
+    ex, ey = optics.equirect_pixel(*v, F.lit(5760), F.lit(2880))
+    fx, fy, seen = optics.fisheye_pixel(v, (0.0, 1.0, 0.0), 1440.0, 1440.0, 1400.0, 200.0, "equisolid")
+    return f.select("seq", F.round(ex, 3).alias("ex"), F.round(ey, 3).alias("ey"), F.round(fx, 3).alias("fx"), F.round(fy, 3).alias("fy"), seen.alias("seen"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         chunk_manifest, frame_sequence, geo_round_trip, local_plane, chunk_members, pass_split, corridor_points, corridor_band, frame_selection, time_nudge, telemetry_interpolation, seam_pairs, seam_report, seam_gate, footprint_overlap, merge_totals, lod_tiles, corridor_guard,
         residual_summary, residuals_by_video, warp_windows, path_resample, path_smooth, path_headings, road_ribbon, pass_pair_matrix, queue_state, holdout_common, sequence_ranking, budget, clip_pieces, newest_steps, verdicts,
-        weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images,
+        weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images, pass_overlap, cube_layouts, lens_pixels,
     )
 }
