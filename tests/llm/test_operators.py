@@ -329,14 +329,15 @@ def test_url_scores_against_a_plain_model():
 # 4: search
 
 
-def test_top_k(spark):
+@pytest.mark.parametrize("rows_a_bucket", [64, 300, 4096])
+def test_top_k(spark, rows_a_bucket):
     r = np.random.default_rng(7)
     base = r.normal(0, 20, (6, 8))
     m = np.round(base[r.integers(0, 6, 900)] + r.normal(0, 6, (900, 8))).astype(int).tolist()
     m[30] = m[31] = m[32]
     rows = [(i, v) for i, v in enumerate(m)] + [(900, None), (None, [1] * 8), (901, []), (902, [3]), (5, m[5])]
     df = frame(spark, [(*x, 0) for x in rows], "vec_id long, vector array<long>, score int")
-    got = mtree.top_k(df, F.col("vec_id") % 20 == 0, bucket_rows=64).collect()
+    got = mtree.top_k(df, F.col("vec_id") % 20 == 0, bucket_rows=rows_a_bucket, page=16).collect()
     pad = {i: list(v) + [0] * (8 - len(v)) for i, v in rows if i is not None and v is not None}
     want = set()
     for q in pad:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,7 +35,7 @@ class MTree:
     is too large is split around routing vectors far from each other.
     """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: float, page: int = 64):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: float, page: int = 256):
         self.ids, self.vectors, self.page = ids, vectors, page
         self.points = _augmented(vectors, top)
         self.routing: list[np.ndarray] = []
@@ -77,63 +75,100 @@ class MTree:
     def ready(self) -> MTree:
         """Arrays of what search() reads."""
         self.routing, self.radius, self.parent_distance = np.array(self.routing), np.array(self.radius), np.array(self.parent_distance)
+        self.exact = self.vectors.astype(np.float64)
         return self
 
-    def search(self, query: np.ndarray, query_id: int, k: int, worst: int | None) -> list[tuple[int, int]]:
-        """(score, id) of the k best but the query's own id, best first; worst: scores below it may be left out.
+    def _leaves(self, q: np.ndarray, bound: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Leaves that some query may need, and for each query their least distance and that of their routing vector.
 
-        Best-first: nodes wait by the least distance that their radius allows. Before a distance is
-        computed, the stored distance to the parent bounds it by the triangle inequality, and entries
-        of a leaf are bounded in the same way. A node or entry is passed over only if its best possible
-        score is below the k-th so far.
+        A node's children are first bounded by the stored distance to it, and only for those left is a
+        distance computed. Least distances are infinite where a bound rules a leaf out.
         """
-        if not len(self.ids):
-            return []
-        q = np.append(query.astype(np.float64), 0.0)
-        base = float((q * q).sum() + (self.points[0] ** 2).sum())
-        best: list[tuple[int, int]] = []  # a heap of (score, -id)
-
-        def limit() -> float:
-            """Distances above it can't lead to a result."""
-            low = best[0][0] if len(best) == k else worst
-            if worst is not None and (low is None or worst > low):
-                low = worst
-            return np.inf if low is None else np.sqrt(max(0.0, base - 2.0 * low)) * (1 + _SLACK) + _SLACK
-
-        d = float(np.sqrt(((q - self.routing[0]) ** 2).sum()))
-        wait = [(max(0.0, d - self.radius[0]), 0, d)]
+        found: list[int] = []
+        least, far = [], []
+        rows = np.arange(len(q))
+        wait = [(0, rows, np.sqrt(((q - self.routing[0]) ** 2).sum(axis=1)))]
         while wait:
-            least, node, d = heapq.heappop(wait)
-            bound = limit()
-            if least > bound:
-                break
-            rows = self.entries[node]
-            if rows is None:
-                kids = self.children[node]
-                kids = kids[np.abs(d - self.parent_distance[kids]) - self.radius[kids] <= bound]
-                if len(kids):
-                    to = _distances(self.routing[kids], q)
-                    for kid, x in zip(kids, to):
-                        low = max(0.0, x - self.radius[kid])
-                        if low <= bound:
-                            heapq.heappush(wait, (low, int(kid), float(x)))
+            node, rows, d = wait.pop()
+            low = np.maximum(0.0, d - self.radius[node])
+            keep = low <= bound[rows]
+            rows, d, low = rows[keep], d[keep], low[keep]
+            if not len(rows):
                 continue
-            a, b = np.searchsorted(self.entry_distance[node], (d - bound, d + bound * (1 + _SLACK) + _SLACK))
-            near = rows[a:b]
-            if not len(near):
+            if self.entries[node] is not None:
+                found.append(node)
+                column = np.full((2, len(q)), np.inf)
+                column[0, rows], column[1, rows] = low, d
+                least.append(column[0])
+                far.append(column[1])
                 continue
-            score = self.vectors[near] @ query
-            ids = self.ids[near]
-            floor = best[0][0] if len(best) == k else worst
-            keep = ids != query_id
-            if floor is not None:
-                keep &= score >= floor
-            for s, i in zip(score[keep].tolist(), ids[keep].tolist()):
-                if len(best) < k:
-                    heapq.heappush(best, (s, -i))
-                elif (s, -i) > best[0]:
-                    heapq.heapreplace(best, (s, -i))
-        return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
+            for kid in self.children[node]:
+                near = np.abs(d - self.parent_distance[kid]) - self.radius[kid] <= bound[rows]
+                own = rows[near]
+                if len(own):
+                    wait.append((int(kid), own, np.sqrt(((q[own] - self.routing[kid]) ** 2).sum(axis=1))))
+        return found, np.array(least).T.reshape(len(q), -1), np.array(far).T.reshape(len(q), -1)
+
+    def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int, worst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, id, score) of the k best for each query but its own id; worst: scores below it may be left out.
+
+        Best-first: each query takes its leaves by the least distance that their radius allows, all queries a
+        step at a time, and is done when the next one is beyond its k-th so far. Within a leaf the stored
+        distances to the routing vector bound the entries by the triangle inequality. Only what can't be
+        among the k best is passed over; scores are sums of integers, exact in doubles.
+        """
+        n = len(queries)
+        none = np.zeros(0, np.int64)
+        if not len(self.ids) or not n:
+            return none, none, none
+        plain = queries.astype(np.float64)
+        q = np.hstack([plain, np.zeros((n, 1))])
+        base = (q * q).sum(axis=1) + (self.points[0] ** 2).sum()
+        low = worst.astype(np.float64).copy()
+
+        def bounds(rows: np.ndarray) -> np.ndarray:
+            """Distances above them can't lead to a result."""
+            return np.sqrt(np.maximum(0.0, base[rows] - 2.0 * low[rows])) * (1 + _SLACK) + _SLACK
+
+        bound = bounds(np.arange(n))
+        leaves, least, far = self._leaves(q, bound)
+        score, ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+        order = np.argsort(least, axis=1)
+        for step in range(len(leaves)):
+            leaf = order[:, step]
+            rows = np.flatnonzero(least[np.arange(n), leaf] <= bound)
+            if not len(rows):
+                break
+            rows = rows[np.argsort(leaf[rows], kind="stable")]
+            cuts = np.flatnonzero(np.diff(leaf[rows])) + 1
+            for group in np.split(rows, cuts):
+                own = leaf[group[0]]
+                distance, entries = self.entry_distance[leaves[own]], self.entries[leaves[own]]
+                d = far[group, own]
+                a, b = np.searchsorted(distance, ((d - bound[group]).min() - _SLACK, (d + bound[group]).max() + _SLACK))
+                near = entries[a:b]
+                s = plain[group] @ self.exact[near].T
+                s[self.ids[near] == query_ids[group][:, None]] = -np.inf
+                better = np.flatnonzero((s.max(axis=1, initial=-np.inf) >= low[group]) & np.isfinite(s).any(axis=1))
+                if not len(better):
+                    continue
+                who, s = group[better], s[better]
+                s[s < low[who][:, None]] = -np.inf
+                if s.shape[1] > k:
+                    # At most the ties of the k-th new score go on.
+                    floor = np.partition(s, -k, axis=1)[:, -k]
+                    wide = (s >= floor[:, None]).sum(axis=1).max()
+                    take = np.argsort(-s, axis=1, kind="stable")[:, :wide]
+                    s, new = np.take_along_axis(s, take, axis=1), self.ids[near][take]
+                else:
+                    new = np.broadcast_to(self.ids[near], s.shape)
+                all_s, all_i = np.hstack([score[who], s]), np.hstack([ids[who], new])
+                best = np.lexsort((all_i, -all_s), axis=1)[:, :k]
+                score[who], ids[who] = np.take_along_axis(all_s, best, axis=1), np.take_along_axis(all_i, best, axis=1)
+                low[who] = np.maximum(low[who], score[who, -1])
+                bound[who] = bounds(who)
+        at, place = np.nonzero(np.isfinite(score))
+        return at, ids[at, place], score[at, place].astype(np.int64)
 
 
 def quantized(vector: Column, scale: int = 64) -> Column:
@@ -160,7 +195,7 @@ def _lists(m: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.reshape(-1)))
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int = 2048, max_pivots: int = 256, sample: int = 2048, id_col: str = "vec_id", vector_col: str = "vector") -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int = 4096, max_pivots: int = 256, sample: int = 2048, page: int = 256, id_col: str = "vec_id", vector_col: str = "vector") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product for every query row, itself apart.
 
     vector_col holds longs. Rows go to the nearest of at most max_pivots routing vectors (taken from a sample
@@ -217,7 +252,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int =
                 ids = np.concatenate([b.column(2).to_numpy() for b in held]) if held else np.zeros(0, np.int64)
                 m = np.concatenate([_matrix(b.column(3), width) for b in held]) if held else np.zeros((0, width), np.int64)
                 _, once = np.unique(np.hstack([ids[:, None], m]), axis=0, return_index=True)
-                state["tree"] = MTree(ids[once], m[once], top).ready()
+                state["tree"] = MTree(ids[once], m[once], top, page).ready()
                 held.clear()
             return state["tree"]
 
@@ -236,13 +271,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int =
                 if e == len(kinds):
                     continue
                 asked = part.slice(e)
-                out = ([], [], [])
-                for i, q, w in zip(asked.column(2).to_pylist(), _matrix(asked.column(3), width), asked.column(4).to_pylist()):
-                    for s, j in tree().search(q, i, k, w):
-                        out[0].append(i)
-                        out[1].append(j)
-                        out[2].append(s)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
+                for c in range(0, asked.num_rows, 1024):
+                    some = asked.slice(c, 1024)
+                    ids = some.column(2).to_numpy()
+                    worst = some.column(4).cast(pa.float64()).fill_null(-np.inf).to_numpy(zero_copy_only=False)
+                    at, found, score = tree().search(_matrix(some.column(3), width), ids, k, worst)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     def run(questions: DataFrame) -> DataFrame:
         both = entries.unionByName(questions.select("bucket", F.lit(1).alias("kind"), "vec_id", "v", "worst"))
