@@ -326,6 +326,37 @@ def test_url_scores_against_a_plain_model():
         assert abs(got[r] / 65536 - total / lengths[r]) < 1e-3
 
 
+@pytest.mark.parametrize("most", [1 << 20, 40])
+def test_url_scores_against_an_unhashed_model(spark, most):
+    r = random.Random(5)
+    urls = ["", None, "http://é.c/x", "ab"] + ["http://" + "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789-./?=&", k=r.randint(0, 40))) for _ in range(800)]
+    rows = [(i, u, i % 2, i % 5 > 0) for i, u in enumerate(urls + urls[:50])]
+    df = frame(spark, rows, "page_id long, url string, label int, trains boolean")
+    model = urlfilter.gram_scores(urlfilter.train(df, 4), 4).persist()
+    got = {x.page_id: x.lm_score for x in urlfilter.score(df, model, 4, most).collect()}
+
+    def places(u):
+        s = [0] * 4 + [int(urlfilter._CLASS[b]) for b in (u or "").encode()] + [0]
+        return [(tuple(s[i - 4 : i]), s[i]) for i in range(4, len(s))]
+
+    counts = [[collections.defaultdict(collections.Counter) for _ in range(5)] for _ in range(2)]
+    for _, u, label, trains in rows:
+        for context, symbol in places(u) if trains else ():
+            for k in range(5):
+                counts[label][k][context[4 - k :]][symbol] += 1
+    assert len(counts[0][4]) > 4096 and len(got) == len(rows)
+    for i, u, _, _ in rows:
+        total = 0
+        for context, symbol in places(u):
+            p = [1 / 64, 1 / 64]
+            for c, k in itertools.product((0, 1), range(5)):
+                seen = counts[c][k].get(context[4 - k :])
+                if seen:
+                    p[c] = (seen[symbol] + len(seen) * p[c]) / (seen.total() + len(seen))
+            total += np.log2(p[1]) - np.log2(p[0])
+        assert abs(got[i] / 65536 - total / len(places(u))) < 1e-4
+
+
 # 4: search
 
 
