@@ -288,7 +288,7 @@ def missing_images(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pass_overlap(spark: SparkSession, d: str) -> DataFrame:
-    p = frames(spark, d).where("seq % 2 = 0").select(F.expr("cast(substring(video, 2) as bigint)").alias("pass"), "seq", "x", "y")
+    p = frames(spark, d).select(F.expr("cast(substring(video, 2) as bigint)").alias("pass"), "seq", "x", "y")
     return align.pass_overlap(p, 3.0).select("a", "b", "near", _r("share"), _r("median", 4))
 
 
