@@ -274,7 +274,7 @@ def pass_cover(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exact_seams(spark: SparkSession, d: str) -> DataFrame:
-    return seams.seam_pairs(_chunk_points(spark, d).where("seq % 3 = 0"), exact=True).select("a", "b", "pairs", _r("median_dz"), _r("p90_dz"), "verdict")
+    return seams.seam_pairs(_chunk_points(spark, d), exact=True).select("a", "b", "pairs", _r("median_dz"), _r("p90_dz"), "verdict")
 
 
 def newest_profiles(spark: SparkSession, d: str) -> DataFrame:
