@@ -40,6 +40,7 @@ def test_query_matches_sql(spark, name):
 CUTS = [
     ("pass_overlap", "where seq % 2 = 0"),
     ("exact_seams", "where seq % 3 = 0"),
+    ("corridor_guard", "where seq % 5 = 0"),
 ]
 
 

@@ -123,7 +123,7 @@ def lod_tiles(spark: SparkSession, d: str) -> DataFrame:
 def corridor_guard(spark: SparkSession, d: str) -> DataFrame:
     f = frames(spark, d)
     segs = corridor.segments(f.where("seq % 40 < 8").select("video", F.floor(F.col("seq") / 40).alias("pass"), "seq", "x", "y", "z"), ["video", "pass"])
-    near = corridor.nearest_on_corridor(f.where("seq % 5 = 0").select("seq", "x", "y", "z"), "seq", segs, 4.0)
+    near = corridor.nearest_on_corridor(f.select("seq", "x", "y", "z"), "seq", segs, 4.0)
     return corridor.guard(near, 2.0, -1.0, 1.0).select("seq", _r("d"), "inside")
 
 
