@@ -410,6 +410,14 @@ def test_quality_against_held_out_labels(spark):
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.15
 
 
+def test_quality_of_a_table_of_copies(spark):
+    each = [t for t in texts(4, 30) if t and t.strip() and len(t) < 1000]
+    copies = frame(spark, [(i, t) for i, t in enumerate(each * 40)], "doc_id long, text string")
+    once = frame(spark, list(enumerate(each)), "doc_id long, text string")
+    own, want = (quality.fit(df, sample=5) for df in (copies, once))
+    assert own.weights.any() and ((own.weights != 0) == (want.weights != 0)).all()
+
+
 def test_quality_edge_cases(spark):
     df = frame(spark, [(k, t, k) for k, t in enumerate(texts())], "doc_id long, text string, score int")
     got = {x.doc_id: x for x in quality.classify(df).collect()}

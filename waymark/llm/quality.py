@@ -183,7 +183,7 @@ class Classifier:
     """What judging needs: the label model and the linear scorer."""
 
     model: LabelModel
-    weights: np.ndarray
+    weights: np.ndarray | None
     bias: float
     bits: int
     threshold: float
@@ -196,6 +196,9 @@ class Classifier:
             posterior, again = self.model.posterior(_votes(m)), _repeats(m)
             score = np.zeros(len(posterior))
             for r in np.flatnonzero(m["words"] > 0):
+                if self.weights is None:
+                    score[r] = posterior[r]
+                    continue
                 cells, values = _features(data[at[r] : at[r + 1]], self.bits, again[r])
                 score[r] = 1 / (1 + np.exp(-np.clip((self.weights[cells] * values).sum() + self.bias, -30, 30)))
             yield w.first, w.last, score.round(6), posterior.round(6), (score >= self.threshold) & (m["words"] > 0)
@@ -206,10 +209,10 @@ def fit(docs: DataFrame, sample: int = 4000, bits: int = 14, threshold: float =
 
     Eleven heuristic labellers accept, reject or abstain on the whole text. Expectation-maximisation
     over the counts of vote patterns of all documents (3**11 at most, whatever the input) estimates
-    their accuracies and the share of good documents. The posterior labels of a seeded sample of about
-    `sample` distinct texts train a linear scorer of hashed three-byte features, each by the root of
-    its share of the text, and three measures of repetition. Without any rows
-    the classifier rejects all.
+    their accuracies and the share of good documents. The posterior labels of the `sample` distinct texts
+    of smallest hash (all, if there are fewer) train a linear scorer of hashed three-byte features, each by the root of
+    its share of the text, and three measures of repetition. If none of those texts
+    has a word, the posterior is the score. Without any rows the classifier rejects all.
     """
     plain = docs.select(F.col(text_col).alias("text"))
     known = _function_hashes()
@@ -230,9 +233,10 @@ def fit(docs: DataFrame, sample: int = 4000, bits: int = 14, threshold: float =
     codes = np.array([r["code"] for r in found])
     model = fit_label_model(codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3, np.array([r["n"] for r in found], float))
 
-    share = min(1.0, sample / total)
-    key = F.xxhash64("text", F.lit(5))
-    picked = plain.where(F.col("text").isNotNull() & (F.pmod(key, F.lit(1_000_000)) < int(share * 1_000_000))).select("text")
+    # The texts of the `sample` smallest hashes; a text counts once, however many rows repeat it.
+    keyed = plain.where(F.col("text").isNotNull()).withColumn("_key", F.xxhash64("text", F.lit(5)))
+    last = keyed.select("_key").distinct().orderBy("_key").limit(sample).agg(F.max("_key")).first()[0]
+    picked = keyed.where(F.col("_key") <= F.lit(last)).select("text").distinct()
 
     def features(batch: pa.RecordBatch):
         for w, data, at in _chunks(batch.column(0)):
@@ -244,7 +248,7 @@ def fit(docs: DataFrame, sample: int = 4000, bits: int = 14, threshold: float =
 
     # Each of the sampled texts has 2**bits features at most; copies of one text count once.
     rows = arrow_map(picked, "good double, cells array<int>, values array<float>", features).dropDuplicates(["good", "cells", "values"]).orderBy(F.xxhash64("cells", "values"), "good").limit(2 * sample).toArrow()
-    weights, bias = np.zeros((1 << bits) + 3), 0.0
+    weights, bias = None, 0.0
     if len(rows):
         cells, values = rows["cells"].combine_chunks(), rows["values"].combine_chunks()
         lengths = np.diff(cells.offsets.to_numpy())
