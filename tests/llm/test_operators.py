@@ -137,6 +137,14 @@ def test_near_duplicates_edge_cases(spark):
     assert neardup.near_duplicates(frame(spark, [], "doc_id long, text string")).count() == 0
 
 
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    r = random.Random(9)
+    a, b, c = (" ".join(r.choices([f"w{i}" for i in range(400)], k=100)) for _ in range(3))
+    rows = [(1, a), (1, b), (1, c), (2, a + " x"), (3, b + " x"), (4, c + " x"), (5, "one two three four five")]
+    got = {(x.doc_id, x.component_id) for x in neardup.near_duplicates(frame(spark, rows, "doc_id long, text string"), size=4).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)}
+
+
 # 3: decontamination
 
 

@@ -60,22 +60,26 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             where = np.zeros(len(counts) + 1, dtype=np.int64)
             np.cumsum(np.where(counts > 0, bands, 0), out=where[1:])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(w.first, w.last - w.first), pa.array(counts.astype(np.int64)), pa.array(_sum(mix(h ^ U64(0xA5A5A5A5)), at).view(np.int64)), pa.array(_sum(mix(h + U64(0x1234567)), at).view(np.int64)), list_of_longs(cut[filled].reshape(-1), where), pa.array(k[:, 0]), pa.array(k[:, 1]), list_of_longs(_odd_sketch(h, at).reshape(-1), np.arange(len(counts) + 1) * _ODD_WORDS)],
+                [batch.column(0).slice(w.first, w.last - w.first), pa.array(counts.astype(np.int64)), *_digests(h, at), list_of_longs(cut[filled].reshape(-1), where), pa.array(k[:, 0]), pa.array(k[:, 1]), list_of_longs(_odd_sketch(h, at).reshape(-1), np.arange(len(counts) + 1) * _ODD_WORDS)],
                 names=["doc_id", "n_shingles", "d1", "d2", "bands", "k1", "k2", "odd"],
             )
 
     return arrow_map(docs, f"doc_id long, {_SIGNED}", one)
 
 
+def _digests(h: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    return [pa.array(_sum(mix(x), at).view(np.int64)) for x in (h ^ U64(0xA5A5A5A5), h + U64(0x1234567))]
+
+
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, n, items): the full set of each row of (doc_id, text), as 64-bit hashes."""
+    """(doc_id, d1, d2, n, items): digest and full set of each row of (doc_id, text), as 64-bit hashes."""
 
     def one(batch: pa.RecordBatch):
         for w in words(batch.column(1), NON_SPACE):
             h, at = shingles(w, size)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.first, w.last - w.first), pa.array(np.diff(at).astype(np.int64)), list_of_longs(h, at)], names=["node", "n", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.first, w.last - w.first), *_digests(h, at), pa.array(np.diff(at).astype(np.int64)), list_of_longs(h, at)], names=["doc_id", "d1", "d2", "n", "items"])
 
-    return arrow_map(docs, "node long, n long, items array<long>", one)
+    return arrow_map(docs, "doc_id long, d1 long, d2 long, n long, items array<long>", one)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -103,22 +107,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     threshold) leave; none of these is a row of its own. Every link is
     confirmed on full sets. Groups come from union-find on partitions, then star contraction.
 
-    Cases: null or wordless text: empty set, linked with nothing. Rows that repeat an id are one
-    node. A null id is never linked; its row keeps component_id null and kept true. No rows: none.
+    Cases: null or wordless text: empty set, linked with nothing. Rows that repeat an id are
+    linked, and each of their texts has its own links. A null id is never linked; its row keeps component_id null and kept true. No rows: none.
     Columns besides id_col and text_col are not read, so their names cannot clash.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(sign(docs, size, bands, rows), "signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
-    by_digest = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("odd").alias("odd"), F.count("*").alias("copies"))
-    nodes = stored(by_digest, "nodes")
-    copies = filled.select("doc_id", "d1", "d2").join(nodes.where("copies > 1").select("d1", "d2", "node"), ["d1", "d2"]).where("doc_id != node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
+    by_digest = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("odd").alias("odd"), F.count("*").alias("copies"))
+    nodes = stored(by_digest.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    copies = filled.select("doc_id", "d1", "d2").join(nodes.where("copies > 1").select("d1", "d2", "low"), ["d1", "d2"]).where("doc_id != low").select(F.col("doc_id").alias("u"), F.col("low").alias("v"))
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     members = stored(banded.join(buckets, "band"), "members")
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = stored(shingle_sets(docs.join(wanted, "doc_id", "left_semi"), size).dropDuplicates(["node"]), "sets")
+    wanted = nodes.join(members.select("node").distinct(), "node").select("d1", "d2", "node", "low")
+    found = shingle_sets(docs.join(wanted.select(F.col("low").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
+    sets = stored(found.dropDuplicates(["d1", "d2"]).join(wanted, ["d1", "d2"]).select("node", "n", "items"), "sets")
 
     # The node whose buckets hold the most others is the likeliest original of a group of copies.
     support = members.groupBy("node").agg(F.sum("members").alias("support"))
@@ -129,7 +134,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     reached = components(first)
     placed = members.select("band", "node").join(reached, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
     split = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("band")
-    open_ = stored(placed.join(split, "band").join(nodes.select("node", "n", "k1", "k2", "odd").dropDuplicates(["node"]), "node"), "open")
+    open_ = stored(placed.join(split, "band").join(nodes.select("node", "n", "k1", "k2", "odd"), "node"), "open")
     a, b = open_.alias("a"), open_.alias("b")
     # Equal bits of two signatures' sketches: (1 + J) / 2 of them, give or take.
     share = (1 + percent / 100) / 2
@@ -145,7 +150,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     across = a.join(b, cond).select(F.col("b.node").alias("u"), F.col("a.node").alias("v")).distinct()
     second = _verified(across, sets, percent)
 
-    parts = components(first.union(second).union(copies)).withColumnRenamed("node", "doc_id")
+    # From nodes to their smallest ids: rows that repeat an id meet there, whatever their texts.
+    low = nodes.select("node", "low")
+    links = first.union(second).join(low.toDF("u", "_u"), "u").join(low.toDF("v", "_v"), "v").select(F.col("_u").alias("u"), F.col("_v").alias("v"))
+    parts = components(links.union(copies)).withColumnRenamed("node", "doc_id")
     out = signed.select("doc_id", "n_shingles").join(parts, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
