@@ -150,6 +150,13 @@ def test_groups_and_weak_passes(spark, tmp_path):
     assert {r["pass"] for r in connectivity.weak_passes(m).collect()} == {0, 5}
 
 
+def test_groups_that_do_not_settle(spark):
+    chain = spark.createDataFrame([(a, b, 1) for i in range(12) for a, b in ((i, i + 1), (i + 1, i))], "a int, b int, pairs int")
+    assert {x.group for x in connectivity.pass_groups(chain).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        connectivity.pass_groups(chain, rounds=1)
+
+
 def test_profiles(spark):
     sfx = [".mp4", ".jpg"]
     rules = [("equirect-360", 5, sfx, 1, None, 0), ("pinhole", 0, sfx, 1, None, 6), ("gopro-360-generic", 1, [".360"], 2, None, 1), ("gopro-max", 10, [".360"], 2, ["4096x1344", "2272x736"], 2)]

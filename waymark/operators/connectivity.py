@@ -57,4 +57,6 @@ def pass_groups(matrix: DataFrame, rounds: int = 50) -> DataFrame:
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"pass groups did not settle in {rounds} rounds")
     return label
