@@ -52,6 +52,26 @@ def encoding(ranks: bytes):
     return tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
+#: The pattern's white space. A run of so many characters of it overflows the pattern engine's stack from about 10**6 on.
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_SPACE = re.compile(_SPACE + "{2000,}")
+
+
+def count_tokens(own, text: str) -> int:
+    """Tokens of a whole text.
+
+    The pattern takes a run of white space before other text as one piece less its last character, which
+    may lead the next piece, and a run at the end whole. Long runs are cut out by that rule and encoded as
+    the pieces they are, so the tokens are the same, whatever their length.
+    """
+    n, at = 0, 0
+    for m in _LONG_SPACE.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        n += len(own.encode_ordinary(text[at : m.start()])) + len(own._encode_single_piece(text[m.start() : end]))
+        at = end
+    return n + len(own.encode_ordinary(text[at:]))
+
+
 def _turn(role: str, text: str) -> str:
     return f"{OPEN}{escape_role(role)}\n{escape(text)}{CLOSE}\n"
 
@@ -113,8 +133,8 @@ def format_chat(conversations: DataFrame, budget: int = 1024, history: int = 256
 
     The template is `<|im_start|>role\\ntext<|im_end|>\\n`. Within texts and roles a backslash is put after
     the `<` of anything like `<|`, which read_chat() takes away again, so no text can close its turn.
-    Tokens are those of a byte-level vocabulary, whose file is read through Spark on the driver and
-    broadcast (refused above 16 MB).
+    Tokens are those of a byte-level vocabulary, whose file the driver reads (through Spark, if the path has
+    a scheme) and broadcasts; it is refused above 16 MB.
 
     Turns are formatted and counted where they lie; a conversation's rows then meet, sorted, and stream
     through one task, which holds a window at a time. Order within a conversation is the contract, so
@@ -122,12 +142,12 @@ def format_chat(conversations: DataFrame, budget: int = 1024, history: int = 256
 
     Cases: a null text or role is empty; rows with a null id are one conversation; equal turn numbers
     are ordered by role, then formatted text; null turn numbers come first; repeated rows are turns of their
-    own; no rows: no windows. Other columns are not read.
+    own; very long texts, runs of one character too, are counted whole; no rows: no windows. Other columns
+    are not read.
     """
     spark = conversations.sparkSession
-    path = tokenizer if "://" in tokenizer else f"file://{tokenizer}"
     if "://" in tokenizer:
-        ranks = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+        ranks = bytes(spark.read.format("binaryFile").load(tokenizer).select("content").first()[0])
     else:
         with open(tokenizer, "rb") as f:
             ranks = f.read()
@@ -141,7 +161,7 @@ def format_chat(conversations: DataFrame, budget: int = 1024, history: int = 256
             roles = [x or "" for x in batch.column(2).to_pylist()]
             texts = [x or "" for x in batch.column(3).to_pylist()]
             bodies = [_turn(r, t) for r, t in zip(roles, texts)]
-            tokens = [len(own.encode_ordinary(b)) for b in bodies]
+            tokens = [count_tokens(own, b) for b in bodies]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(roles, pa.string()), pa.array(bodies, pa.string()), pa.array(tokens, pa.int64())], names=["conv_id", "turn", "role", "body", "tokens"])
 
     def cut(batches):
@@ -195,10 +215,12 @@ def parse(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def digests(formatted: DataFrame) -> DataFrame:
+def digests(formatted: DataFrame, grouped: bool = False) -> DataFrame:
     """Read windows back: turns without the repeated ones, and the text under the loss mask, as digests.
 
-    (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_windows)
+    (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_windows). grouped says that each
+    conversation's windows follow one another within a partition, as format_chat() leaves them; nothing is
+    shuffled then.
     """
 
     def back(batches):
@@ -230,7 +252,8 @@ def digests(formatted: DataFrame) -> DataFrame:
         if out:
             yield _digest_batch(out)
 
-    return formatted.repartition("conv_id").sortWithinPartitions("conv_id", "window").mapInArrow(back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
+    rows = formatted if grouped else formatted.repartition("conv_id").sortWithinPartitions("conv_id", "window")
+    return rows.mapInArrow(back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
 
 
 def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -247,7 +270,7 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted and read back."""
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_PROBE).alias("text"))
     table = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return digests(format_chat(table.unionByName(own)))
+    return digests(format_chat(table.unionByName(own)), grouped=True)
 
 
 OP2_SQL = """

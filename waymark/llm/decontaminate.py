@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,17 +10,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.common import arrow_map, read, stored
-from waymark.llm.textbytes import _POSITION, ALNUM, Words, mix, string_bytes, words
+from waymark.llm.textbytes import _POSITION, ALNUM, U64, Words, mix, words
 
 
 @dataclass
 class Index:
-    """Windows of a block of items. Window i has the words text[i] and the prefix token of its rarest shingle."""
+    """Distinct windows of a block of items, as flat arrays: some tens of bytes a window.
+
+    Window i has n[i] words from word first[i] on, whose bytes, joined by blanks, are body[byte[first]:...]. It is in
+    the items owner[owner_at[i]:owner_at[i + 1]], numbers of ids.
+    """
 
-    ids: list[str] = field(default_factory=list)
-    item: list[int] = field(default_factory=list)
-    text: list[tuple[bytes, ...]] = field(default_factory=list)
-    grams: list[np.ndarray] = field(default_factory=list)
+    ids: list[str]
+    body: np.ndarray
+    byte: np.ndarray
+    hash: np.ndarray
+    first: np.ndarray
+    n: np.ndarray
+    owner_at: np.ndarray
+    owner: np.ndarray
 
 
 def _gram(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -35,24 +42,47 @@ def _gram(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
-def _index(ids: list[str], texts: list[str | None], window: int, size: int) -> Index:
-    out, seen = Index(), set()
-    at = {x: i for i, x in enumerate(dict.fromkeys(ids))}
-    out.ids = list(at)
+def _hash_of(h: np.ndarray, first: np.ndarray, n: np.ndarray, base: int) -> np.ndarray:
+    """A hash of the runs of n words from first on."""
+    out = n.astype(np.uint64)
+    for k in range(int(n.max(initial=0))):
+        has = n > k
+        out[has] = out[has] * U64(base) + h[first[has] + k]
+    return mix(out)
+
+
+_BASES = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+
+
+def _index(ids: list[str], texts: list[str | None], window: int) -> Index:
+    number = {x: i for i, x in enumerate(dict.fromkeys(ids))}
+    of = np.array([number[x] for x in ids], dtype=np.int64)
+    hashes, bodies, lengths, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for w in words(pa.array(texts, pa.string()), ALNUM):
-        for r in range(w.last - w.first):
-            a, b = int(w.first_word[r]), int(w.first_word[r + 1])
-            if a == b:
-                continue
-            whole = tuple(w.text(a, b))
-            for k in range(max(1, b - a - window + 1)):
-                item, own = at[ids[w.first + r]], whole[k : k + window]
-                if (item, own) not in seen:
-                    seen.add((item, own))
-                    out.item.append(item)
-                    out.text.append(own)
-                    out.grams.append(_gram(w.hash[a + k : min(b, a + k + window)], min(size, len(own))))
-    return out
+        long = w.end - w.start
+        inner = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+        body = np.full(int((long + 1).sum()), 32, dtype=np.uint8)
+        body[np.repeat(np.cumsum(long + 1) - long - 1, long) + inner] = w.lowered[np.repeat(w.start, long) + inner]
+        hashes.append(w.hash)
+        bodies.append(body)
+        lengths.append(long)
+        counts.append(np.diff(w.first_word))
+    h, body, long, count = (np.concatenate(x) for x in (hashes, bodies, lengths, counts))
+    own = np.where(count > 0, np.maximum(1, count - window + 1), 0)
+    row = np.repeat(np.arange(len(count)), own)
+    first = (np.cumsum(count) - count)[row] + np.arange(len(row)) - (np.cumsum(own) - own)[row]
+    n = np.minimum(count[row], window)
+    one, two = (_hash_of(h, first, n, b) for b in _BASES)
+    # Windows of equal words (128 bits) are one; each of its items counts once.
+    order = np.lexsort((of[row], two, one))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    item = of[row][order]
+    fresh = new.copy()
+    fresh[1:] |= item[1:] != item[:-1]
+    lead = order[new]
+    owner_at = np.append(np.flatnonzero(new[fresh]), fresh.sum())
+    return Index(list(number), body, np.append(np.cumsum(long + 1) - long - 1, len(body)), h, first[lead], n[lead].astype(np.int64), owner_at, item[fresh])
 
 
 def _runs(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +116,13 @@ def _prober(docs: DataFrame, index: Index, size: int):
     docs has a column text, in all rows of which the tokens are counted.
     """
     spark = docs.sparkSession
-    sizes = sorted({min(size, len(t)) for t in index.text})
-    wanted = {n: np.unique(np.concatenate([g for g, t in zip(index.grams, index.text) if min(size, len(t)) == n])) for n in sizes}
+    short = np.minimum(index.n, size)
+    wanted, grams = {}, {}
+    for n in np.unique(short).tolist():
+        grams[n] = _gram(index.hash, n)
+        own = short == n
+        most = int(index.n[own].max()) - n + 1
+        wanted[n] = np.unique(np.concatenate([grams[n][index.first[own & (index.n - n >= k)] + k] for k in range(most)]))
     tokens = spark.sparkContext.broadcast(wanted)
 
     def count(batches):
@@ -102,45 +137,84 @@ def _prober(docs: DataFrame, index: Index, size: int):
             k = np.flatnonzero(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), n, np.int32)), pa.array(tokens.value[n][k].view(np.int64)), pa.array(v[k])], names=["size", "token", "n"])
 
-    # As many rows as the block has distinct shingles, at most.
-    counted = docs.select("text").mapInArrow(count, "size int, token long, n long").groupBy("size", "token").agg(F.sum("n").alias("n")).collect() if sizes else []
-    often = {(r["size"], r["token"]): r["n"] for r in counted}
+    # As many rows as the block has distinct shingles, at most: 20 bytes each.
+    often = {n: np.zeros(len(v), np.int64) for n, v in wanted.items()}
+    if wanted:
+        found = docs.select("text").mapInArrow(count, "size int, token long, n long").groupBy("size", "token").agg(F.sum("n").alias("n")).toArrow()
+        at, token, total = (found[c].to_numpy() for c in ("size", "token", "n"))
+        for n, v in often.items():
+            v[np.searchsorted(wanted[n], token[at == n].view(np.uint64))] = total[at == n]
 
     # Containment of the whole window asks for every token, so the prefix is the one rarest token.
-    prefix: dict[int, dict[int, list[tuple[int, int]]]] = {n: {} for n in sizes}
-    for i, (g, t) in enumerate(zip(index.grams, index.text)):
-        n = min(size, len(t))
-        counts = [often.get((n, int(x)), 0) for x in g.view(np.int64)]
-        k = counts.index(min(counts))
-        if counts[k]:
-            prefix[n].setdefault(int(g[k]), []).append((i, k))
-    shared = spark.sparkContext.broadcast((prefix, index.text, index.item, index.ids))
+    tables = []
+    for n, v in often.items():
+        own = np.flatnonzero(short == n)
+        first, last = index.first[own], index.n[own] - n
+        rarest, place = np.full(len(own), np.iinfo(np.int64).max), np.zeros(len(own), np.int64)
+        for k in range(int(last.max()) + 1):
+            has = np.flatnonzero(last >= k)
+            less = v[np.searchsorted(wanted[n], grams[n][first[has] + k])]
+            has, less = has[less < rarest[has]], less[less < rarest[has]]
+            rarest[has], place[has] = less, k
+        keep = np.flatnonzero(rarest > 0)
+        keep = keep[np.argsort(grams[n][first[keep] + place[keep]], kind="stable")]
+        token, start = np.unique(grams[n][first[keep] + place[keep]], return_index=True)
+        if len(token):
+            tables.append((n, token, np.append(start, len(keep)).astype(np.int64), own[keep], place[keep].astype(np.int32)))
+    # Only windows that may occur are broadcast: their words, and the items they are in.
+    live = np.unique(np.concatenate([t[3] for t in tables])) if tables else np.zeros(0, np.int64)
+    cut = [index.body[index.byte[f] : index.byte[f + n] - 1].tobytes() for f, n in zip(index.first[live].tolist(), index.n[live].tolist())]
+    text_at = np.concatenate([[0], np.cumsum([len(x) for x in cut], dtype=np.int64)])
+    owners = index.owner_at[live + 1] - index.owner_at[live]
+    owner_at = np.concatenate([[0], np.cumsum(owners)])
+    owner = index.owner[np.repeat(index.owner_at[live] - owner_at[:-1], owners) + np.arange(owners.sum())].astype(np.int32)
+    tables = [(n, token, start, np.searchsorted(live, window).astype(np.int32), place) for n, token, start, window, place in tables]
+    shared = spark.sparkContext.broadcast((tables, b"".join(cut), text_at, _hash_of(index.hash, index.first[live], index.n[live], _BASES[0]), index.n[live].astype(np.int32), owner_at, owner, index.ids))
 
     def probe(column: pa.Array):
-        prefix, texts, item, ids = shared.value
-        keys = {n: np.array(sorted(v), dtype=np.uint64) for n, v in prefix.items() if v}
+        tables, body, text_at, whole, length, owner_at, owner, ids = shared.value
         for w in words(column, ALNUM):
-            rows = w.last - w.first
-            spans: list[list[int]] = [[] for _ in range(rows)]
-            items: list[set[str]] = [set() for _ in range(rows)]
-            for n, known in keys.items():
+            spans: list[list[int]] = [[] for _ in range(w.last - w.first)]
+            items: list[set[str]] = [set() for _ in range(w.last - w.first)]
+            for n, token, start, window, offset in tables:
                 h, at = _runs(w, n)
-                k = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                for p in np.flatnonzero(known[k] == h):
-                    place = int(at[p])
-                    row = int(np.searchsorted(w.first_word, place, side="right")) - 1
-                    lo, hi = int(w.first_word[row]), int(w.first_word[row + 1])
-                    for i, offset in prefix[n][int(h[p])]:
-                        start = place - offset
-                        end = start + len(texts[i])
-                        if start >= lo and end <= hi and tuple(w.text(start, end)) == texts[i]:
-                            spans[row] += [start - lo, end - lo]
-                            items[row].add(ids[item[i]])
+                k = np.minimum(np.searchsorted(token, h), len(token) - 1)
+                hit = np.flatnonzero(token[k] == h)
+                key, at = k[hit], at[hit]
+                each = start[key + 1] - start[key]
+                # Candidates in runs of about a million: places of a token times the windows it leads to.
+                total = np.cumsum(each)
+                for a, b in _spread(total, 1 << 20):
+                    some = each[a:b]
+                    entry = np.repeat(start[key[a:b]] - (np.cumsum(some) - some), some) + np.arange(some.sum())
+                    i = window[entry]
+                    place = np.repeat(at[a:b], some)
+                    row = np.searchsorted(w.first_word, place, side="right") - 1
+                    first = place - offset[entry]
+                    inside = np.flatnonzero((first >= w.first_word[row]) & (first + length[i] <= w.first_word[row + 1]))
+                    i, first, row = i[inside], first[inside], row[inside]
+                    alike = np.flatnonzero(_hash_of(w.hash, first, length[i].astype(np.int64), _BASES[0]) == whole[i])
+                    for x, f, r in zip(i[alike].tolist(), first[alike].tolist(), row[alike].tolist()):
+                        end = f + int(length[x])
+                        if b" ".join(w.text(f, end)) == body[text_at[x] : text_at[x + 1]]:
+                            lo = int(w.first_word[r])
+                            spans[r] += [f - lo, end - lo]
+                            items[r].update(ids[y] for y in owner[owner_at[x] : owner_at[x + 1]].tolist())
             yield w, spans, items
 
     return probe
 
 
+def _spread(total: np.ndarray, most: int):
+    """Ranges of the places of a running total, each of about `most` (one place at least)."""
+    a = 0
+    while a < len(total):
+        done = total[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(total, done + most, side="right")))
+        yield a, b
+        a = b
+
+
 def _hits(docs: DataFrame, index: Index, size: int) -> DataFrame:
     """(row, n_words, spans, items) for each row of (row, text): ranges of words hit, as starts and ends in turn, and items found."""
     probe = _prober(docs, index, size)
@@ -176,8 +250,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, size:
     token's offset bounds where the window can lie, and the words are then compared one by one.
     spans holds disjoint ranges of words hit (start, end, start, end, ...); items the sorted ids found.
 
-    The documents are never shuffled: a block of at most block_bytes of items is broadcast. A larger
-    benchmark runs block by block, and the blocks' ranges are merged by row.
+    The documents are never shuffled: of a block of at most block_bytes of items, distinct shingles (8 bytes each) and
+    then the windows that may occur (their words and some 40 bytes) are broadcast as flat arrays. A larger benchmark runs block by
+    block, two scans each, and the blocks' ranges are merged by row.
 
     Cases: null or wordless texts have no words and no windows; a null item id is named `null`; rows
     that repeat an item count once; each row of docs gives a row, also if it repeats an id; no items:
@@ -189,18 +264,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, size:
     first = next(blocks, ([], []))
     second = next(blocks, None)
     if second is None:
-        return _hits(plain, _index(*first, window, size), size).withColumnRenamed("row", id_col)
+        return _hits(plain, _index(*first, window), size).withColumnRenamed("row", id_col)
     # Several blocks: each row gets a number, so that rows that repeat an id stay apart.
     numbered = stored(docs.select(F.struct(F.monotonically_increasing_id().alias("k"), F.col(id_col).alias("id")).alias("row"), F.col(text_col).alias("text")), "numbered")
     parts = None
     for block in (first, second, *blocks):
-        found = stored(_hits(numbered, _index(*block, window, size), size).where("size(items) > 0"), "hits")
+        found = stored(_hits(numbered, _index(*block, window), size).where("size(items) > 0"), "hits")
         parts = found if parts is None else parts.union(found)
     merged = parts.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    merge = F.udf(lambda spans: _merged(spans or []), "array<long>")
-    counts = _hits(numbered, Index(), size).select("row", "n_words")
+
+    def joined(batch: pa.RecordBatch):
+        yield batch.set_column(1, "spans", pa.array([_merged(x) for x in batch.column(1).to_pylist()], pa.list_(pa.int64())))
+
+    merged = arrow_map(merged.select("row", "spans", "items"), f"row {numbered.schema['row'].dataType.simpleString()}, spans array<long>, items array<string>", joined)
+    counts = _hits(numbered, _index([], [], window), size).select("row", "n_words")
     empty = F.array().cast("array<long>"), F.array().cast("array<string>")
-    return counts.join(merged, "row", "left").select(F.col("row.id").alias(id_col), "n_words", F.coalesce(merge("spans"), empty[0]).alias("spans"), F.coalesce("items", empty[1]).alias("items"))
+    return counts.join(merged, "row", "left").select(F.col("row.id").alias(id_col), "n_words", F.coalesce("spans", empty[0]).alias("spans"), F.coalesce("items", empty[1]).alias("items"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, size: int = 3, block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -208,7 +287,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, size: int = 3
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("text"))
     at, out = docs.columns.index(text_col), docs
     for block in _blocks(items, block_bytes):
-        probe = _prober(docs.select(F.col(text_col).alias("text")), _index(*block, window, size), size)
+        probe = _prober(docs.select(F.col(text_col).alias("text")), _index(*block, window), size)
 
         def one(batch: pa.RecordBatch, probe=probe):
             for w, spans, _ in probe(batch.column(at)):

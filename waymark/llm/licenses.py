@@ -21,14 +21,26 @@ NOTICES = {
     "all rights reserved": "reserved", "licensed under the": "notice", "released under the": "notice", "is licensed under": "notice",
 }
 
-#: Identifiers of licences (lower case), with label and burden: 0 permissive, 1 weak copyleft, 2 copyleft, 3 restricted.
-IDENTIFIERS = {
-    "mit": ("mit", 0), "apache-2.0": ("apache", 0), "bsd-2-clause": ("bsd", 0), "bsd-3-clause": ("bsd", 0), "isc": ("isc", 0), "zlib": ("zlib", 0), "unlicense": ("unlicense", 0), "bsl-1.0": ("bsl", 0), "cc0-1.0": ("cc0", 0), "cc-by-4.0": ("cc-by", 0), "cc-by-3.0": ("cc-by", 0),
-    "mpl-2.0": ("mpl", 1), "epl-2.0": ("epl", 1), "lgpl-2.1-only": ("lgpl", 1), "lgpl-2.1-or-later": ("lgpl", 1), "lgpl-3.0-only": ("lgpl", 1), "lgpl-3.0-or-later": ("lgpl", 1),
-    "gpl-2.0": ("gpl", 2), "gpl-2.0-only": ("gpl", 2), "gpl-2.0-or-later": ("gpl", 2), "gpl-3.0": ("gpl", 2), "gpl-3.0-only": ("gpl", 2), "gpl-3.0-or-later": ("gpl", 2), "agpl-3.0-only": ("agpl", 2), "agpl-3.0-or-later": ("agpl", 2), "cc-by-sa-4.0": ("cc-by-sa", 2),
-    "cc-by-nc-4.0": ("cc-by-nc", 3), "cc-by-nd-4.0": ("cc-by-nd", 3), "cc-by-nc-sa-4.0": ("cc-by-nc", 3), "proprietary": ("reserved", 3),
+#: Families of licence identifiers (lower case), with label and burden: 0 permissive, 1 weak copyleft, 2 copyleft, 3 restricted.
+#: An identifier belongs to the family of most hyphenated parts that it starts with: mpl-2.0 to mpl, cc-by-nc-4.0 to cc-by-nc.
+FAMILIES = {
+    "0bsd": ("bsd", 0), "afl": ("afl", 0), "agpl": ("agpl", 2), "apache": ("apache", 0), "apsl": ("apsl", 1), "artistic": ("artistic", 1), "beerware": ("beerware", 0), "blueoak": ("blueoak", 0), "bsd": ("bsd", 0), "bsl": ("bsl", 0), "busl": ("busl", 3),
+    "cc-by": ("cc-by", 0), "cc-by-nc": ("cc-by-nc", 3), "cc-by-nd": ("cc-by-nd", 3), "cc-by-sa": ("cc-by-sa", 2), "cc-pddc": ("cc0", 0), "cc0": ("cc0", 0), "cddl": ("cddl", 1), "cecill": ("cecill", 2), "cecill-b": ("cecill", 0), "cecill-c": ("cecill", 1), "cpal": ("cpal", 1), "cpl": ("cpl", 1), "curl": ("curl", 0),
+    "ecl": ("apache", 0), "elastic": ("elastic", 3), "epl": ("epl", 1), "eupl": ("eupl", 2), "fsfap": ("fsfap", 0), "gfdl": ("gfdl", 2), "gpl": ("gpl", 2), "hpnd": ("hpnd", 0), "icu": ("icu", 0), "ijg": ("ijg", 0), "ipl": ("ipl", 1), "isc": ("isc", 0), "lgpl": ("lgpl", 1), "lgpllr": ("lgpl", 1), "libpng": ("zlib", 0), "lppl": ("lppl", 1),
+    "mit": ("mit", 0), "mpl": ("mpl", 1), "ms-pl": ("ms-pl", 0), "ms-rl": ("ms-rl", 1), "mulanpsl": ("mulanpsl", 0), "naist": ("naist", 0), "ncsa": ("ncsa", 0), "odbl": ("odbl", 2), "odc-by": ("odc-by", 0), "ofl": ("ofl", 1), "openssl": ("openssl", 0), "osl": ("osl", 2), "pddl": ("pddl", 0), "php": ("php", 0), "postgresql": ("postgresql", 0), "proprietary": ("reserved", 3),
+    "python": ("python", 0), "psf": ("python", 0), "qpl": ("qpl", 1), "ruby": ("ruby", 0), "sspl": ("sspl", 3), "unicode": ("unicode", 0), "unlicense": ("unlicense", 0), "upl": ("upl", 0), "vim": ("vim", 0), "w3c": ("w3c", 0), "wtfpl": ("wtfpl", 0), "x11": ("mit", 0), "zlib": ("zlib", 0), "zpl": ("zpl", 0),
 }
 
+
+def identified(name: str) -> tuple[str, int]:
+    """Label and burden of an identifier; one of no family is `other`, as heavy as can be."""
+    parts = name.removesuffix("+").split("-", 8)[:8]
+    for n in range(len(parts), 0, -1):
+        if (own := "-".join(parts[:n])) in FAMILIES:
+            return FAMILIES[own]
+    return "other", 3
+
+
 #: Tags that an identifier expression follows on their line.
 TAGS = ("spdx-license-identifier:", "license-expression:")
 
@@ -38,32 +50,35 @@ _TOKEN = re.compile(r"[()]|[^\s()]+")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
-def parse_expression(text: str) -> list[str] | None:
-    """The longest expression that text starts with, in postfix, by the shunting-yard algorithm; None if there is none.
+def parse_expression(text: str, start: int = 0, stop: int | None = None) -> list[str] | None:
+    """The longest expression that text[start:stop] starts with, in postfix, by the shunting-yard algorithm; None if there is none.
 
     with binds closer than and, and closer than or; operators of one kind group to the left. What
-    follows a whole expression without an operator is not part of it.
+    follows a whole expression without an operator is not part of it. Time is linear: a whole expression
+    is remembered as the length of the output and the operators that wait, three at most.
     """
     out: list[str] = []
     stack: list[str] = []
-    best: list[str] | None = None
-    operand = True
-    for m in _TOKEN.finditer(text):
+    best: tuple[int, list[str]] | None = None
+    operand, depth = True, 0
+    for m in _TOKEN.finditer(text, start, len(text) if stop is None else stop):
         t = m[0].lower()
         if operand:
             if t == "(":
                 stack.append(t)
+                depth += 1
                 continue
             if t == ")" or t in _BINDS:
                 break
             out.append(t.rstrip(",;*/"))
             operand = False
         elif t == ")":
-            while stack and stack[-1] != "(":
-                out.append(stack.pop())
-            if not stack:
+            if not depth:
                 break
+            while stack[-1] != "(":
+                out.append(stack.pop())
             stack.pop()
+            depth -= 1
         elif t in _BINDS:
             while stack and stack[-1] != "(" and _BINDS[stack[-1]] >= _BINDS[t]:
                 out.append(stack.pop())
@@ -71,9 +86,9 @@ def parse_expression(text: str) -> list[str] | None:
             operand = True
         else:
             break
-        if not operand and "(" not in stack:
-            best = [*out, *reversed(stack)]
-    return best
+        if not operand and not depth:
+            best = len(out), stack[:]
+    return best and [*out[: best[0]], *reversed(best[1])]
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], int]:
@@ -90,7 +105,7 @@ def evaluate(postfix: list[str]) -> tuple[set[str], int]:
             else:
                 stack.append((left[0] | right[0], (min if t == "or" else max)(left[1], right[1])))
         else:
-            label, burden = IDENTIFIERS.get(t.removesuffix("+"), ("other", 3))
+            label, burden = identified(t)
             stack.append(({label}, burden))
     return stack[0]
 
@@ -134,8 +149,12 @@ def scanner() -> Callable[[str | None], tuple]:
                 else:
                     weight *= 0.6
         expressions, burden = [], None
-        for end, _ in tags.iter(low):
-            postfix = parse_expression(low[end + 1 : _line_end(low, end + 1)])
+        places, line_end = [(end + 1, end + 1 - len(tag)) for end, tag in tags.iter(low)], -1
+        for k, (start, _) in enumerate(places):
+            if line_end < start:
+                line_end = _line_end(low, start)
+            # The next tag ends an expression too, so that no part of a line is parsed twice.
+            postfix = parse_expression(low, start, min(line_end, places[k + 1][1]) if k + 1 < len(places) else line_end)
             if postfix:
                 own_labels, own_burden = evaluate(postfix)
                 labels |= own_labels
@@ -158,13 +177,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     One automaton runs over the words of the whole lower-cased text, joined by blanks, and finds every
     place of every phrase, overlapping ones too; another finds identifier tags, whose expression, to the
-    end of the line, is parsed and evaluated. labels has those of base phrases, of other notices and of
+    end of the line or the next tag, is parsed and evaluated. labels has those of base phrases, of other notices and of
     identifiers. score is 1 less the product of the doubts that each finding leaves (0.2 for a base
     phrase, 0.4 for another, 0.6 for the wording of a notice, 0.05 for a tag). burden, of
     expressions: 0 permissive to 3 restricted.
 
     Cases: a null or empty text has no words, empty label strings, null places and score 0; a tag
-    without an expression gives nothing; each row gives a row; no rows: none. Other columns are not read.
+    without an expression gives nothing; very long texts, lines and expressions take linear time; each row
+    gives a row; no rows: none. Other columns are not read.
     """
 
     def run(batches):

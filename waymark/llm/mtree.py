@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import read, stored
+from waymark.llm.common import read, scratch_path, stored
 
-#: Slack of floating-point bounds; scores themselves are exact integers.
+#: Slack of floating-point bounds, times the norms at hand; scores themselves are exact integers.
 _SLACK = 1e-6
+#: Scores are longs; the smallest one stands for none, and larger ones than a long holds are cut to the largest.
+_NONE, _MOST = -(1 << 63), (1 << 63) - 1
+_EXACT = float(1 << 53)
 
 
 def _augmented(x: np.ndarray, top: float) -> np.ndarray:
@@ -28,147 +33,186 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(((a - b) ** 2).sum(axis=1))
 
 
+def _far_apart(points: np.ndarray, n: int, first: int = 0) -> list[int]:
+    """At most n different points, each the farthest from those before it."""
+    chosen, nearest = [first], None
+    while len(chosen) < n:
+        d = _distances(points, points[chosen[-1]])
+        nearest = d if nearest is None else np.minimum(nearest, d)
+        if not nearest.max() > 0:
+            break
+        chosen.append(int(nearest.argmax()))
+    return chosen
+
+
+class Wanted:
+    """A block of queries, and the k best found so far for each; worst: scores below it may be left out."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, top: float, worst: np.ndarray | None = None):
+        self.ids, self.k, self.top, self.exact = ids, k, top, vectors
+        self.plain = vectors.astype(np.float64)
+        self.square = (self.plain**2).sum(axis=1)
+        self.norm = np.sqrt(self.square)
+        self.slack = _SLACK * (top + self.norm)
+        self.wide = top * self.norm.max(initial=0) >= _EXACT
+        self.score = np.full((len(ids), k), _NONE, dtype=np.int64)
+        self.found = np.full((len(ids), k), _MOST, dtype=np.int64)
+        self.low = np.full(len(ids), _NONE, dtype=np.int64) if worst is None else worst.astype(np.int64)
+
+    def least(self, rows: np.ndarray) -> np.ndarray:
+        """Scores that a result must reach, as doubles a little below."""
+        low = self.low[rows]
+        return np.where(low == _NONE, -np.inf, low - _SLACK * self.norm[rows] * self.top)
+
+    def bound(self, rows: np.ndarray) -> np.ndarray:
+        """Distances beyond which nothing is a result."""
+        return np.sqrt(np.maximum(0.0, self.square[rows] + self.top**2 - 2.0 * self.least(rows))) + self.slack[rows]
+
+    def scores(self, rows: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Inner products of queries with vectors: sums of integers, exact in doubles below 2**53, else as Python's integers."""
+        if not self.wide:
+            return np.rint(self.plain[rows] @ x.astype(np.float64).T).astype(np.int64)
+        return np.clip(self.exact[rows].astype(object) @ x.astype(object).T, -_MOST, _MOST).astype(np.int64)
+
+    def offer(self, rows: np.ndarray, s: np.ndarray, ids: np.ndarray) -> None:
+        """Take the scores s of queries rows and the entries ids; an entry of the query's own id is none."""
+        s = np.where((s < self.low[rows][:, None]) | (ids == self.ids[rows][:, None]), _NONE, s)
+        better = np.flatnonzero((s != _NONE).any(axis=1))
+        if not len(better):
+            return
+        rows, s = rows[better], s[better]
+        every, names = np.hstack([self.score[rows], s]), np.hstack([self.found[rows], np.broadcast_to(ids, s.shape)])
+        best = np.lexsort((names, ~every), axis=1)[:, : self.k]
+        self.score[rows], self.found[rows] = np.take_along_axis(every, best, axis=1), np.take_along_axis(names, best, axis=1)
+        self.low[rows] = np.maximum(self.low[rows], self.score[rows, -1])
+
+
 class MTree:
-    """Paged metric tree. A node has a routing vector, a covering radius and the distance to its parent's.
+    """Paged metric tree. A node has a routing vector, covering radii and the distance to its parent's.
 
     Leaves hold their entries' distances to the leaf's routing vector. Loaded in bulk: a page that
-    is too large is split around routing vectors far from each other.
+    is too large is split around routing vectors far from each other. radius covers the augmented
+    vectors, ball the plain ones. computed counts the distances and scores worked out so far.
     """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: float, page: int = 256):
-        self.ids, self.vectors, self.page = ids, vectors, page
-        self.points = _augmented(vectors, top)
-        self.routing: list[np.ndarray] = []
-        self.radius: list[float] = []
-        self.parent_distance: list[float] = []
-        self.children: list[np.ndarray] = []
-        self.entries: list[np.ndarray | None] = []
-        self.entry_distance: list[np.ndarray | None] = []
-        if len(ids):
-            self._load(np.arange(len(ids)), self.points[0], None)
-
-    def _load(self, rows: np.ndarray, routing: np.ndarray, parent: np.ndarray | None) -> int:
-        node = len(self.routing)
-        far = _distances(self.points[rows], routing)
-        self.routing.append(routing)
-        self.radius.append(float(far.max()) * (1 + _SLACK) + _SLACK)
-        self.parent_distance.append(0.0 if parent is None else float(np.sqrt(((routing - parent) ** 2).sum())))
-        self.children.append(np.zeros(0, np.int64))
-        self.entries.append(None)
-        self.entry_distance.append(None)
-        if len(rows) <= self.page or far.max() == 0:
-            order = np.argsort(far, kind="stable")
-            self.entries[node], self.entry_distance[node] = rows[order], far[order]
-            return node
-        # Routing vectors: each the farthest from those before it.
-        chosen, nearest = [int(np.argmin(far))], None
-        for _ in range(min(16, -(-len(rows) // self.page)) - 1 or 1):
-            d = _distances(self.points[rows], self.points[rows[chosen[-1]]])
-            nearest = d if nearest is None else np.minimum(nearest, d)
-            chosen.append(int(np.argmax(nearest)))
-        to = np.stack([_distances(self.points[rows], self.points[rows[c]]) for c in chosen])
-        own = to.argmin(axis=0)
-        kids = [self._load(rows[own == k], self.points[rows[c]], routing) for k, c in enumerate(chosen) if (own == k).any()]
-        self.children[node] = np.array(kids)
-        return node
-
-    def ready(self) -> MTree:
-        """Arrays of what search() reads."""
-        self.routing, self.radius, self.parent_distance = np.array(self.routing), np.array(self.radius), np.array(self.parent_distance)
-        self.exact = self.vectors.astype(np.float64)
-        return self
-
-    def _leaves(self, q: np.ndarray, bound: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
-        """Leaves that some query may need, and for each query their least distance and that of their routing vector.
-
-        A node's children are first bounded by the stored distance to it, and only for those left is a
-        distance computed. Least distances are infinite where a bound rules a leaf out.
+    _ARRAYS = ("ids", "vectors", "routing", "radius", "ball", "parent_distance", "kids_at", "kids", "rows_at", "entries", "entry_distance")
+
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.__dict__.update(arrays)
+        self.size = (self.routing**2).sum(axis=1)
+        self.computed = 0
+
+    @classmethod
+    def load(cls, ids: np.ndarray, vectors: np.ndarray, top: float, page: int) -> MTree:
+        points = _augmented(vectors, top)
+        plain = points[:, :-1]
+        nodes: list[tuple] = []
+        kids: list[list[int]] = []
+        wait: list[tuple[np.ndarray, np.ndarray, int]] = [(np.arange(len(ids)), points[0], -1)]
+        while wait:
+            rows, routing, parent = wait.pop()
+            if parent >= 0:
+                kids[parent].append(len(nodes))
+            far = _distances(points[rows], routing)
+            leaf = len(rows) <= page or far.max() == 0
+            order = np.argsort(far, kind="stable") if leaf else rows[:0]
+            up = 0.0 if parent < 0 else float(np.sqrt(((routing - nodes[parent][0]) ** 2).sum()))
+            nodes.append((routing, far.max(), _distances(plain[rows], routing[:-1]).max(), up, rows[order], far[order]))
+            kids.append([])
+            if leaf:
+                continue
+            own = points[rows]
+            chosen = _far_apart(own, min(16, max(2, -(-len(rows) // page))), int(far.argmin()))
+            to = np.stack([_distances(own, own[c]) for c in chosen]).argmin(axis=0)
+            wait += [(rows[to == j], own[c], len(nodes) - 1) for j, c in enumerate(chosen)]
+        at = [np.concatenate([[0], np.cumsum([len(x) for x in own])]) for own in (kids, [n[4] for n in nodes])]
+        flat = {"kids_at": at[0], "kids": np.array([x for own in kids for x in own], dtype=np.int64), "rows_at": at[1], "entries": np.concatenate([n[4] for n in nodes]), "entry_distance": np.concatenate([n[5] for n in nodes])}
+        first = {name: np.array([n[j] for n in nodes], dtype=np.float64) for j, name in enumerate(("routing", "radius", "ball", "parent_distance"))}
+        return cls({"ids": ids, "vectors": vectors, **first, **flat})
+
+    def dump(self) -> bytes:
+        """All arrays, vectors in the narrowest type that holds them."""
+        out, largest = io.BytesIO(), int(np.abs(self.vectors).max(initial=0))
+        narrow = next((t for t in (np.int8, np.int16, np.int32) if 0 <= largest <= np.iinfo(t).max), np.int64)
+        np.savez(out, **{a: getattr(self, a).astype(narrow) if a == "vectors" else getattr(self, a) for a in self._ARRAYS})
+        return out.getvalue()
+
+    @classmethod
+    def undump(cls, data: bytes) -> MTree:
+        with np.load(io.BytesIO(data)) as z:
+            return cls({a: z[a] for a in cls._ARRAYS} | {"vectors": z["vectors"].astype(np.int64)})
+
+    def _leaves(self, w: Wanted) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Leaves that some query may need; for each query their highest possible scores (-inf: ruled out) and distances.
+
+        A child is first held against the stored distance to its parent, and only for the queries left is its own distance
+        computed. The highest possible score is the lower one of what the metric's radius and the ball allow.
         """
-        found: list[int] = []
-        least, far = [], []
-        rows = np.arange(len(q))
-        wait = [(0, rows, np.sqrt(((q - self.routing[0]) ** 2).sum(axis=1)))]
+        n, found, upper, far = len(w.ids), [], [], []
+        wait = [(0, np.arange(n))]
         while wait:
-            node, rows, d = wait.pop()
-            low = np.maximum(0.0, d - self.radius[node])
-            keep = low <= bound[rows]
-            rows, d, low = rows[keep], d[keep], low[keep]
+            node, rows = wait.pop()
+            dot = w.plain[rows] @ self.routing[node, :-1]
+            self.computed += len(rows)
+            d = np.sqrt(np.maximum(0.0, w.square[rows] + self.size[node] - 2.0 * dot))
+            low = np.maximum(0.0, d - self.radius[node] - w.slack[rows])
+            high = np.minimum((w.square[rows] + w.top**2 - low * low) / 2.0, dot + w.norm[rows] * self.ball[node]) + _SLACK * w.norm[rows] * w.top
+            keep = high >= w.least(rows)
+            rows, d, high = rows[keep], d[keep], high[keep]
             if not len(rows):
                 continue
-            if self.entries[node] is not None:
+            kids = self.kids[self.kids_at[node] : self.kids_at[node + 1]]
+            if not len(kids):
                 found.append(node)
-                column = np.full((2, len(q)), np.inf)
-                column[0, rows], column[1, rows] = low, d
-                least.append(column[0])
+                column = np.full((2, n), -np.inf)
+                column[0, rows], column[1, rows] = high, d
+                upper.append(column[0])
                 far.append(column[1])
                 continue
-            for kid in self.children[node]:
-                near = np.abs(d - self.parent_distance[kid]) - self.radius[kid] <= bound[rows]
-                own = rows[near]
+            bound = w.bound(rows)
+            for kid in kids:
+                own = rows[np.abs(d - self.parent_distance[kid]) - self.radius[kid] <= bound + w.slack[rows]]
                 if len(own):
-                    wait.append((int(kid), own, np.sqrt(((q[own] - self.routing[kid]) ** 2).sum(axis=1))))
-        return found, np.array(least).T.reshape(len(q), -1), np.array(far).T.reshape(len(q), -1)
-
-    def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int, worst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query row, id, score) of the k best for each query but its own id; worst: scores below it may be left out.
-
-        Best-first: each query takes its leaves by the least distance that their radius allows, all queries a
-        step at a time, and is done when the next one is beyond its k-th so far. Within a leaf the stored
-        distances to the routing vector bound the entries by the triangle inequality. Only what can't be
-        among the k best is passed over; scores are sums of integers, exact in doubles.
-        """
-        n = len(queries)
-        none = np.zeros(0, np.int64)
-        if not len(self.ids) or not n:
-            return none, none, none
-        plain = queries.astype(np.float64)
-        q = np.hstack([plain, np.zeros((n, 1))])
-        base = (q * q).sum(axis=1) + (self.points[0] ** 2).sum()
-        low = worst.astype(np.float64).copy()
-
-        def bounds(rows: np.ndarray) -> np.ndarray:
-            """Distances above them can't lead to a result."""
-            return np.sqrt(np.maximum(0.0, base[rows] - 2.0 * low[rows])) * (1 + _SLACK) + _SLACK
-
-        bound = bounds(np.arange(n))
-        leaves, least, far = self._leaves(q, bound)
-        score, ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
-        order = np.argsort(least, axis=1)
+                    wait.append((int(kid), own))
+        return found, np.array(upper).T.reshape(n, -1), np.array(far).T.reshape(n, -1)
+
+    def search(self, w: Wanted) -> None:
+        """Best-first: each query takes its leaves by the highest score they allow, all queries a step at a time, and is
+        done when the next one can't reach its k-th so far. Only what can't be among the k best is passed over."""
+        if not len(self.ids) or not len(w.ids):
+            return
+        leaves, upper, far = self._leaves(w)
+        order = np.argsort(-upper, axis=1)
+        going = np.arange(len(w.ids))
         for step in range(len(leaves)):
-            leaf = order[:, step]
-            rows = np.flatnonzero(least[np.arange(n), leaf] <= bound)
-            if not len(rows):
+            leaf = order[going, step]
+            high = upper[going, leaf]
+            keep = (high > -np.inf) & (high >= w.least(going))
+            going, leaf = going[keep], leaf[keep]
+            if not len(going):
                 break
-            rows = rows[np.argsort(leaf[rows], kind="stable")]
-            cuts = np.flatnonzero(np.diff(leaf[rows])) + 1
-            for group in np.split(rows, cuts):
+            by = np.argsort(leaf, kind="stable")
+            for group in np.split(by, np.flatnonzero(np.diff(leaf[by])) + 1):
                 own = leaf[group[0]]
-                distance, entries = self.entry_distance[leaves[own]], self.entries[leaves[own]]
-                d = far[group, own]
-                a, b = np.searchsorted(distance, ((d - bound[group]).min() - _SLACK, (d + bound[group]).max() + _SLACK))
-                near = entries[a:b]
-                s = plain[group] @ self.exact[near].T
-                s[self.ids[near] == query_ids[group][:, None]] = -np.inf
-                better = np.flatnonzero((s.max(axis=1, initial=-np.inf) >= low[group]) & np.isfinite(s).any(axis=1))
-                if not len(better):
-                    continue
-                who, s = group[better], s[better]
-                s[s < low[who][:, None]] = -np.inf
-                if s.shape[1] > k:
-                    # At most the ties of the k-th new score go on.
-                    floor = np.partition(s, -k, axis=1)[:, -k]
-                    wide = (s >= floor[:, None]).sum(axis=1).max()
-                    take = np.argsort(-s, axis=1, kind="stable")[:, :wide]
-                    s, new = np.take_along_axis(s, take, axis=1), self.ids[near][take]
-                else:
-                    new = np.broadcast_to(self.ids[near], s.shape)
-                all_s, all_i = np.hstack([score[who], s]), np.hstack([ids[who], new])
-                best = np.lexsort((all_i, -all_s), axis=1)[:, :k]
-                score[who], ids[who] = np.take_along_axis(all_s, best, axis=1), np.take_along_axis(all_i, best, axis=1)
-                low[who] = np.maximum(low[who], score[who, -1])
-                bound[who] = bounds(who)
-        at, place = np.nonzero(np.isfinite(score))
-        return at, ids[at, place], score[at, place].astype(np.int64)
+                self._page(leaves[own], going[group], far[going[group], own], w)
+
+    def _page(self, node: int, rows: np.ndarray, d: np.ndarray, w: Wanted) -> None:
+        """A leaf's entries: those whose stored distance rules them out for a query aren't compared with it."""
+        a, b = self.rows_at[node], self.rows_at[node + 1]
+        near = np.abs(d[:, None] - self.entry_distance[a:b]) <= (w.bound(rows) + w.slack[rows])[:, None]
+        columns = np.flatnonzero(near.any(axis=0))
+        entries = self.entries[a:b][columns]
+        near = near[:, columns]
+        n = int(near.sum())
+        if n * 4 < near.size and not w.wide:
+            r, c = np.nonzero(near)
+            s = np.full(near.shape, _NONE, dtype=np.int64)
+            s[r, c] = np.rint(np.einsum("ij,ij->i", w.plain[rows[r]], self.vectors[entries[c]].astype(np.float64))).astype(np.int64)
+            self.computed += n
+        else:
+            s = w.scores(rows, self.vectors[entries])
+            self.computed += near.size
+        w.offer(rows, s, self.ids[entries])
 
 
 def quantized(vector: Column, scale: int = 64) -> Column:
@@ -195,124 +239,137 @@ def _lists(m: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.reshape(-1)))
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int = 4096, max_pivots: int = 256, sample: int = 2048, page: int = 256, id_col: str = "vec_id", vector_col: str = "vector") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k rows of largest inner product for every query row, itself apart.
+def _cell_of(split: dict[int, tuple[np.ndarray, int]], points: np.ndarray) -> np.ndarray:
+    """Cells of points: from node 0 on, each goes to the nearest pivot of a node that is split, whose number is the node's first child's and up."""
+    cell = np.zeros(len(points), dtype=np.int64)
+    for node, (pivots, first) in split.items():
+        rows = np.flatnonzero(cell == node)
+        if len(rows):
+            cell[rows] = first + ((pivots**2).sum(axis=1) - 2 * points[rows] @ pivots.T).argmin(axis=1)
+    return cell
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int = 4096, max_pivots: int = 4096, sample: int = 8192, page: int = 128, block: int = 16384, id_col: str = "vec_id", vector_col: str = "vector") -> DataFrame:
+    """(query_id, rank, vec_id, score): the k rows of largest inner product for every query row, those of its own id apart.
 
-    vector_col holds longs. Rows go to the nearest of at most max_pivots routing vectors (taken from a sample
-    of `sample` rows, far from each other); a pivot with more than bucket_rows rows is dealt over several
-    buckets by a hash of the id, so no bucket grows with the data or with one crowded place. Every bucket is
-    an M-tree. Queries search their own bucket first, which bounds their k-th score; then only buckets
-    whose pivot and covering radius can hold a better one, again bounded. A task holds one
-    bucket's tree and streams the queries past it. Only the pivots, their radii and bucket counts
-    are gathered and broadcast: max_pivots rows at most.
+    vector_col holds longs. Rows go to the nearest pivot; pivots are points of a sample of at most `sample` rows that are far
+    from each other, and a pivot with more than bucket_rows rows is split by further pivots of its own rows, until there
+    are max_pivots. What is crowded even then (one vector many times, say) is cut by row numbers. So no bucket grows
+    with the data. Every bucket becomes an M-tree, written as one row of arrays, and is searched at once for the
+    queries among its rows, which bounds their k-th scores from near neighbours.
 
-    Cases: vectors that are null take no part; shorter ones count as filled up with zeros; ids that are
-    null take no part; equal rows count once; ties go to the smaller id; fewer candidates than k
+    The queries then run in blocks of about `block` rows (documented bound of what is gathered and broadcast), each
+    past all trees, wherever these lie: a task keeps the k best of the block so far, which bound the next
+    tree, and passes k rows a query on. So neither vectors nor queries are shuffled again, and results move as
+    k rows a query and task. Where nothing can be ruled out this is the exact scan in blocks.
+
+    Cases: vectors or ids that are null take no part; shorter vectors count as filled up with zeros; equal rows
+    are candidates each (ties between them, and between ids, go to the smaller id), and one query; an id with different
+    vectors is a query for each; scores beyond a long are cut to the nearest one; fewer candidates than k
     give all; no rows: none. Columns besides id_col and vector_col are not read.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<long>").alias("v"), is_query.alias("is_query")).where("vec_id is not null and v is not null")
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     facts = rows.agg(F.max(F.size("v")).alias("width"), F.max(square).alias("top"), F.count("*").alias("n")).first()
-    result = "query_id long, vec_id long, score long"
     if not facts["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    width, top, n = max(1, facts["width"]), float(np.sqrt(facts["top"])) + 1e-9, facts["n"]
-    picked = rows.select("v", F.xxhash64("vec_id", F.lit(11)).alias("h"), "vec_id").orderBy("h", "vec_id", "v").limit(sample).select("v").toArrow()
-    pool = _augmented(_matrix(picked["v"].combine_chunks(), width), top)
-    chosen, nearest = [0], None
-    while len(chosen) < min(max_pivots, -(-n // bucket_rows), len(pool)):
-        d = _distances(pool, pool[chosen[-1]])
-        nearest = d if nearest is None else np.minimum(nearest, d)
-        chosen.append(int(nearest.argmax()))
-    pivots = spark.sparkContext.broadcast(pool[chosen])
-
-    def assign(batches):
-        own = pivots.value
-        for batch in batches:
-            m = _matrix(batch.column(1), width)
-            points = _augmented(m, top)
-            to = np.sqrt(np.maximum((points**2).sum(axis=1)[:, None] + (own**2).sum(axis=1) - 2 * points @ own.T, 0))
-            pivot = to.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(m), batch.column(2), pa.array(pivot.astype(np.int32)), pa.array(to[np.arange(len(m)), pivot])], names=["vec_id", "v", "is_query", "pivot", "d"])
-
-    placed = stored(rows.mapInArrow(assign, "vec_id long, v array<long>, is_query boolean, pivot int, d double"), "placed")
-    groups = {r["pivot"]: r for r in placed.groupBy("pivot").agg(F.count("*").alias("n"), F.max("d").alias("radius")).collect()}
-    parts = {p: -(-r["n"] // bucket_rows) for p, r in groups.items()}
-    count = F.element_at(F.create_map(*[F.lit(x) for p, c in parts.items() for x in (p, c)]), F.col("pivot"))
-    bucket = F.concat_ws(":", "pivot", F.pmod(F.xxhash64("vec_id"), count))
-    entries = placed.select(bucket.alias("bucket"), F.lit(0).alias("kind"), "vec_id", "v", F.lit(None).cast("long").alias("worst"))
-
-    def search(batches):
-        state = {"bucket": None, "tree": None}
+    width, top = max(1, facts["width"]), float(np.sqrt(facts["top"])) * (1 + 1e-12) + 1e-9
+
+    def celled() -> DataFrame:
+        shared = spark.sparkContext.broadcast(dict(split))
+
+        def run(batches):
+            for batch in batches:
+                m = _matrix(batch.column(1), width)
+                cell = _cell_of(shared.value, _augmented(m, top))
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(m), batch.column(2), pa.array(cell)], names=["vec_id", "v", "is_query", "cell"])
+
+        return rows.mapInArrow(run, "vec_id long, v array<long>, is_query boolean, cell long")
+
+    split, made, counts, settled = {}, 1, {0: facts["n"]}, set()
+    while crowded := [c for c, m in counts.items() if m > bucket_rows and c not in settled]:
+        room = (max_pivots - made) // len(crowded)
+        if room < 2:
+            break
+        each = max(2, sample // len(crowded))
+        first = Window.partitionBy("cell").orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v")
+        placed = celled().where(F.col("cell").isin(crowded))
+        pool = placed.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= each).select("cell", "v").orderBy("cell", "_n").toArrow()
+        at, points = pool["cell"].to_numpy(), _augmented(_matrix(pool["v"].combine_chunks(), width), top)
+        for c in crowded:
+            own = points[at == c]
+            chosen = _far_apart(own, min(room, 64, max(2, -(-2 * counts[c] // bucket_rows))))
+            if len(chosen) < 2:
+                settled.add(c)
+            else:
+                split[c] = own[chosen], made
+                made += len(chosen)
+        counts = {r["cell"]: r["n"] for r in celled().groupBy("cell").agg(F.count("*").alias("n")).collect()}
+
+    parts = F.element_at(F.create_map(*[F.lit(x) for c, m in counts.items() for x in (c, -(-m // bucket_rows))]), F.col("cell"))
+    bucketed = celled().withColumn("bucket", F.concat_ws(":", "cell", F.pmod(F.monotonically_increasing_id(), parts))).drop("cell")
+
+    def build(batches):
+        """A row for each bucket's tree, and one for each query of the bucket with its k-th score there."""
         held: list[pa.RecordBatch] = []
 
-        def tree() -> MTree:
-            if state["tree"] is None:
-                ids = np.concatenate([b.column(2).to_numpy() for b in held]) if held else np.zeros(0, np.int64)
-                m = np.concatenate([_matrix(b.column(3), width) for b in held]) if held else np.zeros((0, width), np.int64)
-                _, once = np.unique(np.hstack([ids[:, None], m]), axis=0, return_index=True)
-                state["tree"] = MTree(ids[once], m[once], top, page).ready()
-                held.clear()
-            return state["tree"]
+        def closed():
+            ids, m, asks = (np.concatenate(x) for x in zip(*[(b.column(0).to_numpy(), _matrix(b.column(1), width), b.column(2).fill_null(False).to_numpy(zero_copy_only=False)) for b in held]))
+            tree = MTree.load(ids, m, top, page)
+            yield pa.RecordBatch.from_arrays([pa.array([tree.dump()], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.int64())], names=names)
+            if asks.any():
+                w = Wanted(ids[asks], m[asks], k, top)
+                tree.search(w)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(w.ids), pa.binary()), pa.array(w.ids), _lists(m[asks]), pa.array(w.low)], names=names)
 
+        names = ["tree", "vec_id", "v", "worst"]
         for batch in batches:
-            names = np.array(batch.column(0).to_pylist(), dtype=object)
-            cuts = np.concatenate([[0], np.flatnonzero(names[1:] != names[:-1]) + 1, [len(names)]])
+            own = np.array(batch.column(3).to_pylist(), dtype=object)
+            cuts = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)]])
             for a, b in zip(cuts[:-1], cuts[1:]):
-                part = batch.slice(a, b - a)
-                if names[a] != state["bucket"]:
+                if held and held[0].column(3)[0].as_py() != own[a]:
+                    yield from closed()
                     held.clear()
-                    state |= {"bucket": names[a], "tree": None}
-                kinds = part.column(1).to_numpy()
-                e = int((kinds == 0).sum())
-                if e:
-                    held.append(part.slice(0, e))
-                if e == len(kinds):
-                    continue
-                asked = part.slice(e)
-                for c in range(0, asked.num_rows, 1024):
-                    some = asked.slice(c, 1024)
-                    ids = some.column(2).to_numpy()
-                    worst = some.column(4).cast(pa.float64()).fill_null(-np.inf).to_numpy(zero_copy_only=False)
-                    at, found, score = tree().search(_matrix(some.column(3), width), ids, k, worst)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-    def run(questions: DataFrame) -> DataFrame:
-        both = entries.unionByName(questions.select("bucket", F.lit(1).alias("kind"), "vec_id", "v", "worst"))
-        return both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(search, result)
-
-    asked = placed.where("is_query")
-    home = stored(run(asked.select(bucket.alias("bucket"), "vec_id", "v", F.lit(None).cast("long").alias("worst")).distinct()), "home")
-    kth = home.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("low")).where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), F.col("low").alias("worst"))
-    reach = spark.sparkContext.broadcast((np.array([groups[p]["radius"] * (1 + _SLACK) + _SLACK if p in groups else -1.0 for p in range(len(chosen))]), parts))
-
-    def route(batches):
-        own, (radius, split) = pivots.value, reach.value
-        square_of = (own**2).sum(axis=1)
-        for batch in batches:
-            m = _matrix(batch.column(1), width)
-            q = np.hstack([m.astype(np.float64), np.zeros((len(m), 1))])
-            to = np.sqrt(np.maximum((q**2).sum(axis=1)[:, None] + square_of - 2 * q @ own.T, 0))
-            low = np.array([-np.inf if w is None else w for w in batch.column(2).to_pylist()], dtype=np.float64)
-            bound = np.sqrt(np.maximum((q**2).sum(axis=1) + top * top - 2 * low, 0)) * (1 + _SLACK) + _SLACK
-            who, pivot = np.nonzero((radius >= 0) & (to - radius <= bound[:, None] + _SLACK * to))
-            names, at = [], []
-            for i, p in zip(who.tolist(), pivot.tolist()):
-                for part in range(split[p]):
-                    names.append(f"{p}:{part}")
-                    at.append(i)
-            own_names = batch.column(3).to_pylist()
-            keep = [x for x in range(len(at)) if names[x] != own_names[at[x]]]
-            at = np.array([at[x] for x in keep], dtype=np.int64)
-            for a in range(0, len(at), 5000):
-                take = pa.array(at[a : a + 5000])
-                yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in keep[a : a + 5000]], pa.string()), batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take)], names=["bucket", "vec_id", "v", "worst"])
-
-    routed = asked.select("vec_id", "v", bucket.alias("own")).distinct().join(kth, "vec_id", "left").select("vec_id", "v", "worst", "own").mapInArrow(route, "bucket string, vec_id long, v array<long>, worst long")
-    every = home.unionByName(run(routed))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from closed()
+
+    built = stored(bucketed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(build, "tree binary, vec_id long, v array<long>, worst long"), "trees")
+    trees = built.where("tree is not null").select("tree")
+    asked = built.where("tree is null").groupBy("vec_id", "v").agg(F.max("worst").alias("worst"))
+    asked = stored(asked.withColumn("q", F.monotonically_increasing_id()), "queries")
+    blocks = -(-asked.count() // block)
+    if not blocks:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+
+    def ranked(questions: pa.Table) -> DataFrame:
+        shared = spark.sparkContext.broadcast((questions["q"].to_numpy(), questions["vec_id"].to_numpy(), _matrix(questions["v"].combine_chunks(), width), questions["worst"].to_numpy()))
+
+        def run(batches):
+            q, ids, m, worst = shared.value
+            w = Wanted(ids, m, k, top, worst.copy())
+            for batch in batches:
+                for tree in batch.column(0):
+                    MTree.undump(tree.as_py()).search(w)
+            for a in range(0, len(q), 5000):
+                at, place = np.nonzero(w.score[a : a + 5000] != _NONE)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q[a + at], ids[a + at], w.found[a + at, place], w.score[a + at, place])], names=["q", "query_id", "vec_id", "score"])
+
+        order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+        best = trees.mapInArrow(run, "q long, query_id long, vec_id long, score long").withColumn("rank", F.row_number().over(order))
+        return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    if blocks == 1:
+        return ranked(asked.toArrow())
+    path = scratch_path(spark, "questions")
+    asked.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks))).repartition("block").write.partitionBy("block").parquet(path)
+    out = None
+    for b in range(blocks):
+        own = spark.read.schema(asked.schema).parquet(f"{path}/block={b}").toArrow()
+        found = stored(ranked(own), "ranked")
+        out = found if out is None else out.union(found)
+    return out
 
 
 def op4_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from waymark.llm.components import components
 from waymark.llm.superminhash import signatures
 from waymark.llm.textbytes import NON_SPACE, U64, list_of_longs, mix, shingles, words
 
-_SIGNED = "n_shingles long, d1 long, d2 long, bands array<long>, k1 long, k2 long, odd array<long>"
+_SIGNED = "n_shingles long, d1 long, d2 long, bands array<long>, odd array<long>"
 
 #: Bits of an odd sketch, in words of 64.
 _ODD_WORDS = 16
@@ -29,7 +29,6 @@ def _odd_sketch(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.packbits((bits & 1).astype(np.uint8).reshape(-1, _ODD_WORDS * 64), axis=1).view(np.int64)
 
 
-
 def _sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of each set's values modulo 2**64."""
     total = np.zeros(len(values) + 1, dtype=np.uint64)
@@ -38,10 +37,10 @@ def _sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, bands, k1, k2) per row of (doc_id, text).
+    """(doc_id, n_shingles, d1, d2, bands, odd) per row of (doc_id, text).
 
-    d1, d2: a 128-bit digest of the shingle set; bands: a hash for each band of the signature;
-    k1, k2: 128 bits, one of each of the first 128 slots' values; odd: the odd sketch of the set.
+    d1, d2: a 128-bit digest of the shingle set; bands: a hash for each band of the signature; odd: the
+    odd sketch of the set.
     """
     m = bands * rows
     salt = mix(np.arange(1, bands + 1, dtype=np.uint64))
@@ -53,15 +52,12 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             counts = np.diff(at)
             sig = signatures(h, at, m)
             cut = mix((sig.reshape(-1, bands, rows) * odd).sum(axis=2, dtype=np.uint64) + salt)
-            bits = np.packbits((mix(sig[:, : min(m, 128)]) & U64(1)).astype(np.uint8), axis=1)
-            bits = np.pad(bits, ((0, 0), (0, 16 - bits.shape[1])))
-            k = np.ascontiguousarray(bits).view(np.int64)
             filled = np.flatnonzero(counts > 0)
             where = np.zeros(len(counts) + 1, dtype=np.int64)
             np.cumsum(np.where(counts > 0, bands, 0), out=where[1:])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(w.first, w.last - w.first), pa.array(counts.astype(np.int64)), *_digests(h, at), list_of_longs(cut[filled].reshape(-1), where), pa.array(k[:, 0]), pa.array(k[:, 1]), list_of_longs(_odd_sketch(h, at).reshape(-1), np.arange(len(counts) + 1) * _ODD_WORDS)],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands", "k1", "k2", "odd"],
+                [batch.column(0).slice(w.first, w.last - w.first), pa.array(counts.astype(np.int64)), *_digests(h, at), list_of_longs(cut[filled].reshape(-1), where), list_of_longs(_odd_sketch(h, at).reshape(-1), np.arange(len(counts) + 1) * _ODD_WORDS)],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands", "odd"],
             )
 
     return arrow_map(docs, f"doc_id long, {_SIGNED}", one)
@@ -91,7 +87,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.withColumn("both", common).where(F.col("both") * 100 >= (F.col("n_u") + F.col("n_v") - F.col("both")) * percent).select("u", "v").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, band): the rarest shingles of each set, as many as its intersection with any partner can't do without.
+
+    Partners share at least `percent` of a set's n shingles, so one of its n - ceil(n * percent / 100) + 1 first ones
+    in any order of all shingles, here by count, is among the partner's.
+    """
+    items = sets.select("node", "n", F.explode("items").alias("band"))
+    ranked = items.join(items.groupBy("band").agg(F.count("*").alias("often")).where("often > 1"), "band", "left")
+    own = ranked.groupBy("node").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "band"))).alias("all"))
+    least = F.expr(f"(n * {percent} + 99) div 100").cast("int")
+    return own.select("node", F.explode(F.slice("all", F.lit(1), F.col("n").cast("int") - least + 1)).alias("_s")).select("node", F.col("_s.band").alias("band"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, exact: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of docs.
 
     Words are runs of non-space after A-Z are lower-cased; a document's set holds its distinct
@@ -102,10 +111,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     Exact copies fall into one node by the digest of their sets, so a large group of copies
     costs a row each. Nodes that share a band (missed with probability (1 - 0.8**4)**32 < 1e-7
     at the threshold) are compared in two passes: with the node of their bucket that shares most
-    buckets, and then, across components only, with all others of the bucket that a bound on sizes, an
-    exact bound from odd sketches and a 128-bit sketch (seven standard deviations below the
-    threshold) leave; none of these is a row of its own. Every link is
-    confirmed on full sets. Groups come from union-find on partitions, then star contraction.
+    buckets, and then, across components only, with all others of the bucket that two exact bounds, on
+    sizes and on the difference of sets by odd sketches, leave. Every link is confirmed on full sets. Groups
+    come from union-find on partitions, then star contraction.
+
+    exact misses nothing: nodes then meet by their prefix tokens instead of bands, at the price of
+    counting all shingles and sorting each set by rarity.
 
     Cases: null or wordless text: empty set, linked with nothing. Rows that repeat an id are
     linked, and each of their texts has its own links. A null id is never linked; its row keeps component_id null and kept true. No rows: none.
@@ -114,16 +125,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(sign(docs, size, bands, rows), "signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
-    by_digest = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("odd").alias("odd"), F.count("*").alias("copies"))
+    by_digest = filled.groupBy("d1", "d2").agg(F.min("doc_id").alias("low"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd"), F.count("*").alias("copies"))
     nodes = stored(by_digest.withColumn("node", F.monotonically_increasing_id()), "nodes")
     copies = filled.select("doc_id", "d1", "d2").join(nodes.where("copies > 1").select("d1", "d2", "low"), ["d1", "d2"]).where("doc_id != low").select(F.col("doc_id").alias("u"), F.col("low").alias("v"))
 
-    banded = nodes.select("node", F.explode("bands").alias("band"))
+    def sets_of(some: DataFrame) -> DataFrame:
+        """Full sets of nodes, a row each, from the texts of the documents of their smallest ids."""
+        found = shingle_sets(docs.join(some.select(F.col("low").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
+        return stored(found.dropDuplicates(["d1", "d2"]).join(some, ["d1", "d2"]).select("node", "n", "items"), "sets")
+
+    keys = nodes.select("d1", "d2", "node", "low")
+    if exact:
+        sets = sets_of(keys)
+        banded = _prefixes(sets, percent)
+    else:
+        banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     members = stored(banded.join(buckets, "band"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node").select("d1", "d2", "node", "low")
-    found = shingle_sets(docs.join(wanted.select(F.col("low").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
-    sets = stored(found.dropDuplicates(["d1", "d2"]).join(wanted, ["d1", "d2"]).select("node", "n", "items"), "sets")
+    if not exact:
+        sets = sets_of(keys.join(members.select("node").distinct(), "node"))
 
     # The node whose buckets hold the most others is the likeliest original of a group of copies.
     support = members.groupBy("node").agg(F.sum("members").alias("support"))
@@ -134,14 +154,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     reached = components(first)
     placed = members.select("band", "node").join(reached, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
     split = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("band")
-    open_ = stored(placed.join(split, "band").join(nodes.select("node", "n", "k1", "k2", "odd"), "node"), "open")
+    open_ = stored(placed.join(split, "band").join(nodes.select("node", "n", "odd"), "node"), "open")
     a, b = open_.alias("a"), open_.alias("b")
-    # Equal bits of two signatures' sketches: (1 + J) / 2 of them, give or take.
-    share = (1 + percent / 100) / 2
-    slots = min(bands * rows, 128)
-    agree = int(slots * share - 7 * (slots * share * (1 - share)) ** 0.5)
     cond = (F.col("a.band") == F.col("b.band")) & (F.col("a.part") < F.col("b.part")) & (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-    cond &= F.bit_count(F.col("a.k1").bitwiseXOR(F.col("b.k1"))) + F.bit_count(F.col("a.k2").bitwiseXOR(F.col("b.k2"))) <= slots - agree
     # |A ^ B| <= (|A| + |B|) * (100 - p) / (100 + p) says the same as the threshold, and the odd sketches differ in no more bits.
     odd = F.lit(0)
     for k in range(_ODD_WORDS):
@@ -161,18 +176,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs, with all columns, less all but one document of each group of near_duplicates().
 
-    The document that stays is that of the smallest id. Of rows that repeat an id the smallest, column by
-    column, stays; rows with a null id, which are in no group, all stay.
+    The document that stays is that of the smallest id. Of rows that repeat an id that of the smallest JSON
+    text stays; rows with a null id, which are in no group, all stay. Columns may have any name and type.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    dropped = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    left = docs.join(dropped, id_col, "left_anti").select(docs.columns)
-    again = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
-    if not again.take(1):
-        return left
-    others = [c for c in docs.columns if c != id_col]
-    one = left.join(again, id_col, "left_semi").groupBy(id_col).agg(F.min(F.struct(*others)).alias("_one")).select(id_col, "_one.*").select(docs.columns)
-    return left.join(again, id_col, "left_anti").select(docs.columns).unionByName(one)
+    plain = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    own, text = (f"_{docs.columns.index(c)}" for c in (id_col, text_col))
+    found = near_duplicates(plain, id_col=own, text_col=text, **options)
+    dropped = found.where("not kept").select(F.col("doc_id").alias(own)).distinct()
+    left = plain.join(dropped, own, "left_anti").select(plain.columns)
+    again = plain.where(F.col(own).isNotNull()).groupBy(own).count().where("count > 1").select(own)
+    if again.take(1):
+        whole = F.struct(*plain.columns)
+        one = left.join(again, own, "left_semi").groupBy(own).agg(F.min_by(whole, F.to_json(whole)).alias("_one")).select("_one.*")
+        left = left.join(again, own, "left_anti").select(plain.columns).unionByName(one)
+    return left.toDF(*docs.columns)
 
 
 def op10_superminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

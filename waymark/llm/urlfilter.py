@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.llm.common import arrow_map, read, stored
-from waymark.llm.textbytes import U64, mix, string_bytes
+from waymark.llm.textbytes import string_bytes
 
 #: (action, host, path) of the query's rules.
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("allow", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -50,17 +48,6 @@ def with_rule(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str
     return out.withColumn("rule", rule).withColumn("rule_verdict", verdict).drop("_rest", "_host")
 
 
-@dataclass(frozen=True)
-class Shape:
-    """A small model in memory: contexts of 0 .. order symbols, those of two and more hashed to 2**bits cells each. No query uses it."""
-
-    order: int = 4
-    bits: int = 12
-
-    def cells(self) -> int:
-        return (self.order + 1) * (1 << self.bits) * _SYMBOLS
-
-
 def _places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For the urls' symbols and one end each: row, symbol and place in the row; then the rows' lengths."""
     lengths = np.diff(offsets)
@@ -81,19 +68,6 @@ def _back(symbol: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return back
 
 
-def _positions(data: np.ndarray, offsets: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the urls' symbols and one end each: the row, and the cell of every order (order x place)."""
-    row, symbol, at, lengths = _places(data, offsets)
-    cells = np.empty((shape.order + 1, len(row)), dtype=np.int64)
-    context = np.zeros(len(row), dtype=np.uint64)
-    for k in range(shape.order + 1):
-        if k:
-            context = context * U64(_SYMBOLS + 1) + _back(symbol, at, k).astype(np.uint64) + U64(1)
-        hashed = (mix(context + U64(k << 56)) >> U64(64 - shape.bits)).astype(np.int64) if k > 1 else context.astype(np.int64)
-        cells[k] = ((k << shape.bits) + hashed) * _SYMBOLS + symbol
-    return row, cells, lengths
-
-
 def _grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the urls' symbols and one end each: the row, and the symbol below its `order` symbols of context, six bits each; then lengths."""
     row, gram, at, lengths = _places(data, offsets)
@@ -150,38 +124,6 @@ def gram_scores(counts: DataFrame, order: int) -> DataFrame:
     return mixed.select("gram", "n", F.round((F.log2("_p1") - F.log2("_p0")) * _UNIT).cast("long").alias("score"))
 
 
-def log_probabilities(counts: np.ndarray, shape: Shape) -> np.ndarray:
-    """log2 p(symbol | context) at every cell, Witten-Bell: each order leans on the next shorter one.
-
-    The shorter context of a hashed cell isn't known from the cell, so this returns what scoring needs
-    to mix them: (order + 1, 2, ...) arrays flattened as counts / (total + kinds) and kinds / (total + kinds).
-    """
-    table = counts.reshape(shape.order + 1, 1 << shape.bits, _SYMBOLS).astype(np.float64)
-    total, kinds = table.sum(axis=2, keepdims=True), (table > 0).sum(axis=2, keepdims=True)
-    below = total + kinds
-    share = np.divide(table, below, out=np.zeros_like(table), where=below > 0)
-    lean = np.divide(kinds, below, out=np.ones_like(below), where=below > 0)
-    return np.stack([share.reshape(-1), np.broadcast_to(lean, table.shape).reshape(-1)]).astype(np.float32)
-
-
-def _scores(column: pa.Array, tables: np.ndarray, shape: Shape) -> np.ndarray:
-    """Length-normalised log2 p(rejected model) - log2 p(accepted model), in 1 / 65536 bits; exact sums."""
-    out = np.zeros(len(column), dtype=np.int64)
-    for a, b, data, offsets in _slices(column):
-        _, cells, lengths = _positions(data, offsets, shape)
-        logs = []
-        for c in (0, 1):
-            p = np.full(cells.shape[1], 1 / _SYMBOLS)
-            for k in range(shape.order + 1):
-                p = tables[c, 0][cells[k]] + tables[c, 1][cells[k]] * p
-            logs.append(np.log2(p))
-        each = np.round((logs[1] - logs[0]) * _UNIT).astype(np.int64)
-        sums = np.concatenate([[0], np.cumsum(each)])
-        ends = np.cumsum(lengths)
-        out[a:b] = (sums[ends] - sums[ends - lengths]) // lengths
-    return out
-
-
 def _known(column: pa.Array, table: tuple[np.ndarray, np.ndarray], order: int):
     """Slices of urls: first and last row, rows, grams, where in the table they are and whether, lengths."""
     grams, _ = table

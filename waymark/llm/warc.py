@@ -13,6 +13,8 @@ from waymark.llm.common import read, scratch_path, stored
 _CRLF = "\r\n"
 _END = "\r\n\r\n"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: So many repeated digests, those of most copies, are broadcast: about 120 bytes each.
+_MOST = 1 << 16
 _RECORD = "file string, record_id string, type string, concurrent_to array<string>, refers_to string, target_uri string, date string, payload_digest string, http_length long, block string, payload string"
 
 
@@ -33,7 +35,7 @@ def _record(kind: Column | str, headers: list[tuple[str, Column]], block: Column
     return F.concat(F.concat_ws(_CRLF, F.lit("WARC/1.1"), _text("WARC-Type: ", kind if isinstance(kind, Column) else kind), *lines, length), F.lit(_END), block)
 
 
-def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", least_revisit: int = 100, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
+def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", least_revisit: int = 100, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", most: int = _MOST) -> None:
     """Write request, response or revisit, and metadata records of every row to gzipped WARC files under path.
 
     A payload is the text in UTF-8 (null: empty). Of rows with equal payloads of at least
@@ -43,8 +45,10 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
 
     Every record ends with two CRLFs, so the text sink with that separator writes exact archives
     through Spark's own committer, on any store: no executor keeps a file of its own. A file is as
-    large as an input split. Only digests and ids are shuffled, unless the list of repeated
-    digests is too large to broadcast, which adaptive execution finds out at run time.
+    large as an input split. Which payloads are repeated is found from digests and ids alone. Of the repeated
+    digests the `most` with the most copies are broadcast, with the id of their response's record (fixed size).
+    Only if there are more are rows joined by a shuffle, payloads and all, and then just those whose digest
+    isn't among the broadcast ones: a large group of copies never meets in one task.
 
     Cases: a row whose id is null is no other's response; rows that share the smallest id are all responses,
     and equal rows write equal records; a null url leaves its header out; control characters in urls are percent-encoded;
@@ -54,9 +58,22 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     digest = F.sha2(F.encode(body, "UTF-8"), 256)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), body.alias("body"), digest.alias("digest"), F.octet_length(body).cast("long").alias("n"))
     order = F.struct(F.col("id").isNull().alias("late"), "id", "url")
-    firsts = rows.where(F.col("n") >= least_revisit).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1").where("first.id is not null").select("digest", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"))
+    # An id of the response's record instead of its url: all of fixed size.
+    def record_id(i: Column, u: Column) -> Column:
+        return _uuid("response", i, u, F.col("digest"))
+
+    repeated = rows.where(F.col("n") >= least_revisit).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("copies")).where("copies > 1").where("first.id is not null").select("digest", F.col("first.id").alias("first_id"), record_id(F.col("first.id"), F.col("first.url")).alias("first_record"), "copies")
+    firsts = stored(repeated, "repeated")
+    some = firsts.count() <= most
+    hot = firsts if some else firsts.orderBy(F.desc("copies"), "digest").limit(most)
+    near = rows.join(F.broadcast(hot.drop("copies")), "digest", "left")
+    if not some:
+        hot = stored(hot.select("digest"), "hot")
+        cold = firsts.join(F.broadcast(hot), "digest", "left_anti").drop("copies")
+        known = F.col("first_id").isNotNull() | (F.col("n") < least_revisit)
+        near = near.where(known).unionByName(near.where(~known).drop("first_id", "first_record").join(cold, "digest", "left"))
     again = (F.col("n") >= least_revisit) & F.col("first_id").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first_id")))
-    rows = rows.join(firsts, "digest", "left").withColumn("again", again)
+    rows = near.withColumn("again", again)
     encoded = F.col("url")
     for c in [*range(32), 127]:
         encoded = F.replace(encoded, F.lit(chr(c)), F.lit(f"%{c:02X}"))
@@ -69,7 +86,7 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     request = _record("request", [("WARC-Record-ID", _uuid("request", F.col("id"), F.col("url"), F.col("digest"))), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/http; msgtype=request"))], _text("GET ", F.coalesce(path_of, F.lit("/")), " HTTP/1.1", _CRLF, "Host: ", F.coalesce(F.regexp_extract(url, r"^[^:]*://([^/?#]*)", 1), F.lit("")), _END))
     response = _record(
         F.when(F.col("again"), "revisit").otherwise("response"),
-        [("WARC-Record-ID", own), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), ("WARC-Refers-To", F.when(F.col("again"), _uuid("response", F.col("first_id"), F.col("first_url"), F.col("digest")))), ("WARC-Profile", F.when(F.col("again"), F.lit(_REVISIT))), ("Content-Type", F.lit("application/http; msgtype=response"))],
+        [("WARC-Record-ID", own), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), ("WARC-Refers-To", F.when(F.col("again"), F.col("first_record"))), ("WARC-Profile", F.when(F.col("again"), F.lit(_REVISIT))), ("Content-Type", F.lit("application/http; msgtype=response"))],
         http,
     )
     metadata = _record("metadata", [("WARC-Record-ID", _uuid("metadata", F.col("id"), F.col("url"), F.col("digest"))), ("WARC-Date", stamp), ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))], F.concat(F.coalesce(F.concat(F.lit("page-id: "), F.col("id").cast("string"), F.lit(_CRLF)), F.lit("")), F.lit("via: waymark"), F.lit(_CRLF)))
@@ -178,16 +195,23 @@ def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = captures(records)
     revisit = F.col("response.type") == "revisit"
     rows = found.select(
-        F.col("capture"),
+        "capture",
         F.expr("try_cast(nullif(regexp_extract(metadata[0].block, 'page-id: (-?[0-9]+)', 1), '') as bigint)").alias("page_id"),
         F.when(revisit, F.col("response.http_length")).otherwise(F.col("response.n")).alias("payload_bytes"),
         F.when(revisit, F.regexp_replace("response.payload_digest", "^sha256:", "")).otherwise(F.col("response.sha")).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("to"),
     )
-    targets = rows.where("record_type = 'response'").select(F.col("capture").alias("to"), F.col("page_id").alias("refers_to")).distinct()
-    wanted = rows.where("to is not null").select("to").distinct()
-    return rows.join(targets.join(wanted, "to", "left_semi"), "to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    rows = stored(rows, "captures")
+    # Only revisits look for their response, salted, as a response may have any number of them.
+    salts = 16
+    revisits = rows.where("to is not null").withColumn("salt", F.pmod(F.xxhash64("capture"), F.lit(salts)))
+    wanted = revisits.select("to").distinct()
+    targets = rows.where("record_type = 'response'").select(F.col("capture").alias("to"), F.col("page_id").alias("refers_to")).distinct().join(wanted, "to", "left_semi")
+    salted = targets.select("to", "refers_to", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    plain = rows.where("to is null").withColumn("refers_to", F.lit(None).cast("long"))
+    return plain.select(*names).unionByName(revisits.join(salted, ["to", "salt"], "left").select(*names))
 
 
 OP8_SQL = """
