@@ -305,7 +305,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int =
             else:
                 split[c] = own[chosen], made
                 made += len(chosen)
-        counts = {r["cell"]: r["n"] for r in celled().groupBy("cell").agg(F.count("*").alias("n")).collect()}
+        before, counts = counts, {r["cell"]: r["n"] for r in celled().groupBy("cell").agg(F.count("*").alias("n")).collect()}
+        # A cell that keeps nearly all rows of the one it is split from isn't split any more.
+        settled |= {c for p, (pivots, first) in split.items() if p in before for c in range(first, first + len(pivots)) if counts.get(c, 0) > 0.9 * before[p]}
 
     parts = F.element_at(F.create_map(*[F.lit(x) for c, m in counts.items() for x in (c, -(-m // bucket_rows))]), F.col("cell"))
     bucketed = celled().withColumn("bucket", F.concat_ws(":", "cell", F.pmod(F.monotonically_increasing_id(), parts))).drop("cell")
