@@ -36,21 +36,6 @@ def test_query_matches_sql(spark, name):
     assert sorted(got, key=str) == sorted(map(plain, want), key=str) and got
 
 
-#: Queries whose registered SQL still leaves frames out, with the filter to take from it.
-CUTS = [
-    ("pass_overlap", "where seq % 2 = 0"),
-    ("exact_seams", "where seq % 3 = 0"),
-    ("corridor_guard", "where seq % 5 = 0"),
-]
-
-
-@pytest.mark.parametrize("name, cut", CUTS)
-def test_query_runs_over_all_frames(spark, name, cut):
-    names, want = duck(ORACLES[name].replace(cut, ""))
-    got = [plain(x) for x in QUERIES[name](spark, SMALL).select(*names).collect()]
-    assert sorted(got, key=str) == sorted(map(plain, want), key=str) and got
-
-
 def test_geodesy_of_known_places(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0), (90.0, 0.0, 0.0), (45.0, 45.0, 100.0)], "lat double, lon double, alt double")
     x, y, z = geo.ecef(F.col("lat"), F.col("lon"), F.col("alt"))

@@ -50,7 +50,7 @@ def geodetic(x: Column, y: Column, z: Column) -> tuple[Column, Column, Column]:
     phi = F.atan2(z + F.lit(EP2 * B) * s * s * s, r - F.lit(E2 * A) * c * c * c)
     n = F.lit(A) / F.sqrt(F.greatest(1 - F.lit(E2) * F.sin(phi) * F.sin(phi), F.lit(1e-12)))
     polar = r < 1e-9
-    lat = F.when(polar, F.signum(z) * 90.0).otherwise(F.degrees(phi))
+    lat = F.when(polar, F.when(z < 0, -90.0).otherwise(90.0)).otherwise(F.degrees(phi))
     lon = F.when(polar, F.lit(0.0)).otherwise(F.degrees(F.atan2(y, x)))
     alt = F.when(polar, F.abs(z) - B).otherwise(r / F.cos(phi) - n)
     return lat, lon, alt

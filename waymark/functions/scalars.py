@@ -62,3 +62,9 @@ def focal(width: Column, fov: Column) -> Column:
 def degrees_per_metre(lat0: float) -> tuple[float, float]:
     """(lat, lon) degrees of one metre, the footprint's approximation."""
     return 1 / 111320.0, 1 / (111320.0 * max(1e-6, math.cos(math.radians(lat0))))
+
+
+def frame_rate(fraction: Column) -> Column:
+    """Frames a second of `num/den` or a plain number; null where the denominator is 0."""
+    parts = F.split(fraction, "/")
+    return F.try_divide(F.get(parts, F.lit(0)).try_cast("double"), F.coalesce(F.get(parts, F.lit(1)).try_cast("double"), F.lit(1.0)))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.scalars import focal, held_out
+from waymark.functions.scalars import focal, frame_number, held_out
+from waymark.operators.shared import with_place
 
 
 def override(profiles: DataFrame, by: str = "name", order: str = "dir_order") -> DataFrame:
@@ -18,32 +19,35 @@ def detect_profiles(files: DataFrame, profiles: DataFrame) -> DataFrame:
     """files (path, tracks, width, height) with profile and score; null if none fits.
 
     A rule column that is null fits all: suffixes, tracks, sizes (strings like 4096x1344). The score is the
-    priority, and 100 more for a size rule; of equals the first in load_order wins. profiles is a registry
-    of a few rows and is broadcast only as such: the join is refused above 10,000.
+    priority, and 100 more for a size rule; of equals the first in load_order wins. Files and profiles meet by suffix, each
+    profile once for every suffix it lists; those that list none are joined on the number of tracks, or all, if they name none.
     """
-    if profiles.limit(10_001).count() > 10_000:
-        raise ValueError("too many profiles to broadcast")
     f = files.withColumn("_suffix", F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))).withColumn("_size", F.concat_ws("x", "width", "height"))
-    p = F.broadcast(profiles.select(F.col("name").alias("profile"), "priority", "suffixes", F.col("tracks").alias("_tracks"), "sizes", "load_order"))
-    fits = (F.col("suffixes").isNull() | F.array_contains("suffixes", F.col("_suffix"))) & (F.col("_tracks").isNull() | (F.col("_tracks") == F.col("tracks"))) & (F.col("sizes").isNull() | F.array_contains("sizes", F.col("_size")))
+    p = profiles.select(F.col("name").alias("profile"), "priority", "suffixes", F.col("tracks").alias("_tracks"), "sizes", "load_order")
+    listed = p.where("suffixes is not null").withColumn("_suffix", F.explode(F.array_distinct("suffixes")))
+    every = p.where("suffixes is null")
+    by_tracks, rest = every.where("_tracks is not null"), every.where("_tracks is null")
+    either = f.join(listed, "_suffix").unionByName(f.join(by_tracks, F.col("tracks") == F.col("_tracks"))).unionByName(f.withColumn("_any", F.lit(1)).join(rest.withColumn("_any", F.lit(1)), "_any").drop("_any"))
+    fits = (F.col("_tracks").isNull() | (F.col("_tracks") == F.col("tracks"))) & (F.col("sizes").isNull() | F.array_contains("sizes", F.col("_size")))
     score = F.col("priority") + F.when(F.col("sizes").isNotNull(), 100).otherwise(0)
-    best = f.join(p, fits).groupBy("path").agg(F.min(F.struct((-score).alias("minus"), "load_order", "profile")).alias("_b"))
+    best = either.where(fits).groupBy("path").agg(F.min(F.struct((-score).alias("minus"), "load_order", "profile")).alias("_b"))
     return files.join(best.select("path", F.col("_b.profile").alias("profile"), (-F.col("_b.minus")).alias("score")), "path", "left")
 
 
 def queue_status(events: DataFrame, now: object, lease_s: float = 3600.0, retries: int = 2) -> DataFrame:
-    """(stage, item, attempts, state) of queue events (stage, item, ts, kind: claim, heartbeat, done, failed).
+    """(stage, item, attempts, state, stale) of queue events (stage, item, ts, kind: claim, heartbeat, done, failed).
 
-    done outranks a lock within its lease (running), then as many failures as retries (failed), then pending.
-    A failure or done releases the lock; a lock whose last claim or heartbeat is older than the lease is stale.
+    done outranks a held lock (running), then as many failures as retries (failed), then pending. A failure or done
+    releases the lock. stale marks a held lock whose last claim or heartbeat is older than the lease: it counts
+    as running until a worker takes it over.
     """
     held = F.max(F.when(F.col("kind").isin("claim", "heartbeat"), F.col("ts")))
     freed = F.max(F.when(F.col("kind").isin("done", "failed"), F.col("ts")))
     out = events.groupBy("stage", "item").agg(F.count_if(F.col("kind") == "done").alias("_done"), F.count_if(F.col("kind") == "failed").alias("attempts"), held.alias("_held"), freed.alias("_freed"))
     age = F.lit(now).cast("timestamp").cast("double") - F.col("_held").cast("timestamp").cast("double")
-    running = F.col("_held").isNotNull() & (F.col("_freed").isNull() | (F.col("_held") > F.col("_freed"))) & (age < lease_s)
+    running = F.col("_held").isNotNull() & (F.col("_freed").isNull() | (F.col("_held") > F.col("_freed")))
     state = F.when(F.col("_done") > 0, "done").when(running, "running").when(F.col("attempts") >= retries, "failed").otherwise("pending")
-    return out.select("stage", "item", "attempts", state.alias("state"))
+    return out.select("stage", "item", "attempts", state.alias("state"), ((state == "running") & (age >= lease_s)).alias("stale"))
 
 
 def status_counts(status: DataFrame) -> DataFrame:
@@ -51,9 +55,16 @@ def status_counts(status: DataFrame) -> DataFrame:
 
 
 def holdout(images: DataFrame, every: int) -> DataFrame:
-    """Names (variant, name) kept for evaluation; an image without digits goes by its place among its variant's names."""
-    idx = F.row_number().over(Window.partitionBy("variant").orderBy("name")) - 1
-    return images.withColumn("_i", idx).where(held_out(F.col("name"), F.col("_i"), every)).select("variant", "name")
+    """Names (variant, name) kept for evaluation; an image without digits goes by its place among its variant's names.
+
+    Places are only worked out if some name has no digits, and then without sorting a variant in one task.
+    """
+    number = frame_number(F.col("name"))
+    if not images.where(number.isNull()).take(1):
+        return images.where(held_out(F.col("name"), F.lit(0), every)).select("variant", "name")
+    placed = with_place(images.select("variant", "name"), "variant", "name")
+    starts = placed.groupBy("variant").agg(F.min("place").alias("_first"))
+    return placed.join(starts, "variant").where(held_out(F.col("name"), F.col("place") - F.col("_first"), every)).select("variant", "name")
 
 
 def common_holdout(images: DataFrame, every: int) -> DataFrame:
@@ -91,3 +102,55 @@ def virtual_cameras(views: DataFrame) -> DataFrame:
 def missing(names: DataFrame, listed: DataFrame, key: str = "name") -> DataFrame:
     """Names cited but not listed."""
     return names.join(listed, key, "left_anti")
+
+
+def only_named(items: DataFrame, parts: list[str] | None, key: str = "name") -> DataFrame:
+    """Items whose name contains one of the parts; no parts: all."""
+    if not parts:
+        return items
+    return items.where(F.exists(F.array(*[F.lit(p) for p in parts]), lambda p: F.contains(F.col(key), p)))
+
+
+def listed_only(images: DataFrame, names: DataFrame, key: str = "name") -> DataFrame:
+    """Images whose name a list (rows of name, blanks around it and blank lines ignored) has."""
+    wanted = names.select(F.trim(F.col(key)).alias(key)).where(F.col(key) != "").distinct()
+    return images.join(wanted, key, "left_semi")
+
+
+def with_geo(images: DataFrame, geo: DataFrame, rel: str = "rel") -> DataFrame:
+    """Images (rel, ...) that the geo index (rel, lat, lon, alt) knows, with their position."""
+    return images.join(geo.select(rel, "lat", "lon", "alt"), rel)
+
+
+def own_or_parent(own: DataFrame, parent: DataFrame, images: DataFrame, key: str = "chunk", seq: str = "seq") -> DataFrame:
+    """Frame records of each chunk: its own (chunk, seq, ...), else those of the parent (seq, ...) whose images it has (chunk, seq)."""
+    rest = images.select(key, seq).distinct().join(own.select(key).distinct(), key, "left_anti")
+    return own.unionByName(rest.join(parent, seq).select(own.columns))
+
+
+def envelope_choice(files: DataFrame) -> DataFrame:
+    """(dir, name): of a folder's listing (dir, name) the envelope to read: envelope.json, else the older corridor.json."""
+    order = F.when(F.col("name") == "envelope.json", 0).when(F.col("name") == "corridor.json", 1)
+    return files.where(order.isNotNull()).groupBy("dir").agg(F.min_by("name", order).alias("name"))
+
+
+def rename_plan(files: DataFrame) -> DataFrame:
+    """(dir, state) of a listing (dir, name): rename where only the older envelope is, clash where both are, skip where it is renamed already."""
+    has = {n: F.bool_or(F.col("name") == n) for n in ("corridor.json", "envelope.json")}
+    state = F.when(F.col("_old") & F.col("_new"), "clash").when(F.col("_old"), "rename").otherwise("skip")
+    out = files.where(F.col("name").isin("corridor.json", "envelope.json")).groupBy("dir").agg(has["corridor.json"].alias("_old"), has["envelope.json"].alias("_new"))
+    return out.select("dir", state.alias("state"))
+
+
+def refreshed(envelopes: DataFrame) -> DataFrame:
+    """(chunk, version, kind, ...) of envelope versions (chunk, version, source): current for the latest, gps for the one kept aside.
+
+    A refresh puts a solved corridor in the place of the one from positions, which is kept aside once: the latest version whose
+    source is gps (or unknown) before a newer one took its place.
+    """
+    w = Window.partitionBy("chunk").orderBy("version")
+    source = F.coalesce("source", F.lit("gps"))
+    out = envelopes.withColumn("_last", F.lead("version").over(w).isNull()).withColumn("_aside", (source == "gps") & F.lead("version").over(w).isNotNull())
+    aside = F.max(F.when(F.col("_aside"), F.col("version"))).over(Window.partitionBy("chunk"))
+    out = out.withColumn("kind", F.when(F.col("_last"), "current").when(F.col("_aside") & (F.col("version") == aside), "gps"))
+    return out.where("kind is not null").drop("_last", "_aside")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.operators.passes import split_passes, thin
+from waymark.operators.shared import checkpointed, with_place
 
 
 def corridor_points(frames: DataFrame, by: list[str], spacing: float = 5.0, gap_m: float = 30.0, gap_s: float = 30.0) -> DataFrame:
@@ -75,20 +76,34 @@ def near_corridor(points: DataFrame, key: list[str], segs: DataFrame, radius: fl
 
 
 def nearest_on_corridor(points: DataFrame, key: str, segs: DataFrame, reach: float) -> DataFrame:
-    """points with (d, qx, qy, qz): the nearest place of the corridor in space; null beyond `reach`.
+    """points with (d, qx, qy, qz): the nearest place of the corridor in space, at any distance; null without segments.
 
-    The same grid of cells bounds the candidates; ties go to the first pass and segment.
+    A segment goes to the grid cells of size `reach` that its box, widened by reach, covers, and a point to its own, so a place
+    within reach is proven nearest. Points that find none go on with four times the reach, until all have one: few
+    rounds, each an equi-join of the rows still open, which are written between rounds. Ties go to the first pass
+    and segment.
     """
-    size = F.lit(float(reach))
-    grid = segs.withColumn("_gx", F.explode(F.sequence(F.floor((F.least("ax", "bx") - reach) / size), F.floor((F.greatest("ax", "bx") + reach) / size))))
-    grid = grid.withColumn("_gy", F.explode(F.sequence(F.floor((F.least("ay", "by_") - reach) / size), F.floor((F.greatest("ay", "by_") + reach) / size))))
     p, a, b = [F.col(c) for c in ("x", "y", "z")], [F.col(c) for c in ("ax", "ay", "az")], [F.col(c) for c in ("bx", "by_", "bz")]
-    pairs = points.select(key, "x", "y", "z", F.floor(F.col("x") / size).alias("_gx"), F.floor(F.col("y") / size).alias("_gy")).join(grid, ["_gx", "_gy"])
     t = _share(p, a, b)
     at = [x + t * (y - x) for x, y in zip(a, b)]
     hit = F.struct(_square(p, a, b).alias("d2"), F.col("pass").alias("pass"), F.col("idx").alias("idx"), *[q.alias(n) for q, n in zip(at, ("qx", "qy", "qz"))])
-    best = pairs.groupBy(key).agg(F.min(hit).alias("_q")).where(F.col("_q.d2") <= reach * reach)
-    return points.join(best, key, "left").withColumn("d", F.sqrt("_q.d2")).withColumn("qx", F.col("_q.qx")).withColumn("qy", F.col("_q.qy")).withColumn("qz", F.col("_q.qz")).drop("_q")
+    wait = points.select(key, "x", "y", "z").where("x is not null and y is not null and z is not null").distinct()
+    found = None
+    if not segs.take(1):
+        none = F.lit(None).cast("double")
+        return points.withColumns({c: none for c in ("d", "qx", "qy", "qz")})
+    while True:
+        size = F.lit(float(reach))
+        grid = segs.withColumn("_gx", F.explode(F.sequence(F.floor((F.least("ax", "bx") - reach) / size), F.floor((F.greatest("ax", "bx") + reach) / size))))
+        grid = grid.withColumn("_gy", F.explode(F.sequence(F.floor((F.least("ay", "by_") - reach) / size), F.floor((F.greatest("ay", "by_") + reach) / size))))
+        pairs = wait.withColumns({"_gx": F.floor(F.col("x") / size), "_gy": F.floor(F.col("y") / size)}).join(grid, ["_gx", "_gy"])
+        best = checkpointed(pairs.groupBy(key).agg(F.min(hit).alias("_q")).where(F.col("_q.d2") <= reach * reach))
+        found = best if found is None else found.union(best)
+        wait = checkpointed(wait.join(best.select(key), key, "left_anti"))
+        if not wait.take(1):
+            break
+        reach *= 4
+    return points.join(found, key, "left").withColumn("d", F.sqrt("_q.d2")).withColumn("qx", F.col("_q.qx")).withColumn("qy", F.col("_q.qy")).withColumn("qz", F.col("_q.qz")).drop("_q")
 
 
 def guard(nearest: DataFrame, radius: float, z_lo: float, z_hi: float, margin: float = 0.0) -> DataFrame:
@@ -99,3 +114,12 @@ def guard(nearest: DataFrame, radius: float, z_lo: float, z_hi: float, margin: f
     for c in ("x", "y", "z"):
         out = out.withColumn(f"g{c}", F.col(f"q{c}") + (F.col(c) - F.col(f"q{c}")) * pull)
     return out.withColumn("gz", F.greatest(F.lit(z_lo), F.least(F.lit(z_hi), F.col("gz"))))
+
+
+def union_corridors(points: DataFrame, headers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chunks' corridors as one of the world: points (chunk, pass, seq, x, y, z) with passes numbered through, and the header.
+
+    Passes count on from chunk to chunk, in order of (chunk, pass); the table of passes, a row each, is numbered.
+    """
+    passes = with_place(points.select("chunk", "pass").distinct(), "chunk", "pass", name="_all")
+    return points.join(passes, ["chunk", "pass"]).withColumn("pass", F.col("_all")).drop("_all"), world_corridor(headers)

@@ -37,23 +37,35 @@ def chunk_manifest(members: DataFrame, cell_m: float) -> DataFrame:
     return out
 
 
-def camera_rule(cameras: DataFrame, seen: DataFrame, cells: DataFrame, rule: str = "inria", halo: float = 40.0, least: int = 50) -> DataFrame:
+def _boxed(points: DataFrame, cells: DataFrame, grow: Column, grid_m: float) -> DataFrame:
+    """points with the chunk of every cell whose box, grown, holds them, edges included: boxes are expanded to grid squares, so this is an equi-join."""
+    box = cells.select("chunk", *[(F.col(c) + d * grow).alias(f"_{c}") for c, d in (("x0", -1), ("y0", -1), ("x1", 1), ("y1", 1))])
+    for axis in "xy":
+        box = box.withColumn(f"_g{axis}", F.explode(F.sequence(cell(F.col(f"_{axis}0"), grid_m), cell(F.col(f"_{axis}1"), grid_m))))
+    placed = points.withColumns({f"_g{axis}": cell(F.col(axis), grid_m) for axis in "xy"})
+    inside = F.col("x").between(F.col("_x0"), F.col("_x1")) & F.col("y").between(F.col("_y0"), F.col("_y1"))
+    return placed.join(box, ["_gx", "_gy"]).where(inside).select("chunk", *points.columns)
+
+
+def camera_rule(cameras: DataFrame, seen: DataFrame, cells: DataFrame, rule: str = "inria", halo: float = 40.0, least: int = 50, grid_m: float = 200.0) -> DataFrame:
     """Cameras dealt to cells: (chunk, image_id).
 
-    crop: every camera to every cell; cell: those inside the cell and its halo, edges included; inria:
-    those, and cameras in a box twice the cell's size that observe at least `least` points inside the bare
+    crop: every camera to every cell, which is what the rule says; cell: those inside the cell and its halo, edges included;
+    inria: those, and cameras in a box twice the cell's size that observe at least `least` points inside the bare
     cell. cameras (image_id, x, y); seen (image_id, x, y of an observed point); cells (chunk, x0, y0, x1, y1).
+    Points and boxes meet in grid squares of grid_m, best the cells' own size.
     """
-    c = F.broadcast(cells)
     if rule == "crop":
-        return cameras.join(c).select("chunk", "image_id")
-
-    def inside(grow: Column | float) -> Column:
-        return (F.col("x") >= F.col("x0") - grow) & (F.col("x") <= F.col("x1") + grow) & (F.col("y") >= F.col("y0") - grow) & (F.col("y") <= F.col("y1") + grow)
-
-    inner = cameras.join(c, inside(halo)).select("chunk", "image_id")
+        return cameras.crossJoin(cells).select("chunk", "image_id")
+    inner = _boxed(cameras, cells, F.lit(halo), grid_m).select("chunk", "image_id")
     if rule == "cell":
         return inner
-    outer = cameras.join(c, inside((F.col("x1") - F.col("x0")) / 2)).select("chunk", "image_id")
-    enough = seen.join(c, inside(0.0)).groupBy("chunk", "image_id").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    outer = _boxed(cameras, cells, (F.col("x1") - F.col("x0")) / 2, grid_m).select("chunk", "image_id")
+    enough = _boxed(seen, cells, F.lit(0.0), grid_m).groupBy("chunk", "image_id").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return inner.union(outer.join(enough, ["chunk", "image_id"], "left_semi")).distinct()
+
+
+def manifest_totals(manifest: DataFrame) -> DataFrame:
+    """One row: chunks, and memberships and own frames over all of them."""
+    zero = F.lit(0).cast("bigint")
+    return manifest.agg(F.count("*").alias("chunks"), F.coalesce(F.sum("frames"), zero).alias("memberships"), F.coalesce(F.sum("core_frames"), zero).alias("core_frames"))

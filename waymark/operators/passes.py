@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.functions.geo import enu
+
 
 def number_rows(df: DataFrame, key: str, *order: str, name: str = "seq") -> DataFrame:
     """Gapless numbers from 0 over (key, order), without sorting all rows in one place.
@@ -30,26 +36,75 @@ def split_passes(frames: DataFrame, by: list[str], gap_m: float = 30.0, gap_s: f
     return frames.withColumn("_cut", cut.cast("int")).withColumn("pass", F.sum("_cut").over(w).cast("int")).drop("_cut")
 
 
+def _fold(df: DataFrame, by: list[str], order: list[str], columns: list[str], out: str, start: Callable[[], list], step: Callable[[list, tuple], Iterator[tuple]], end: Callable[[list], Iterator[tuple]]) -> DataFrame:
+    """(by, out): rows of each group, in order, through a state of fixed size.
+
+    A group's rows meet by one shuffle and stream sorted through one task, batch by batch, so a group of any length needs
+    the memory of its state alone. start() makes the state, step() takes a row's columns and gives rows, end() gives the last.
+    """
+    rows = df.select(*by, *columns)
+    keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*by).schema)
+    schema = f"{keys}, {out}"
+    types = None
+
+    def run(batches):
+        nonlocal types
+        own, state, held = None, None, []
+        n = len(by)
+
+        def batch():
+            names = [*by, *[c.split()[0] for c in out.split(", ")]]
+            arrays = [pa.array(c, t) for c, t in zip(zip(*held), types)]
+            held.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
+        for rows in batches:
+            if types is None:
+                kinds = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+                types = [*[rows.schema.field(k).type for k in range(n)], *[kinds[c.split()[1]] for c in out.split(", ")]]
+            for row in zip(*[c.to_pylist() for c in rows.columns]):
+                key = row[:n]
+                if state is None or key != own:
+                    if state is not None:
+                        held += [(*own, *r) for r in end(state)]
+                    own, state = key, start()
+                held += [(*own, *r) for r in step(state, row[n:])]
+            if held:
+                yield batch()
+        if state is not None:
+            held += [(*own, *r) for r in end(state)]
+            if held:
+                yield batch()
+
+    return rows.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(run, schema)
+
+
 def thin(points: DataFrame, by: list[str], spacing: float) -> DataFrame:
     """Greedy thinning of (seq, x, y, z): a point stays if it is at least `spacing` from the last that stayed.
 
-    The first and last points stay; fewer than three points, or no spacing, change nothing.
+    The first and last points stay; fewer than three points, or no spacing, change nothing. A point without a
+    position stays only as first or last.
     """
     if spacing <= 0:
         return points
-    row = "struct<seq:bigint,x:double,y:double,z:double>"
-    start = F.struct(F.array().cast(f"array<{row}>").alias("kept"), F.lit(None).cast(row).alias("last"))
 
-    def step(acc: Column, r: Column) -> Column:
-        far = acc["last"].isNull() | (F.sqrt(F.pow(r["x"] - acc["last"]["x"], 2) + F.pow(r["y"] - acc["last"]["y"], 2)) >= spacing)
-        return F.when(far, F.struct(F.array_append(acc["kept"], r).alias("kept"), r.alias("last"))).otherwise(acc)
+    def step(state, r):
+        far = not state
+        if state and None not in (r[1], r[2], state[0][1], state[0][2]):
+            dx, dy = r[1] - state[0][1], r[2] - state[0][2]
+            far = math.sqrt(dx * dx + dy * dy) >= spacing
+        if far:
+            state[:] = [r, None]
+            yield r
+        else:
+            state[1] = r
+
+    def end(state):
+        if state[1]:
+            yield state[1]
 
-    rows = F.array_sort(F.collect_list(F.struct(F.col("seq").cast("bigint").alias("seq"), *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")])))
-    grouped = points.groupBy(*by).agg(rows.alias("_rows"))
-    kept = F.aggregate("_rows", start, step, lambda a: a["kept"])
-    last = F.element_at("_rows", -1)
-    whole = F.when(F.size("_rows") < 3, F.col("_rows")).when(F.element_at("_kept", -1)["seq"] == last["seq"], F.col("_kept")).otherwise(F.array_append("_kept", last))
-    return grouped.withColumn("_kept", kept).select(*by, F.explode(whole).alias("_row")).select(*by, "_row.*")
+    plain = points.select(*by, F.col("seq").cast("bigint").alias("seq"), *[F.col(c).cast("double").alias(c) for c in "xyz"])
+    return _fold(plain, by, ["seq", "x", "y", "z"], ["seq", "x", "y", "z"], "seq bigint, x double, y double, z double", list, step, end)
 
 
 def select_frames(candidates: DataFrame, by: list[str], spacing: float) -> DataFrame:
@@ -61,17 +116,19 @@ def select_frames(candidates: DataFrame, by: list[str], spacing: float) -> DataF
     """
     if spacing <= 0:
         return candidates.select(*by, "seg", "i", "dist", "sharp")
-    row = "struct<seg:int,i:bigint,dist:double,sharp:double>"
-    start = F.struct(F.lit(0.0).alias("mark"), F.lit(None).cast(row).alias("best"), F.array().cast(f"array<{row}>").alias("kept"))
 
-    def step(acc: Column, r: Column) -> Column:
-        held = F.when(acc["best"].isNull() | (acc["best"]["seg"] != r["seg"]) | (r["sharp"] > acc["best"]["sharp"]), r).otherwise(acc["best"])
-        taken = F.struct((r["dist"] + spacing).alias("mark"), F.lit(None).cast(row).alias("best"), F.array_append(acc["kept"], held).alias("kept"))
-        return F.when(r["dist"] >= acc["mark"], taken).otherwise(F.struct(acc["mark"].alias("mark"), held.alias("best"), acc["kept"].alias("kept")))
+    def step(state, r):
+        mark, best = state
+        if best is None or best[0] != r[0] or (r[3] is not None and best[3] is not None and r[3] > best[3]):
+            best = r
+        if r[2] is not None and r[2] >= mark:
+            yield best
+            mark, best = r[2] + spacing, None
+        state[:] = mark, best
 
-    rows = F.array_sort(F.collect_list(F.struct(F.col("seg").cast("int").alias("seg"), F.col("i").cast("bigint").alias("i"), F.col("dist").cast("double").alias("dist"), F.col("sharp").cast("double").alias("sharp"))))
-    kept = F.aggregate("_rows", start, step, lambda a: a["kept"])
-    return candidates.groupBy(*by).agg(rows.alias("_rows")).select(*by, F.explode(kept).alias("_row")).select(*by, "_row.*")
+    columns = {"seg": "int", "i": "bigint", "dist": "double", "sharp": "double"}
+    plain = candidates.select(*by, *[F.col(c).cast(t).alias(c) for c, t in columns.items()])
+    return _fold(plain, by, list(columns), list(columns), ", ".join(f"{c} {t}" for c, t in columns.items()), lambda: [0.0, None], step, lambda state: iter(()))
 
 
 def nudge_times(samples: DataFrame, by: list[str]) -> DataFrame:
@@ -79,17 +136,19 @@ def nudge_times(samples: DataFrame, by: list[str]) -> DataFrame:
 
     A row without a time takes the last; if none of a group has one, the time is the row's number i.
     """
-    start = F.struct(F.lit(-1.0).alias("last"), F.array().cast("array<struct<i:bigint,t:double>>").alias("kept"))
 
-    def step(acc: Column, r: Column) -> Column:
-        t = F.coalesce(r["t"], acc["last"])
-        t = F.when(t <= acc["last"], acc["last"] + 1e-3).otherwise(t)
-        return F.struct(t.alias("last"), F.array_append(acc["kept"], F.struct(r["i"].alias("i"), t.alias("t"))).alias("kept"))
+    def step(state, r):
+        i, t, some = r
+        if not some:
+            yield i, None if i is None else float(i)
+            return
+        t = state[0] if t is None else t
+        state[0] = state[0] + 1e-3 if t <= state[0] else t
+        yield i, state[0]
 
-    rows = F.array_sort(F.collect_list(F.struct(F.col("i").cast("bigint").alias("i"), F.col("t").cast("double").alias("t"))))
-    plain = F.transform("_rows", lambda r: F.struct(r["i"].alias("i"), r["i"].cast("double").alias("t")))
-    kept = F.when(F.exists("_rows", lambda r: r["t"].isNotNull()), F.aggregate("_rows", start, step, lambda a: a["kept"])).otherwise(plain)
-    return samples.groupBy(*by).agg(rows.alias("_rows")).select(*by, F.explode(kept).alias("_row")).select(*by, "_row.*")
+    plain = samples.select(*by, F.col("i").cast("bigint").alias("i"), F.col("t").cast("double").alias("t"))
+    plain = plain.withColumn("_some", F.count("t").over(Window.partitionBy(*by)) > 0)
+    return _fold(plain, by, ["i", "t"], ["i", "t", "_some"], "i bigint, t double", lambda: [-1.0], step, lambda state: iter(()))
 
 
 def interpolate(samples: DataFrame, wanted: DataFrame, by: str, columns: list[str]) -> DataFrame:
@@ -115,6 +174,34 @@ def track_distance(points: DataFrame, by: list[str], order: str = "seq") -> Data
     return points.withColumn("_step", F.coalesce(step, F.lit(0.0))).withColumn("dist", F.sum("_step").over(w)).drop("_step")
 
 
+def near_fence(frames: DataFrame, near: tuple[float, float], radius_m: float) -> DataFrame:
+    """Frames (lat, lon) within radius_m of a place in its plane; those without a position aren't. Applied after selection."""
+    e, n, _ = enu(F.col("lat"), F.col("lon"), F.lit(0.0), (*near, 0.0))
+    return frames.where(e * e + n * n <= radius_m * radius_m)
+
+
+def reachable_segments(segments: DataFrame, samples: DataFrame, near: tuple[float, float], radius_m: float, slack_s: float = 1.0, slack_m: float = 25.0) -> DataFrame:
+    """Segments (video, seg, start_s, end_s) that some sample (video, t, lat, lon) of theirs brings within radius_m + slack_m.
+
+    A sample counts for a segment within slack_s of it. Segments and samples meet by the second: a segment is expanded to
+    the seconds it spans, so the time condition is an equi-join; videos without samples keep all their segments.
+    """
+    e, n, _ = enu(F.col("lat"), F.col("lon"), F.lit(0.0), (*near, 0.0))
+    reach = (radius_m + slack_m) ** 2
+    close = samples.where(e * e + n * n <= reach).select("video", "t", F.floor("t").alias("_s"))
+    spans = segments.select("video", "seg", "start_s", "end_s", F.explode(F.sequence(F.floor(F.col("start_s") - slack_s), F.floor(F.col("end_s") + slack_s))).alias("_s"))
+    hit = spans.join(close, ["video", "_s"]).where(F.col("t").between(F.col("start_s") - slack_s, F.col("end_s") + slack_s)).select("video", "seg").distinct()
+    known = samples.select("video").distinct()
+    return segments.join(hit, ["video", "seg"], "left_semi").unionByName(segments.join(known, "video", "left_anti"))
+
+
+def zip_streams(streams: DataFrame, by: list[str]) -> DataFrame:
+    """(by, i, t, paths): candidates (by, stream, i, t, path) of all streams, cut to the shortest stream; paths by stream, t of the first."""
+    n = streams.select(*by, "stream").distinct().groupBy(*by).agg(F.count("*").alias("_n"))
+    rows = streams.groupBy(*by, "i").agg(F.min(F.struct("stream", "t")).alias("_t"), F.array_sort(F.collect_list(F.struct("stream", "path"))).alias("_p"))
+    return rows.join(n, by).where(F.size("_p") == F.col("_n")).select(*by, "i", F.col("_t.t").alias("t"), F.col("_p.path").alias("paths"))
+
+
 def clip_segments(clips: DataFrame, seconds: float) -> DataFrame:
     """Pieces (seg, start_s, end_s) of each clip's duration; the last is shorter."""
     pieces = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("duration") / seconds).cast("int") - 1))

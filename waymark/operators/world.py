@@ -56,3 +56,21 @@ def level_of_detail(tiles: DataFrame, keep: float, sh: bool = True, tie: list[st
     w = Window.partitionBy("chunk")
     ranked = tiles.withColumn("_c", c).withColumn("_r", F.row_number().over(w.orderBy(F.col("_c").desc(), *tie))).withColumn("_n", F.count("*").over(w))
     return ranked.where(F.col("_r") <= F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(keep)))).select(cols)
+
+
+def lod_totals(tiles: DataFrame, kept: DataFrame, source_bytes: int, kept_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """What a level of detail keeps: (chunk, source, gaussians) and one row of totals.
+
+    Bytes are rows times the bytes a row takes, before and after: (source, gaussians, gaussians_share, source_bytes, bytes, bytes_share).
+    """
+    each = tiles.groupBy("chunk").agg(F.count("*").alias("source")).join(kept.groupBy("chunk").agg(F.count("*").alias("gaussians")), "chunk", "left").na.fill(0, ["gaussians"])
+    zero = F.lit(0).cast("bigint")
+    total = each.agg(F.coalesce(F.sum("source"), zero).alias("source"), F.coalesce(F.sum("gaussians"), zero).alias("gaussians"))
+    total = total.withColumn("source_bytes", F.col("source") * source_bytes).withColumn("bytes", F.col("gaussians") * kept_bytes)
+    share = {n: F.col(a) / F.greatest(F.col(b), F.lit(1)) for n, a, b in (("gaussians_share", "gaussians", "source"), ("bytes_share", "bytes", "source_bytes"))}
+    return each, total.withColumns(share)
+
+
+def with_level(catalogue: DataFrame, level: DataFrame, key: str = "name") -> DataFrame:
+    """A world's catalogue of levels with one level's rows put in the place of the rows of its name."""
+    return catalogue.join(level.select(key).distinct(), key, "left_anti").unionByName(level)

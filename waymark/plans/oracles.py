@@ -8,7 +8,7 @@ fx_earned as (select ox as cx, oy as cy from fx_own group by 1, 2 having count(*
 fx_dx as (select distinct seq, cast(floor((x + d) / 20.0e0) as int) as cx from fx_own, (values (-4.0e0), (0.0e0), (4.0e0)) v(d)),
 fx_dy as (select distinct seq, cast(floor((y + d) / 20.0e0) as int) as cy from fx_own, (values (-4.0e0), (0.0e0), (4.0e0)) v(d)),
 fx_members as (
-  select 'chunk_x' || cx || '_y' || cy as chunk, cx, cy, o.seq, o.video, o.x, o.y, o.z, cx = ox and cy = oy as is_core
+  select 'chunk_x' || cx || '_y' || cy as chunk, cx, cy, o.seq, o.video, o.t, o.x, o.y, o.z, cx = ox and cy = oy as is_core
   from fx_own o join fx_dx using (seq) join fx_dy using (seq) join fx_earned using (cx, cy)
 )"""
 
@@ -38,25 +38,49 @@ fx_fold(video, pass, seq, x, y, z, i, n, kx, ky, kept) as (
 ),
 fx_corridor as (select video, pass, seq, round(x, 3) as x, round(y, 3) as y, round(z, 3) as z from fx_fold where n >= 2 and (kept or i = n or n < 3))"""
 
-_CHUNK_POINTS = f"""{_MEMBERS},
-fx_points as (select chunk, seq, x, y, z + ((cx * 7 + cy * 13) % 5) * 0.9e0 as z from fx_members)"""
+_TRACKS = f"""{_MEMBERS},
+fx_points as (select chunk, seq, video, t, x, y, z + ((cx * 7 + cy * 13) % 5) * 0.9e0 as z from fx_members),
+fx_tcut as (
+  select *, case when lag(seq) over w is not null and (coalesce(sqrt(pow(x - lag(x) over w, 2) + pow(y - lag(y) over w, 2)) > 30, false) or video <> lag(video) over w or coalesce(abs(t - lag(t) over w) > 30, false)) then 1 else 0 end as cut
+  from fx_points window w as (partition by chunk order by seq)
+),
+fx_tpass as (select *, cast(sum(cut) over (partition by chunk order by seq rows between unbounded preceding and current row) as int) as pass from fx_tcut),
+fx_tn as (select *, row_number() over (partition by chunk, pass order by seq) as i, count(*) over (partition by chunk, pass) as n from fx_tpass),
+fx_tfold(chunk, pass, seq, x, y, z, i, n, kx, ky, kept) as (
+  select chunk, pass, seq, x, y, z, i, n, x, y, true from fx_tn where i = 1
+  union all
+  select r.chunk, r.pass, r.seq, r.x, r.y, r.z, r.i, r.n,
+    case when sqrt(pow(r.x - f.kx, 2) + pow(r.y - f.ky, 2)) >= 5.0 then r.x else f.kx end, case when sqrt(pow(r.x - f.kx, 2) + pow(r.y - f.ky, 2)) >= 5.0 then r.y else f.ky end,
+    sqrt(pow(r.x - f.kx, 2) + pow(r.y - f.ky, 2)) >= 5.0
+  from fx_tfold f join fx_tn r on r.chunk = f.chunk and r.pass = f.pass and r.i = f.i + 1
+),
+fx_tracks as (select chunk, pass, seq, round(x, 3) as x, round(y, 3) as y, round(z, 3) as z from fx_tfold where n >= 2 and (kept or i = n or n < 3))"""
 
-_SEAMS = f"""{_CHUNK_POINTS},
+_SEAMS = f"""{_TRACKS},
 fx_dz as (
-  select a.chunk as a, b.chunk as b, abs(a.z - b.z) as dz from fx_points a join fx_points b
+  select a.chunk as a, b.chunk as b, abs(cast(round(a.z * 1000) as bigint) - cast(round(b.z * 1000) as bigint)) as dz from fx_tracks a join fx_tracks b
     on floor(a.x / 6.0e0) = floor(b.x / 6.0e0) and floor(a.y / 6.0e0) = floor(b.y / 6.0e0) and a.chunk < b.chunk and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 36.0e0
 ),
-fx_seams as (select a, b, count(*) as pairs, quantile_cont(dz, 0.5) as median_dz, quantile_cont(dz, 0.9) as p90_dz from fx_dz group by a, b having count(*) >= 20)"""
+fx_seams as (select a, b, count(*) as pairs, quantile_cont(dz, 0.5) / 1000 as median_dz, quantile_cont(dz, 0.9) / 1000 as p90_dz from fx_dz group by a, b having count(*) >= 20)"""
 
-_SEGS = f"""{_CHUNK_POINTS},
-fx_path as (select * from fx_points where seq % 5 = 0),
+_SEGS = f"""{_TRACKS},
 fx_segs as (
-  select * from (select chunk, x as ax, y as ay, lead(x) over w as bx, lead(y) over w as by_ from fx_path window w as (partition by chunk order by seq)) where bx is not null
+  select * from (select chunk, x as ax, y as ay, lead(x) over w as bx, lead(y) over w as by_ from fx_tracks window w as (partition by chunk, pass order by seq)) where bx is not null
 ),
-fx_band as (select chunk, min(z) - 1.0e0 as z_lo, max(z) + 1.0e0 as z_hi from fx_path group by chunk)"""
+fx_band as (select chunk, min(z) - 1.0e0 as z_lo, max(z) + 1.0e0 as z_hi from fx_tracks group by chunk)"""
 
 _SHARE2 = "greatest(0.0e0, least(1.0e0, ((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / greatest((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay), 1e-12)))"
 
+_MERGED = f"""{_SEGS}, {GAUSSIANS_SQL},
+      box as (select distinct chunk, cx * 20.0e0 as x0, cy * 20.0e0 as y0, (cx + 1) * 20.0e0 as x1, (cy + 1) * 20.0e0 as y1 from fx_members),
+      g as (select g.*, row_number() over () as rid, x >= x0 and x < x1 and y >= y0 and y < y1 as owned from fx_gaussians g join box using (chunk)),
+      near as (
+        select distinct rid from (
+          select g.rid, g.x as px, g.y as py, ax, ay, bx, by_ from g join fx_segs using (chunk) join fx_band using (chunk) where owned and z between z_lo and z_hi
+        ) where pow(px - ax - {_SHARE2} * (bx - ax), 2) + pow(py - ay - {_SHARE2} * (by_ - ay), 2) <= 2.25e0
+      ),
+      k as (select rid from near union select rid from g where owned and chunk not in (select chunk from fx_segs))"""
+
 ORACLES = {
     "frame_sequence": f"with {FRAMES_SQL} select * from fx_frames",
     "geo_round_trip": f"with {FRAMES_SQL} select seq, round(x, 3) as e, round(y, 3) as n, round(z, 3) as u from fx_frames",
@@ -100,33 +124,24 @@ ORACLES = {
         round(case when k is null then fy when t2 is null then y else y + (y2 - y) * ((qt - t) / (t2 - t)) end, 6) as y,
         round(case when k is null then fz when t2 is null then z else z + (z2 - z) * ((qt - t) / (t2 - t)) end, 6) as z
       from j join f on f.video = j.video""",
-    "seam_pairs": f"with {_SEAMS} select a, b, pairs, round(median_dz, 6) as median_dz, round(p90_dz, 6) as p90_dz, case when median_dz < 1 then 'agree' when median_dz < 3 then 'marginal' else 'DISAGREE' end as verdict from fx_seams",
-    "seam_report": f"""with {_SEAMS}, bad as (select a as c from fx_seams where median_dz >= 3 union select b from fx_seams where median_dz >= 3)
+    "seam_pairs": f"with recursive {_SEAMS} select a, b, pairs, round(median_dz, 6) as median_dz, round(p90_dz, 6) as p90_dz, case when median_dz < 1 then 'agree' when median_dz < 3 then 'marginal' else 'DISAGREE' end as verdict from fx_seams",
+    "seam_report": f"""with recursive {_SEAMS}, bad as (select a as c from fx_seams where median_dz >= 3 union select b from fx_seams where median_dz >= 3)
       select count(*) as seams, round(quantile_cont(median_dz, 0.5), 6) as median, round(max(median_dz), 6) as worst, (select coalesce(string_agg(c, ',' order by c), '') from bad) as offenders from fx_seams""",
-    "seam_gate": f"""with {_SEAMS} select count(*) as seams, round(list_sort(list(median_dz))[count(*) // 2 + 1], 6) as upper_median, round(max(median_dz), 6) as worst, count(*) = 0 as skipped, count(*) > 0 and coalesce(max(median_dz) <= 3, false) as ok from fx_seams""",
+    "seam_gate": f"""with recursive {_SEAMS} select count(*) as seams, round(list_sort(list(median_dz))[count(*) // 2 + 1], 6) as upper_median, round(max(median_dz), 6) as worst, count(*) = 0 as skipped, count(*) > 0 and coalesce(max(median_dz) <= 3, false) as ok from fx_seams""",
     "footprint_overlap": f"""with {_MANIFEST}, h as (select min(x / 3) as hx0, min(y / 3) as hy0, max(x / 3) as hx1, max(y / 3) as hy1 from fx_frames where seq % 2 = 0),
       s as (select chunk, greatest(0.0e0, least(x1, hx1) - greatest(x0, hx0)) * greatest(0.0e0, least(y1, hy1) - greatest(y0, hy0)) / ((x1 - x0) * (y1 - y0)) as share from fx_manifest, h)
       select chunk, round(share, 6) as share from s where share > 0.30""",
-    "merge_totals": f"""with {_SEGS}, {GAUSSIANS_SQL},
-      box as (select distinct chunk, cx * 20.0e0 as x0, cy * 20.0e0 as y0, (cx + 1) * 20.0e0 as x1, (cy + 1) * 20.0e0 as y1 from fx_members),
-      g as (select g.*, row_number() over () as rid, x >= x0 and x < x1 and y >= y0 and y < y1 as owned from fx_gaussians g join box using (chunk)),
-      near as (
-        select distinct rid from (
-          select g.rid, g.x as px, g.y as py, ax, ay, bx, by_ from g join fx_segs using (chunk) join fx_band using (chunk) where owned and z between z_lo and z_hi
-        ) where pow(px - ax - {_SHARE2} * (bx - ax), 2) + pow(py - ay - {_SHARE2} * (by_ - ay), 2) <= 2.25e0
-      ),
-      k as (select rid from near union select rid from g where owned and chunk not in (select chunk from fx_segs))
-      select chunk, count(*) as source, count(*) filter (owned) as owned, count(k.rid) as kept from g left join k on k.rid = g.rid group by chunk""",
+    "merge_totals": f"""with recursive {_MERGED} select chunk, count(*) as source, count(*) filter (owned) as owned, count(k.rid) as kept from g left join k on k.rid = g.rid group by chunk""",
     "lod_tiles": f"""with {GAUSSIANS_SQL},
       a as (select *, list_reverse_sort([exp(greatest(-30.0e0, least(20.0e0, scale_0))), exp(greatest(-30.0e0, least(20.0e0, scale_1))), exp(greatest(-30.0e0, least(20.0e0, scale_2)))]) as ax from fx_gaussians),
       r as (select *, row_number() over (partition by chunk order by (1 / (1 + exp(-opacity))) * ax[1] * ax[2] desc, idx, p, s, e) as r, count(*) over (partition by chunk) as n from a)
       select chunk, idx, p, s, e, opacity from r where r <= greatest(1, round_even(n * 0.125e0, 0))""",
-    "corridor_guard": f"""with {FRAMES_SQL},
-      seg as (select * from (select x as ax, y as ay, z as az, lead(x) over w as bx, lead(y) over w as by_, lead(z) over w as bz from fx_frames where seq % 40 < 8 window w as (partition by video, seq // 40 order by seq)) where bx is not null),
-      q as (select seq, x as px, y as py, z as pz from fx_frames where seq % 5 = 0),
+    "corridor_guard": f"""with recursive {_CORRIDOR},
+      seg as (select * from (select x as ax, y as ay, z as az, lead(x) over w as bx, lead(y) over w as by_, lead(z) over w as bz from fx_corridor window w as (partition by video, pass order by seq)) where bx is not null),
+      q as (select seq, x + (seq % 9 - 4) as px, y + (seq % 5 - 2) * 1.5e0 as py, z + (seq % 4 - 1) as pz from fx_frames),
       d as (select q.*, ax, ay, az, bx, by_, bz, case when (bx-ax)*(bx-ax)+(by_-ay)*(by_-ay)+(bz-az)*(bz-az) < 1e-12 then 0.0e0 else greatest(0.0e0, least(1.0e0, ((px-ax)*(bx-ax)+(py-ay)*(by_-ay)+(pz-az)*(bz-az)) / greatest((bx-ax)*(bx-ax)+(by_-ay)*(by_-ay)+(bz-az)*(bz-az), 1e-12))) end as t from q, seg),
       m as (select seq, min(pow(px - ax - t*(bx-ax), 2) + pow(py - ay - t*(by_-ay), 2) + pow(pz - az - t*(bz-az), 2)) as d2 from d group by seq)
-      select q.seq, case when d2 <= 16 then round(sqrt(d2), 6) end as d, coalesce(d2 <= 16 and sqrt(d2) <= 2 and pz between -1 and 1, false) as inside from q join m using (seq)""",
+      select q.seq, round(sqrt(d2), 6) as d, sqrt(d2) <= 2 and pz between -1 and 1 as inside from q join m using (seq)""",
     "residual_summary": f"""with {FRAMES_SQL}, d as (select sqrt(pow(x + (seq % 13) / 10.0e0 - x, 2) + pow(y - (seq % 7) / 10.0e0 - y, 2)) as d from fx_frames)
       select count(*) as images, round(quantile_cont(d, 0.5), 6) as median, round(quantile_cont(d, 0.9), 6) as p90, round(max(d), 6) as max from d""",
     "residuals_by_video": f"""with {FRAMES_SQL}, d as (select video, sqrt(pow(x + (seq % 13) / 10.0e0 - x, 2) + pow(y - (seq % 7) / 10.0e0 - y, 2)) as d, (z + seq % 3) - z as v, z + seq % 3 as z from fx_frames)
@@ -159,14 +174,14 @@ ORACLES = {
       d as (select *, case when sqrt(tx*tx + ty*ty) > 0 then -ty / sqrt(tx*tx + ty*ty) else 0 end as nx, case when sqrt(tx*tx + ty*ty) > 0 then tx / sqrt(tx*tx + ty*ty) else 0 end as ny from c)
       select seq, round(x + nx * 3.0, 4) as lx, round(y + ny * 3.0, 4) as ly, round(x - nx * 3.0, 4) as rx, round(y - ny * 3.0, 4) as ry, round(z - 1.5, 4) as z from d""",
     "pass_pair_matrix": f"""with {FRAMES_SQL},
-      r as (select cast(substr(video, 2) as int) as pass, min(seq) as lo, max(seq) as hi from fx_frames group by video having cast(substr(video, 2) as int) % 2 = 0),
+      r as (select cast(substr(video, 2) as int) as pass, min(seq) as lo, max(seq) as hi from fx_frames group by video),
       i as (select f.seq, min(pass) as pass from fx_frames f join r on f.seq between lo and hi group by f.seq),
       e as (select a.pass as p, b.pass as q from (select seq, k from fx_frames, (values (1), (40), (95)) v(k) where (seq * 7 + k) % 40 > 15) x join i a on a.seq = x.seq join i b on b.seq = x.seq + x.k),
       h as (select least(p, q) as a, greatest(p, q) as b, count(*) as pairs from e group by 1, 2)
       select a, b, pairs from h union all select b, a, pairs from h where a <> b""",
     "queue_state": """with q as (select 'stage' || (user_id % 4) as stage, cast(user_id * 100 + event_id % 97 as varchar) as item, ts, case event_type when 'signup' then 'claim' when 'view' then 'heartbeat' when 'purchase' then 'done' when 'error' then 'failed' end as kind from events),
       s as (select stage, item, count(*) filter (kind = 'done') as done, count(*) filter (kind = 'failed') as failed, max(ts) filter (kind in ('claim', 'heartbeat')) as held, max(ts) filter (kind in ('done', 'failed')) as freed from q where kind is not null group by 1, 2),
-      t as (select stage, case when done > 0 then 'done' when held is not null and (freed is null or held > freed) and epoch(timestamp '2024-02-01 00:00:00') - epoch(held) < 1728000 then 'running' when failed >= 2 then 'failed' else 'pending' end as state from s)
+      t as (select stage, case when done > 0 then 'done' when held is not null and (freed is null or held > freed) then 'running' when failed >= 2 then 'failed' else 'pending' end as state from s)
       select stage, count(*) filter (state = 'done') as done, count(*) filter (state = 'running') as running, count(*) filter (state = 'failed') as failed, count(*) filter (state = 'pending') as pending from t group by stage""",
     "holdout_common": f"with {FRAMES_SQL} select printf('cam3/%06d.jpg', seq) as name from fx_frames where seq % 8 = 0 and seq % 3 <> 1",
     "sequence_ranking": """with p as (select * from events where event_type <> 'error'), s as (select user_id, count(*) as size from p group by 1 having count(*) >= 60)
@@ -187,8 +202,8 @@ _VERTICES = f"""{FRAMES_SQL}, v as (select cast(substr(video, 2) as bigint) as p
 
 ORACLES |= {
     "weak_pass_list": f"""{_MATRIX}, w as (select a as pass, coalesce(sum(pairs) filter (a = b), 0)::bigint as intra, coalesce(sum(pairs) filter (a <> b), 0)::bigint as cross from m group by a)
-      select pass, intra, "cross" from w where intra > 0 and "cross" < 0.6 * intra""".replace(" as cross", ' as "cross"'),
-    "pass_components": f"""{_MATRIX.replace("with ", "with recursive ", 1)}, l as (select a, b from m where a % 8 = b % 8 or a + b = 22), c(node, root) as (select distinct a, a from l union select l.b, c.root from c join l on l.a = c.node)
+      select pass, intra, "cross" from w where intra > 0 and "cross" < 1.0 * intra""".replace(" as cross", ' as "cross"'),
+    "pass_components": f"""{_MATRIX.replace("with ", "with recursive ", 1)}, l as (select a, b from m), c(node, root) as (select distinct a, a from l union select l.b, c.root from c join l on l.a = c.node)
       select node as pass, min(root) as "group" from c group by node""",
     "capture_centres": f"""with {FRAMES_SQL}, i as (select seq, x + k as x, y, z from fx_frames, (values (0), (1), (2), (3), (4), (5)) v(k) where (seq + k) % 17 <> 0 and (seq + k) % 5 <> 0)
       select seq, round(avg(x), 3) as x, round(avg(y), 3) as y, round(avg(z), 3) as z from i group by seq""",
@@ -204,11 +219,11 @@ ORACLES |= {
     "largest_pass": f"""with {_PASSES}, n as (select video, pass, count(*) as points from fx_passes group by 1, 2) select video, pass, points from n qualify row_number() over (partition by video order by points desc, pass) = 1""",
     "pass_cover": f"""with {_VERTICES}, n as (select pass, count(*) as n from v group by pass), h as (select distinct a.pass, a.seq, b.pass as other from v a join v b on a.pass <> b.pass and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= 4)
       select h.pass, other, round(count(*) / any_value(n)::double, 6) as share from h join n on n.pass = h.pass group by h.pass, other""",
-    "exact_seams": f"""with {_CHUNK_POINTS}, p as (select * from fx_points where seq % 3 = 0), d as (select a.chunk as a, b.chunk as b, abs(a.z - b.z) as dz from p a join p b on a.chunk < b.chunk and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 36.0e0),
-      s as (select a, b, count(*) as pairs, quantile_cont(dz, 0.5) as m, quantile_cont(dz, 0.9) as p from d group by a, b having count(*) >= 20)
+    "exact_seams": f"""with recursive {_TRACKS}, d as (select a.chunk as a, b.chunk as b, abs(cast(round(a.z * 1000) as bigint) - cast(round(b.z * 1000) as bigint)) as dz from fx_tracks a join fx_tracks b on a.chunk < b.chunk and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 36.0e0),
+      s as (select a, b, count(*) as pairs, quantile_cont(dz, 0.5) / 1000 as m, quantile_cont(dz, 0.9) / 1000 as p from d group by a, b having count(*) >= 20)
       select a, b, pairs, round(m, 6) as median_dz, round(p, 6) as p90_dz, case when m < 1 then 'agree' when m < 3 then 'marginal' else 'DISAGREE' end as verdict from s""",
-    "pass_overlap": f"""with {_VERTICES}, w as (select * from v where seq % 2 = 0), d as (select a.pass as a, b.pass as b, a.seq, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) as d from w a join w b on a.pass < b.pass group by 1, 2, 3),
-      n as (select pass, count(*) as n from w group by pass)
+    "pass_overlap": f"""with {_VERTICES}, d as (select a.pass as a, b.pass as b, a.seq, min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) as d from v a join v b on a.pass < b.pass group by 1, 2, 3),
+      n as (select pass, count(*) as n from v group by pass)
       select a, b, count(*) as near, round(count(*) / any_value(n)::double, 6) as share, round(quantile_cont(d, 0.5), 4) as median from d join n on n.pass = a where d < 3 group by a, b""",
     "cube_layouts": """with p as (select distinct p_size * 64 + 3000 as w, p_size * 16 + 900 as h from part), s as (select w, h, (w - h) // 2 as side, (w - h) // 2 - h as blend from p)
       select w, h, side, blend, round((2 * (0.5e0 / (1 - 2 * (blend / side::double))) - 1) * 45, 6) as overlap_deg from s""",
@@ -219,5 +234,73 @@ ORACLES |= {
     "missing_images": f"with {FRAMES_SQL} select seq as name from fx_frames where seq % 2 = 0 and seq % 3 = 0",
 }
 
+_IMAGES = f"""{FRAMES_SQL}, i as (select seq as image_id, printf('cam%d/%06d.jpg', seq % 3, seq) as name, * from fx_frames)"""
+_LISTING = """l as (select distinct 'chunk_' || p_size as dir, name from (select *, ['corridor.json', 'envelope.json', 'meta.json'][p_partkey % 7 % 3 + 1] as name from part) where p_partkey % 10 < p_size % 4 or name = 'meta.json')"""
+_KEPT = f"""{GAUSSIANS_SQL}, n as (select chunk, count(*) as n from fx_gaussians group by chunk)"""
+
+ORACLES |= {
+    "manifest_totals": f"with {_MANIFEST} select count(*) as chunks, cast(sum(frames) as bigint) as memberships, cast(sum(core_frames) as bigint) as core_frames from fx_manifest",
+    "chunk_files": f"""with {_MANIFEST}, m as (select chunk, count(*) as members, min(seq) as first_seq, round(sum(z), 3) as z from fx_members group by chunk)
+      select chunk, members, first_seq, z, frames, core_frames, passes from m join fx_manifest using (chunk)""",
+    "world_files": f"""with recursive {_MERGED} select chunk, count(k.rid) as gaussians, cast(sum(p) filter (k.rid is not null) as bigint) as parts, count(*) as source, count(*) filter (owned) as owned, count(k.rid) as kept from g left join k on k.rid = g.rid group by chunk having count(k.rid) > 0""",
+    "level_files": f"""with {_KEPT} select name, chunk, cast(keep as double) as keep, cast(greatest(1, round_even(n * keep, 0)) as bigint) as gaussians from n, (values ('far', 0.125e0), ('near', 0.5e0)) v(name, keep)""",
+    "lod_rollup": f"""with {_KEPT}, t as (select cast(sum(n) as bigint) as source, cast(sum(greatest(1, round_even(n * 0.125e0, 0))) as bigint) as gaussians from n)
+      select source, gaussians, source * 248 as source_bytes, gaussians * 68 as bytes, round(gaussians / source::double, 6) as gaussians_share, round(gaussians * 68 / (source * 248)::double, 6) as bytes_share from t""",
+    "envelope_refresh": f"""with recursive {_TRACKS}, e as (select chunk, count(distinct pass) as passes, count(*) as points, round(min(z) - 8.0, 3) as z_lo from fx_tracks group by chunk)
+      select chunk, 2 as version, 'sfm' as source, 'current' as kind, cast(passes as int) as passes, cast(points as int) as points, z_lo from e where chunk like '%_y0'
+      union all select chunk, 1, 'gps', case when chunk like '%_y0' then 'gps' else 'current' end, cast(passes as int), cast(points as int), z_lo from e""",
+    "world_points": f"""with recursive {_TRACKS}, p as (select chunk, pass, count(*) as points, min(seq) as first_seq from fx_tracks group by 1, 2)
+      select chunk, row_number() over (order by chunk, pass) - 1 as pass, points, first_seq from p""",
+    "world_header": f"""with recursive {_TRACKS} select cast(max(length(chunk)) as double) as radius_m, round(min(z) - 8.0, 6) as z_lo, round(max(z) + 8.0, 6) as z_hi from fx_tracks""",
+    "moved_cameras": f"""with {FRAMES_SQL}, m as (select sqrt(pow((x + (seq % 11) / 20.0e0) - x, 2) + pow((y - (seq % 7) / 20.0e0) - y, 2) + pow(z - z, 2)) as m from fx_frames)
+      select count(*) as images, round(quantile_cont(m, 0.5), 6) as moved_median, round(max(m), 6) as moved_max, count(*) filter (m > 0.5) as reverted from m""",
+    "database_states": f"""with {_MEMBERS}, c as (select chunk, count(*) filter (cy % 2 = 0 or seq % 50 <> 1) as images, count(*) as on_disk, count(*) filter (cx % 5 <> 1 or seq % 20 <> 3) as keypoints, count(*) filter (cx % 3 <> 0 and seq % 3 > 0) as pairs from fx_members group by chunk)
+      select *, images = on_disk and keypoints >= images and pairs > 0 as complete from c""",
+    "largest_models": f"""with {GAUSSIANS_SQL}, m as (select chunk, p % 3 * (s % 2) as model, sum(idx % 97) as size from fx_gaussians group by 1, 2),
+      t as (select *, row_number() over (partition by chunk order by size desc, model) as r, count(*) over (partition by chunk) as models, sum(size) over (partition by chunk) as all_ from m)
+      select chunk, model, models, round(case when all_ > 0 then size / all_::double else 0 end, 6) as kept, models > 1 and (case when all_ > 0 then size / all_::double else 0 end) < 0.9e0 as warn from t where r = 1""",
+    "black_point_share": f"""with {GAUSSIANS_SQL}, b as (select chunk, case when idx % 3 = 0 and p % 2 * (s % 2) = 0 and floor(s % 5 / 3) = 0 then 1 else 0 end as b from fx_gaussians)
+      select chunk, count(*) as points, round(avg(b), 6) as share, avg(b) >= 0.22e0 as dead from b group by chunk""",
+    "fenced_frames": f"with {FRAMES_SQL} select seq from fx_frames where x * x + y * y <= 11.1005e0 * 11.1005e0",
+    "reachable_segments": f"""with {FRAMES_SQL}, s as (select distinct video, cast(floor(t / 60) as bigint) as seg from fx_frames)
+      select video, seg from s where exists (select 1 from fx_frames f where f.video = s.video and f.t between s.seg * 60 - 1 and s.seg * 60 + 61 and x * x + y * y <= 8.0505e0 * 8.0505e0)""",
+    "stream_zip": f"""with {FRAMES_SQL}, b as (select video, min(seq) as first, max(seq) as last from fx_frames group by video)
+      select video, seq - first as i, t, printf('s0/%06d.jpg,s1/%06d.jpg,s2/%06d.jpg', seq, seq, seq) as paths from fx_frames join b using (video) where seq <= last - 6""",
+    "only_named": f"with {_MANIFEST} select chunk as name, frames from fx_manifest where contains(chunk, 'x0_') or contains(chunk, '_y-1')",
+    "listed_names": f"with {_IMAGES} select image_id, name from i where seq % 8 = 0",
+    "geo_lines": f"with {_IMAGES} select image_id, name as rel, round(x, 3) as lat, round(y, 3) as lon, round(z, 3) as alt from i where seq % 5 <> 0 and seq % 7 <> 0",
+    "enu_lines": f"with {_IMAGES} select name, round(x, 3) as x, round(y, 3) as y, round(z, 3) as z from i",
+    "frame_lines": f"""with {FRAMES_SQL} select seq, t, case when seq % 10 <> 0 then round(x / 1000, 7) end as lat, round(y / 1000, 7) as lon, video, printf('cam0/%06d.jpg', seq) as cam0, true as plain from fx_frames""",
+    "own_frames": f"with {_MEMBERS} select chunk, seq, case when cx % 2 = 0 then 'own-' || video else video end as video from fx_members where cx % 2 = 0 or seq % 3 <> 0",
+    "envelope_files": f"with {_LISTING} select dir, case when bool_or(name = 'envelope.json') then 'envelope.json' else 'corridor.json' end as name from l where name <> 'meta.json' group by dir",
+    "rename_plan": f"""with {_LISTING} select dir, case when not bool_or(name = 'corridor.json') then 'skip' when bool_or(name = 'envelope.json') then 'clash' else 'rename' end as state from l where name <> 'meta.json' group by dir""",
+    "sequential_pairs": f"""with {_IMAGES}, n as (select image_id, row_number() over (order by name, image_id) as k from i) select a.image_id as a, b.image_id as b from n a join n b on b.k between a.k + 1 and a.k + 5""",
+    "group_summary": f"""{_MATRIX.replace("with ", "with recursive ", 1)}, c(node, root) as (select distinct a, a from m union select m.b, c.root from c join m on m.a = c.node), g as (select node, min(root) as root from c group by node),
+      p as (select root, string_agg(cast(node as varchar), ',' order by node) as passes from g group by root)
+      select count(*) as groups, string_agg(passes, ';' order by root) as passes, count(*) > 1 as disconnected from p""",
+    "telemetry_tags": f"""with {FRAMES_SQL}, k as (select video, x / 1000 as lat, y / 1000 as lon, row_number() over (partition by video order by seq) as k from fx_frames),
+      s as (select *, k + case k % 3 when 0 then 0.5e0 when 1 then 0.25e0 else 0 end as stamp, row_number() over (partition by video order by k) - 1 as i from k where k % 9 <> 0)
+      select video, i, round(stamp - first(stamp) over (partition by video order by k), 3) as t, round(lat, 7) as lat, round(lon, 7) as lon, case when k % 4 <> 0 then 12.5e0 else 0 end as alt from s""",
+    "trimmed_starts": f"""with {FRAMES_SQL},
+      n as (select video, seq, x - lag(x) over w as ax, y - lag(y) over w as ay, lead(x) over w - x as bx, lead(y) over w - y as by_ from fx_frames window w as (partition by video order by seq)),
+      d as (select *, sum(coalesce(sqrt(ax * ax + ay * ay), 0.0e0)) over (partition by video order by seq rows between unbounded preceding and current row) as dist, sqrt(ax * ax + ay * ay) * sqrt(bx * bx + by_ * by_) as nm from n),
+      f as (select *, max(case when nm > 0 and degrees(acos(greatest(-1.0e0, least(1.0e0, (ax * bx + ay * by_) / nm)))) > 120 and dist <= 25 then seq end) over (partition by video) as last from d)
+      select video, seq from f where seq >= coalesce(last, seq)""",
+    "reprojection": f"""with {FRAMES_SQL}, p as (select seq % 1000 as u, seq % 700 as v, x, y, z + 200 as z from fx_frames),
+      c as (select u, v, 800 * (x + 1) / (z + 3) + 500 as pu, 810 * (y + 2) / (z + 3) + 400 as pv from p where z + 3 > 0 union all select u, v, 700 * -y / z + 10, 700 * x / z + 20 from p where z > 0)
+      select count(*) as observations, round(sqrt(avg(pow(pu - u, 2) + pow(pv - v, 2))), 4) as rms from c""",
+    "profile_matches": """with f as (select 'a/' || p_partkey || ['.360', '.MP4', '.insv', '.txt'][p_partkey % 4 + 1] as path, p_partkey % 4 as k, p_size % 3 as tracks, p_size % 2 = 0 as wide from part)
+      select path, case when k < 2 and wide then 'wide' when k = 0 and tracks = 2 then 'max' when tracks = 2 then 'two' else 'any' end as profile, cast(case when k < 2 and wide then 105 when k = 0 and tracks = 2 then 10 when tracks = 2 then 3 else 0 end as int) as score from f""",
+    "probe_rates": "select p_partkey, case when p_partkey % 3 > 0 then round(p_size * 1000 / (p_partkey % 3 * 1001)::double, 6) end as fps from part",
+    "metre_degrees": f"with {FRAMES_SQL} select seq, round(y * (1 / 111320.0e0), 9) as dlat, round(x * (1 / (111320.0e0 * cos(radians(38.98138e0)))), 9) as dlon from fx_frames",
+    "ray_directions": """with g as (select a + 0.5e0 as i, b + 0.5e0 as j from (select unnest(generate_series(0, 63)) as a), (select unnest(generate_series(0, 31)) as b)),
+      r as (select *, (i - 32) / 40 as u, (16 - j) / 45 as v, (i / 64 - 0.5e0) * 2 * pi() as lon, (0.5e0 - j / 32) * pi() as lat from g), n as (select *, sqrt(u * u + v * v + 1) as n from r)
+      select i, j, round(u / n, 6) as px, round(1 / n, 6) as py, round(v / n, 6) as pz, round(cos(lat) * sin(lon), 6) as ex, round(cos(lat) * cos(lon), 6) as ey, round(sin(lat), 6) as ez from n""",
+    "cube_faces": f"""with {FRAMES_SQL}, d as (select seq, x, y, z * 20 as z from fx_frames where x <> 0 or y <> 0 or z <> 0),
+      f as (select *, case when abs(x) >= abs(y) and abs(x) >= abs(z) then case when x > 0 then 'right' else 'left' end when abs(y) >= abs(z) then case when y > 0 then 'front' else 'back' end when z > 0 then 'up' else 'down' end as face from d),
+      q as (select *, case face when 'right' then -y / x when 'left' then y / -x when 'front' then x / y when 'back' then -x / -y when 'up' then x / z else x / -z end as a, case face when 'up' then y / z when 'down' then -y / -z else -z / greatest(abs(x), abs(y)) end as b from f)
+      select seq, face, round(4 / pi() * atan(a), 5) as u, round(4 / pi() * atan(b), 5) as v from q""",
+}
+
 # DuckDB rounds small negative numbers to -0.0, Spark to 0.0; adding 0.0 makes them one.
 ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in ORACLES.items()}

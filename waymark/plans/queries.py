@@ -1,13 +1,15 @@
-"""Registered queries of the capture operators, and their DuckDB SQL."""
+"""Registered queries of the capture operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo, optics, scalars
 from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, world
-from waymark.plans.fixtures import FRAMES_SQL, GAUSSIANS_SQL, ORIGIN, frames, gaussians
+from waymark.operators.shared import scratch_path
+from waymark.plans.fixtures import ORIGIN, frames, gaussians
+from waymark.sources import files, tables
 
 CELL, HALO, LEAST = 20.0, 4.0, 5
 
@@ -81,21 +83,22 @@ def telemetry_interpolation(spark: SparkSession, d: str) -> DataFrame:
     return passes.interpolate(f.where("seq % 4 = 0").select("video", "t", "x", "y", "z"), asked, "video", ["x", "y", "z"]).select("video", _r("t"), _r("x"), _r("y"), _r("z"))
 
 
-def _chunk_points(spark: SparkSession, d: str) -> DataFrame:
-    """Members as corridor points; each chunk's datum is off by a step, so that seams show."""
-    return members(spark, d).select("chunk", "seq", "x", "y", (F.col("z") + ((F.col("cx") * 7 + F.col("cy") * 13) % 5) * F.lit(0.9)).alias("z"))
+def _tracks(spark: SparkSession, d: str) -> DataFrame:
+    """Each chunk's corridor: its members' passes, thinned to five metres; its datum is off by a step, so that seams show."""
+    m = members(spark, d).withColumn("z", F.col("z") + ((F.col("cx") * 7 + F.col("cy") * 13) % 5) * F.lit(0.9))
+    return corridor.corridor_points(m, ["chunk"], 5.0, 30.0, 30.0)
 
 
 def seam_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return seams.seam_pairs(_chunk_points(spark, d)).select("a", "b", "pairs", _r("median_dz"), _r("p90_dz"), "verdict")
+    return seams.seam_pairs(_tracks(spark, d)).select("a", "b", "pairs", _r("median_dz"), _r("p90_dz"), "verdict")
 
 
 def seam_report(spark: SparkSession, d: str) -> DataFrame:
-    return seams.seam_report(seams.seam_pairs(_chunk_points(spark, d))).select("seams", _r("median"), _r("worst"), F.array_join("offenders", ",").alias("offenders"))
+    return seams.seam_report(seams.seam_pairs(_tracks(spark, d))).select("seams", _r("median"), _r("worst"), F.array_join("offenders", ",").alias("offenders"))
 
 
 def seam_gate(spark: SparkSession, d: str) -> DataFrame:
-    return seams.seam_gate(seams.seam_pairs(_chunk_points(spark, d))).select("seams", _r("upper_median"), _r("worst"), "skipped", "ok")
+    return seams.seam_gate(seams.seam_pairs(_tracks(spark, d))).select("seams", _r("upper_median"), _r("worst"), "skipped", "ok")
 
 
 def footprint_overlap(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +109,7 @@ def footprint_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 def _merge_inputs(spark: SparkSession, d: str):
     m = partition.chunk_manifest(members(spark, d), CELL).select("chunk", "x0", "y0", "x1", "y1")
-    pts = _chunk_points(spark, d).where("seq % 5 = 0").withColumn("pass", F.lit(0))
+    pts = _tracks(spark, d)
     segs = corridor.segments(pts, ["chunk", "pass"])
     return gaussians(spark, d), m, segs, corridor.height_band(pts, ["chunk"], 1.0)
 
@@ -121,9 +124,10 @@ def lod_tiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def corridor_guard(spark: SparkSession, d: str) -> DataFrame:
-    f = frames(spark, d)
-    segs = corridor.segments(f.where("seq % 40 < 8").select("video", F.floor(F.col("seq") / 40).alias("pass"), "seq", "x", "y", "z"), ["video", "pass"])
-    near = corridor.nearest_on_corridor(f.select("seq", "x", "y", "z"), "seq", segs, 4.0)
+    """All frames, displaced, against the corridor of all passes."""
+    segs = corridor.segments(_corridor(spark, d), ["video", "pass"])
+    asked = frames(spark, d).select("seq", (F.col("x") + (F.col("seq") % 9 - 4)).alias("x"), (F.col("y") + (F.col("seq") % 5 - 2) * 1.5).alias("y"), (F.col("z") + (F.col("seq") % 4 - 1)).alias("z"))
+    near = corridor.nearest_on_corridor(asked, "seq", segs, 4.0)
     return corridor.guard(near, 2.0, -1.0, 1.0).select("seq", _r("d"), "inside")
 
 
@@ -165,7 +169,7 @@ def road_ribbon(spark: SparkSession, d: str) -> DataFrame:
 
 def pass_pair_matrix(spark: SparkSession, d: str) -> DataFrame:
     f = passes.split_passes(frames(spark, d), ["video"], 1.5, 30)
-    ranges = f.groupBy("video").agg(F.min("seq").alias("seq_lo"), F.max("seq").alias("seq_hi")).select(F.expr("cast(substring(video, 2) as int)").alias("pass"), "seq_lo", "seq_hi").where("pass % 2 = 0")
+    ranges = f.groupBy("video").agg(F.min("seq").alias("seq_lo"), F.max("seq").alias("seq_hi")).select(F.expr("cast(substring(video, 2) as int)").alias("pass"), "seq_lo", "seq_hi")
     images = f.select(F.col("seq").alias("image_id"), F.format_string("cam0/%06d.jpg", "seq").alias("name"))
     pairs = f.select("seq", F.explode(F.array(F.lit(1), F.lit(40), F.lit(95))).alias("k")).select((F.col("seq") * F.lit(2147483647) + F.col("seq") + F.col("k")).alias("pair_id"), ((F.col("seq") * 7 + F.col("k")) % 40).alias("rows"))
     return connectivity.pass_matrix(pairs, connectivity.image_passes(images, ranges))
@@ -217,11 +221,11 @@ def verdicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weak_pass_list(spark: SparkSession, d: str) -> DataFrame:
-    return connectivity.weak_passes(pass_pair_matrix(spark, d), 0.6)
+    return connectivity.weak_passes(pass_pair_matrix(spark, d), 1.0)
 
 
 def pass_components(spark: SparkSession, d: str) -> DataFrame:
-    return connectivity.pass_groups(pass_pair_matrix(spark, d).where("a % 8 = b % 8 or a + b = 22"))
+    return connectivity.pass_groups(pass_pair_matrix(spark, d))
 
 
 def capture_centres(spark: SparkSession, d: str) -> DataFrame:
@@ -237,7 +241,7 @@ def camera_deal(spark: SparkSession, d: str) -> DataFrame:
     f = frames(spark, d)
     cells = chunk_manifest(spark, d).select("chunk", "x0", "y0", "x1", "y1")
     seen = f.select(F.col("seq").alias("image_id"), "x", "y", F.explode(F.sequence(F.lit(-3), F.lit(3))).alias("k")).select("image_id", (F.col("x") + F.col("k") * 4).alias("x"), (F.col("y") - F.col("k") * 2).alias("y"))
-    return partition.camera_rule(f.select(F.col("seq").alias("image_id"), "x", "y"), seen, cells, "inria", 4.0, 3)
+    return partition.camera_rule(f.select(F.col("seq").alias("image_id"), "x", "y"), seen, cells, "inria", 4.0, 3, CELL)
 
 
 def cell_states(spark: SparkSession, d: str) -> DataFrame:
@@ -274,7 +278,7 @@ def pass_cover(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exact_seams(spark: SparkSession, d: str) -> DataFrame:
-    return seams.seam_pairs(_chunk_points(spark, d), exact=True).select("a", "b", "pairs", _r("median_dz"), _r("p90_dz"), "verdict")
+    return seams.seam_pairs(_tracks(spark, d), exact=True).select("a", "b", "pairs", _r("median_dz"), _r("p90_dz"), "verdict")
 
 
 def newest_profiles(spark: SparkSession, d: str) -> DataFrame:
@@ -307,11 +311,251 @@ def lens_pixels(spark: SparkSession, d: str) -> DataFrame:
     return f.select("seq", F.round(ex, 3).alias("ex"), F.round(ey, 3).alias("ey"), F.round(fx, 3).alias("fx"), F.round(fy, 3).alias("fy"), seen.alias("seen"))
 
 
+def manifest_totals(spark: SparkSession, d: str) -> DataFrame:
+    return partition.manifest_totals(partition.chunk_manifest(members(spark, d), CELL))
+
+
+def chunk_files(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks written to their folders and read back, with the manifest's counts."""
+    m, path = members(spark, d).drop("is_core"), scratch_path(spark, "chunks")
+    manifest = chunk_manifest(spark, d)
+    tables.write_chunks(m, manifest, path)
+    found, listed = tables.read_chunks(spark, path, m, manifest)
+    n = found.groupBy("chunk").agg(F.count("*").alias("members"), F.min("seq").alias("first_seq"), _s(F.sum("z"), 3, "z"))
+    return n.join(listed.select("chunk", "frames", "core_frames", "passes"), "chunk")
+
+
+def _s(c: Column, n: int, name: str) -> Column:
+    return (F.round(c, n) + F.lit(0.0)).alias(name)
+
+
+def world_files(spark: SparkSession, d: str) -> DataFrame:
+    """The merged world's tiles and catalogue written and read back."""
+    g, m, segs, bands = _merge_inputs(spark, d)
+    merged, path = world.merge_world(g, m, segs, 1.5, bands), scratch_path(spark, "world")
+    tables.write_world(merged.select("chunk", "idx", "p", "x", "y", "z"), world.tile_totals(g, m, merged), path)
+    tiles = spark.read.parquet(f"{path}/tiles").groupBy("chunk").agg(F.count("*").alias("gaussians"), F.sum("p").cast("bigint").alias("parts"))
+    listed = spark.read.schema("chunk string, source bigint, owned bigint, kept bigint").json(f"{path}/world")
+    return tiles.join(listed, "chunk").select("chunk", "gaussians", "parts", "source", "owned", "kept")
+
+
+def level_files(spark: SparkSession, d: str) -> DataFrame:
+    """Two levels of detail written, one of them twice, and the catalogue of levels."""
+    g, path, cols = gaussians(spark, d), scratch_path(spark, "levels"), ["idx", "p", "s", "e"]
+    for name, keep in (("far", 0.5), ("near", 0.5), ("far", 0.125)):
+        tables.write_level(world.level_of_detail(g, keep, False, cols).select("chunk", *cols), name, keep, path)
+    return tables.read_levels(spark, path).select("name", "chunk", "keep", "gaussians")
+
+
+def lod_rollup(spark: SparkSession, d: str) -> DataFrame:
+    g = gaussians(spark, d)
+    return world.lod_totals(g, world.level_of_detail(g, 0.125, False, ["idx", "p", "s", "e"]), 248, 68)[1].select("source", "gaussians", "source_bytes", "bytes", _r("gaussians_share"), _r("bytes_share"))
+
+
+def envelope_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """Envelopes of each chunk's corridor written, written again from solved positions for some, and the versions to keep."""
+    pts, path = _tracks(spark, d), scratch_path(spark, "envelopes")
+    bands = corridor.height_band(pts, ["chunk"], 8.0)
+    tables.write_envelopes(tables.envelope_documents(pts, "chunk", 25.0, bands, "gps"), "chunk", path, 1)
+    tables.write_envelopes(tables.envelope_documents(pts.where("chunk like '%_y0'"), "chunk", 25.0, bands, "sfm"), "chunk", path, 2)
+    kept = capture.refreshed(tables.read_envelopes(spark, "chunk", path))
+    points = F.aggregate("passes", F.lit(0), lambda a, p: a + F.size(p["points"]))
+    return kept.select("chunk", "version", "source", "kind", F.size("passes").alias("passes"), points.alias("points"), _s(F.element_at("height_band_m", 1), 3, "z_lo"))
+
+
+def world_points(spark: SparkSession, d: str) -> DataFrame:
+    """All chunks' corridors as one, passes numbered through, a row a pass."""
+    pts = _tracks(spark, d)
+    own = corridor.union_corridors(pts, corridor.height_band(pts, ["chunk"], 8.0).withColumn("radius_m", F.lit(25.0)))[0]
+    return own.groupBy("chunk", "pass").agg(F.count("*").alias("points"), F.min("seq").alias("first_seq"))
+
+
+def world_header(spark: SparkSession, d: str) -> DataFrame:
+    pts = _tracks(spark, d)
+    bands = corridor.height_band(pts, ["chunk"], 8.0).withColumn("radius_m", F.length("chunk").cast("double"))
+    return corridor.world_corridor(bands).select("radius_m", _r("z_lo"), _r("z_hi"))
+
+
+def moved_cameras(spark: SparkSession, d: str) -> DataFrame:
+    f = frames(spark, d).select(F.col("seq").alias("image_id"), "x", "y", "z")
+    after = f.select("image_id", (F.col("x") + (F.col("image_id") % 11) / 20).alias("x"), (F.col("y") - (F.col("image_id") % 7) / 20).alias("y"), "z")
+    return align.moved_cameras(f, after)[0].select("images", _r("moved_median"), _r("moved_max"), "reverted")
+
+
+def database_states(spark: SparkSession, d: str) -> DataFrame:
+    m = members(spark, d).select("chunk", "cx", "cy", "seq")
+    pairs = m.where("cx % 3 <> 0").select("chunk", (F.col("seq") % 3).alias("rows"))
+    return align.database_state(m.where("cy % 2 = 0 or seq % 50 <> 1"), m.where("cx % 5 <> 1 or seq % 20 <> 3"), pairs, m)
+
+
+def largest_models(spark: SparkSession, d: str) -> DataFrame:
+    g = gaussians(spark, d).groupBy("chunk", (F.col("p") % 3 * (F.col("s") % 2)).alias("model")).agg(F.sum(F.col("idx") % 97).alias("size"))
+    return align.largest_model(g, ["chunk"]).select("chunk", "model", "models", _r("kept"), "warn")
+
+
+def black_point_share(spark: SparkSession, d: str) -> DataFrame:
+    g = gaussians(spark, d).select("chunk", (F.col("idx") % 3).alias("red"), (F.col("p") % 2 * (F.col("s") % 2)).alias("green"), F.floor(F.col("s") % 5 / 3).alias("blue"))
+    return align.black_points(g, ["chunk"], 0.22).select("chunk", "points", _r("share"), "dead")
+
+
+def _placed(spark: SparkSession, d: str) -> DataFrame:
+    lat, lon, _ = geo.enu_to_geodetic(F.col("x"), F.col("y"), F.lit(0.0), ORIGIN)
+    return frames(spark, d).select("video", "seq", "t", lat.alias("lat"), lon.alias("lon"))
+
+
+def _degrees(spark: SparkSession, d: str) -> DataFrame:
+    return frames(spark, d).select("video", "seq", "t", (F.col("x") / 1000).alias("lat"), (F.col("y") / 1000).alias("lon"))
+
+
+def fenced_frames(spark: SparkSession, d: str) -> DataFrame:
+    return passes.near_fence(_placed(spark, d), ORIGIN[:2], 11.1005).select("seq")
+
+
+def reachable_segments(spark: SparkSession, d: str) -> DataFrame:
+    f = _placed(spark, d)
+    s = f.groupBy("video", F.floor(F.col("t") / 60).alias("seg")).agg(F.count("*").alias("frames")).select("video", "seg", (F.col("seg") * 60.0).alias("start_s"), (F.col("seg") * 60.0 + 60.0).alias("end_s"))
+    return passes.reachable_segments(s, f, ORIGIN[:2], 6.0505, 1.0, 2.0).select("video", "seg")
+
+
+def stream_zip(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates of three streams a video, of which the later ones end earlier."""
+    f = frames(spark, d).select("video", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("stream"), F.col("seq").alias("n"), "t")
+    c = f.join(f.where("stream = 0").groupBy("video").agg(F.min("n").alias("first"), F.max("n").alias("last")), "video").where("n <= last - stream * 3").select("video", "stream", (F.col("n") - F.col("first")).alias("i"), "t", F.format_string("s%d/%06d.jpg", "stream", "n").alias("path"))
+    return passes.zip_streams(c, ["video"]).select("video", "i", "t", F.array_join("paths", ",").alias("paths"))
+
+
+def only_named(spark: SparkSession, d: str) -> DataFrame:
+    return capture.only_named(chunk_manifest(spark, d).select(F.col("chunk").alias("name"), "frames"), ["x0_", "_y-1"])
+
+
+def _images(spark: SparkSession, d: str) -> DataFrame:
+    return frames(spark, d).select(F.col("seq").alias("image_id"), F.format_string("cam%d/%06d.jpg", (F.col("seq") % 3).cast("int"), "seq").alias("name"), "x", "y", "z")
+
+
+def listed_names(spark: SparkSession, d: str) -> DataFrame:
+    names = frames(spark, d).where("seq % 4 = 0").select(F.when(F.col("seq") % 8 == 0, F.format_string(" cam%d/%06d.jpg ", (F.col("seq") % 3).cast("int"), "seq")).otherwise(F.lit("  ")).alias("name"))
+    return capture.listed_only(_images(spark, d), names).select("image_id", "name")
+
+
+def geo_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Positions written as lines of text, some twice and some broken, read back, and joined to the images that have one."""
+    path, i = scratch_path(spark, "geo"), _images(spark, d)
+    line = F.concat_ws(" ", "name", *[F.round(c, 3) for c in "xyz"])
+    i.where("image_id % 5 <> 0").select(F.when(F.col("image_id") % 7 == 0, F.col("name")).otherwise(line).alias("value")).write.text(path)
+    return capture.with_geo(i.select(F.col("name").alias("rel"), "image_id"), files.geo_index(spark, path)).select("image_id", "rel", _r("lat", 3), _r("lon", 3), _r("alt", 3))
+
+
+def enu_lines(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "enu")
+    _images(spark, d).select(F.concat_ws("  ", "name", *[F.format_string("%.4f", c) for c in "xyz"]).alias("value")).write.text(path)
+    return files.enu_reference(spark, path).select("name", _r("x", 3), _r("y", 3), _r("z", 3))
+
+
+def frame_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Frame records written as JSON lines and read back, null positions included."""
+    path = scratch_path(spark, "frames")
+    f = _degrees(spark, d).withColumn("lat", F.when(F.col("seq") % 10 != 0, F.col("lat"))).withColumn("images", F.create_map(F.lit("cam0"), F.format_string("cam0/%06d.jpg", "seq")))
+    files.write_frames(f, path)
+    return files.frames_jsonl(spark, path).select("seq", "t", _r("lat", 7), _r("lon", 7), "video", F.element_at("images", "cam0").alias("cam0"), F.col("source").isNull().alias("plain"))
+
+
+def own_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks' own frame records, and for those without any the parent's of the images they hold."""
+    m = members(spark, d).select("chunk", "seq", "cx")
+    own = m.where("cx % 2 = 0").join(frames(spark, d).select("seq", "video"), "seq").select("chunk", "seq", F.concat(F.lit("own-"), "video").alias("video"))
+    return capture.own_or_parent(own, frames(spark, d).select("seq", "video"), m.where("seq % 3 <> 0")).select("chunk", "seq", "video")
+
+
+def _listing(spark: SparkSession, d: str) -> DataFrame:
+    names = F.array(*[F.lit(x) for x in ("corridor.json", "envelope.json", "meta.json")])
+    p = spark.read.parquet(f"{d}/part.parquet").withColumn("name", F.element_at(names, (F.col("p_partkey") % 7 % 3 + 1).cast("int")))
+    return p.where("p_partkey % 10 < p_size % 4 or name = 'meta.json'").select(F.concat(F.lit("chunk_"), "p_size").alias("dir"), "name").distinct()
+
+
+def envelope_files(spark: SparkSession, d: str) -> DataFrame:
+    return capture.envelope_choice(_listing(spark, d))
+
+
+def rename_plan(spark: SparkSession, d: str) -> DataFrame:
+    return capture.rename_plan(_listing(spark, d))
+
+
+def sequential_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return connectivity.pair_plan(_images(spark, d), "sequential", 5)
+
+
+def group_summary(spark: SparkSession, d: str) -> DataFrame:
+    out = connectivity.group_warning(connectivity.pass_groups(pass_pair_matrix(spark, d)))
+    return out.select("groups", F.array_join(F.transform("passes", lambda p: F.array_join(p, ",")), ";").alias("passes"), "disconnected")
+
+
+def telemetry_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Events as raw telemetry tags, some documents without a latitude, and the samples they give."""
+    f = _degrees(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("video").orderBy("seq")))
+    doc = F.concat(F.lit("Doc"), F.col("k").cast("string"), F.when(F.col("k") % 2 == 0, "-1").otherwise(""))
+    stamp = F.date_format(F.timestamp_seconds(F.lit(1700000000) + F.col("k")), "yyyy:MM:dd HH:mm:ss")
+    tags = F.array(
+        F.struct(F.lit("GPSLatitude").alias("tag"), F.when(F.col("k") % 9 != 0, F.round("lat", 7).cast("string")).alias("value")), F.struct(F.lit("GPSLongitude").alias("tag"), F.round("lon", 7).cast("string").alias("value")), F.struct(F.lit("GPSAltitude").alias("tag"), F.when(F.col("k") % 4 != 0, F.lit("12.5")).alias("value")),
+        F.struct(F.lit("GPSDateTime").alias("tag"), F.concat(stamp, F.when(F.col("k") % 3 == 0, ".5Z").when(F.col("k") % 3 == 1, ".250").otherwise("")).alias("value")),
+    )
+    rows = f.select("video", doc.alias("doc"), F.explode(tags).alias("_t")).where("_t.value is not null").select("video", F.concat_ws(":", "doc", "_t.tag").alias("key"), F.col("_t.value").alias("value"))
+    return files.telemetry(rows).select("video", "i", _r("t", 3), _r("lat", 7), _r("lon", 7), "alt")
+
+
+def trimmed_starts(spark: SparkSession, d: str) -> DataFrame:
+    return drive.trim_reversals(frames(spark, d).select("video", "seq", "x", "y", "z"), ["video"], 25.0, 120.0).select("video", "seq")
+
+
+def reprojection(spark: SparkSession, d: str) -> DataFrame:
+    """Frames as points before two level cameras, one of them turned, observed a little off."""
+    p = frames(spark, d).select(F.col("seq").alias("point_id"), "x", "y", (F.col("z") + 200).alias("z"))
+    half = 0.5**0.5
+    cams = spark.createDataFrame([(1, 1.0, 0.0, 0.0, 0.0, 1.0, 2.0, 3.0, 800.0, 810.0, 500.0, 400.0), (2, half, 0.0, 0.0, half, 0.0, 0.0, 0.0, 700.0, 700.0, 10.0, 20.0)], "image_id long, qw double, qx double, qy double, qz double, tx double, ty double, tz double, fx double, fy double, cx double, cy double")
+    o = p.select("point_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("image_id"), (F.col("point_id") % 1000).cast("double").alias("u"), (F.col("point_id") % 700).cast("double").alias("v"))
+    return align.reprojection_rms(p, o.withColumn("image_id", F.col("image_id").cast("long")), cams).select("observations", _s(F.col("rms"), 4, "rms"))
+
+
+def profile_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as recordings, matched with a registry of rules by suffix, tracks and size."""
+    p = spark.read.parquet(f"{d}/part.parquet")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in (".360", ".MP4", ".insv", ".txt")]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    f = p.select(F.concat(F.lit("a/"), F.col("p_partkey").cast("string"), suffix).alias("path"), (F.col("p_size") % 3).cast("int").alias("tracks"), F.when(F.col("p_size") % 2 == 0, 4096).otherwise(5952).alias("width"), F.lit(1344).alias("height"))
+    rules = [("max", 10, [".360"], 2, None, 0), ("wide", 5, [".360", ".mp4"], None, ["4096x1344"], 1), ("two", 3, None, 2, None, 2), ("any", 0, None, None, None, 3), ("twin", 5, [".mp4"], None, ["4096x1344"], 4)]
+    r = spark.createDataFrame(rules, "name string, priority int, suffixes array<string>, tracks int, sizes array<string>, load_order int")
+    return capture.detect_profiles(f, r).select("path", "profile", "score")
+
+
+def probe_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Frame rates of recordings from fractions such as 30000/1001."""
+    p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.concat_ws("/", F.col("p_size") * 1000, F.col("p_partkey") % 3 * 1001).alias("rate"))
+    return p.select("p_partkey", F.round(scalars.frame_rate(F.col("rate")), 6).alias("fps"))
+
+
+def metre_degrees(spark: SparkSession, d: str) -> DataFrame:
+    lat, lon = scalars.degrees_per_metre(ORIGIN[0])
+    return frames(spark, d).select("seq", F.round(F.col("y") * lat, 9).alias("dlat"), F.round(F.col("x") * lon, 9).alias("dlon"))
+
+
+def ray_directions(spark: SparkSession, d: str) -> DataFrame:
+    """Rays of pixels of a pinhole and of an equirectangular picture."""
+    p = spark.range(64).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(31)))).select((F.col("id") + 0.5).alias("i"), (F.col("k") + 0.5).alias("j"))
+    a = optics.pinhole_direction(F.col("i"), F.col("j"), *[F.lit(v) for v in (40.0, 45.0, 32.0, 16.0)])
+    b = optics.equirect_direction(F.col("i"), F.col("j"), F.lit(64), F.lit(32))
+    return p.select("i", "j", *[_s(c, 6, f"p{n}") for c, n in zip(a, "xyz")], *[_s(c, 6, f"e{n}") for c, n in zip(b, "xyz")])
+
+
+def cube_faces(spark: SparkSession, d: str) -> DataFrame:
+    face, u, v = optics.cube_face(F.col("x"), F.col("y"), F.col("z") * 20)
+    return frames(spark, d).where("x <> 0 or y <> 0 or z <> 0").select("seq", face.alias("face"), _s(u, 5, "u"), _s(v, 5, "v"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         chunk_manifest, frame_sequence, geo_round_trip, local_plane, chunk_members, pass_split, corridor_points, corridor_band, frame_selection, time_nudge, telemetry_interpolation, seam_pairs, seam_report, seam_gate, footprint_overlap, merge_totals, lod_tiles, corridor_guard,
         residual_summary, residuals_by_video, warp_windows, path_resample, path_smooth, path_headings, road_ribbon, pass_pair_matrix, queue_state, holdout_common, sequence_ranking, budget, clip_pieces, newest_steps, verdicts,
         weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images, pass_overlap, cube_layouts, lens_pixels,
+        manifest_totals, chunk_files, world_files, level_files, lod_rollup, envelope_refresh, world_points, world_header, moved_cameras, database_states, largest_models, black_point_share, fenced_frames, reachable_segments, stream_zip, only_named, listed_names, geo_lines, enu_lines, frame_lines,
+        own_frames, envelope_files, rename_plan, sequential_pairs, group_summary, telemetry_tags, trimmed_starts, reprojection, profile_matches, probe_rates, metre_degrees, ray_directions, cube_faces,
     )
 }

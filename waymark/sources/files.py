@@ -43,7 +43,7 @@ def telemetry(tags: DataFrame) -> DataFrame:
     """(video, i, t, lat, lon, alt) of raw tags (video, key like Doc1-7:GPSLatitude, value).
 
     Documents are ordered by the numbers of their name; one without a latitude or longitude is left out, a
-    missing altitude is 0. Times, of either of two formats, count from the first.
+    missing altitude is 0. Times, with a fraction of any length or none, count from the first.
     """
     doc, tag = F.split_part("key", F.lit(":"), F.lit(1)), F.split_part("key", F.lit(":"), F.lit(2))
     order = F.transform(F.split(F.regexp_replace(doc, "^Doc", ""), "-"), lambda x: x.try_cast("int"))
@@ -53,7 +53,7 @@ def telemetry(tags: DataFrame) -> DataFrame:
         return F.max(F.when(F.col("_tag") == name, F.col("value")))
 
     wide = rows.groupBy("video", "_o").agg(one("GPSLatitude").try_cast("double").alias("lat"), one("GPSLongitude").try_cast("double").alias("lon"), F.coalesce(one("GPSAltitude").try_cast("double"), F.lit(0.0)).alias("alt"), F.regexp_replace(one("GPSDateTime"), "Z$", "").alias("_ts"))
-    at = F.coalesce(F.try_to_timestamp("_ts", F.lit("yyyy:MM:dd HH:mm:ss.SSS")), F.try_to_timestamp("_ts", F.lit("yyyy:MM:dd HH:mm:ss")))
+    at = F.try_to_timestamp("_ts", F.lit("yyyy:MM:dd HH:mm:ss[.SSSSSSSSS]"))
 
     w = Window.partitionBy("video").orderBy("_o")
     kept = wide.where("lat is not null and lon is not null").withColumn("_at", at.cast("timestamp").cast("double"))

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import glob
 import os
+import shutil
 import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: The format's scalar types, their numpy codes and the Spark types that hold them.
 TYPES = {
@@ -104,28 +105,44 @@ class _Written(WriterCommitMessage):
     path: str | None
 
 
-class PlyWriter(DataSourceWriter):
+class PlyWriter(DataSourceArrowWriter):
+    """Batches go to a body file as they come; the header, which has the count, is put before it at the end of the task."""
+
     def __init__(self, options, schema, overwrite):
-        self.path = options["path"].removeprefix("file://")
+        self.path, self.overwrite = options["path"].removeprefix("file://"), overwrite
         self.fields = [(f.name, _WRITTEN[f.dataType.simpleString()]) for f in schema.fields if f.dataType.simpleString() in _WRITTEN and f.name != "idx"]
-        if overwrite:
-            for path in _files(self.path):
-                os.remove(path)
 
     def write(self, iterator):
         dtype = np.dtype([(n, TYPES[t][0]) for n, t in self.fields])
-        rows = np.array([tuple(r[n] for n, _ in self.fields) for r in iterator], dtype=dtype)
-        if not len(rows):
-            return _Written(None)
         os.makedirs(self.path, exist_ok=True)
-        path = f"{self.path}/part-{uuid.uuid4().hex}.ply.tmp"
-        lines = ["ply", "format binary_little_endian 1.0", f"element vertex {len(rows)}", *[f"property {t} {n}" for n, t in self.fields], "end_header", ""]
-        with open(path, "wb") as f:
+        path, count = f"{self.path}/part-{uuid.uuid4().hex}.ply.tmp", 0
+        with open(f"{path}.body", "wb") as f:
+            for batch in iterator:
+                rows = np.zeros(batch.num_rows, dtype=dtype)
+                for n, t in self.fields:
+                    values = batch.column(batch.schema.get_field_index(n))
+                    if values.null_count:
+                        raise ValueError(f"{n} has nulls, which PLY can't hold")
+                    values = values.to_numpy(zero_copy_only=False)
+                    if values.dtype.kind == "i" and len(values) and not (np.iinfo(dtype[n]).min <= values.min() and values.max() <= np.iinfo(dtype[n]).max):
+                        raise ValueError(f"{n} doesn't fit the format's {t}; cast it to double")
+                    rows[n] = values
+                f.write(rows.tobytes())
+                count += len(rows)
+        if not count:
+            os.remove(f"{path}.body")
+            return _Written(None)
+        lines = ["ply", "format binary_little_endian 1.0", f"element vertex {count}", *[f"property {t} {n}" for n, t in self.fields], "end_header", ""]
+        with open(path, "wb") as f, open(f"{path}.body", "rb") as body:
             f.write("\n".join(lines).encode("ascii"))
-            f.write(rows.tobytes())
+            shutil.copyfileobj(body, f, 1 << 20)
+        os.remove(f"{path}.body")
         return _Written(path)
 
     def commit(self, messages):
+        # What is overwritten goes only once the job has succeeded.
+        for path in _files(self.path) if self.overwrite else []:
+            os.remove(path)
         for m in messages:
             if m and m.path:
                 os.rename(m.path, m.path.removesuffix(".tmp"))
