@@ -154,3 +154,9 @@ def refreshed(envelopes: DataFrame) -> DataFrame:
     aside = F.max(F.when(F.col("_aside"), F.col("version"))).over(Window.partitionBy("chunk"))
     out = out.withColumn("kind", F.when(F.col("_last"), "current").when(F.col("_aside") & (F.col("version") == aside), "gps"))
     return out.where("kind is not null").drop("_last", "_aside")
+
+
+def chunk_folders(files: DataFrame) -> DataFrame:
+    """(chunk, images) of a listing of paths: folders chunk_* with an images folder in them, and how many files that holds."""
+    own = files.select(F.regexp_extract("path", r"(?:^|/)(chunk_[^/]*)/images/", 1).alias("chunk"))
+    return own.where("chunk <> ''").groupBy("chunk").agg(F.count("*").alias("images"))

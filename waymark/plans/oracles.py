@@ -148,10 +148,10 @@ ORACLES = {
       select video, count(*) as n, round(quantile_cont(d, 0.5), 6) as horizontal_median, round(quantile_cont(d, 0.9), 6) as horizontal_p90, round(avg(v), 6) as vertical_mean, round(avg(z), 6) as z_mean, round(stddev_pop(z), 6) as z_std from d group by video""",
     "warp_windows": f"""with {FRAMES_SQL},
       p as (select video, seq, x, y, z, x * 1.1e0 - y * 0.2e0 + seq % 5 as u, x * 0.2e0 + y * 1.1e0 - seq % 3 as v, z + seq % 4 as gz from fx_frames),
-      c as (select seq, avg(x*u) over w - avg(x) over w * avg(u) over w + avg(y*v) over w - avg(y) over w * avg(v) over w as p, avg(x*v) over w - avg(x) over w * avg(v) over w - (avg(y*u) over w - avg(y) over w * avg(u) over w) as q,
+      c as (select seq, x, y, z, avg(x) over w as mx, avg(y) over w as my, avg(u) over w as mu, avg(v) over w as mv, avg(x*u) over w - avg(x) over w * avg(u) over w + avg(y*v) over w - avg(y) over w * avg(v) over w as p, avg(x*v) over w - avg(x) over w * avg(v) over w - (avg(y*u) over w - avg(y) over w * avg(u) over w) as q,
           avg(x*x) over w - avg(x) over w * avg(x) over w + avg(y*y) over w - avg(y) over w * avg(y) over w as n, list([gz, z]) over w as zs from p window w as (partition by video order by seq rows between 5 preceding and 5 following)),
-      s as (select seq, atan2(q, p) as yaw, sqrt(p*p + q*q) / greatest(n, 1e-12) as scale, zs from c)
-      select seq, round(yaw, 4) as yaw, round(scale, 4) as scale, round(list_median(list_transform(zs, lambda r: r[1] - scale * r[2])), 4) as dz from s""",
+      s as (select *, atan2(q, p) as yaw, sqrt(p*p + q*q) / greatest(n, 1e-12) as scale from c), t as (select *, list_median(list_transform(zs, lambda r: r[1] - scale * r[2])) as dz from s)
+      select seq, round(yaw, 4) as yaw, round(scale, 4) as scale, round(dz, 4) as dz, round(mu + scale * cos(yaw) * (x - mx) - scale * sin(yaw) * (y - my), 4) as wx, round(mv + scale * sin(yaw) * (x - mx) + scale * cos(yaw) * (y - my), 4) as wy, round(scale * z + dz, 3) as wz from t""",
     "path_resample": f"""with {FRAMES_SQL},
       d as (select *, sum(coalesce(sqrt(pow(x - px, 2) + pow(y - py, 2)), 0.0e0)) over (partition by video order by seq rows between unbounded preceding and current row) as dist from (select *, lag(x) over w as px, lag(y) over w as py from fx_frames window w as (partition by video order by seq))),
       l as (select *, lead(dist) over w as d2, lead(x) over w as x2, lead(y) over w as y2, lead(z) over w as z2 from d window w as (partition by video order by seq)),
@@ -302,5 +302,61 @@ ORACLES |= {
       select seq, face, round(4 / pi() * atan(a), 5) as u, round(4 / pi() * atan(b), 5) as v from q""",
 }
 
+# The chain of passes: retraces fall out one after the other, longest pass first; then each pass joins at the nearest free end.
+_ROUTE = f"""{_VERTICES},
+  d as (select *, sqrt(pow(x - lag(x) over w, 2) + pow(y - lag(y) over w, 2) + pow(z - lag(z) over w, 2)) as d from v window w as (partition by pass order by seq)),
+  len as (select pass, sum(coalesce(d, 0)) as length, count(*) as n, arg_min([x, y, z], seq) as s, arg_max([x, y, z], seq) as e from d group by pass having sum(coalesce(d, 0)) >= 5.0),
+  lo as (select *, row_number() over (order by length desc, pass) as k from len),
+  nv as (select v.*, k from v join lo using (pass)),
+  ot as (select a.pass, a.seq, list(distinct b.pass) as others from nv a join nv b on b.k < a.k and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= 4 group by 1, 2),
+  pat as (select pass, list_sort(others) as others, count(*) as c from ot group by 1, 2),
+  fold(k, kept) as (
+    select 0::bigint, []::bigint[]
+    union all
+    select lo.k, case when len(f.kept) = 0 or coalesce((select sum(c) from pat where pat.pass = lo.pass and list_has_any(pat.others, f.kept)), 0) < 0.9 * lo.n then list_append(f.kept, lo.pass) else f.kept end
+    from fold f join lo on lo.k = f.k + 1
+  ),
+  kp as (select pass, row_number() over (order by k) as k, s, e from lo where list_contains((select arg_max(kept, k) from fold), pass)),
+  en as (select pass, k, false as flip, s as p, e as q from kp union all select pass, k, true, e, s from kp),
+  g as (select a.pass, a.k, a.flip, coalesce(min(sqrt(pow(a.p[1] - b.p[1], 2) + pow(a.p[2] - b.p[2], 2) + pow(a.p[3] - b.p[3], 2))), 'infinity'::double) as far from en a left join en b on a.pass <> b.pass group by 1, 2, 3),
+  st as (select pass, flip from g order by far desc, k, flip limit 1),
+  ch(ord, pass, flip, gap_m, tail, used) as (
+    select 0, en.pass, en.flip, 0.0::double, en.q, [en.pass] from en join st using (pass, flip)
+    union all
+    select ord, pass, flip, gap, q, list_append(used, pass) from (
+      select ch.ord + 1 as ord, en.pass, en.flip, sqrt(pow(ch.tail[1] - en.p[1], 2) + pow(ch.tail[2] - en.p[2], 2) + pow(ch.tail[3] - en.p[3], 2)) as gap, en.q, ch.used, en.k
+      from ch join en on not list_contains(ch.used, en.pass)
+    ) qualify row_number() over (order by gap, k, flip) = 1 and gap <= 60.0
+  )"""
+
+_RIBBON = f"""{_CORRIDOR},
+  pt as (select cast(substr(video, 2) as int) * 1000 + pass as pass, seq, x, y, z from fx_corridor where video in ('v1', 'v2', 'v3')),
+  ra as (select *, lead(x) over w - x as dx, lead(y) over w - y as dy from pt window w as (partition by pass order by seq)),
+  rb as (select *, case when sqrt(dx*dx + dy*dy) > 0 then dx / sqrt(dx*dx + dy*dy) end as ux, case when sqrt(dx*dx + dy*dy) > 0 then dy / sqrt(dx*dx + dy*dy) end as uy from ra),
+  rc as (select *, coalesce(lag(ux) over w, ux, 0) + coalesce(ux, lag(ux) over w, 0) as tx, coalesce(lag(uy) over w, uy, 0) + coalesce(uy, lag(uy) over w, 0) as ty from rb window w as (partition by pass order by seq)),
+  rd as (select *, case when sqrt(tx*tx + ty*ty) > 0 then -ty / sqrt(tx*tx + ty*ty) else 0 end as nx, case when sqrt(tx*tx + ty*ty) > 0 then tx / sqrt(tx*tx + ty*ty) else 0 end as ny from rc),
+  re as (select *, row_number() over (order by pass, seq) - 1 as n, lead(seq) over (partition by pass order by seq) is not null as inner_ from rd)"""
+
+ORACLES |= {
+    "route_chain": f"with recursive {_ROUTE} select ord, pass, flip, gap_m from ch",
+    "route_summary": f"""with recursive {_ROUTE}, o as (select ch.ord, v.*, row_number() over (partition by ch.ord order by case when flip then -seq else seq end) as i from ch join v using (pass)),
+      r as (select ord, i, round(x, 3) as x, round(y, 3) as y, round(z, 3) as z from o), s as (select *, sqrt(pow(x - lag(x) over w, 2) + pow(y - lag(y) over w, 2) + pow(z - lag(z) over w, 2)) as d from r window w as (partition by ord order by i)),
+      f as (select arg_min([x, y, z], [ord, i]) as s, arg_max([x, y, z], [ord, i]) as e, sum(coalesce(d, 0)) as l from s)
+      select (select count(*) from ch) as passes, (select count(distinct pass) from v) - (select count(*) from ch) as dropped_passes, round(l + (select sum(gap_m) from ch), 3) as length_m,
+        round(s[1], 3) as start_x, round(s[2], 3) as start_y, round(s[3], 3) as start_z, round(e[1], 3) as finish_x, round(e[2], 3) as finish_y, round(e[3], 3) as finish_z from f""",
+    "road_lines": f"""with recursive {_RIBBON}
+      select 1 as part, n * 2 as ord, printf('v %.4f %.4f %.4f', x + nx * 3.0e0 + 0.0e0, z - 2.4e0 + 0.0e0, -(y + ny * 3.0e0) + 0.0e0) as line from re
+      union all select 1, n * 2 + 1, printf('v %.4f %.4f %.4f', x - nx * 3.0e0 + 0.0e0, z - 2.4e0 + 0.0e0, -(y - ny * 3.0e0) + 0.0e0) from re
+      union all select 2, n * 2, printf('f %d %d %d', n * 2 + 1, n * 2 + 3, n * 2 + 4) from re where inner_
+      union all select 2, n * 2 + 1, printf('f %d %d %d', n * 2 + 1, n * 2 + 4, n * 2 + 2) from re where inner_""",
+    "centre_lines": f"""with recursive {_CORRIDOR}, p as (select cast(substr(video, 2) as int) * 100000 + pass as pass, seq, x, y, z from fx_corridor),
+      n as (select *, row_number() over (order by pass, seq) - 1 as n, lead(seq) over (partition by pass order by seq) is not null as inner_ from p)
+      select 1 as part, n as ord, printf('v %.4f %.4f %.4f', x + 0.0e0, y + 0.0e0, z - 2.4e0 + 0.0e0) as line from n union all select 2, n, printf('l %d %d', n + 1, n + 2) from n where inner_""",
+    "frame_records": f"with {FRAMES_SQL} select seq, t, video, printf('cam0/%06d.jpg,cam1/%06d.jpg,cam2/%06d.jpg', seq, seq, seq) as images from fx_frames",
+    "chunk_folders": "select 'chunk_' || p_size as chunk, count(*) as images from part where p_size % 3 > 0 and p_partkey % 5 = 0 group by p_size",
+    "minute_stream": """with m as (select 'v' || user_id as video, date_trunc('minute', ts) as minute, count(*) as frames from events group by 1, 2)
+      select video, count(*) as minutes, cast(sum(frames) as bigint) as frames from m where minute + interval 1 minute <= (select max(ts) - interval 1 minute from events) group by video""",
+}
+
 # DuckDB rounds small negative numbers to -0.0, Spark to 0.0; adding 0.0 makes them one.
 ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in ORACLES.items()}

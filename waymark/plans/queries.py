@@ -10,6 +10,7 @@ from waymark.operators import align, capture, connectivity, corridor, drive, par
 from waymark.operators.shared import scratch_path
 from waymark.plans.fixtures import ORIGIN, frames, gaussians
 from waymark.sources import files, tables
+from waymark.streaming import queue
 
 CELL, HALO, LEAST = 20.0, 4.0, 5
 
@@ -146,7 +147,7 @@ def residuals_by_video(spark: SparkSession, d: str) -> DataFrame:
 def warp_windows(spark: SparkSession, d: str) -> DataFrame:
     f = frames(spark, d)
     p = f.select("video", "seq", "x", "y", "z", (F.col("x") * 1.1 - F.col("y") * 0.2 + F.col("seq") % 5).alias("gx"), (F.col("x") * 0.2 + F.col("y") * 1.1 - F.col("seq") % 3).alias("gy"), (F.col("z") + F.col("seq") % 4).alias("gz"))
-    return align.windowed_similarity(p, ["video"], 5).select("seq", F.round("yaw", 4).alias("yaw"), F.round("scale", 4).alias("scale"), F.round("dz", 4).alias("dz"))
+    return align.windowed_similarity(p, ["video"], 5).select("seq", F.round("yaw", 4).alias("yaw"), F.round("scale", 4).alias("scale"), F.round("dz", 4).alias("dz"), _r("wx", 4), _r("wy", 4), _r("wz", 3))
 
 
 def path_resample(spark: SparkSession, d: str) -> DataFrame:
@@ -549,6 +550,44 @@ def cube_faces(spark: SparkSession, d: str) -> DataFrame:
     return frames(spark, d).where("x <> 0 or y <> 0 or z <> 0").select("seq", face.alias("face"), _s(u, 5, "u"), _s(v, 5, "v"))
 
 
+def route_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The route as it is driven: its length, ends and the passes left out."""
+    p = frames(spark, d).select(F.expr("cast(substring(video, 2) as bigint)").alias("pass"), "seq", "x", "y", "z")
+    return route.route_summary(p, route_chain(spark, d)).select("passes", "dropped_passes", *[_r(c, 3) for c in ("length_m", "start_x", "start_y", "start_z", "finish_x", "finish_y", "finish_z")])
+
+
+def road_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The road's ribbon as the lines of an OBJ file, y up."""
+    pts = _corridor(spark, d).where("video in ('v1', 'v2', 'v3')").select((F.expr("cast(substring(video, 2) as int)") * 1000 + F.col("pass")).alias("pass"), "seq", "x", "y", "z")
+    return files.obj_road(pts, 6.0, 2.4)
+
+
+def centre_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The corridor's centre lines as the lines of an OBJ file, z up."""
+    pts = _corridor(spark, d).select((F.expr("cast(substring(video, 2) as int)") * 100000 + F.col("pass")).alias("pass"), "seq", "x", "y", "z")
+    return files.obj_lines(pts, 2.4, False)
+
+
+def frame_records(spark: SparkSession, d: str) -> DataFrame:
+    """Frame records as the writer makes them: the names of each camera's image."""
+    return files.frame_records(frames(spark, d).select("seq", "t", "video"), 3).select("seq", "t", "video", F.array_join(F.map_values("images"), ",").alias("images"))
+
+
+def chunk_folders(spark: SparkSession, d: str) -> DataFrame:
+    p = spark.read.parquet(f"{d}/part.parquet")
+    listing = p.select(F.concat(F.when(F.col("p_size") % 3 == 0, "old_").otherwise("chunk_"), "p_size", F.when(F.col("p_partkey") % 5 == 0, "/images/cam0/").otherwise("/sparse/"), F.format_string("%06d.jpg", "p_partkey")).alias("path"))
+    return capture.chunk_folders(listing)
+
+
+def minute_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Events as a stream, run to its end: frames a minute and video, as the watermark closes minutes."""
+    path = scratch_path(spark, "minutes")
+    e = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    counts = queue.minute_counts(e.select(F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("video"), F.col("ts").cast("timestamp").alias("ts")))
+    counts.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out").groupBy("video").agg(F.count("*").alias("minutes"), F.sum("frames").cast("bigint").alias("frames"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -557,5 +596,6 @@ QUERIES = {
         weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images, pass_overlap, cube_layouts, lens_pixels,
         manifest_totals, chunk_files, world_files, level_files, lod_rollup, envelope_refresh, world_points, world_header, moved_cameras, database_states, largest_models, black_point_share, fenced_frames, reachable_segments, stream_zip, only_named, listed_names, geo_lines, enu_lines, frame_lines,
         own_frames, envelope_files, rename_plan, sequential_pairs, group_summary, telemetry_tags, trimmed_starts, reprojection, profile_matches, probe_rates, metre_degrees, ray_directions, cube_faces,
+        route_summary, road_lines, centre_lines, frame_records, chunk_folders, minute_stream,
     )
 }

@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import math
+from fractions import Fraction
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from waymark.functions.geo import enu_to_geodetic, y_up
+from waymark.operators.drive import ribbon
+from waymark.operators.shared import with_place
 
 FRAMES = "seq bigint, t double, lat double, lon double, alt double, images map<string, string>, video string, source string, mapillary_id string, sequence string"
 ENVELOPE = "frame string, origin struct<lat: double, lon: double>, radius_m double, height_band_m array<double>, source string, passes array<struct<video: string, seq_range: array<bigint>, points: array<array<double>>>>"
@@ -67,10 +76,68 @@ def candidates(probes: DataFrame, fps: float) -> DataFrame:
     return probes.where(n > 0).select("video", "seg", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"), "start_s").select("video", "seg", "i", (F.col("start_s") + (F.col("i") + 0.5) / fps).alias("t"))
 
 
-def export_csv(points: DataFrame, path: str, drop_m: float = 0.0) -> None:
-    """A pass's points in a y-up scene, in order within a file."""
-    rows = points.select("pass", "idx", F.col("x"), (F.col("z") - drop_m).alias("y"), (-F.col("y")).alias("z"))
-    rows.repartitionByRange("pass", "idx").sortWithinPartitions("pass", "idx").write.option("header", True).csv(path)
+def frame_records(frames: DataFrame, cameras: int) -> DataFrame:
+    """frames with `images`, each camera's image of the position: camK to camK/NNNNNN.jpg."""
+    pairs = [x for k in range(cameras) for x in (F.lit(f"cam{k}"), F.format_string(f"cam{k}/%06d.jpg", "seq"))]
+    return frames.withColumn("images", F.create_map(*pairs))
+
+
+_RATIONALS = T.ArrayType(T.StructType([T.StructField("num", T.LongType()), T.StructField("den", T.LongType())]))
+
+
+@F.pandas_udf(_RATIONALS)
+def dms_rationals(deg: pd.Series) -> pd.Series:
+    """Degrees, minutes and seconds of an angle as EXIF's rationals; seconds by the nearest fraction with a denominator of at most 10000."""
+
+    def one(v):
+        if v is None or math.isnan(v):
+            return None
+        d, part = int(abs(v)), abs(v) % 1
+        m = int(part * 60)
+        parts = [Fraction(d), Fraction(m), Fraction(part * 3600 - m * 60).limit_denominator(10000)]
+        return [{"num": f.numerator, "den": f.denominator} for f in parts]
+
+    return deg.map(one)
+
+
+def centerline(points: DataFrame, origin: tuple[float, float, float], drop_m: float = 2.4) -> DataFrame:
+    """(pass, index, x_enu, y_enu, z_enu, lat, lon, alt) of (pass, seq, x, y, z), lowered from the lens to the road; passes of one point have no line."""
+    w = Window.partitionBy("pass")
+    low = points.withColumn("index", F.row_number().over(w.orderBy("seq")) - 1).withColumn("_n", F.count("*").over(w)).where("_n > 1").withColumn("z", F.col("z") - drop_m)
+    lat, lon, alt = enu_to_geodetic(F.col("x"), F.col("y"), F.col("z"), origin)
+    return low.select("pass", "index", *[F.round(c, 3).alias(f"{c}_enu") for c in "xyz"], F.round(lat, 8).alias("lat"), F.round(lon, 8).alias("lon"), F.round(alt, 2).alias("alt"))
+
+
+def write_centerline(rows: DataFrame, path: str) -> None:
+    rows.repartitionByRange("pass", "index").sortWithinPartitions("pass", "index").write.option("header", True).csv(path)
+
+
+def _vertex(x: Column, y: Column, z: Column, up: bool) -> Column:
+    return F.format_string("v %.4f %.4f %.4f", *[c + F.lit(0.0) for c in (y_up(x, y, z) if up else (x, y, z))])
+
+
+def obj_lines(points: DataFrame, drop_m: float = 2.4, up: bool = True) -> DataFrame:
+    """(part, ord, line) of an OBJ file of passes' centre lines: vertices (part 1), then lines between neighbours (part 2), numbered through from 1."""
+    p = with_place(points, "pass", "seq")
+    n = F.col("place")
+    on = p.withColumn("_next", F.lead("place").over(Window.partitionBy("pass").orderBy("place"))).where("_next is not null")
+    return p.select(F.lit(1).alias("part"), n.alias("ord"), _vertex(F.col("x"), F.col("y"), F.col("z") - drop_m, up).alias("line")).unionByName(on.select(F.lit(2).alias("part"), n.alias("ord"), F.format_string("l %d %d", n + 1, n + 2).alias("line")))
+
+
+def obj_road(points: DataFrame, width_m: float = 6.0, drop_m: float = 2.4, up: bool = True) -> DataFrame:
+    """(part, ord, line) of an OBJ file of the road: two vertices a point, left and right (part 1), and two triangles between neighbours (part 2)."""
+    p = with_place(ribbon(points, ["pass"], width_m, drop_m), "pass", "seq")
+    n, a = F.col("place"), F.col("place") * 2 + 1
+    corners = F.array(F.struct(F.lit(0).alias("k"), _vertex(F.col("lx"), F.col("ly"), F.col("z"), up).alias("line")), F.struct(F.lit(1).alias("k"), _vertex(F.col("rx"), F.col("ry"), F.col("z"), up).alias("line")))
+    faces = F.array(F.struct(F.lit(0).alias("k"), F.format_string("f %d %d %d", a, a + 2, a + 3).alias("line")), F.struct(F.lit(1).alias("k"), F.format_string("f %d %d %d", a, a + 3, a + 1).alias("line")))
+    on = p.withColumn("_next", F.lead("place").over(Window.partitionBy("pass").orderBy("place"))).where("_next is not null")
+    parts = [df.select(F.lit(k).alias("part"), n.alias("_n"), F.explode(c).alias("_c")).select("part", (F.col("_n") * 2 + F.col("_c.k")).alias("ord"), "_c.line") for df, k, c in ((p, 1, corners), (on, 2, faces))]
+    return parts[0].unionByName(parts[1])
+
+
+def write_obj(lines: DataFrame, path: str) -> None:
+    """A file a range of lines; put together in order of their names they are the OBJ file."""
+    lines.repartitionByRange("part", "ord").sortWithinPartitions("part", "ord").select("line").write.text(path)
 
 
 def geojson_lines(points: DataFrame) -> DataFrame:
