@@ -1,7 +1,8 @@
 """From raw documents to tokens: quality, near-duplicates, benchmark passages, pieces.
 
 STAGES are functions of (spark, docs, sf_dir); each stage's rows are written as Parquet and read again
-as the next one's docs. All but the last return the columns of documents.
+as the next one's docs. All but the last return the columns of documents, whatever further ones there are.
+No documents give no rows at every stage.
 """
 
 from __future__ import annotations
@@ -13,22 +14,35 @@ from waymark.llm.common import read, stored
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly supervised classifier, fitted to docs, doesn't reject."""
+    """Documents that the weakly supervised classifier, fitted to docs, doesn't reject.
+
+    A null, empty or wordless text is rejected; equal texts fare alike; other columns ride along.
+    """
     return quality.keep_good(docs)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8): that of the smallest id.
+
+    Texts without words are in no group and stay; so do rows with a null id. Of rows that repeat an id one stays.
+    """
     return neardup.deduplicate(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten-word window of a benchmark item."""
+    """Documents without any ten-word window of a benchmark item.
+
+    Texts without words have no window and stay; an item without words asks for nothing, one of fewer than ten words is one
+    window; an empty benchmark keeps all.
+    """
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled pieces of every document, decoded again and held against its text."""
+    """Sampled pieces of every document, decoded again and held against its text.
+
+    A null or empty text has no pieces and counts as empty; every row gives a row, also one that repeats an id or has none.
+    """
     return pieces.tokenize(docs)
 
 
