@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 def shared_dir(spark: SparkSession) -> str:
     """Folder of spark.checkpoint.dir, which driver and executors share.
 
-    Only a session that names none (tests, local runs) gets a temporary one.
+    Only a local session that names none, as in tests, gets a temporary one; on a cluster that is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not named:
         named = spark.conf.get("spark.waymark.sharedDir", None)
     if not named:
