@@ -358,5 +358,34 @@ ORACLES |= {
       select video, count(*) as minutes, cast(sum(frames) as bigint) as frames from m where minute + interval 1 minute <= (select max(ts) - interval 1 minute from events) group by video""",
 }
 
+# Rays of a pinhole (u, 1, v), pitched and turned: (dx, dy, dz).
+_RAYS = """select *, (u * cos(radians(yaw)) + (cos(radians(pitch)) - v * sin(radians(pitch))) * sin(radians(yaw))) / sqrt(u * u + v * v + 1) as dx,
+    (-u * sin(radians(yaw)) + (cos(radians(pitch)) - v * sin(radians(pitch))) * cos(radians(yaw))) / sqrt(u * u + v * v + 1) as dy, (sin(radians(pitch)) + v * cos(radians(pitch))) / sqrt(u * u + v * v + 1) as dz"""
+_VIEWS = "v as (select p_size as view, p_size * 7.3e0 as yaw, (p_size % 5 - 2) * 9.1e0 as pitch, p_size % 4 * 15.0e0 + 40.3e0 as fov from (select distinct p_size from part))"
+_LENSES = "ln(lens, yaw_deg, ax, ay, az, half) as (values ('front', 0.0e0, 0.0e0, 1.0e0, 0.0e0, 95.0e0), ('back', 180.0e0, 0.0e0, -1.0e0, 0.0e0, 95.0e0), ('all', 0.0e0, 0.0e0, 1.0e0, 0.0e0, 180.0e0), ('narrow', 90.0e0, 1.0e0, 0.0e0, 0.0e0, 20.0e0))"
+# A corner at distance r of the vertical axis and bearing b stays in a level lens while it turns by less than acos(cos(half) / r) - |b|.
+_PLAN = f"""{_LENSES}, pi_(pitch) as (values (-12.0e0), (5.0e0)), cn(sx, sy) as (values (-1, -1), (-1, 1), (1, -1), (1, 1)),
+  co as (select lens, yaw_deg, half, pitch, sx * tan(radians(40)) as u, sy * tan(radians(40)) * 0.75e0 as v, 0.0e0 as yaw from ln, pi_, cn),
+  ry as ({_RAYS} from co),
+  mo as (select lens, yaw_deg, half, pitch, min(case when cos(radians(half)) / sqrt(dx * dx + dy * dy) <= -1 then 180 when cos(radians(half)) / sqrt(dx * dx + dy * dy) >= 1 then 0 else degrees(acos(cos(radians(half)) / sqrt(dx * dx + dy * dy))) - degrees(abs(atan2(dx, dy))) end) as most from ry group by 1, 2, 3, 4),
+  nn as (select *, case when half >= 179 then 6 when most <= 1e-6 then 1 else 1 + cast(ceil(2 * most / 68) as int) end as n from mo),
+  pl as (select lens, yaw_deg + case when half >= 179 then i * 60.0e0 when n = 1 then 0 else 2 * most * i / (n - 1) - most end as yaw, pitch from (select *, unnest(generate_series(0, n - 1)) as i from nn))"""
+
+ORACLES |= {
+    "view_plan": f"with {_PLAN} select lens, round(yaw, 3) as yaw, pitch, 80.0e0 as fov, 1920 as width, 1440 as height from pl",
+    "view_split": f"""with {_VIEWS}, {_LENSES}, g as (select view, yaw, pitch, (i + 0.5e0 - 24) * tan(radians(fov) / 2) / 24 as u, -(j + 0.5e0 - 18) * tan(radians(fov) / 2) / 24 as v from v, (select unnest(generate_series(0, 47)) as i), (select unnest(generate_series(0, 35)) as j)),
+      r as ({_RAYS} from g), c as (select view, lens, avg(case when dx * ax + dy * ay + dz * az >= cos(radians(half)) then 1 else 0 end) as c from r, ln where lens <> 'all' group by 1, 2)
+      select view, lens, round(c, 6) as coverage from c where c >= 0.10e0""",
+    "seam_bands": f"""with {_VIEWS}, g as (select view, yaw, pitch, (i + 0.5e0 - 30) * tan(radians(fov) / 2) / 30 as u, -(j + 0.5e0 - 22.5e0) * tan(radians(fov) / 2) / 30 as v from v, (select unnest(generate_series(0, 59)) as i), (select unnest(generate_series(0, 44)) as j)),
+      r as ({_RAYS} from g) select view, round(avg(case when abs(dy) < sin(radians(6.1e0)) then 1 else 0 end), 6) as share from r group by view""",
+    "sphere_shares": f"""with {_PLAN}, w as (select lens, round(yaw, 3) as yaw, pitch, ax, ay, az, half from pl join (select lens, ax, ay, az from ln) using (lens) join (select lens, half from ln) using (lens) where lens in ('front', 'back') and pitch < 0),
+      e as (select (i + 0.5e0) / 128 * 2 * pi() - pi() as lon, pi() / 2 - (j + 0.5e0) / 64 * pi() as lat from (select unnest(generate_series(0, 127)) as i), (select unnest(generate_series(0, 63)) as j)),
+      d as (select lon, lat, cos(lat) * sin(lon) as x, cos(lat) * cos(lon) as y, sin(lat) as z from e),
+      t as (select lon, lat, x * ax + y * ay + z * az >= cos(radians(half)) as sees, x * cos(radians(yaw)) - y * sin(radians(yaw)) as lx, x * sin(radians(yaw)) + y * cos(radians(yaw)) as ty, z as tz, pitch from d, w),
+      q as (select lon, lat, sees, lx, ty * cos(radians(pitch)) + tz * sin(radians(pitch)) as ly, -ty * sin(radians(pitch)) + tz * cos(radians(pitch)) as lz from t),
+      s as (select lon, lat, max(case when sees and ly > 1e-9 and abs(lx) <= ly * tan(radians(40)) and abs(lz) <= ly * tan(radians(40)) * 0.75e0 then 1 else 0 end) as seen from q group by 1, 2)
+      select round(avg(seen), 6) as sphere, round(avg(seen) filter (abs(lat) <= radians(10)), 6) as horizon_band from s""",
+}
+
 # DuckDB rounds small negative numbers to -0.0, Spark to 0.0; adding 0.0 makes them one.
 ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in ORACLES.items()}

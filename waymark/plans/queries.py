@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo, optics, scalars
-from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, world
+from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, views, world
 from waymark.operators.shared import scratch_path
 from waymark.plans.fixtures import ORIGIN, frames, gaussians
 from waymark.sources import files, tables
@@ -588,6 +588,34 @@ def minute_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out").groupBy("video").agg(F.count("*").alias("minutes"), F.sum("frames").cast("bigint").alias("frames"))
 
 
+def _lenses(spark: SparkSession) -> DataFrame:
+    rows = [("front", 0.0, 0.0, 1.0, 0.0, 95.0), ("back", 180.0, 0.0, -1.0, 0.0, 95.0), ("all", 0.0, 0.0, 1.0, 0.0, 180.0), ("narrow", 90.0, 1.0, 0.0, 0.0, 20.0)]
+    return spark.createDataFrame(rows, "lens string, yaw_deg double, ax double, ay double, az double, half_fov_deg double")
+
+
+def view_plan(spark: SparkSession, d: str) -> DataFrame:
+    return views.plan_views(_lenses(spark), [-12.0, 5.0], 80.0, 24.0, 0.75, 12.0).select("lens", _r("yaw", 3), "pitch", "fov", "width", "height")
+
+
+def _views(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of parts as views around the horizon."""
+    p = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_size").alias("view")).distinct()
+    return p.select("view", (F.col("view") * 7.3).alias("yaw"), ((F.col("view") % 5 - 2) * 9.1).alias("pitch"), (F.col("view") % 4 * 15.0 + 40.3).alias("fov"), F.lit(60).alias("width"), F.lit(45).alias("height"))
+
+
+def view_split(spark: SparkSession, d: str) -> DataFrame:
+    return views.split_views(_views(spark, d), _lenses(spark).where("lens <> 'all'")).select("view", "lens", _r("coverage"))
+
+
+def seam_bands(spark: SparkSession, d: str) -> DataFrame:
+    return views.seam_band_share(_views(spark, d), 6.1).select("view", _r("share"))
+
+
+def sphere_shares(spark: SparkSession, d: str) -> DataFrame:
+    plan = view_plan(spark, d).where("lens in ('front', 'back') and pitch < 0")
+    return views.sphere_coverage(plan, _lenses(spark), 128).select(_r("sphere"), _r("horizon_band"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -596,6 +624,6 @@ QUERIES = {
         weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images, pass_overlap, cube_layouts, lens_pixels,
         manifest_totals, chunk_files, world_files, level_files, lod_rollup, envelope_refresh, world_points, world_header, moved_cameras, database_states, largest_models, black_point_share, fenced_frames, reachable_segments, stream_zip, only_named, listed_names, geo_lines, enu_lines, frame_lines,
         own_frames, envelope_files, rename_plan, sequential_pairs, group_summary, telemetry_tags, trimmed_starts, reprojection, profile_matches, probe_rates, metre_degrees, ray_directions, cube_faces,
-        route_summary, road_lines, centre_lines, frame_records, chunk_folders, minute_stream,
+        route_summary, road_lines, centre_lines, frame_records, chunk_folders, minute_stream, view_plan, view_split, seam_bands, sphere_shares,
     )
 }
