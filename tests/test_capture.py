@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.functions import geo, optics, scalars
-from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, world
+from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, shared, world
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
 from waymark.sources import files, ply
@@ -224,3 +224,121 @@ def test_reprojection(spark):
 def test_degrees_minutes_seconds(spark):
     d, m, s = optics.degrees_minutes_seconds(F.lit(-12.5125))
     assert tuple(spark.range(1).select(d, m, F.round(s, 3)).first()) == (12, 30, 45.0)
+
+
+def test_nearest_at_any_distance(spark):
+    import random
+
+    r = random.Random(2)
+    line = [(p, k, r.uniform(-40, 40), r.uniform(-40, 40), r.uniform(-3, 3)) for p in (0, 1) for k in range(6)]
+    pts = [(k, r.uniform(-900, 900), r.uniform(-50, 50), r.uniform(-90, 90)) for k in range(120)] + [(500, None, 1.0, 1.0), (501, 5.0, 5.0, 5.0), (501, 5.0, 5.0, 5.0)]
+    segs = corridor.segments(spark.createDataFrame(line, "pass int, seq long, x double, y double, z double"), ["pass"])
+    df = spark.createDataFrame(pts, "k int, x double, y double, z double")
+    got = corridor.nearest_on_corridor(df, "k", segs, 3.0).collect()
+
+    def far(p, a, b):
+        d = [y - x for x, y in zip(a, b)]
+        t = max(0, min(1, sum((q - x) * e for q, x, e in zip(p, a, d)) / max(sum(e * e for e in d), 1e-12)))
+        return math.dist(p, [x + t * e for x, e in zip(a, d)])
+
+    assert len(got) == len(pts)
+    for x in got:
+        want = None if x.x is None else min(far((x.x, x.y, x.z), line[i][2:], line[i + 1][2:]) for i in range(11) if i != 5)
+        assert (x.d is None) == (want is None) and (want is None or abs(x.d - want) < 1e-9)
+        assert want is None or abs(math.dist((x.x, x.y, x.z), (x.qx, x.qy, x.qz)) - want) < 1e-9
+    held = corridor.guard(corridor.nearest_on_corridor(df, "k", segs, 3.0).where("d is not null"), 2.0, -1e9, 1e9, 0.5).collect()
+    assert all(math.dist((x.gx, x.gy, x.gz), (x.qx, x.qy, x.qz)) <= 1.5 + 1e-9 for x in held)
+    none = corridor.nearest_on_corridor(df, "k", segs.limit(0), 3.0)
+    assert none.where("d is null").count() == len(pts)
+
+
+def test_long_tracks_thin_in_linear_time(spark):
+    import time
+
+    p = spark.range(400_000).select(F.lit(1).alias("pass"), F.col("id").alias("seq"), F.col("id").cast("double").alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
+    began = time.time()
+    assert passes.thin(p, ["pass"], 1.0).count() == 400_000 and time.time() - began < 60
+    holes = spark.createDataFrame([(1, 0, None, 0.0, 0.0), (1, 1, 5.0, 0.0, 0.0), (1, 2, 9.0, 0.0, 0.0)], "pass int, seq long, x double, y double, z double")
+    assert [r.seq for r in passes.thin(holes, ["pass"], 1.0).orderBy("seq").collect()] == [0, 2]
+    assert passes.thin(holes.limit(0), ["pass"], 1.0).count() == 0
+
+
+def test_salted_seams_are_the_same(spark):
+    import random
+
+    r = random.Random(4)
+    p = spark.createDataFrame([(r.choice("abc"), r.uniform(0, 9), r.uniform(0, 9), round(r.uniform(0, 4), 3)) for _ in range(400)] + [("a", 1.0, 1.0, 0.0)] * 30, "chunk string, x double, y double, z double").repartition(3)
+    for exact in (False, True):
+        own = [sorted(map(str, seams.seam_pairs(p, 6.0, 1, exact, crowd).collect())) for crowd in (10, 10_000)]
+        assert own[0] == own[1] and len(own[0]) == 3
+
+
+def test_places_and_names_without_digits(spark):
+    df = spark.createDataFrame([("a", f"n{chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(60)] + [("b", "x"), ("b", "cam0/000008.jpg")], "variant string, name string").repartition(5)
+    got = {(r.variant, r.name): r.place for r in shared.with_place(df, "variant", "name").collect()}
+    assert got == {v: k for k, v in enumerate(sorted((r.variant, r.name) for r in df.collect()))}
+    a = sorted(r.name for r in df.where("variant = 'a'").collect())
+    assert {(r.variant, r.name) for r in capture.holdout(df, 4).collect()} == {("a", n) for n in a[::4]} | {("b", "cam0/000008.jpg")}
+
+
+def test_pairs_to_match(spark):
+    i = spark.createDataFrame([(k, f"cam0/{k:06d}.jpg") for k in range(9)], "image_id long, name string")
+    assert {(r.a, r.b) for r in connectivity.pair_plan(i, "exhaustive").collect()} == {(a, b) for a in range(9) for b in range(a + 1, 9)}
+    assert {(r.a, r.b) for r in connectivity.pair_plan(i, "sequential", 2).collect()} == {(a, b) for a in range(9) for b in range(a + 1, min(9, a + 3))}
+
+
+@pytest.mark.parametrize("axis, roll", [((0.0, 1.0, 0.0), 0.0), ((0.6, -0.64, 0.48), 25.0), ((1.0, 0.0, 0.0), -70.0), ((0.0, 0.0, 1.0), 10.0), ((0.0, 0.0, -1.0), 0.0)])
+@pytest.mark.parametrize("model", list(optics.LENSES))
+def test_lens_against_vectors(spark, axis, roll, model):
+    import random
+
+    import numpy as np
+
+    r = random.Random(5)
+    dirs = [tuple((v / np.linalg.norm(v)).tolist()) for v in (np.array([r.gauss(0, 1) for _ in range(3)]) for _ in range(40))] + [axis]
+    x, y, seen = optics.fisheye_pixel((F.col("x"), F.col("y"), F.col("z")), axis, 100.0, 200.0, 50.0, 170.0, model, roll)
+    got = spark.createDataFrame(dirs, "x double, y double, z double").select(x, y, seen).collect()
+    # Sideways and upright vectors of the picture by cross products, turned by the roll.
+    side = np.cross((0, 0, 1) if abs(axis[2]) < 1 else (0, 1, 0), axis)
+    side = side / np.linalg.norm(side)
+    upright = np.cross(axis, side)
+    turn = math.radians(roll)
+    side, upright = math.cos(turn) * side + math.sin(turn) * upright, math.cos(turn) * upright - math.sin(turn) * side
+    law = {"equidistant": lambda t: t, "equisolid": lambda t: 2 * math.sin(t / 2), "orthographic": math.sin, "stereographic": lambda t: 2 * math.tan(t / 2)}[model]
+    for d, (px, py, inside) in zip(dirs, got):
+        theta = math.acos(max(-1, min(1, float(np.dot(d, axis)))))
+        assert inside == (theta <= math.radians(85))
+        if inside:
+            radius, to = 50 * law(theta) / law(math.radians(85)), math.atan2(np.dot(d, upright), np.dot(d, side))
+            assert abs(px - 100 - radius * math.cos(to)) < 1e-6 and abs(py - 200 - radius * math.sin(to)) < 1e-6
+
+
+def test_rationals(spark):
+    got = spark.createDataFrame([(38.98138,), (-76.69057,), (0.0,), (None,)], "deg double").select(files.dms_rationals("deg").alias("r")).collect()
+    for deg, r in zip((38.98138, 76.69057, 0.0), got):
+        d, m, s = r.r
+        assert abs(d.num / d.den + m.num / m.den / 60 + s.num / s.den / 3600 - deg) < 1e-8 and s.den <= 10_000
+    assert got[3].r is None
+
+
+def test_ply_overwrite_and_what_does_not_fit(spark, tmp_path):
+    ply.register(spark)
+    path = str(tmp_path / "p")
+    df = spark.createDataFrame([(1.0, 5), (2.0, 6)], "x double, label long")
+    df.write.format("ply").mode("append").save(path)
+    df.limit(1).write.format("ply").mode("overwrite").save(path)
+    assert [tuple(r) for r in spark.read.format("ply").load(path).select("x", "label").collect()] == [(1.0, 5)]
+    with pytest.raises(Exception, match="doesn't fit"):
+        spark.createDataFrame([(1 << 40,)], "label long").write.format("ply").mode("overwrite").save(path)
+    assert spark.read.format("ply").load(path).count() == 1
+
+
+def test_exports(spark, tmp_path):
+    p = spark.createDataFrame([(0, k, float(k), 0.0, 0.0) for k in range(3)] + [(1, 0, 9.0, 9.0, 9.0)], "pass int, seq long, x double, y double, z double")
+    rows = files.centerline(p, (38.98138, -76.69057, 0.0))
+    files.write_centerline(rows, str(tmp_path / "c"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "c"))
+    assert back.columns == ["pass", "index", "x_enu", "y_enu", "z_enu", "lat", "lon", "alt"] and back.count() == 3
+    lines = files.obj_lines(p, 0.0, True)
+    files.write_obj(lines.coalesce(1), str(tmp_path / "o"))
+    assert [r.line for r in lines.orderBy("part", "ord").collect()][:2] == ["v 0.0000 0.0000 0.0000", "v 1.0000 0.0000 0.0000"] and lines.count() == 6
