@@ -160,3 +160,27 @@ def chunk_folders(files: DataFrame) -> DataFrame:
     """(chunk, images) of a listing of paths: folders chunk_* with an images folder in them, and how many files that holds."""
     own = files.select(F.regexp_extract("path", r"(?:^|/)(chunk_[^/]*)/images/", 1).alias("chunk"))
     return own.where("chunk <> ''").groupBy("chunk").agg(F.count("*").alias("images"))
+
+
+def flat_frames(paths: DataFrame) -> DataFrame:
+    """Frame records (seq, path, image, t, lat, lon, alt) of single pictures, in order of their paths, without time or position."""
+    none = F.lit(None).cast("double")
+    return with_place(paths.select("path").distinct(), "path", name="seq").select("seq", "path", F.format_string("cam0/%06d.jpg", "seq").alias("image"), *[none.alias(c) for c in ("t", "lat", "lon", "alt")])
+
+
+def by_camera(folders: DataFrame, specs: DataFrame) -> DataFrame:
+    """Folders (cam like cam3) with what a list of specs (idx, ...) says of their number; folders without a number are number 0, and ones without a spec get nulls."""
+    own = F.coalesce(F.nullif(F.regexp_extract("cam", r"^cam(\d+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    return folders.withColumn("idx", own).join(specs, "idx", "left")
+
+
+def first_failed(status: DataFrame, n: int = 6) -> DataFrame:
+    """(stage, failed, first): how many items of a stage failed, and the first n names."""
+    w = Window.partitionBy("stage").orderBy("item")
+    own = status.where("state = 'failed'").withColumn("_k", F.row_number().over(w))
+    return own.groupBy("stage").agg(F.count("*").alias("failed"), F.array_sort(F.collect_list(F.when(F.col("_k") <= n, F.col("item")))).alias("first"))
+
+
+def still_to_do(items: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """Items that nothing done names, each once: running it again after all are done gives none."""
+    return items.dropDuplicates(keys).join(done.select(keys).distinct(), keys, "left_anti")

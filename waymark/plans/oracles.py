@@ -235,6 +235,14 @@ ORACLES |= {
 }
 
 _IMAGES = f"""{FRAMES_SQL}, i as (select seq as image_id, printf('cam%d/%06d.jpg', seq % 3, seq) as name, * from fx_frames)"""
+# Left, front, right, down, back, top: the middle's component, and those along columns and rows.
+_FACES = f"""{FRAMES_SQL}, fd as (select seq, x, y, z * 20 as z from fx_frames where x <> 0 or y <> 0 or z <> 0),
+  ff as (select *, case when abs(y) >= abs(x) and abs(y) >= abs(z) then case when y >= 0 then 'front' else 'back' end when abs(x) >= abs(z) then case when x >= 0 then 'right' else 'left' end when z >= 0 then 'top' else 'down' end as face from fd),
+  fq as (select *, case face when 'left' then [y / -x, -z / -x] when 'front' then [x / y, -z / y] when 'right' then [-y / x, -z / x] when 'down' then [-y / -z, -x / -z] when 'back' then [z / -y, -x / -y] else [y / z, -x / z] end as q from ff),
+  fu as (select seq, face, least(1 - 1e-7, greatest(0.0e0, (4 / pi() * atan(q[1]) + 1) / 2)) as u, least(1 - 1e-7, greatest(0.0e0, (4 / pi() * atan(q[2]) + 1) / 2)) as v from fq)"""
+_QUEUE = """select 'stage' || s as stage, item, case when done > 0 then 'done' when held is not null and (freed is null or held > freed) then 'running' when failed >= 2 then 'failed' else 'pending' end as state
+  from (select user_id % 4 as s, cast(user_id * 100 + event_id % 97 as varchar) as item, count(*) filter (event_type = 'purchase') as done, count(*) filter (event_type = 'error') as failed, max(ts) filter (event_type in ('signup', 'view')) as held,
+    max(ts) filter (event_type in ('purchase', 'error')) as freed from events where event_type in ('signup', 'view', 'purchase', 'error') group by 1, 2)"""
 _LISTING = """l as (select distinct 'chunk_' || p_size as dir, name from (select *, ['corridor.json', 'envelope.json', 'meta.json'][p_partkey % 7 % 3 + 1] as name from part) where p_partkey % 10 < p_size % 4 or name = 'meta.json')"""
 _KEPT = f"""{GAUSSIANS_SQL}, n as (select chunk, count(*) as n from fx_gaussians group by chunk)"""
 
@@ -296,10 +304,17 @@ ORACLES |= {
     "ray_directions": """with g as (select a + 0.5e0 as i, b + 0.5e0 as j from (select unnest(generate_series(0, 63)) as a), (select unnest(generate_series(0, 31)) as b)),
       r as (select *, (i - 32) / 40 as u, (16 - j) / 45 as v, (i / 64 - 0.5e0) * 2 * pi() as lon, (0.5e0 - j / 32) * pi() as lat from g), n as (select *, sqrt(u * u + v * v + 1) as n from r)
       select i, j, round(u / n, 6) as px, round(1 / n, 6) as py, round(v / n, 6) as pz, round(cos(lat) * sin(lon), 6) as ex, round(cos(lat) * cos(lon), 6) as ey, round(sin(lat), 6) as ez from n""",
-    "cube_faces": f"""with {FRAMES_SQL}, d as (select seq, x, y, z * 20 as z from fx_frames where x <> 0 or y <> 0 or z <> 0),
-      f as (select *, case when abs(x) >= abs(y) and abs(x) >= abs(z) then case when x > 0 then 'right' else 'left' end when abs(y) >= abs(z) then case when y > 0 then 'front' else 'back' end when z > 0 then 'up' else 'down' end as face from d),
-      q as (select *, case face when 'right' then -y / x when 'left' then y / -x when 'front' then x / y when 'back' then -x / -y when 'up' then x / z else x / -z end as a, case face when 'up' then y / z when 'down' then -y / -z else -z / greatest(abs(x), abs(y)) end as b from f)
-      select seq, face, round(4 / pi() * atan(a), 5) as u, round(4 / pi() * atan(b), 5) as v from q""",
+    "cube_faces": f"""with {_FACES} select seq, face, round(u, 5) as u, round(v, 5) as v from fu""",
+    "cube_pixels": f"""with {_FACES}, l as (select *, face in ('left', 'top') = (lens = 0) as second, face in ('front', 'back') as middle from fu, (values (0), (1)) t(lens)),
+      p as (select *, case when middle then 2016 when face in ('left', 'down') then 0 else 3936 end as x0, case when middle then 1920 else 2016 end as w,
+        case when middle then u * 1920 else ((1 - 2 * (96 / 2016.0e0)) * u + case when second then 2 * (96 / 2016.0e0) else 0 end) * 2016 end as at_, 1 / (2 - 4 * (96 / 2016.0e0)) as reach from l)
+      select seq, lens, case when face in ('left', 'front', 'right') then 0 else 1 end as track, round(greatest(x0, least(x0 + w - 1.0e0, x0 + at_ - 0.5e0)), 3) as px, round(greatest(0, least(1919.0e0, v * 1920 - 0.5e0)), 3) as py,
+        case when middle then (face = 'front') = (lens = 0) when second then u >= 1 - reach else u <= reach end as covered from p""",
+    "flat_frames": """with p as (select distinct p_brand || '/' || p_size || '.jpg' as path from part) select row_number() over (order by path) - 1 as seq, path, printf('cam0/%06d.jpg', row_number() over (order by path) - 1) as image, true as flat from p""",
+    "camera_specs": """with f as (select distinct case when p_size % 7 = 0 then 'rig' else 'cam' end || p_size as cam, case when p_size % 7 = 0 then 0 else p_size end as idx from part) select cam, idx, case when idx < 30 then cast(idx * 15 as bigint) end as yaw from f""",
+    "failed_items": """with t as (%s), f as (select stage, item, row_number() over (partition by stage order by item) as k, count(*) over (partition by stage) as failed from t where state = 'failed')
+      select stage, failed, string_agg(item, ',' order by item) as first from f where k <= 6 group by 1, 2""" % _QUEUE,
+    "open_items": "select stage, item from (%s) t where state in ('failed', 'pending')" % _QUEUE,
 }
 
 # The chain of passes: retraces fall out one after the other, longest pass first; then each pass joins at the nearest free end.

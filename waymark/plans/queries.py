@@ -550,6 +550,36 @@ def cube_faces(spark: SparkSession, d: str) -> DataFrame:
     return frames(spark, d).where("x <> 0 or y <> 0 or z <> 0").select("seq", face.alias("face"), _s(u, 5, "u"), _s(v, 5, "v"))
 
 
+def cube_pixels(spark: SparkSession, d: str) -> DataFrame:
+    """Frames' directions in the two-track picture, for both lenses."""
+    f, out = frames(spark, d).where("x <> 0 or y <> 0 or z <> 0"), None
+    for lens in (0, 1):
+        track, x, y, covered = optics.cube_pixel((F.col("x"), F.col("y"), F.col("z") * 20), 5952, 1920, lens)
+        own = f.select("seq", F.lit(lens).alias("lens"), track.alias("track"), _s(x, 3, "px"), _s(y, 3, "py"), covered.alias("covered"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def flat_frames(spark: SparkSession, d: str) -> DataFrame:
+    p = spark.read.parquet(f"{d}/part.parquet").select(F.concat_ws("/", "p_brand", F.format_string("%d.jpg", "p_size")).alias("path"))
+    return capture.flat_frames(p).select("seq", "path", "image", F.col("lat").isNull().alias("flat"))
+
+
+def camera_specs(spark: SparkSession, d: str) -> DataFrame:
+    folders = spark.read.parquet(f"{d}/part.parquet").select(F.when(F.col("p_size") % 7 == 0, F.concat(F.lit("rig"), "p_size")).otherwise(F.concat(F.lit("cam"), "p_size")).alias("cam")).distinct()
+    return capture.by_camera(folders, spark.range(30).select(F.col("id").cast("int").alias("idx"), (F.col("id") * 15).alias("yaw"))).select("cam", "idx", "yaw")
+
+
+def failed_items(spark: SparkSession, d: str) -> DataFrame:
+    out = capture.first_failed(_queue(spark, d), 6)
+    return out.select("stage", "failed", F.array_join("first", ",").alias("first"))
+
+
+def open_items(spark: SparkSession, d: str) -> DataFrame:
+    q = _queue(spark, d)
+    return capture.still_to_do(q.select("stage", "item"), q.where("state in ('done', 'running')"), ["stage", "item"])
+
+
 def route_summary(spark: SparkSession, d: str) -> DataFrame:
     """The route as it is driven: its length, ends and the passes left out."""
     p = frames(spark, d).select(F.expr("cast(substring(video, 2) as bigint)").alias("pass"), "seq", "x", "y", "z")
@@ -624,6 +654,6 @@ QUERIES = {
         weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images, pass_overlap, cube_layouts, lens_pixels,
         manifest_totals, chunk_files, world_files, level_files, lod_rollup, envelope_refresh, world_points, world_header, moved_cameras, database_states, largest_models, black_point_share, fenced_frames, reachable_segments, stream_zip, only_named, listed_names, geo_lines, enu_lines, frame_lines,
         own_frames, envelope_files, rename_plan, sequential_pairs, group_summary, telemetry_tags, trimmed_starts, reprojection, profile_matches, probe_rates, metre_degrees, ray_directions, cube_faces,
-        route_summary, road_lines, centre_lines, frame_records, chunk_folders, minute_stream, view_plan, view_split, seam_bands, sphere_shares,
+        route_summary, road_lines, centre_lines, frame_records, chunk_folders, minute_stream, view_plan, view_split, seam_bands, sphere_shares, cube_pixels, flat_frames, camera_specs, failed_items, open_items,
     )
 }
