@@ -321,18 +321,18 @@ ORACLES |= {
 _ROUTE = f"""{_VERTICES},
   d as (select *, sqrt(pow(x - lag(x) over w, 2) + pow(y - lag(y) over w, 2) + pow(z - lag(z) over w, 2)) as d from v window w as (partition by pass order by seq)),
   len as (select pass, sum(coalesce(d, 0)) as length, count(*) as n, arg_min([x, y, z], seq) as s, arg_max([x, y, z], seq) as e from d group by pass having sum(coalesce(d, 0)) >= 5.0),
-  lo as (select *, row_number() over (order by length desc, pass) as k from len),
+  lo as materialized (select *, row_number() over (order by length desc, pass) as k from len),
   nv as (select v.*, k from v join lo using (pass)),
   ot as (select a.pass, a.seq, list(distinct b.pass) as others from nv a join nv b on b.k < a.k and pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= 4 group by 1, 2),
-  pat as (select pass, list_sort(others) as others, count(*) as c from ot group by 1, 2),
+  pat as materialized (select pass, list_sort(others) as others, count(*) as c from ot group by 1, 2),
   fold(k, kept) as (
     select 0::bigint, []::bigint[]
     union all
     select lo.k, case when len(f.kept) = 0 or coalesce((select sum(c) from pat where pat.pass = lo.pass and list_has_any(pat.others, f.kept)), 0) < 0.9 * lo.n then list_append(f.kept, lo.pass) else f.kept end
     from fold f join lo on lo.k = f.k + 1
   ),
-  kp as (select pass, row_number() over (order by k) as k, s, e from lo where list_contains((select arg_max(kept, k) from fold), pass)),
-  en as (select pass, k, false as flip, s as p, e as q from kp union all select pass, k, true, e, s from kp),
+  kp as materialized (select pass, row_number() over (order by k) as k, s, e from lo where list_contains((select arg_max(kept, k) from fold), pass)),
+  en as materialized (select pass, k, false as flip, s as p, e as q from kp union all select pass, k, true, e, s from kp),
   g as (select a.pass, a.k, a.flip, coalesce(min(sqrt(pow(a.p[1] - b.p[1], 2) + pow(a.p[2] - b.p[2], 2) + pow(a.p[3] - b.p[3], 2))), 'infinity'::double) as far from en a left join en b on a.pass <> b.pass group by 1, 2, 3),
   st as (select pass, flip from g order by far desc, k, flip limit 1),
   ch(ord, pass, flip, gap_m, tail, used) as (
