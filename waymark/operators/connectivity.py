@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.scalars import frame_number, pair_images
-from waymark.operators.shared import checkpointed, with_place
+from waymark.operators.shared import written, with_place
 
 
 def image_passes(images: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def pass_groups(matrix: DataFrame, rounds: int = 50) -> DataFrame:
         label = label.join(near, "pass", "left").select("pass", F.least("group", "_g").alias("group"))
         # A label is a pass; follow it once more.
         label = label.join(label.select(F.col("pass").alias("group"), F.col("group").alias("_up")), "group", "left").select("pass", F.least("group", "_up").alias("group"))
-        label = checkpointed(label)
+        label = written(label)
         state = label.agg(F.sum("group")).first()[0]
         if state == before:
             break

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.operators.passes import split_passes, thin
-from waymark.operators.shared import checkpointed, with_place
+from waymark.operators.shared import written, with_place
 
 
 def corridor_points(frames: DataFrame, by: list[str], spacing: float = 5.0, gap_m: float = 30.0, gap_s: float = 30.0) -> DataFrame:
@@ -97,9 +97,9 @@ def nearest_on_corridor(points: DataFrame, key: str, segs: DataFrame, reach: flo
         grid = segs.withColumn("_gx", F.explode(F.sequence(F.floor((F.least("ax", "bx") - reach) / size), F.floor((F.greatest("ax", "bx") + reach) / size))))
         grid = grid.withColumn("_gy", F.explode(F.sequence(F.floor((F.least("ay", "by_") - reach) / size), F.floor((F.greatest("ay", "by_") + reach) / size))))
         pairs = wait.withColumns({"_gx": F.floor(F.col("x") / size), "_gy": F.floor(F.col("y") / size)}).join(grid, ["_gx", "_gy"])
-        best = checkpointed(pairs.groupBy(key).agg(F.min(hit).alias("_q")).where(F.col("_q.d2") <= reach * reach))
+        best = written(pairs.groupBy(key).agg(F.min(hit).alias("_q")).where(F.col("_q.d2") <= reach * reach))
         found = best if found is None else found.union(best)
-        wait = checkpointed(wait.join(best.select(key), key, "left_anti"))
+        wait = written(wait.join(best.select(key), key, "left_anti"))
         if not wait.take(1):
             break
         reach *= 4

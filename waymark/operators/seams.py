@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.scalars import verdict
+from waymark.operators.shared import written
 
 
-def seam_pairs(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, exact: bool = False, crowd: int = 512) -> DataFrame:
+def seam_pairs(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, exact: bool = False, crowd: int = 2048) -> DataFrame:
     """(a, b, pairs, median_dz, p90_dz, verdict) of (chunk, x, y, z): thinned corridor points, a handful a bucket.
 
     Points of different chunks that share a bucket and lie within bucket_m in the plane; with exact, those in
     neighbouring buckets too. An equi-join on the bucket; one of more than `crowd` points is salted: its points
     on one side are dealt out, those on the other copied to every part. Heights count in millimetres, as corridors are
-    stored; percentiles come from the counts of each difference, not from a row a pair.
+    stored; percentiles come from the counts of each difference, not from a row a pair. The points are written once.
     """
     size = F.lit(float(bucket_m))
     p = points.select("chunk", "x", "y", F.round(F.col("z") * 1000).cast("bigint").alias("z"), F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"))
+    p = written(p, "seam-points")
     other = p
     if exact:
         around = F.array(F.lit(-1), F.lit(0), F.lit(1))

@@ -9,15 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir, its lineage cut; only a local session that names none gets a temporary folder."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = sc.getConf().get("spark.checkpoint.dir")
-        if not named and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="waymark-"))
-    return df.checkpoint()
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """df as Parquet in the shared folder, read back: computed once, its lineage cut, whole again after a lost executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_place(df: DataFrame, *order: str, name: str = "place") -> DataFrame:
@@ -26,7 +22,7 @@ def with_place(df: DataFrame, *order: str, name: str = "place") -> DataFrame:
     Rows are dealt by range and sorted within partitions; only partitions' counts, a row a partition, are summed up in one
     place. The dealt rows are written first, so that numbers don't change if a task runs again.
     """
-    dealt = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    dealt = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     counts = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))

@@ -128,7 +128,7 @@ def corridor_guard(spark: SparkSession, d: str) -> DataFrame:
     """All frames, displaced, against the corridor of all passes."""
     segs = corridor.segments(_corridor(spark, d), ["video", "pass"])
     asked = frames(spark, d).select("seq", (F.col("x") + (F.col("seq") % 9 - 4)).alias("x"), (F.col("y") + (F.col("seq") % 5 - 2) * 1.5).alias("y"), (F.col("z") + (F.col("seq") % 4 - 1)).alias("z"))
-    near = corridor.nearest_on_corridor(asked, "seq", segs, 4.0)
+    near = corridor.nearest_on_corridor(asked, "seq", segs, 1.0)
     return corridor.guard(near, 2.0, -1.0, 1.0).select("seq", _r("d"), "inside")
 
 
