@@ -41,7 +41,8 @@ def pass_groups(matrix: DataFrame, rounds: int = 50) -> DataFrame:
     The matrix has a row a pair of passes of a capture, which Spark counts in thousands; each round is a join and a
     grouped minimum on it, materialised by checkpoint so that no plan grows, until no label changes.
     """
-    edges = matrix.where("a != b").select("a", "b")
+    matrix = written(matrix.select("a", "b"))
+    edges = matrix.where("a != b")
     label = matrix.select(F.col("a").alias("pass")).distinct().withColumn("group", F.col("pass"))
     before = None
     for _ in range(rounds):

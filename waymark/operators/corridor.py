@@ -88,7 +88,7 @@ def nearest_on_corridor(points: DataFrame, key: str, segs: DataFrame, reach: flo
     at = [x + t * (y - x) for x, y in zip(a, b)]
     hit = F.struct(_square(p, a, b).alias("d2"), F.col("pass").alias("pass"), F.col("idx").alias("idx"), *[q.alias(n) for q, n in zip(at, ("qx", "qy", "qz"))])
     wait = points.select(key, "x", "y", "z").where("x is not null and y is not null and z is not null").distinct()
-    found = None
+    found, segs = None, written(segs.select("pass", "idx", "ax", "ay", "az", "bx", "by_", "bz"))
     if not segs.take(1):
         none = F.lit(None).cast("double")
         return points.withColumns({c: none for c in ("d", "qx", "qy", "qz")})
