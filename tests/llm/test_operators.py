@@ -665,6 +665,18 @@ def test_pieces_are_lossless_and_reproducible(spark, vocabulary):
     assert pieces.tokenize(df.where("false")).count() == 0
 
 
+def test_pieces_of_long_segments(vocabulary, monkeypatch):
+    r = random.Random(6)
+    own = ["".join(r.choices("abcxyz漢 ", k=3000)), "x" * 50_000 + " y", "é" * 20_000, " " * 40_000, "a b"]
+    keys = textbytes.mix(np.arange(len(own), dtype=np.uint64))
+    ids, at = pieces.encode(own, keys, pieces.Lattices(vocabulary))
+    assert [pieces.decode(ids[at[k] : at[k + 1]].tolist(), vocabulary) for k in range(len(own))] == own
+    # However the work is cut, and whatever is kept or forgotten in between, the same pieces come out.
+    monkeypatch.setattr(pieces, "_AT_ONCE", 700)
+    again, places = pieces.encode(own, keys, pieces.Lattices(vocabulary))
+    assert (again == ids).all() and (places == at).all()
+
+
 def test_crc_of_the_query(spark):
     got = spark.createDataFrame([("aé",)], "t string").select(F.crc32(F.encode("t", "UTF-8")).alias("c")).first().c
     assert got == binascii.crc32("aé".encode())

@@ -18,6 +18,17 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 _SPACE = "▁"
 _SEGMENT = re.compile(" +[^ ]*|[^ ]+")
+#: A segment has at most so many characters: no piece crosses a multiple of it in a longer unbroken run.
+_LONGEST = 1 << 14
+_AT_ONCE = 1 << 20
+
+
+def _segments(text: str) -> list[str]:
+    """Blanks and the word after them; longer ones than _LONGEST cut."""
+    out = _SEGMENT.findall(text)
+    if len(text) <= _LONGEST:
+        return out
+    return [s[k : k + _LONGEST] for s in out for k in range(0, len(s), _LONGEST)]
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -231,44 +242,52 @@ def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int =
     key give the same pieces in any batch. A blank is put before every text, as the model's own
     encoder does.
     """
-    if len(lattices.known) > limit:
-        lattices.clear()
-    split = [_SEGMENT.findall(f" {text}") for text in texts]
+    split = [_segments(f" {text}") for text in texts]
     every = [s for own in split for s in own]
-    fresh = [s for s in set(every) if s not in lattices.known]
-    if fresh:
-        lattices.add(fresh)
+    if not every:
+        return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     per_text = np.fromiter(map(len, split), np.int64, len(split))
     lengths = np.fromiter(map(len, every), np.int64, len(every))
-    segment = np.fromiter(map(lattices.known.__getitem__, every), np.int64, len(every))
-    of = np.repeat(np.arange(len(texts)), per_text)
+    owner = np.repeat(np.arange(len(texts)), per_text)
     stop = np.cumsum(lengths)  # over all texts
-    begin_of_text = np.concatenate([[0], stop[np.cumsum(per_text) - 1]])[:-1] if len(texts) else np.zeros(0, np.int64)
-    node = lattices.last[segment]
-    where, left, seed = stop, lengths, keys[of]
-    places, edges = [], []
-    while len(node):
-        draw = mix(seed + (where - begin_of_text[of]).astype(np.uint64) * U64(_STEP)) >> U64(32)
-        edge = lattices.first[node]
-        draw = draw.astype(np.uint32)
-        on = np.flatnonzero(lattices.upto[edge] < draw)
-        while len(on):
-            edge[on] += 1
-            on = on[lattices.upto[edge[on]] < draw[on]]
-        step = lattices.steps[edge]
-        places.append(where)
-        edges.append(edge)
-        left = left - step
-        go = left > 0
-        node, where, left, seed, of = lattices.back[edge][go], (where - step)[go], left[go], seed[go], of[go]
-    if not edges:
-        return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    place, edge = np.concatenate(places), np.concatenate(edges)
-    order = np.argsort(place)
-    place, edge = place[order], edge[order]
-    count = lattices.n[edge]
+    begin_of_text = np.concatenate([[0], stop[np.cumsum(per_text) - 1]])[:-1]
+    parts, a = [], 0
+    while a < len(every):
+        # So many characters at a time that their lattices stay small, however long a text is.
+        b = max(a + 1, int(np.searchsorted(stop, stop[a] - lengths[a] + _AT_ONCE, side="right")))
+        if len(lattices.known) > limit or lattices.nodes > 2 * _AT_ONCE:
+            lattices.clear()
+        own = every[a:b]
+        fresh = [s for s in set(own) if s not in lattices.known]
+        if fresh:
+            lattices.add(fresh)
+        of = owner[a:b]
+        node = lattices.last[np.fromiter(map(lattices.known.__getitem__, own), np.int64, b - a)]
+        where, left, seed = stop[a:b], lengths[a:b], keys[of]
+        places, edges = [], []
+        while len(node):
+            draw = mix(seed + (where - begin_of_text[of]).astype(np.uint64) * U64(_STEP)) >> U64(32)
+            edge = lattices.first[node]
+            draw = draw.astype(np.uint32)
+            on = np.flatnonzero(lattices.upto[edge] < draw)
+            while len(on):
+                edge[on] += 1
+                on = on[lattices.upto[edge[on]] < draw[on]]
+            step = lattices.steps[edge]
+            places.append(where)
+            edges.append(edge)
+            left = left - step
+            go = left > 0
+            node, where, left, seed, of = lattices.back[edge][go], (where - step)[go], left[go], seed[go], of[go]
+        place, edge = np.concatenate(places), np.concatenate(edges)
+        order = np.argsort(place)
+        place, edge = place[order], edge[order]
+        count = lattices.n[edge]
+        first = np.cumsum(count) - count
+        parts.append((place, count, lattices.ids[np.repeat(lattices.at[edge] - first, count) + np.arange(count.sum())]))
+        a = b
+    place, count, ids = (np.concatenate(x) for x in zip(*parts))
     first = np.concatenate([[0], np.cumsum(count)])
-    ids = lattices.ids[np.repeat(lattices.at[edge] - first[:-1], count) + np.arange(first[-1])]
     ends = np.searchsorted(place, stop[np.cumsum(per_text) - 1], side="right")
     return ids, np.concatenate([[0], first[ends]])
 
@@ -292,7 +311,8 @@ def tokenize(docs: DataFrame, mode: str = "sample", seed: int = 0, power: float
     40,000 distinct segments besides those of 500 kB of text.
 
     Cases: a null or empty text has the one piece of the blank put before it; a null id seeds as 0; equal
-    rows get equal pieces; very long texts are encoded whole; no rows: none. Other columns are not read.
+    rows get equal pieces; very long texts are encoded whole, about a million characters at a time, and unbroken runs of
+    more than 16,384 characters in parts of that length; no rows: none. Other columns are not read.
     """
     if mode not in ("sample", "best"):
         raise ValueError(f"mode: {mode}")
