@@ -5,6 +5,7 @@ from waymark.llm.decontaminate import OP3_SQL, op3_benchmark_decontamination
 from waymark.llm.licenses import op6_license_automaton
 from waymark.llm.mtree import OP4_SQL, op4_mtree_search
 from waymark.llm.neardup import OP10_SQL, op10_superminhash_neardup
+from waymark.llm.periodic import OP12_SQL, op12_periodic_runs
 from waymark.llm.pieces import op7_piece_sampling
 from waymark.llm.quality import op5_weak_label_quality
 from waymark.llm.sharding import OP9_SQL, op9_stratified_interleave
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_warc_transactions": op8_warc_transactions,
     "op9_stratified_interleave": op9_stratified_interleave,
     "op10_superminhash_neardup": op10_superminhash_neardup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES = {
@@ -30,4 +32,5 @@ ORACLES = {
     "op8_warc_transactions": OP8_SQL,
     "op9_stratified_interleave": OP9_SQL,
     "op10_superminhash_neardup": OP10_SQL,
+    "op12_periodic_runs": OP12_SQL,
 }

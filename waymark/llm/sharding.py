@@ -82,7 +82,7 @@ def op9_stratified_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _crc_table() -> list[int]:
+def crc_table() -> list[int]:
     """The table of the reflected CRC-32 polynomial."""
     out = []
     for n in range(256):
@@ -104,7 +104,7 @@ with h as (
   select *, row_number() over (order by f, src, hash, doc_id) - 1 as p, count(*) over () as n from r
 ), q as (
   select doc_id, hex(encode(coalesce(text, ''))) as hx, cast(p * 24 // n as int) as shard, p, n from p
-), t as (select [{", ".join(f"{x}::ubigint" for x in _crc_table())}] as tab)
+), t as (select [{", ".join(f"{x}::ubigint" for x in crc_table())}] as tab)
 select doc_id, length(hx) // 2 + 8 as size,
   cast(xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(regexp_extract_all(hx, '..'), lambda x: cast('0x' || x as ubigint))),
     lambda c, x: xor(c >> 8, tab[cast(xor(c, x) & 255 as int) + 1])), 4294967295::ubigint) as bigint) as text_crc32,

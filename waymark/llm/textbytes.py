@@ -18,6 +18,7 @@ CHUNK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+AS_IS = np.arange(256, dtype=np.uint8)
 
 #: Bytes of words [^\x20\x09-\x0D]+ after A-Z are lower-cased.
 NON_SPACE = np.ones(256, dtype=bool)
@@ -73,7 +74,7 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Words of rows first..last-1 of a column; word w of row r has first_word[r - first] <= w < first_word[r - first + 1]."""
+    """Words of rows first..last-1 of a column, as bytes of lowered; word w of row r has first_word[r - first] <= w < first_word[r - first + 1]."""
 
     first: int
     last: int
@@ -88,13 +89,13 @@ class Words:
         return [self.lowered[i:j].tobytes() for i, j in zip(self.start[a:b], self.end[a:b])]
 
 
-def words(column: pa.Array, kind: np.ndarray, chunk: int = CHUNK_BYTES) -> Iterator[Words]:
-    """Words of whole texts, for runs of rows of about chunk bytes (one row at least)."""
+def words(column: pa.Array, kind: np.ndarray, chunk: int = CHUNK_BYTES, case: np.ndarray = LOWER) -> Iterator[Words]:
+    """Words of whole texts, for runs of rows of about chunk bytes (one row at least); bytes are mapped by case first."""
     data, offsets = string_bytes(column)
     n, a = len(offsets) - 1, 0
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + chunk, side="right")) - 1)
-        low = LOWER[data[offsets[a] : offsets[b]]]
+        low = case[data[offsets[a] : offsets[b]]]
         at = offsets[a : b + 1] - offsets[a]
         size = len(low)
         inside = kind[low]
