@@ -7,6 +7,7 @@ from waymark.llm.mtree import OP4_SQL, op4_mtree_search
 from waymark.llm.neardup import OP10_SQL, op10_superminhash_neardup
 from waymark.llm.periodic import OP12_SQL, op12_periodic_runs
 from waymark.llm.pieces import op7_piece_sampling
+from waymark.llm.polytope import OP11_SQL, op11_polytope_neardup
 from waymark.llm.quality import op5_weak_label_quality
 from waymark.llm.sharding import OP9_SQL, op9_stratified_interleave
 from waymark.llm.urlfilter import op1_url_markov_ratio
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_warc_transactions": op8_warc_transactions,
     "op9_stratified_interleave": op9_stratified_interleave,
     "op10_superminhash_neardup": op10_superminhash_neardup,
+    "op11_polytope_neardup": op11_polytope_neardup,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
@@ -32,5 +34,6 @@ ORACLES = {
     "op8_warc_transactions": OP8_SQL,
     "op9_stratified_interleave": OP9_SQL,
     "op10_superminhash_neardup": OP10_SQL,
+    "op11_polytope_neardup": OP11_SQL,
     "op12_periodic_runs": OP12_SQL,
 }
