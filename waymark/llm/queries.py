@@ -9,6 +9,7 @@ from waymark.llm.periodic import OP12_SQL, op12_periodic_runs
 from waymark.llm.pieces import op7_piece_sampling
 from waymark.llm.polytope import OP11_SQL, op11_polytope_neardup
 from waymark.llm.quality import op5_weak_label_quality
+from waymark.llm.rtree import OP13_SQL, op13_rtree_negatives
 from waymark.llm.sharding import OP9_SQL, op9_stratified_interleave
 from waymark.llm.urlfilter import op1_url_markov_ratio
 from waymark.llm.warc import OP8_SQL, op8_warc_transactions
@@ -26,6 +27,7 @@ QUERIES = {
     "op10_superminhash_neardup": op10_superminhash_neardup,
     "op11_polytope_neardup": op11_polytope_neardup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_rtree_negatives": op13_rtree_negatives,
 }
 
 ORACLES = {
@@ -36,4 +38,5 @@ ORACLES = {
     "op10_superminhash_neardup": OP10_SQL,
     "op11_polytope_neardup": OP11_SQL,
     "op12_periodic_runs": OP12_SQL,
+    "op13_rtree_negatives": OP13_SQL,
 }
