@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import read, scratch_path, stored
+from waymark.llm.common import read, stored
+from waymark.llm.forest import past_all_trees
 
 #: Slack of floating-point bounds, times the norms at hand; scores themselves are exact integers.
 _SLACK = 1e-6
@@ -249,7 +250,7 @@ def _cell_of(split: dict[int, tuple[np.ndarray, int]], points: np.ndarray) -> np
     return cell
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int = 4096, max_pivots: int = 4096, sample: int = 8192, page: int = 128, block: int = 16384, id_col: str = "vec_id", vector_col: str = "vector") -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int = 4096, max_pivots: int = 4096, sample: int = 8192, page: int = 128, block: int = 8192, id_col: str = "vec_id", vector_col: str = "vector") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product for every query row, those of its own id apart.
 
     vector_col holds longs. Rows go to the nearest pivot; pivots are points of a sample of at most `sample` rows that are far
@@ -258,10 +259,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int =
     with the data. Every bucket becomes an M-tree, written as one row of arrays, and is searched at once for the
     queries among its rows, which bounds their k-th scores from near neighbours.
 
-    The queries then run in blocks of about `block` rows (documented bound of what is gathered and broadcast), each
-    past all trees, wherever these lie: a task keeps the k best of the block so far, which bound the next
-    tree, and passes k rows a query on. So neither vectors nor queries are shuffled again, and results move as
-    k rows a query and task. Where nothing can be ruled out this is the exact scan in blocks.
+    Trees and queries then meet in a grid of tasks (past_all_trees), in one job: a task holds a group of trees, queries stream
+    past them `block` at a time and keep the k best so far, which bound the next tree. What moves is each tree once a slice of
+    131,072 queries, each query once a group of 32 trees, and at most k rows a query and group back, those above the bound
+    of its own bucket. Nothing is gathered or broadcast but pivots. Where nothing can be ruled out this is the exact scan in blocks.
 
     Cases: vectors or ids that are null take no part; shorter vectors count as filled up with zeros; equal rows
     are candidates each (ties between them, and between ids, go to the smaller id), and one query; an id with different
@@ -341,37 +342,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, bucket_rows: int =
     trees = built.where("tree is not null").select("tree")
     asked = built.where("tree is null").groupBy("vec_id", "v").agg(F.max("worst").alias("worst"))
     asked = stored(asked.withColumn("q", F.monotonically_increasing_id()), "queries")
-    blocks = -(-asked.count() // block)
-    if not blocks:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
-    def ranked(questions: pa.Table) -> DataFrame:
-        shared = spark.sparkContext.broadcast((questions["q"].to_numpy(), questions["vec_id"].to_numpy(), _matrix(questions["v"].combine_chunks(), width), questions["worst"].to_numpy()))
+    class Block:
+        """Queries and what the trees visited so far gave them; the k-th scores bound the next tree."""
 
-        def run(batches):
-            q, ids, m, worst = shared.value
-            w = Wanted(ids, m, k, top, worst.copy())
-            for batch in batches:
-                for tree in batch.column(0):
-                    MTree.undump(tree.as_py()).search(w)
-            for a in range(0, len(q), 5000):
+        def __init__(self, t: pa.Table):
+            self.q = t["q"].to_numpy()
+            self.w = Wanted(t["vec_id"].to_numpy(), _matrix(t["v"].combine_chunks(), width), k, top, t["worst"].to_numpy())
+
+        def visit(self, tree: MTree) -> None:
+            tree.search(self.w)
+
+        def results(self):
+            w = self.w
+            for a in range(0, len(self.q), 5000):
                 at, place = np.nonzero(w.score[a : a + 5000] != _NONE)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q[a + at], ids[a + at], w.found[a + at, place], w.score[a + at, place])], names=["q", "query_id", "vec_id", "score"])
-
-        order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
-        best = trees.mapInArrow(run, "q long, query_id long, vec_id long, score long").withColumn("rank", F.row_number().over(order))
-        return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-    if blocks == 1:
-        return ranked(asked.toArrow())
-    path = scratch_path(spark, "questions")
-    asked.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks))).repartition("block").write.partitionBy("block").parquet(path)
-    out = None
-    for b in range(blocks):
-        own = spark.read.schema(asked.schema).parquet(f"{path}/block={b}").toArrow()
-        found = stored(ranked(own), "ranked")
-        out = found if out is None else out.union(found)
-    return out
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (self.q[a + at], w.ids[a + at], w.found[a + at, place], w.score[a + at, place])], names=["q", "query_id", "vec_id", "score"])
+
+    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    best = past_all_trees(trees, asked, MTree.undump, Block, "q long, query_id long, vec_id long, score long", block=block).withColumn("rank", F.row_number().over(order))
+    return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op4_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
