@@ -22,11 +22,14 @@ _PAIRS = 40_000
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
-    """Rows times the Hadamard matrix, by the fast transform."""
-    n, half = x.shape[1], 1
+    """The Hadamard matrix times the columns of x, by the fast transform."""
+    n, half = x.shape[0], 1
     while half < n:
-        y = x.reshape(len(x), -1, 2, half)
-        x = np.concatenate([y[:, :, :1] + y[:, :, 1:], y[:, :, :1] - y[:, :, 1:]], axis=2).reshape(len(x), n)
+        y = x.reshape(-1, 2, half, x.shape[1])
+        out = np.empty_like(y)
+        np.add(y[:, 0], y[:, 1], out=out[:, 0])
+        np.subtract(y[:, 0], y[:, 1], out=out[:, 1])
+        x = out.reshape(x.shape)
         half *= 2
     return x
 
@@ -38,15 +41,15 @@ class Polytopes:
     def __init__(self, width: int, tables: int, parts: int, probes: int, seed: int = 0):
         self.room = 1 << max(1, (width - 1).bit_length())
         self.tables, self.parts, self.probes = tables, parts, probes
-        self.signs = np.random.default_rng(seed).integers(0, 2, (tables, parts, 3, self.room)) * 2.0 - 1.0
+        self.signs = np.random.default_rng(seed).integers(0, 2, (tables, parts, 3, self.room, 1)).astype(np.float32) * 2 - 1
         # Only a combination that fewer than `probes` others surely come before can be among the first.
         ranks = itertools.product(range(min(_RANKS, self.room)), repeat=parts)
         self.ranks = np.array([r for r in ranks if np.prod(np.array(r) + 1) <= probes])
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """(rows, tables, probes): the home bucket of each table, then the next likely ones, by how much farther their vertices are."""
-        wide = np.zeros((len(x), self.room))
-        wide[:, : x.shape[1]] = x
+        wide = np.zeros((self.room, len(x)), dtype=np.float32)
+        wide[: x.shape[1]] = x.T
         out = np.empty((len(x), self.tables, self.probes), dtype=np.int64)
         rank = min(_RANKS, self.room)
         for t in range(self.tables):
@@ -56,10 +59,11 @@ class Polytopes:
                 turned = wide
                 for s in self.signs[t, p]:
                     turned = _hadamard(turned * s)
+                turned = np.ascontiguousarray(turned.T)
                 size = np.abs(turned)
                 top = np.argpartition(-size, rank - 1, axis=1)[:, :rank]
                 top = np.take_along_axis(top, np.argsort(-np.take_along_axis(size, top, 1), axis=1, kind="stable"), 1)
-                high = np.take_along_axis(size, top, 1) / np.sqrt((turned**2).sum(axis=1, keepdims=True))
+                high = np.take_along_axis(size, top, 1)
                 vertex = (2 * top + (np.take_along_axis(turned, top, 1) < 0)).astype(np.uint64)
                 of = self.ranks[:, p]
                 cost += (high[:, :1] - high)[:, of] ** 2
@@ -147,6 +151,17 @@ def _count_links(spark: SparkSession, members: DataFrame, width: int, hashes: Po
     """
     shared = spark.sparkContext.broadcast(hashes)
     columns = ["node", "links", "parent"]
+    table_probes = hashes.tables, hashes.probes
+    known: dict[int, np.ndarray] = {}
+
+    def hashed(names: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Keys of nodes; a task keeps those of 20,000, as a node comes up in many buckets."""
+        if len(known) > 20_000:
+            known.clear()
+        fresh = np.array([k for k, n in enumerate(names.tolist()) if n not in known], dtype=np.int64)
+        if len(fresh):
+            known.update(zip(names[fresh].tolist(), shared.value.keys(x[fresh])))
+        return np.array([known[n] for n in names.tolist()])
 
     def flush(held: list[pa.RecordBatch]):
         whole = pa.Table.from_batches(held).combine_chunks()
@@ -161,15 +176,19 @@ def _count_links(spark: SparkSession, members: DataFrame, width: int, hashes: Po
         first, last, middle = first[sound], last[sound], middle[sound]
         names, at = np.unique(node, return_index=True)
         number = np.searchsorted(names, node)
-        own = shared.value.keys(x[at])
-        links, ends = np.zeros(len(names), dtype=np.int64), []
+        links, ends, met = np.zeros(len(names), dtype=np.int64), [], []
         for a, b in _pairs(first, last, middle):
             keep = (home[a] | home[b]) & ((core[a] != core[b]) | (core[a] < 0)) & (node[a] != node[b])
             a, b = a[keep], b[keep]
             close = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
-            a, b = a[close], b[close]
-            if not len(a):
-                continue
+            if close.any():
+                met.append((a[close], b[close]))
+        if not met:
+            return
+        linked = np.unique(number[np.concatenate([y for ab in met for y in ab])])
+        own = np.empty((len(names), *table_probes), dtype=np.int64)
+        own[linked] = hashed(names[linked], x[at[linked]])
+        for a, b in met:
             u, v = np.minimum(number[a], number[b]), np.maximum(number[a], number[b])
             u_home, v_home = (own[u, :, :1] == own[v]).any(axis=2), (own[v, :, :1] == own[u]).any(axis=2)
             table = (u_home | v_home).argmax(axis=1)
