@@ -51,7 +51,7 @@ def pass_groups(matrix: DataFrame, rounds: int = 50) -> DataFrame:
         # A label is a pass; follow it once more.
         label = label.join(label.select(F.col("pass").alias("group"), F.col("group").alias("_up")), "group", "left").select("pass", F.least("group", "_up").alias("group"))
         label = written(label)
-        state = label.agg(F.sum("group")).first()[0]
+        state = label.agg(F.sum(F.xxhash64("group").cast("decimal(38,0)"))).first()[0]
         if state == before:
             break
         before = state

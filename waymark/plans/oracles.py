@@ -1,5 +1,6 @@
 """DuckDB SQL for the registered queries of the capture operators."""
 
+from waymark.plans import pictures
 from waymark.plans.fixtures import FRAMES_SQL, GAUSSIANS_SQL
 
 _MEMBERS = f"""{FRAMES_SQL},
@@ -403,4 +404,4 @@ ORACLES |= {
 }
 
 # DuckDB rounds small negative numbers to -0.0, Spark to 0.0; adding 0.0 makes them one.
-ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in ORACLES.items()}
+ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in (ORACLES | pictures.ORACLES).items()}
