@@ -680,3 +680,44 @@ def test_pieces_of_long_segments(vocabulary, monkeypatch):
 def test_crc_of_the_query(spark):
     got = spark.createDataFrame([("aé",)], "t string").select(F.crc32(F.encode("t", "UTF-8")).alias("c")).first().c
     assert got == binascii.crc32("aé".encode())
+
+
+# 7: long unbroken runs
+
+
+@pytest.mark.parametrize("best", [False, True])
+@pytest.mark.parametrize("kind", ["one letter", "letters", "pieces"])
+def test_long_runs_have_the_draws_of_one_whole_lattice(best, kind):
+    """Whatever the windows: a run of one letter, whose pieces remember their parity for long, random letters, and runs of pieces."""
+    r = random.Random(3)
+    run = {"one letter": "a" * 30_000, "letters": "".join(r.choices("abcdefghijklmnopqrstuvwxyzABC0123é漢\U00010348", k=30_000)), "pieces": "".join(r.choices(["the", "tion", "ing", "_", "Straße"], k=9_000))}[kind]
+    with open(pieces.MODEL, "rb") as f:
+        v = pieces.load_vocabulary(f.read())
+    own, keys = ["plain words", run, f"x {run} y", "", None or "z"], textbytes.mix(np.arange(1, 6, dtype=np.uint64))
+    whole = pieces.encode(own, keys, pieces.Lattices(v, best), window=1 << 30)
+    for window in (1 << 14, 4096, 300):
+        got = pieces.encode(own, keys, pieces.Lattices(v, best), window=window)
+        assert np.array_equal(got[0], whole[0]) and np.array_equal(got[1], whole[1])
+    assert pieces.decode(whole[0][whole[1][1] : whole[1][2]].tolist(), v) == run
+
+
+# 9: names and types that clash
+
+
+def test_shards_keep_columns_of_any_name_and_type(spark):
+    rows = [(i, "s" if i % 3 else None, i, {"a": i}, f"t{i}", -1) for i in range(50)]
+    df = spark.createDataFrame(rows, "Doc_ID long, Source string, before int, `a.map` map<string, int>, _ss_b string, SHARD int")
+    out = sharding.stratified_shards(df, 4, rows_per_bucket=7)
+    assert out.columns == ["Doc_ID", "Source", "before", "a.map", "_ss_b", "shard", "slot"]
+    got = out.collect()
+    assert sorted((r.Doc_ID, r.Source, r.before, r["a.map"]["a"], r._ss_b) for r in got) == sorted((i, s, b, m["a"], t) for i, s, b, m, t, _ in rows)
+    assert sorted((r.shard, r.slot) for r in got) == [(k, s) for k, n in enumerate((13, 12, 13, 12)) for s in range(n)]
+    assert sharding.stratified_shards(df.limit(0), 4).columns == out.columns
+
+
+def test_stages_find_their_columns_whatever_the_case(spark):
+    df = spark.createDataFrame([(1, "some words of prose that go on"), (2, None)], "DOC_ID long, Text string")
+    bench = spark.createDataFrame([(1, "words of prose that go on")], "item_id long, text string")
+    assert decontaminate.clean(df, bench).columns == df.columns and decontaminate.clean(df, bench).count() == 1
+    assert quality.keep_good(df).columns == df.columns
+    assert neardup.deduplicate(df).columns == df.columns and neardup.deduplicate(df).count() == 2

@@ -56,6 +56,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def column_at(df: DataFrame, name: str) -> int:
+    """Where a column is, as Spark finds it: by exact name, else whatever the case."""
+    if name in df.columns:
+        return df.columns.index(name)
+    return [c.lower() for c in df.columns].index(name.lower())
+
+
 def arrow_map(df: DataFrame, schema: str | T.StructType, f: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
     """mapInArrow of a function of one batch."""
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import arrow_map, read, stored
+from waymark.llm.common import arrow_map, column_at, read, stored
 from waymark.llm.textbytes import _POSITION, ALNUM, U64, Words, mix, words
 
 
@@ -285,7 +285,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, size:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, size: int = 3, block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, in which no window of the benchmark occurs; the cases of contamination() hold."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("text"))
-    at, out = docs.columns.index(text_col), docs
+    at, out = column_at(docs, text_col), docs
     for block in _blocks(items, block_bytes):
         probe = _prober(docs.select(F.col(text_col).alias("text")), _index(*block, window), size)
 

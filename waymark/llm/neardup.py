@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import arrow_map, read, stored
+from waymark.llm.common import arrow_map, column_at, read, stored
 from waymark.llm.components import components
 from waymark.llm.superminhash import signatures
 from waymark.llm.textbytes import NON_SPACE, U64, list_of_longs, mix, shingles, words
@@ -180,7 +180,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text stays; rows with a null id, which are in no group, all stay. Columns may have any name and type.
     """
     plain = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
-    own, text = (f"_{docs.columns.index(c)}" for c in (id_col, text_col))
+    own, text = (f"_{column_at(docs, c)}" for c in (id_col, text_col))
     found = near_duplicates(plain, id_col=own, text_col=text, **options)
     dropped = found.where("not kept").select(F.col("doc_id").alias(own)).distinct()
     left = plain.join(dropped, own, "left_anti").select(plain.columns)

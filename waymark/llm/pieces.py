@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,17 +19,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 _SPACE = "▁"
 _SEGMENT = re.compile(" +[^ ]*|[^ ]+")
-#: A segment has at most so many characters: no piece crosses a multiple of it in a longer unbroken run.
-_LONGEST = 1 << 14
+#: The lattice of a longer segment is held in windows of so many characters.
+_WINDOW = 1 << 14
 _AT_ONCE = 1 << 20
-
-
-def _segments(text: str) -> list[str]:
-    """Blanks and the word after them; longer ones than _LONGEST cut."""
-    out = _SEGMENT.findall(text)
-    if len(text) <= _LONGEST:
-        return out
-    return [s[k : k + _LONGEST] for s in out for k in range(0, len(s), _LONGEST)]
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -139,6 +132,7 @@ class Lattices:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.batches: list[tuple[int, int, np.ndarray]] = []  # first segment, first node, level
         self.last = np.zeros(0, np.int64)  # the end node of each segment
         self.nodes = 0
         self.first = np.zeros(0, np.int64)
@@ -152,17 +146,9 @@ class Lattices:
             self.ids = np.append(self.ids, np.array(raw, dtype=np.int32))
         return self.spelled[character]
 
-    def add(self, segments: list[str]) -> None:
-        """Put distinct new segments in."""
-        segments = sorted(segments, key=len, reverse=True)
-        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
-        text = np.frombuffer("".join(segments).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        of = np.repeat(np.arange(len(segments)), lengths)
-        inner = np.arange(len(text)) - (np.cumsum(lengths) - lengths)[of]
-        room = lengths[of] - inner
-        # Nodes of depth k: level[k] + segment, for the segments of at least k characters.
-        level = np.concatenate([[0], np.cumsum(len(segments) - np.searchsorted(lengths[::-1], np.arange(lengths[0] + 1)))])
-        # Pieces from every place, by ever longer starts of pieces.
+    def _matches(self, text: np.ndarray, room: np.ndarray) -> list[tuple]:
+        """Pieces from every place of characters with so much room behind each, by length: length, places, ids' places, numbers, weights."""
+        # By ever longer starts of pieces.
         place, hashed = np.arange(len(text)), np.zeros(len(text), dtype=np.uint64)
         single = np.zeros(len(text), dtype=bool)
         found = []
@@ -183,6 +169,55 @@ class Lattices:
             kinds, back = np.unique(text[rest], return_inverse=True)
             spelled = np.array([self._spell(int(c)) for c in kinds], dtype=np.int32)[back]
             found.append((1, rest, spelled[:, 0], spelled[:, 1], self.v.byte_weight ** spelled[:, 1].astype(float)))
+        return found
+
+    def forward(self, text: str, every: int) -> dict[int, tuple[float, ...]]:
+        """For each multiple of `every` within a long text the sums (up to a factor) at as many places before it as the longest piece has characters.
+
+        Sums are carried on from place to place, in chunks; no more than a chunk's pieces are held."""
+        reach, chunk = len(self.v.starts), 1 << 17
+        before, out = [1.0], {}
+        for a in range(0, len(text), chunk):
+            low, b = max(0, a - reach), min(len(text), a + chunk)
+            own = np.frombuffer(text[low:b].encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+            found = self._matches(own, np.arange(len(own), 0, -1))
+            end = np.concatenate([place + k for k, place, *_ in found]) + low
+            size = np.concatenate([np.full(len(place), k) for k, place, *_ in found])
+            weight = np.concatenate([w for *_, w in found])
+            order = np.lexsort((-size, end))
+            order = order[end[order] > a]
+            first = np.searchsorted(end[order], np.arange(a + 1, b + 2)).tolist()
+            size, weight = size[order].tolist(), weight[order].tolist()
+            sums = before
+            for i in range(b - a):
+                n, total = len(sums), 0.0
+                for e in range(first[i], first[i + 1]):
+                    part = sums[n - size[e]] * weight[e]
+                    if not self.best:
+                        total += part
+                    elif part > total:
+                        total = part
+                sums.append(total)
+                if total < 1e-150:
+                    sums[-reach:] = [x / total for x in sums[-reach:]]
+                if (a + i + 1) % every == 0:
+                    out[a + i + 1] = tuple(sums[-reach - 1 : -1])
+            before = sums[-reach - 1 :]
+        return out
+
+    def add(self, segments: list[str | tuple[str, tuple[float, ...]]]) -> None:
+        """Put distinct new segments in. One that goes on in the middle of a text comes with the sums at its first places."""
+        segments = sorted(segments, key=lambda s: len(s if isinstance(s, str) else s[0]), reverse=True)
+        bare = [s if isinstance(s, str) else s[0] for s in segments]
+        lengths = np.fromiter(map(len, bare), np.int64, len(segments))
+        text = np.frombuffer("".join(bare).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        of = np.repeat(np.arange(len(segments)), lengths)
+        inner = np.arange(len(text)) - (np.cumsum(lengths) - lengths)[of]
+        # Nodes of depth k: level[k] + segment, for the segments of at least k characters.
+        level = np.concatenate([[0], np.cumsum(len(segments) - np.searchsorted(lengths[::-1], np.arange(lengths[0] + 1)))])
+        found = self._matches(text, lengths[of] - inner)
+        going = np.array([k for k, s in enumerate(segments) if not isinstance(s, str)], dtype=np.int64)
+        given = np.array([s[1] for s in segments if not isinstance(s, str)]).reshape(len(going), len(self.v.starts) if len(going) else 0)
         ends = [level[inner[place] + k] + of[place] for k, place, *_ in found]
         counts = np.zeros(level[-1], np.int64)
         for node in ends:
@@ -197,6 +232,8 @@ class Lattices:
             step[to], back[to], at[to], count[to], weight[to] = k, level[inner[place]] + of[place], own, n, w
         alpha = np.zeros(level[-1])
         alpha[: level[1]] = 1.0
+        if len(going):
+            alpha[going] = given[:, 0]
         each, total = np.empty(total_edges), np.empty(total_edges)
         for depth in range(1, len(level) - 1):
             nodes = slice(level[depth], level[depth + 1])
@@ -205,6 +242,9 @@ class Lattices:
             sums = (np.maximum if self.best else np.add).reduceat(each[a:b], first[nodes] - a)
             alpha[nodes] = sums
             total[a:b] = np.repeat(sums, counts[nodes])
+            if depth < given.shape[1]:
+                alpha[level[depth] + going] = given[:, depth]
+                continue
             low = np.flatnonzero(sums < 1e-150)
             if len(low):
                 # Only ratios matter: lift those that a later piece can still start from.
@@ -230,19 +270,85 @@ class Lattices:
             run[first[1:][counts > 0] - 1] = 0xFFFFFFFF
         self.first = np.concatenate([self.first, begin + first[: level[-1]]])
         self.upto, self.steps, self.back, self.at, self.n = (np.concatenate([old, part.astype(old.dtype)]) for old, part in ((self.upto, run), (self.steps, step), (self.back, back + self.nodes), (self.at, at), (self.n, count)))
+        self.batches.append((len(self.known), self.nodes, level))
         self.known.update(zip(segments, range(len(self.known), len(self.known) + len(segments))))
         self.last = np.concatenate([self.last, self.nodes + level[lengths] + np.arange(len(segments))])
         self.nodes += int(level[-1])
 
 
-def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int = 40_000) -> tuple[np.ndarray, np.ndarray]:
+    def at_depth(self, segment: str | tuple, depths: np.ndarray) -> np.ndarray:
+        """The nodes of a segment after so many characters."""
+        own = self.known[segment]
+        first, node, level = next(x for x in reversed(self.batches) if x[0] <= own)
+        return node + level[depths] + own - first
+
+    def walk(self, node: np.ndarray, where: np.ndarray, left: np.ndarray, place: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces sampled backwards by one walker for each node until it has passed `left` characters: walker, end and edge of each.
+
+        place: where the node lies in its text; the draw there hangs on the seed and the place alone.
+        """
+        who, found = np.arange(len(node)), []
+        while len(node):
+            draw = (mix(seed + place.astype(np.uint64) * U64(_STEP)) >> U64(32)).astype(np.uint32)
+            edge = self.first[node]
+            on = np.flatnonzero(self.upto[edge] < draw)
+            while len(on):
+                edge[on] += 1
+                on = on[self.upto[edge[on]] < draw[on]]
+            step = self.steps[edge]
+            found.append((who, where, edge))
+            left = left - step
+            go = left > 0
+            node, where, place, left, seed, who = self.back[edge][go], (where - step)[go], (place - step)[go], left[go], seed[go], who[go]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _long(segment: str, seed: np.uint64, lattices: Lattices, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ends, ids' places, ids' numbers) of the pieces of a long segment, stretch by stretch from its end.
+
+    Forward sums are carried through the whole segment once; a window's lattice starts from those before it, so it has the chances of the whole
+    segment's. Windows are sampled side by side from each of their last places, one of which the path from behind comes out at.
+    """
+    reach = len(lattices.v.starts)
+    starts = list(range(0, len(segment), window))
+    sums = lattices.forward(segment, window)
+    at, step = len(segment), max(1, _AT_ONCE // window)
+    for a in range((len(starts) - 1) // step * step, -1, -step):
+        group = starts[a : a + step]
+        stops = [min(s + window, len(segment)) for s in group]
+        lows = [max(0, s - reach) for s in group]
+        own = [segment[low:stop] if not low else (segment[low:stop], sums[s]) for s, low, stop in zip(group, lows, stops)]
+        if lattices.nodes > 2 * _AT_ONCE:
+            lattices.clear()
+        fresh = set(own) - lattices.known.keys()
+        if fresh:
+            lattices.add(list(fresh))
+        ends = [np.arange(max(s, stop - reach) + 1, stop + 1) for s, stop in zip(group, stops)]
+        node = np.concatenate([lattices.at_depth(x, e - low) for x, e, low in zip(own, ends, lows)])
+        entry = np.concatenate(ends)
+        left = entry - np.repeat(group, [len(e) for e in ends])
+        who, where, edge = lattices.walk(node, entry, left, entry, np.full(len(entry), seed))
+        # Each walker's steps are in order already.
+        order = np.argsort(who.astype(np.uint16 if len(entry) < 1 << 16 else np.int64), kind="stable")
+        cut = np.searchsorted(who[order], np.arange(len(entry) + 1))
+        first = np.cumsum([0] + [len(e) for e in ends])
+        for k in range(len(group) - 1, -1, -1):
+            if at <= group[k]:
+                continue
+            walker = int(first[k] + at - ends[k][0])
+            mine = order[cut[walker] : cut[walker + 1]]
+            yield where[mine], lattices.at[edge[mine]], lattices.n[edge[mine]]
+            at = int(where[mine[-1]] - lattices.steps[edge[mine[-1]]])
+
+
+def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int = 40_000, window: int = _WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in turn, and the texts' offsets. keys: 64 bits for each text, which seed its draws.
 
     The draw at an end of a piece hangs on the key and the character's place alone, so a text and its
     key give the same pieces in any batch. A blank is put before every text, as the model's own
-    encoder does.
+    encoder does. A segment longer than `window` is filtered in one go and sampled in windows, with the result of the whole segment's lattice.
     """
-    split = [_segments(f" {text}") for text in texts]
+    split = [_SEGMENT.findall(f" {text}") for text in texts]
     every = [s for own in split for s in own]
     if not every:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
@@ -251,43 +357,39 @@ def encode(texts: list[str], keys: np.ndarray, lattices: Lattices, limit: int =
     owner = np.repeat(np.arange(len(texts)), per_text)
     stop = np.cumsum(lengths)  # over all texts
     begin_of_text = np.concatenate([[0], stop[np.cumsum(per_text) - 1]])[:-1]
-    parts, a = [], 0
-    while a < len(every):
-        # So many characters at a time that their lattices stay small, however long a text is.
-        b = max(a + 1, int(np.searchsorted(stop, stop[a] - lengths[a] + _AT_ONCE, side="right")))
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def make_room() -> None:
         if len(lattices.known) > limit or lattices.nodes > 2 * _AT_ONCE:
             lattices.clear()
-        own = every[a:b]
+
+    short = np.flatnonzero(lengths <= window)
+    sizes = np.cumsum(lengths[short])
+    a = 0
+    while a < len(short):
+        # So many characters at a time that their lattices stay small, however long a text is.
+        b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + _AT_ONCE, side="right")))
+        make_room()
+        at = short[a:b]
+        own = [every[k] for k in at]
         fresh = [s for s in set(own) if s not in lattices.known]
         if fresh:
             lattices.add(fresh)
-        of = owner[a:b]
         node = lattices.last[np.fromiter(map(lattices.known.__getitem__, own), np.int64, b - a)]
-        where, left, seed = stop[a:b], lengths[a:b], keys[of]
-        places, edges = [], []
-        while len(node):
-            draw = mix(seed + (where - begin_of_text[of]).astype(np.uint64) * U64(_STEP)) >> U64(32)
-            edge = lattices.first[node]
-            draw = draw.astype(np.uint32)
-            on = np.flatnonzero(lattices.upto[edge] < draw)
-            while len(on):
-                edge[on] += 1
-                on = on[lattices.upto[edge[on]] < draw[on]]
-            step = lattices.steps[edge]
-            places.append(where)
-            edges.append(edge)
-            left = left - step
-            go = left > 0
-            node, where, left, seed, of = lattices.back[edge][go], (where - step)[go], left[go], seed[go], of[go]
-        place, edge = np.concatenate(places), np.concatenate(edges)
-        order = np.argsort(place)
-        place, edge = place[order], edge[order]
-        count = lattices.n[edge]
-        first = np.cumsum(count) - count
-        parts.append((place, count, lattices.ids[np.repeat(lattices.at[edge] - first, count) + np.arange(count.sum())]))
+        of = owner[at]
+        _, place, edge = lattices.walk(node, stop[at], lengths[at], stop[at] - begin_of_text[of], keys[of])
+        parts.append((place, lattices.at[edge], lattices.n[edge]))
         a = b
-    place, count, ids = (np.concatenate(x) for x in zip(*parts))
+    for k in np.flatnonzero(lengths > window):
+        before, inside, key = stop[k] - lengths[k], stop[k] - lengths[k] - begin_of_text[owner[k]], keys[owner[k]]
+        # Places are counted from the segment's start; the seed makes up for that.
+        seed = key + U64(int(inside) * _STEP & 0xFFFFFFFFFFFFFFFF)
+        parts += [(ends + before, at, n) for ends, at, n in _long(every[k], seed, lattices, max(1, window // 8))]
+    place, at, count = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(place)
+    place, at, count = place[order], at[order], count[order]
     first = np.concatenate([[0], np.cumsum(count)])
+    ids = lattices.ids[np.repeat(at - first[:-1], count) + np.arange(first[-1])]
     ends = np.searchsorted(place, stop[np.cumsum(per_text) - 1], side="right")
     return ids, np.concatenate([[0], first[ends]])
 
@@ -312,7 +414,8 @@ def tokenize(docs: DataFrame, mode: str = "sample", seed: int = 0, power: float
 
     Cases: a null or empty text has the one piece of the blank put before it; a null id seeds as 0; equal
     rows get equal pieces; very long texts are encoded whole, about a million characters at a time, and unbroken runs of
-    more than 16,384 characters in parts of that length; no rows: none. Other columns are not read.
+    more than 16,384 characters in windows of the lattice of the whole run; no rows: none. Other columns are not read.
+    Draws have 32 bits, and so have chances: a piece of a chance below 2**-32 at its end may never be drawn.
     """
     if mode not in ("sample", "best"):
         raise ValueError(f"mode: {mode}")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.common import arrow_map, read
+from waymark.llm.common import arrow_map, column_at, read
 from waymark.llm.textbytes import NON_SPACE, U64, Words, mix, string_bytes, words
 
 #: Frequent function words of four languages.
@@ -278,7 +278,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 def keep_good(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of docs, with all their columns, that classify() calls good; the same cases hold."""
     own = fit(docs, text_col=text_col, **options)
-    at = docs.columns.index(text_col)
+    at = column_at(docs, text_col)
 
     def one(batch: pa.RecordBatch):
         for a, b, _, _, good in own.judge(batch.column(at)):

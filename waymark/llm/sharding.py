@@ -16,9 +16,9 @@ def _unit(*parts: Column) -> Column:
 
 
 def _bucket_offsets(counts: DataFrame, keys: list[str], bucket: str) -> DataFrame:
-    """Rows of earlier buckets, for each bucket of each key. counts has a row a bucket, not a row a row."""
+    """_ss_before: rows (_ss_rows) of earlier buckets, for each bucket of each key. counts has a row a bucket, not a row a row."""
     w = Window.partitionBy(*keys).orderBy(bucket) if keys else Window.orderBy(bucket)
-    return counts.withColumn("before", F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1))).na.fill(0, ["before"])
+    return counts.withColumn("_ss_before", F.coalesce(F.sum("_ss_rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
 
 def stratified_shards(df: DataFrame, shards: int, seed: str = "waymark", source_col: str = "source", key_col: str = "doc_id", rows_per_bucket: int = 512, max_buckets: int = 65536) -> DataFrame:
@@ -38,34 +38,39 @@ def stratified_shards(df: DataFrame, shards: int, seed: str = "waymark", source_
     Equal texts get no shard of their own: the law is that of counts, and the copies of a text spread like any other
     rows of their source. Rows of one key fall into one bucket, so the key should be (nearly) unique. A task
     sorts a bucket's keys: 512 rows, or n / 65,536 beyond 33.5 million rows (15,259 rows, some 3 MB, at 10**9). Columns of df named
-    shard or slot are replaced; others are kept, and `_ss_` is reserved as a prefix.
+    shard or slot are replaced; others are kept, whatever their names and types.
     """
     df = df.drop("shard", "slot")
-    names = df.columns
+    names, kinds = df.columns, [f.dataType.simpleString() for f in df.schema]
+    place = {c.lower(): k for k, c in enumerate(names)}
+    key_col, source_col = (f"_ss_c{place[c.lower()]}" for c in (key_col, source_col))
+    df = df.toDF(*[f"_ss_c{k}" for k in range(len(names))])
     key, source = F.coalesce(F.col(key_col).cast("string"), F.lit("")), F.col(source_col).cast("string")
-    rows = df.select("*", F.md5(F.concat_ws(":", F.lit(seed), key)).alias("_ss_hash"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("_ss_rest"))
+    # Maps have no hash of their own, but text.
+    rest = [F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in zip(df.columns, kinds)]
+    rows = df.select("*", F.md5(F.concat_ws(":", F.lit(seed), key)).alias("_ss_hash"), F.xxhash64(*rest).alias("_ss_rest"))
     rows = rows.withColumn("_ss_source", F.coalesce(F.concat(F.lit("s"), source), F.lit("")))
     total = df.count()
     if not total:
-        return df.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long"))
+        return df.toDF(*names).withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long"))
     buckets = min(max_buckets, -(-total // rows_per_bucket))
     rows = rows.withColumn("_ss_b", F.expr(f"cast(conv(substring(_ss_hash, 1, 8), 16, 10) as bigint) * {buckets} div {_TWO_32}"))
 
-    counts = rows.groupBy("_ss_source", "_ss_b").agg(F.count("*").alias("rows"))
+    counts = rows.groupBy("_ss_source", "_ss_b").agg(F.count("*").alias("_ss_rows"))
     offsets = _bucket_offsets(counts, ["_ss_source"], "_ss_b")
-    offsets = offsets.withColumn("_ss_n", F.sum("rows").over(Window.partitionBy("_ss_source"))).select("_ss_source", "_ss_b", "before", "_ss_n")
+    offsets = offsets.withColumn("_ss_n", F.sum("_ss_rows").over(Window.partitionBy("_ss_source"))).select("_ss_source", "_ss_b", "_ss_before", "_ss_n")
     inner = Window.partitionBy("_ss_source", "_ss_b").orderBy("_ss_hash", key_col, "_ss_rest")
     ranked = rows.withColumn("_ss_r", F.row_number().over(inner) - 1).join(offsets, ["_ss_source", "_ss_b"])
-    ranked = ranked.withColumn("_ss_f", (F.col("before") + F.col("_ss_r") + _unit(F.lit(seed), F.col("_ss_source")) / F.lit(float(_TWO_32))) / F.col("_ss_n"))
-    ranked = stored(ranked.withColumn("_ss_b", F.floor(F.col("_ss_f") * buckets)).drop("before", "_ss_r", "_ss_n"), "ranked")
+    ranked = ranked.withColumn("_ss_f", (F.col("_ss_before") + F.col("_ss_r") + _unit(F.lit(seed), F.col("_ss_source")) / F.lit(float(_TWO_32))) / F.col("_ss_n"))
+    ranked = stored(ranked.withColumn("_ss_b", F.floor(F.col("_ss_f") * buckets)).drop("_ss_before", "_ss_r", "_ss_n"), "ranked")
 
-    places = _bucket_offsets(ranked.groupBy("_ss_b").agg(F.count("*").alias("rows")), [], "_ss_b").select("_ss_b", "before")
+    places = _bucket_offsets(ranked.groupBy("_ss_b").agg(F.count("*").alias("_ss_rows")), [], "_ss_b").select("_ss_b", "_ss_before")
     outer = Window.partitionBy("_ss_b").orderBy("_ss_f", "_ss_source", "_ss_hash", key_col, "_ss_rest")
-    placed = ranked.withColumn("_ss_p", F.row_number().over(outer) - 1).join(places, "_ss_b").withColumn("_ss_p", F.col("before") + F.col("_ss_p"))
+    placed = ranked.withColumn("_ss_p", F.row_number().over(outer) - 1).join(places, "_ss_b").withColumn("_ss_p", F.col("_ss_before") + F.col("_ss_p"))
     shard = F.expr(f"_ss_p * {shards} div {total}")
     out = placed.withColumn("shard", shard.cast("int"))
     out = out.withColumn("slot", F.col("_ss_p") - F.expr(f"(cast(shard as bigint) * {total} + {shards - 1}) div {shards}"))
-    return out.select(*[f"`{c}`" for c in names], "shard", "slot")
+    return out.select(*df.columns, "shard", "slot").toDF(*names, "shard", "slot")
 
 
 def write_shards(df: DataFrame, path: str, shards: int, **options) -> None:
