@@ -12,7 +12,6 @@ from waymark.operators import align, capture, connectivity, corridor, drive, par
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
 from waymark.sources import files, ply
-from waymark.streaming import queue
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -194,18 +193,6 @@ def test_text_sources(spark, tmp_path):
     assert files.envelope_points(env).count() == 2
 
 
-def test_queue_stream_matches_batch(spark, tmp_path):
-    rows = [("s", "a", "2024-01-01 00:00:00", "claim"), ("s", "a", "2024-01-01 00:05:00", "done"), ("s", "b", "2024-01-01 00:00:00", "claim"), ("s", "b", "2024-01-01 00:01:00", "failed"), ("s", "b", "2024-01-01 00:02:00", "claim"), ("s", "b", "2024-01-01 00:03:00", "failed"), ("s", "c", "2024-01-01 00:04:00", "claim")]
-    df = spark.createDataFrame(rows, "stage string, item string, ts string, kind string").withColumn("ts", F.col("ts").cast("timestamp"))
-    df.coalesce(1).write.json(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).json(str(tmp_path / "in"))
-    q = queue.queue_stream(stream).writeStream.format("memory").queryName("queue_out").outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    got = {(r.item, r.attempts, r.state) for r in spark.table("queue_out").collect()}
-    want = {(r.item, r.attempts, r.state) for r in capture.queue_status(df, "2024-01-01 00:05:00").collect()}
-    assert want == {("a", 0, "done"), ("b", 2, "failed"), ("c", 0, "running")} and want <= got
-
-
 def test_published_layouts(spark):
     df = spark.createDataFrame([(5952, 1920), (4096, 1344)], "w int, h int")
     layout = optics.cube_layout(F.col("w"), F.col("h"))

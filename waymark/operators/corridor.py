@@ -80,14 +80,16 @@ def nearest_on_corridor(points: DataFrame, key: str, segs: DataFrame, reach: flo
 
     A segment goes to the grid cells of size `reach` that its box, widened by reach, covers, and a point to its own, so a place
     within reach is proven nearest. Points that find none go on with four times the reach, until all have one: few
-    rounds, each an equi-join of the rows still open, which are written between rounds. Ties go to the first pass
-    and segment.
+    rounds, each an equi-join of the places still open, which are written between rounds. Ties go to the first pass
+    and segment. Each place is asked for once, however many points lie there, and points find theirs by place: `key` may repeat.
     """
     p, a, b = [F.col(c) for c in ("x", "y", "z")], [F.col(c) for c in ("ax", "ay", "az")], [F.col(c) for c in ("bx", "by_", "bz")]
     t = _share(p, a, b)
     at = [x + t * (y - x) for x, y in zip(a, b)]
     hit = F.struct(_square(p, a, b).alias("d2"), F.col("pass").alias("pass"), F.col("idx").alias("idx"), *[q.alias(n) for q, n in zip(at, ("qx", "qy", "qz"))])
-    wait = points.select(key, "x", "y", "z").where("x is not null and y is not null and z is not null").distinct()
+    places = points.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in "xyz"]).where("x is not null and y is not null and z is not null").distinct()
+    places = written(places.withColumn("_place", F.monotonically_increasing_id()))
+    wait = places
     found, segs = None, written(segs.select("pass", "idx", "ax", "ay", "az", "bx", "by_", "bz"))
     if not segs.take(1):
         none = F.lit(None).cast("double")
@@ -97,13 +99,17 @@ def nearest_on_corridor(points: DataFrame, key: str, segs: DataFrame, reach: flo
         grid = segs.withColumn("_gx", F.explode(F.sequence(F.floor((F.least("ax", "bx") - reach) / size), F.floor((F.greatest("ax", "bx") + reach) / size))))
         grid = grid.withColumn("_gy", F.explode(F.sequence(F.floor((F.least("ay", "by_") - reach) / size), F.floor((F.greatest("ay", "by_") + reach) / size))))
         pairs = wait.withColumns({"_gx": F.floor(F.col("x") / size), "_gy": F.floor(F.col("y") / size)}).join(grid, ["_gx", "_gy"])
-        best = written(pairs.groupBy(key).agg(F.min(hit).alias("_q")).where(F.col("_q.d2") <= reach * reach))
+        best = written(pairs.groupBy("_place").agg(F.min(hit).alias("_q")).where(F.col("_q.d2") <= reach * reach))
         found = best if found is None else found.union(best)
-        wait = written(wait.join(best.select(key), key, "left_anti"))
+        wait = written(wait.join(best.select("_place"), "_place", "left_anti"))
         if not wait.take(1):
             break
         reach *= 4
-    return points.join(found, key, "left").withColumn("d", F.sqrt("_q.d2")).withColumn("qx", F.col("_q.qx")).withColumn("qy", F.col("_q.qy")).withColumn("qz", F.col("_q.qz")).drop("_q")
+    at = places.join(found, "_place").select(*[F.col(c).alias(f"_{c}") for c in "xyz"], "_q")
+    same = F.lit(True)
+    for c in "xyz":
+        same &= F.col(c) == F.col(f"_{c}")
+    return points.join(at, same, "left").drop("_x", "_y", "_z").withColumn("d", F.sqrt("_q.d2")).withColumn("qx", F.col("_q.qx")).withColumn("qy", F.col("_q.qy")).withColumn("qz", F.col("_q.qz")).drop("_q")
 
 
 def guard(nearest: DataFrame, radius: float, z_lo: float, z_hi: float, margin: float = 0.0) -> DataFrame:

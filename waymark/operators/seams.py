@@ -19,14 +19,14 @@ def seam_pairs(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, ex
     """
     size = F.lit(float(bucket_m))
     p = points.select("chunk", "x", "y", F.round(F.col("z") * 1000).cast("bigint").alias("z"), F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"))
-    p = written(p, "seam-points")
+    p = written(p.withColumn("_n", F.monotonically_increasing_id()), "seam-points")
     other = p
     if exact:
         around = F.array(F.lit(-1), F.lit(0), F.lit(1))
         other = p.withColumn("_i", F.explode(around)).withColumn("_j", F.explode(around)).withColumn("gx", F.col("gx") + F.col("_i")).withColumn("gy", F.col("gy") + F.col("_j")).drop("_i", "_j")
-    crowded = other.groupBy("gx", "gy").agg(F.count("*").alias("_n")).where(F.col("_n") > crowd).select("gx", "gy", F.least(F.lit(4096), F.ceil(F.col("_n") / crowd)).cast("int").alias("_parts"))
+    crowded = other.groupBy("gx", "gy").agg(F.count("*").alias("_m")).where(F.col("_m") > crowd).select("gx", "gy", F.least(F.lit(4096), F.ceil(F.col("_m") / crowd)).cast("int").alias("_parts"))
     one = p.join(crowded, ["gx", "gy"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-    two = other.join(crowded, ["gx", "gy"], "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("chunk", "x", "y", "z", F.monotonically_increasing_id()), F.col("_parts")), F.lit(0)).cast("int"))
+    two = other.join(crowded, ["gx", "gy"], "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_n"), F.col("_parts")), F.lit(0)).cast("int"))
     a, b = one.alias("a"), two.alias("b")
     near = F.pow(F.col("a.x") - F.col("b.x"), 2) + F.pow(F.col("a.y") - F.col("b.y"), 2) <= bucket_m * bucket_m
     pairs = a.join(b, (F.col("a.gx") == F.col("b.gx")) & (F.col("a.gy") == F.col("b.gy")) & (F.col("a._salt") == F.col("b._salt")) & (F.col("a.chunk") < F.col("b.chunk")) & near)

@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries of the capture operators."""
 
-from waymark.plans import pictures
+from waymark.plans import pictures, streams
 from waymark.plans.fixtures import FRAMES_SQL, GAUSSIANS_SQL
 
 _MEMBERS = f"""{FRAMES_SQL},
@@ -129,7 +129,7 @@ ORACLES = {
     "seam_report": f"""with recursive {_SEAMS}, bad as (select a as c from fx_seams where median_dz >= 3 union select b from fx_seams where median_dz >= 3)
       select count(*) as seams, round(quantile_cont(median_dz, 0.5), 6) as median, round(max(median_dz), 6) as worst, (select coalesce(string_agg(c, ',' order by c), '') from bad) as offenders from fx_seams""",
     "seam_gate": f"""with recursive {_SEAMS} select count(*) as seams, round(list_sort(list(median_dz))[count(*) // 2 + 1], 6) as upper_median, round(max(median_dz), 6) as worst, count(*) = 0 as skipped, count(*) > 0 and coalesce(max(median_dz) <= 3, false) as ok from fx_seams""",
-    "footprint_overlap": f"""with {_MANIFEST}, h as (select min(x / 3) as hx0, min(y / 3) as hy0, max(x / 3) as hx1, max(y / 3) as hy1 from fx_frames where seq % 2 = 0),
+    "footprint_overlap": f"""with {_MANIFEST}, h as (select min(x / 3) as hx0, min(y / 3) as hy0, max(x / 3) as hx1, max(y / 3) as hy1 from fx_frames),
       s as (select chunk, greatest(0.0e0, least(x1, hx1) - greatest(x0, hx0)) * greatest(0.0e0, least(y1, hy1) - greatest(y0, hy0)) / ((x1 - x0) * (y1 - y0)) as share from fx_manifest, h)
       select chunk, round(share, 6) as share from s where share > 0.30""",
     "merge_totals": f"""with recursive {_MERGED} select chunk, count(*) as source, count(*) filter (owned) as owned, count(k.rid) as kept from g left join k on k.rid = g.rid group by chunk""",
@@ -302,9 +302,9 @@ ORACLES |= {
       select path, case when k < 2 and wide then 'wide' when k = 0 and tracks = 2 then 'max' when tracks = 2 then 'two' else 'any' end as profile, cast(case when k < 2 and wide then 105 when k = 0 and tracks = 2 then 10 when tracks = 2 then 3 else 0 end as int) as score from f""",
     "probe_rates": "select p_partkey, case when p_partkey % 3 > 0 then round(p_size * 1000 / (p_partkey % 3 * 1001)::double, 6) end as fps from part",
     "metre_degrees": f"with {FRAMES_SQL} select seq, round(y * (1 / 111320.0e0), 9) as dlat, round(x * (1 / (111320.0e0 * cos(radians(38.98138e0)))), 9) as dlon from fx_frames",
-    "ray_directions": """with g as (select a + 0.5e0 as i, b + 0.5e0 as j from (select unnest(generate_series(0, 63)) as a), (select unnest(generate_series(0, 31)) as b)),
+    "ray_directions": """with g as (select p_partkey, p_partkey % 64 + 0.5e0 as i, p_size % 32 + 0.5e0 as j from part),
       r as (select *, (i - 32) / 40 as u, (16 - j) / 45 as v, (i / 64 - 0.5e0) * 2 * pi() as lon, (0.5e0 - j / 32) * pi() as lat from g), n as (select *, sqrt(u * u + v * v + 1) as n from r)
-      select i, j, round(u / n, 6) as px, round(1 / n, 6) as py, round(v / n, 6) as pz, round(cos(lat) * sin(lon), 6) as ex, round(cos(lat) * cos(lon), 6) as ey, round(sin(lat), 6) as ez from n""",
+      select p_partkey, round(u / n, 6) as px, round(1 / n, 6) as py, round(v / n, 6) as pz, round(cos(lat) * sin(lon), 6) as ex, round(cos(lat) * cos(lon), 6) as ey, round(sin(lat), 6) as ez from n""",
     "cube_faces": f"""with {_FACES} select seq, face, round(u, 5) as u, round(v, 5) as v from fu""",
     "cube_pixels": f"""with {_FACES}, l as (select *, face in ('left', 'top') = (lens = 0) as second, face in ('front', 'back') as middle from fu, (values (0), (1)) t(lens)),
       p as (select *, case when middle then 2016 when face in ('left', 'down') then 0 else 3936 end as x0, case when middle then 1920 else 2016 end as w,
@@ -346,7 +346,7 @@ _ROUTE = f"""{_VERTICES},
   )"""
 
 _RIBBON = f"""{_CORRIDOR},
-  pt as (select cast(substr(video, 2) as int) * 1000 + pass as pass, seq, x, y, z from fx_corridor where video in ('v1', 'v2', 'v3')),
+  pt as (select cast(substr(video, 2) as int) * 100000 + pass as pass, seq, x, y, z from fx_corridor),
   ra as (select *, lead(x) over w - x as dx, lead(y) over w - y as dy from pt window w as (partition by pass order by seq)),
   rb as (select *, case when sqrt(dx*dx + dy*dy) > 0 then dx / sqrt(dx*dx + dy*dy) end as ux, case when sqrt(dx*dx + dy*dy) > 0 then dy / sqrt(dx*dx + dy*dy) end as uy from ra),
   rc as (select *, coalesce(lag(ux) over w, ux, 0) + coalesce(ux, lag(ux) over w, 0) as tx, coalesce(lag(uy) over w, uy, 0) + coalesce(uy, lag(uy) over w, 0) as ty from rb window w as (partition by pass order by seq)),
@@ -380,7 +380,8 @@ _RAYS = """select *, (u * cos(radians(yaw)) + (cos(radians(pitch)) - v * sin(rad
 _VIEWS = "v as (select p_size as view, p_size * 7.3e0 as yaw, (p_size % 5 - 2) * 9.1e0 as pitch, p_size % 4 * 15.0e0 + 40.3e0 as fov from (select distinct p_size from part))"
 _LENSES = "ln(lens, yaw_deg, ax, ay, az, half) as (values ('front', 0.0e0, 0.0e0, 1.0e0, 0.0e0, 95.0e0), ('back', 180.0e0, 0.0e0, -1.0e0, 0.0e0, 95.0e0), ('all', 0.0e0, 0.0e0, 1.0e0, 0.0e0, 180.0e0), ('narrow', 90.0e0, 1.0e0, 0.0e0, 0.0e0, 20.0e0))"
 # A corner at distance r of the vertical axis and bearing b stays in a level lens while it turns by less than acos(cos(half) / r) - |b|.
-_PLAN = f"""{_LENSES}, pi_(pitch) as (values (-12.0e0), (5.0e0)), cn(sx, sy) as (values (-1, -1), (-1, 1), (1, -1), (1, 1)),
+_PLAN = f"""lp as (select distinct p_size as lens, p_size * 297 % 3600 / 10.0e0 as yaw_deg, p_size * 3.3e0 + 15 as half from part),
+  ln as (select lens, yaw_deg, sin(radians(yaw_deg)) as ax, cos(radians(yaw_deg)) as ay, 0.0e0 as az, half from lp), pi_(pitch) as (values (-12.0e0), (5.0e0)), cn(sx, sy) as (values (-1, -1), (-1, 1), (1, -1), (1, 1)),
   co as (select lens, yaw_deg, half, pitch, sx * tan(radians(40)) as u, sy * tan(radians(40)) * 0.75e0 as v, 0.0e0 as yaw from ln, pi_, cn),
   ry as ({_RAYS} from co),
   mo as (select lens, yaw_deg, half, pitch, min(case when cos(radians(half)) / sqrt(dx * dx + dy * dy) <= -1 then 180 when cos(radians(half)) / sqrt(dx * dx + dy * dy) >= 1 then 0 else degrees(acos(cos(radians(half)) / sqrt(dx * dx + dy * dy))) - degrees(abs(atan2(dx, dy))) end) as most from ry group by 1, 2, 3, 4),
@@ -394,14 +395,14 @@ ORACLES |= {
       select view, lens, round(c, 6) as coverage from c where c >= 0.10e0""",
     "seam_bands": f"""with {_VIEWS}, g as (select view, yaw, pitch, (i + 0.5e0 - 30) * tan(radians(fov) / 2) / 30 as u, -(j + 0.5e0 - 22.5e0) * tan(radians(fov) / 2) / 30 as v from v, (select unnest(generate_series(0, 59)) as i), (select unnest(generate_series(0, 44)) as j)),
       r as ({_RAYS} from g) select view, round(avg(case when abs(dy) < sin(radians(6.1e0)) then 1 else 0 end), 6) as share from r group by view""",
-    "sphere_shares": f"""with {_PLAN}, w as (select lens, round(yaw, 3) as yaw, pitch, ax, ay, az, half from pl join (select lens, ax, ay, az from ln) using (lens) join (select lens, half from ln) using (lens) where lens in ('front', 'back') and pitch < 0),
-      e as (select (i + 0.5e0) / 128 * 2 * pi() - pi() as lon, pi() / 2 - (j + 0.5e0) / 64 * pi() as lat from (select unnest(generate_series(0, 127)) as i), (select unnest(generate_series(0, 63)) as j)),
-      d as (select lon, lat, cos(lat) * sin(lon) as x, cos(lat) * cos(lon) as y, sin(lat) as z from e),
-      t as (select lon, lat, x * ax + y * ay + z * az >= cos(radians(half)) as sees, x * cos(radians(yaw)) - y * sin(radians(yaw)) as lx, x * sin(radians(yaw)) + y * cos(radians(yaw)) as ty, z as tz, pitch from d, w),
-      q as (select lon, lat, sees, lx, ty * cos(radians(pitch)) + tz * sin(radians(pitch)) as ly, -ty * sin(radians(pitch)) + tz * cos(radians(pitch)) as lz from t),
-      s as (select lon, lat, max(case when sees and ly > 1e-9 and abs(lx) <= ly * tan(radians(40)) and abs(lz) <= ly * tan(radians(40)) * 0.75e0 then 1 else 0 end) as seen from q group by 1, 2)
-      select round(avg(seen), 6) as sphere, round(avg(seen) filter (abs(lat) <= radians(10)), 6) as horizon_band from s""",
+    "sphere_shares": f"""with {_PLAN}, w as (select pl.lens, round(yaw, 3) as yaw, pitch, ax, ay, az, half from pl join ln using (lens) where pitch < 0 and pl.lens < 30),
+      e as (select (i + 0.5e0) / 128 * 2 * pi() - pi() as lon, 1 - (j + 0.5e0) / 32 as z from (select unnest(generate_series(0, 127)) as i), (select unnest(generate_series(0, 63)) as j)),
+      d as (select lon, z, sqrt(1 - z * z) * sin(lon) as x, sqrt(1 - z * z) * cos(lon) as y from e),
+      t as (select lon, z, x * ax + y * ay + z * az >= cos(radians(half)) as sees, x * cos(radians(yaw)) - y * sin(radians(yaw)) as lx, x * sin(radians(yaw)) + y * cos(radians(yaw)) as ty, pitch from d, w),
+      q as (select lon, z, sees, lx, ty * cos(radians(pitch)) + z * sin(radians(pitch)) as ly, -ty * sin(radians(pitch)) + z * cos(radians(pitch)) as lz from t),
+      s as (select lon, z, max(case when sees and ly > 0 and abs(lx) <= ly * tan(radians(40)) and abs(lz) <= ly * tan(radians(40)) * 0.75e0 then 1 else 0 end) as seen from q group by 1, 2)
+      select round(avg(seen), 6) as sphere, round(avg(seen) filter (abs(z) <= sin(radians(10))), 6) as horizon_band from s""",
 }
 
 # DuckDB rounds small negative numbers to -0.0, Spark to 0.0; adding 0.0 makes them one.
-ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in (ORACLES | pictures.ORACLES).items()}
+ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in (ORACLES | pictures.ORACLES | streams.ORACLES | {"selection_stream": ORACLES["frame_selection"]}).items()}

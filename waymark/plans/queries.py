@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waymark.functions import geo, optics, scalars
 from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, views, world
 from waymark.operators.shared import scratch_path
-from waymark.plans import pictures
+from waymark.plans import pictures, streams
 from waymark.plans.fixtures import ORIGIN, frames, gaussians
 from waymark.sources import files, tables
 from waymark.streaming import queue
@@ -67,11 +67,14 @@ def corridor_band(spark: SparkSession, d: str) -> DataFrame:
     return corridor.height_band(_corridor(spark, d), ["video"], 8.0).select("video", _r("z_lo"), _r("z_hi"))
 
 
-def frame_selection(spark: SparkSession, d: str) -> DataFrame:
+def candidates(spark: SparkSession, d: str) -> DataFrame:
     track = passes.track_distance(frames(spark, d).withColumn("x", F.col("x")), ["video"])
     c = frames(spark, d).select("video", "seq", "sharp", "t").join(track.select("seq", "dist"), "seq")
-    c = c.select("video", F.floor(F.col("t") / 60).cast("int").alias("seg"), F.col("seq").alias("i"), F.floor(F.col("dist") * 4).cast("double").alias("dist"), "sharp")
-    return passes.select_frames(c, ["video"], 9.0)
+    return c.select("video", F.floor(F.col("t") / 60).cast("int").alias("seg"), F.col("seq").alias("i"), F.floor(F.col("dist") * 4).cast("double").alias("dist"), "sharp")
+
+
+def frame_selection(spark: SparkSession, d: str) -> DataFrame:
+    return passes.select_frames(candidates(spark, d), ["video"], 9.0)
 
 
 def time_nudge(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +108,7 @@ def seam_gate(spark: SparkSession, d: str) -> DataFrame:
 
 def footprint_overlap(spark: SparkSession, d: str) -> DataFrame:
     m = partition.chunk_manifest(members(spark, d), CELL).select("chunk", "x0", "y0", "x1", "y1")
-    hull = frames(spark, d).where("seq % 2 = 0").agg(*[f(F.col(c) / 3).alias(n) for f, c, n in ((F.min, "x", "x0"), (F.min, "y", "y0"), (F.max, "x", "x1"), (F.max, "y", "y1"))])
+    hull = frames(spark, d).agg(*[f(F.col(c) / 3).alias(n) for f, c, n in ((F.min, "x", "x0"), (F.min, "y", "y0"), (F.max, "x", "x1"), (F.max, "y", "y1"))])
     return seams.footprints(m, hull).select("chunk", _r("share"))
 
 
@@ -539,11 +542,11 @@ def metre_degrees(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ray_directions(spark: SparkSession, d: str) -> DataFrame:
-    """Rays of pixels of a pinhole and of an equirectangular picture."""
-    p = spark.range(64).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(31)))).select((F.col("id") + 0.5).alias("i"), (F.col("k") + 0.5).alias("j"))
+    """Rays of pixels, one a part, of a pinhole and of an equirectangular picture."""
+    p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", (F.col("p_partkey") % 64 + 0.5).alias("i"), (F.col("p_size") % 32 + 0.5).alias("j"))
     a = optics.pinhole_direction(F.col("i"), F.col("j"), *[F.lit(v) for v in (40.0, 45.0, 32.0, 16.0)])
     b = optics.equirect_direction(F.col("i"), F.col("j"), F.lit(64), F.lit(32))
-    return p.select("i", "j", *[_s(c, 6, f"p{n}") for c, n in zip(a, "xyz")], *[_s(c, 6, f"e{n}") for c, n in zip(b, "xyz")])
+    return p.select("p_partkey", *[_s(c, 6, f"p{n}") for c, n in zip(a, "xyz")], *[_s(c, 6, f"e{n}") for c, n in zip(b, "xyz")])
 
 
 def cube_faces(spark: SparkSession, d: str) -> DataFrame:
@@ -589,7 +592,7 @@ def route_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def road_lines(spark: SparkSession, d: str) -> DataFrame:
     """The road's ribbon as the lines of an OBJ file, y up."""
-    pts = _corridor(spark, d).where("video in ('v1', 'v2', 'v3')").select((F.expr("cast(substring(video, 2) as int)") * 1000 + F.col("pass")).alias("pass"), "seq", "x", "y", "z")
+    pts = _corridor(spark, d).select((F.expr("cast(substring(video, 2) as int)") * 100000 + F.col("pass")).alias("pass"), "seq", "x", "y", "z")
     return files.obj_road(pts, 6.0, 2.4)
 
 
@@ -624,8 +627,15 @@ def _lenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "lens string, yaw_deg double, ax double, ay double, az double, half_fov_deg double")
 
 
+def _rig(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of parts as level lenses, from narrow ones to one that sees all around."""
+    p = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_size").alias("lens")).distinct()
+    p = p.withColumn("yaw_deg", F.col("lens") * 297 % 3600 / F.lit(10.0))
+    return p.select("lens", "yaw_deg", F.sin(F.radians("yaw_deg")).alias("ax"), F.cos(F.radians("yaw_deg")).alias("ay"), F.lit(0.0).alias("az"), (F.col("lens") * 3.3 + 15).cast("double").alias("half_fov_deg"))
+
+
 def view_plan(spark: SparkSession, d: str) -> DataFrame:
-    return views.plan_views(_lenses(spark), [-12.0, 5.0], 80.0, 24.0, 0.75, 12.0).select("lens", _r("yaw", 3), "pitch", "fov", "width", "height")
+    return views.plan_views(_rig(spark, d), [-12.0, 5.0], 80.0, 24.0, 0.75, 12.0).select("lens", _r("yaw", 3), "pitch", "fov", "width", "height")
 
 
 def _views(spark: SparkSession, d: str) -> DataFrame:
@@ -643,8 +653,7 @@ def seam_bands(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sphere_shares(spark: SparkSession, d: str) -> DataFrame:
-    plan = view_plan(spark, d).where("lens in ('front', 'back') and pitch < 0")
-    return views.sphere_coverage(plan, _lenses(spark), 128).select(_r("sphere"), _r("horizon_band"))
+    return views.sphere_coverage(view_plan(spark, d).where("pitch < 0 and lens < 30"), _rig(spark, d), 64).select(_r("sphere"), _r("horizon_band"))
 
 
 QUERIES = {
@@ -657,4 +666,4 @@ QUERIES = {
         own_frames, envelope_files, rename_plan, sequential_pairs, group_summary, telemetry_tags, trimmed_starts, reprojection, profile_matches, probe_rates, metre_degrees, ray_directions, cube_faces,
         route_summary, road_lines, centre_lines, frame_records, chunk_folders, minute_stream, view_plan, view_split, seam_bands, sphere_shares, cube_pixels, flat_frames, camera_specs, failed_items, open_items,
     )
-} | pictures.QUERIES
+} | pictures.QUERIES | streams.QUERIES

@@ -5,49 +5,79 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATUS = "stage string, item string, attempts bigint, state string"
-_STATE = "done boolean, attempts bigint, held double, freed double"
+STATUS = "stage string, item string, attempts bigint, state string, stale boolean, at bigint"
 
 
-def _step(lease_s: float, retries: int):
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done, attempts, held, freed = state.get if state.exists else (False, 0, -1.0, -1.0)
-        if state.hasTimedOut:
-            now = state.getCurrentWatermarkMs() / 1000
+def keyed_state(spark: SparkSession) -> None:
+    """State with timers needs the RocksDB store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+class ClaimQueue(StatefulProcessor):
+    """Five numbers an item, with one timer: the end of its lease while it runs, the end of its keep once it is done."""
+
+    def __init__(self, lease_ms: int, retries: int, keep_ms: int):
+        self.lease_ms, self.retries, self.keep_ms = lease_ms, retries, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.item = handle.getValueState("item", "done boolean, attempts bigint, held bigint, freed bigint, last bigint")
+
+    def _row(self, key: tuple, state: tuple, stale: bool, at: int) -> pd.DataFrame:
+        done, attempts, held, freed, _ = state
+        name = "done" if done else "running" if held > freed else "failed" if attempts >= self.retries else "pending"
+        return pd.DataFrame({"stage": [key[0]], "item": [key[1]], "attempts": [attempts], "state": [name], "stale": [stale and name == "running"], "at": [at]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        done, attempts, held, freed, last = self.item.get() if self.item.exists() else (False, 0, -1, -1, -1)
+        for part in rows:
+            # Sums and latest times: the order within a batch doesn't matter.
+            kind, us = part["kind"], part["us"]
+            claims, ends = us[kind.isin(["claim", "heartbeat"])], us[kind.isin(["done", "failed"])]
+            done = done or bool((kind == "done").any())
+            attempts += int((kind == "failed").sum())
+            held, freed, last = max([held, *claims]), max([freed, *ends]), max([last, *us])
+        state = (bool(done), int(attempts), int(held), int(freed), int(last))
+        self.item.update(state)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if done:
+            self.handle.registerTimer(last // 1000 + self.keep_ms)
+        elif held > freed:
+            self.handle.registerTimer(held // 1000 + self.lease_ms)
+        yield self._row(key, state, False, last // 1000)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self.item.get()
+        if state[0]:
+            self.item.clear()
         else:
-            now = -1.0
-            for rows in batches:
-                for kind, ts in sorted(zip(rows["kind"], rows["s"]), key=lambda r: r[1]):
-                    now = max(now, ts)
-                    if kind in ("claim", "heartbeat"):
-                        held = max(held, ts)
-                    elif kind == "done":
-                        done, freed = True, max(freed, ts)
-                    elif kind == "failed":
-                        attempts, freed = attempts + 1, max(freed, ts)
-        running = held > freed and now - held < lease_s
-        name = "done" if done else "running" if running else "failed" if attempts >= retries else "pending"
-        state.update((done, attempts, held, freed))
-        if running and not done:
-            # The lease ends unless another event comes: the watermark then wakes this item up.
-            state.setTimeoutTimestamp(max(int((held + lease_s) * 1000), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"stage": [key[0]], "item": [key[1]], "attempts": [attempts], "state": [name]})
-
-    return step
-
-
-def queue_stream(events: DataFrame, lease_s: float = 3600.0, retries: int = 2, late: str = "10 minutes") -> DataFrame:
-    """(stage, item, attempts, state) after each batch of (stage, item, ts, kind) that touched an item or outlived its lease.
-
-    State is four numbers an item. done outranks a lock within its lease, then failures, then pending; a lease
-    whose watermark has passed is stale and frees the item. In update mode.
+            yield self._row(key, state, True, expiredTimerInfo.getExpiryTimeInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def queue_stream(events: DataFrame, lease_s: float = 3600.0, retries: int = 2, late: str = "10 minutes", keep_s: float = 7 * 86400.0) -> DataFrame:
+    """(stage, item, attempts, state, stale, at) whenever a batch of (stage, item, ts, kind) touched an item or an item outlived its lease.
+
+    The rule is queue_status(): done outranks a held lock (running), then failures, then pending; a lock whose lease the watermark has passed
+    stays running and is stale. A done item is forgotten keep_s after its last event, so what is held is bounded by what is open and what was lately done: an event
+    that comes for it later begins anew. Events older than the watermark are left out, as the watermark says. at: milliseconds of the event or timer; an item's row
+    of largest `at` is its state. In append mode.
     """
-    rows = events.where("kind is not null").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).withColumn("s", F.col("ts").cast("double"))
-    return rows.groupBy("stage", "item").applyInPandasWithState(_step(lease_s, retries), STATUS, _STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    keyed_state(events.sparkSession)
+    rows = events.where("kind is not null").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).withColumn("us", F.unix_micros("ts"))
+    return rows.groupBy("stage", "item").transformWithStateInPandas(ClaimQueue(int(lease_s * 1000), retries, int(keep_s * 1000)), STATUS, "Append", "EventTime")
+
+
+def latest(rows: DataFrame) -> DataFrame:
+    """(stage, item, attempts, state, stale): the last word of queue_stream() rows on each item; at one time the timer's outranks the event's."""
+    return rows.groupBy("stage", "item").agg(F.max(F.struct("at", "stale", "attempts", "state")).alias("l")).select("stage", "item", "l.attempts", "l.state", "l.stale")
 
 
 def minute_counts(frames: DataFrame, late: str = "1 minute") -> DataFrame:
