@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries of the capture operators."""
 
-from waymark.plans import pictures, streams
+from waymark.plans import round_trips, pictures, streams
 from waymark.plans.fixtures import FRAMES_SQL, GAUSSIANS_SQL
 
 _MEMBERS = f"""{FRAMES_SQL},
@@ -405,4 +405,4 @@ ORACLES |= {
 }
 
 # DuckDB rounds small negative numbers to -0.0, Spark to 0.0; adding 0.0 makes them one.
-ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in (ORACLES | pictures.ORACLES | streams.ORACLES | {"selection_stream": ORACLES["frame_selection"]}).items()}
+ORACLES = {name: sql.replace(" round(", " 0.0e0 + round(") for name, sql in (ORACLES | pictures.ORACLES | streams.ORACLES | round_trips.ORACLES | {"selection_stream": ORACLES["frame_selection"]}).items()}

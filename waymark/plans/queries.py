@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waymark.functions import geo, optics, scalars
 from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, views, world
 from waymark.operators.shared import scratch_path
-from waymark.plans import pictures, streams
+from waymark.plans import round_trips, pictures, streams
 from waymark.plans.fixtures import ORIGIN, frames, gaussians
 from waymark.sources import files, tables
 from waymark.streaming import queue
@@ -666,4 +666,4 @@ QUERIES = {
         own_frames, envelope_files, rename_plan, sequential_pairs, group_summary, telemetry_tags, trimmed_starts, reprojection, profile_matches, probe_rates, metre_degrees, ray_directions, cube_faces,
         route_summary, road_lines, centre_lines, frame_records, chunk_folders, minute_stream, view_plan, view_split, seam_bands, sphere_shares, cube_pixels, flat_frames, camera_specs, failed_items, open_items,
     )
-} | pictures.QUERIES | streams.QUERIES
+} | pictures.QUERIES | streams.QUERIES | round_trips.QUERIES
