@@ -721,3 +721,19 @@ def test_stages_find_their_columns_whatever_the_case(spark):
     assert decontaminate.clean(df, bench).columns == df.columns and decontaminate.clean(df, bench).count() == 1
     assert quality.keep_good(df).columns == df.columns
     assert neardup.deduplicate(df).columns == df.columns and neardup.deduplicate(df).count() == 2
+
+
+# 10: crowded buckets
+
+
+@pytest.mark.parametrize("crowd", [4, 128])
+def test_pages_of_one_template(spark, crowd):
+    """Unlinked pages that share most of their words, and linked ones among them, whatever the bucket's limit."""
+    r = random.Random(12)
+    template = [f"t{k}" for k in range(140)]
+    pages = [template + [f"p{i}x{k}" for k in range(60)] for i in range(120)]
+    pages += [page[:198] + [f"q{i}", f"r{i}"] for i, page in enumerate(pages[:40])] + [page[:190] + [f"s{i}k{k}" for k in range(r.randrange(8, 16))] for i, page in enumerate(pages[:20])]
+    rows = list(enumerate(" ".join(p) for p in pages))
+    r.shuffle(rows)
+    got = {tuple(x) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), crowd=crowd).collect()}
+    assert got == brute_groups(rows, 5, 80)

@@ -100,7 +100,19 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return own.select("node", F.explode(F.slice("all", F.lit(1), F.col("n").cast("int") - least + 1)).alias("_s")).select("node", F.col("_s.band").alias("band"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, exact: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of nodes (band, node, part, n, odd) of a bucket but of different parts that two exact bounds leave."""
+    a, b = members.alias("a"), members.alias("b")
+    cond = (F.col("a.band") == F.col("b.band")) & (F.col("a.part") < F.col("b.part")) & (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
+    # |A ^ B| <= (|A| + |B|) * (100 - p) / (100 + p) says the same as the threshold, and the odd sketches differ in no more bits.
+    odd = F.lit(0)
+    for k in range(_ODD_WORDS):
+        odd = odd + F.bit_count(F.get("a.odd", F.lit(k)).bitwiseXOR(F.get("b.odd", F.lit(k))))
+    cond &= odd * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent)
+    return a.join(b, cond).select(F.col("b.node").alias("u"), F.col("a.node").alias("v")).distinct()
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, exact: bool = False, crowd: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of docs.
 
     Words are runs of non-space after A-Z are lower-cased; a document's set holds its distinct
@@ -112,7 +124,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     costs a row each. Nodes that share a band (missed with probability (1 - 0.8**4)**32 < 1e-7
     at the threshold) are compared in two passes: with the node of their bucket that shares most
     buckets, and then, across components only, with all others of the bucket that two exact bounds, on
-    sizes and on the difference of sets by odd sketches, leave. Every link is confirmed on full sets. Groups
+    sizes and on the difference of sets by odd sketches, leave. In buckets that still have more than `crowd` nodes by then only
+    those are compared that share a prefix token, as in exact, which loses nothing. Every link is confirmed on full sets. Groups
     come from union-find on partitions, then star contraction.
 
     exact misses nothing: nodes then meet by their prefix tokens instead of bands, at the price of
@@ -155,14 +168,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     placed = members.select("band", "node").join(reached, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
     split = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("band")
     open_ = stored(placed.join(split, "band").join(nodes.select("node", "n", "odd"), "node"), "open")
-    a, b = open_.alias("a"), open_.alias("b")
-    cond = (F.col("a.band") == F.col("b.band")) & (F.col("a.part") < F.col("b.part")) & (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-    # |A ^ B| <= (|A| + |B|) * (100 - p) / (100 + p) says the same as the threshold, and the odd sketches differ in no more bits.
-    odd = F.lit(0)
-    for k in range(_ODD_WORDS):
-        odd = odd + F.bit_count(F.get("a.odd", F.lit(k)).bitwiseXOR(F.get("b.odd", F.lit(k))))
-    cond &= odd * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent)
-    across = a.join(b, cond).select(F.col("b.node").alias("u"), F.col("a.node").alias("v")).distinct()
+    # A bucket that is crowded even so, as by pages of one template, isn't compared as a whole: its nodes meet by their prefix tokens, which any two of a link share.
+    counts = open_.groupBy("band").agg(F.count("*").alias("many"))
+    crowded = stored(counts.where(F.col("many") > crowd).select("band"), "crowded")
+    if crowded.take(1):
+        dense = stored(open_.join(crowded, "band", "left_semi").select("node", "part", "n", "odd").dropDuplicates(["node"]), "dense")
+        tokens = _prefixes(sets.join(dense.select("node"), "node", "left_semi"), percent)
+        shared = tokens.groupBy("band").agg(F.count("*").alias("many")).where("many > 1").select("band")
+        met = stored(tokens.join(shared, "band").join(dense, "node").select("band", "node", "part", "n", "odd"), "met")
+        across = _across(open_.join(crowded, "band", "left_anti"), percent).union(_across(met, percent)).distinct()
+    else:
+        across = _across(open_, percent)
     second = _verified(across, sets, percent)
 
     # From nodes to their smallest ids: rows that repeat an id meet there, whatever their texts.
