@@ -20,14 +20,16 @@ def detect_profiles(files: DataFrame, profiles: DataFrame) -> DataFrame:
 
     A rule column that is null fits all: suffixes, tracks, sizes (strings like 4096x1344). The score is the
     priority, and 100 more for a size rule; of equals the first in load_order wins. Files and profiles meet by suffix, each
-    profile once for every suffix it lists; those that list none are joined on the number of tracks, or all, if they name none.
+    profile once for every suffix it lists; those that list none are joined on the number of tracks, or all, if they name none. A
+    registry of up to 100,000 rules is broadcast, so no suffix or number of tracks that most files have makes a hot partition.
     """
     f = files.withColumn("_suffix", F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))).withColumn("_size", F.concat_ws("x", "width", "height"))
     p = profiles.select(F.col("name").alias("profile"), "priority", "suffixes", F.col("tracks").alias("_tracks"), "sizes", "load_order")
     listed = p.where("suffixes is not null").withColumn("_suffix", F.explode(F.array_distinct("suffixes")))
     every = p.where("suffixes is null")
     by_tracks, rest = every.where("_tracks is not null"), every.where("_tracks is null")
-    either = f.join(listed, "_suffix").unionByName(f.join(by_tracks, F.col("tracks") == F.col("_tracks"))).unionByName(f.withColumn("_any", F.lit(1)).join(rest.withColumn("_any", F.lit(1)), "_any").drop("_any"))
+    sent = F.broadcast if profiles.limit(100_001).count() <= 100_000 else lambda df: df
+    either = f.join(sent(listed), "_suffix").unionByName(f.join(sent(by_tracks), F.col("tracks") == F.col("_tracks"))).unionByName(f.withColumn("_any", F.lit(1)).join(sent(rest.withColumn("_any", F.lit(1))), "_any").drop("_any"))
     fits = (F.col("_tracks").isNull() | (F.col("_tracks") == F.col("tracks"))) & (F.col("sizes").isNull() | F.array_contains("sizes", F.col("_size")))
     score = F.col("priority") + F.when(F.col("sizes").isNotNull(), 100).otherwise(0)
     best = either.where(fits).groupBy("path").agg(F.min(F.struct((-score).alias("minus"), "load_order", "profile")).alias("_b"))

@@ -9,14 +9,8 @@ from waymark.functions.scalars import verdict
 from waymark.operators.shared import written
 
 
-def seam_pairs(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, exact: bool = False, crowd: int = 2048) -> DataFrame:
-    """(a, b, pairs, median_dz, p90_dz, verdict) of (chunk, x, y, z): thinned corridor points, a handful a bucket.
-
-    Points of different chunks that share a bucket and lie within bucket_m in the plane; with exact, those in
-    neighbouring buckets too. An equi-join on the bucket; one of more than `crowd` points is salted: its points
-    on one side are dealt out, those on the other copied to every part. Heights count in millimetres, as corridors are
-    stored; percentiles come from the counts of each difference, not from a row a pair. The points are written once.
-    """
+def _differences(points: DataFrame, bucket_m: float, exact: bool, crowd: int) -> DataFrame:
+    """(a, b, dz, n): how often points of b are dz millimetres higher than points of a, an earlier chunk, in one bucket."""
     size = F.lit(float(bucket_m))
     p = points.select("chunk", "x", "y", F.round(F.col("z") * 1000).cast("bigint").alias("z"), F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"))
     p = written(p.withColumn("_n", F.monotonically_increasing_id()), "seam-points")
@@ -30,7 +24,24 @@ def seam_pairs(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, ex
     a, b = one.alias("a"), two.alias("b")
     near = F.pow(F.col("a.x") - F.col("b.x"), 2) + F.pow(F.col("a.y") - F.col("b.y"), 2) <= bucket_m * bucket_m
     pairs = a.join(b, (F.col("a.gx") == F.col("b.gx")) & (F.col("a.gy") == F.col("b.gy")) & (F.col("a._salt") == F.col("b._salt")) & (F.col("a.chunk") < F.col("b.chunk")) & near)
-    each = pairs.groupBy(F.col("a.chunk").alias("a"), F.col("b.chunk").alias("b"), F.abs(F.col("a.z") - F.col("b.z")).alias("dz")).agg(F.count("*").alias("n"))
+    return pairs.groupBy(F.col("a.chunk").alias("a"), F.col("b.chunk").alias("b"), (F.col("b.z") - F.col("a.z")).alias("dz")).agg(F.count("*").alias("n"))
+
+
+def seam_ties(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, crowd: int = 2048) -> DataFrame:
+    """(a, b, dz, w): the mean height difference of b to a in metres where two chunks meet, and how many pairs of points tell, for a levelling network."""
+    out = _differences(points, bucket_m, False, crowd).groupBy("a", "b").agg((F.sum(F.col("dz") * F.col("n")) / F.sum("n") / 1000).alias("dz"), F.sum("n").alias("w"))
+    return out.where(F.col("w") >= min_pairs)
+
+
+def seam_pairs(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, exact: bool = False, crowd: int = 2048) -> DataFrame:
+    """(a, b, pairs, median_dz, p90_dz, verdict) of (chunk, x, y, z): thinned corridor points, a handful a bucket.
+
+    Points of different chunks that share a bucket and lie within bucket_m in the plane; with exact, those in
+    neighbouring buckets too. An equi-join on the bucket; one of more than `crowd` points is salted: its points
+    on one side are dealt out, those on the other copied to every part. Heights count in millimetres, as corridors are
+    stored; percentiles come from the counts of each difference, not from a row a pair. The points are written once.
+    """
+    each = _differences(points, bucket_m, exact, crowd).groupBy("a", "b", F.abs("dz").alias("dz")).agg(F.sum("n").alias("n"))
     out = each.groupBy("a", "b").agg(F.sum("n").alias("pairs"), (F.percentile("dz", 0.5, F.col("n")) / 1000).alias("median_dz"), (F.percentile("dz", 0.9, F.col("n")) / 1000).alias("p90_dz"))
     return out.where(F.col("pairs") >= min_pairs).withColumn("verdict", verdict(F.col("median_dz")))
 

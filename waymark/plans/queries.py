@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import geo, optics, scalars
-from waymark.operators import align, capture, connectivity, corridor, drive, partition, passes, route, seams, views, world
+from waymark.operators import align, capture, connectivity, corridor, drive, levelling, partition, passes, route, seams, views, world
 from waymark.operators.shared import scratch_path
 from waymark.plans import round_trips, pictures, streams
 from waymark.plans.fixtures import ORIGIN, frames, gaussians
@@ -106,6 +106,13 @@ def seam_gate(spark: SparkSession, d: str) -> DataFrame:
     return seams.seam_gate(seams.seam_pairs(_tracks(spark, d))).select("seams", _r("upper_median"), _r("worst"), "skipped", "ok")
 
 
+def chunk_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Height offsets of all chunks that make their seams agree; every third chunk's heights are off by some decimetres."""
+    off = F.when(F.crc32(F.col("chunk").cast("binary")) % 3 == 0, F.crc32(F.col("chunk").cast("binary")) % 7 / 10).otherwise(0.0)
+    ties = seams.seam_ties(_tracks(spark, d).withColumn("z", F.col("z") + off), 6.0, 5)
+    return levelling.level(ties)[0].select(F.col("node").alias("chunk"), "group", _r("offset", 4))
+
+
 def footprint_overlap(spark: SparkSession, d: str) -> DataFrame:
     m = partition.chunk_manifest(members(spark, d), CELL).select("chunk", "x0", "y0", "x1", "y1")
     hull = frames(spark, d).agg(*[f(F.col(c) / 3).alias(n) for f, c, n in ((F.min, "x", "x0"), (F.min, "y", "y0"), (F.max, "x", "x1"), (F.max, "y", "y1"))])
@@ -659,7 +666,7 @@ def sphere_shares(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        chunk_manifest, frame_sequence, geo_round_trip, local_plane, chunk_members, pass_split, corridor_points, corridor_band, frame_selection, time_nudge, telemetry_interpolation, seam_pairs, seam_report, seam_gate, footprint_overlap, merge_totals, lod_tiles, corridor_guard,
+        chunk_manifest, frame_sequence, geo_round_trip, local_plane, chunk_members, pass_split, corridor_points, corridor_band, frame_selection, time_nudge, telemetry_interpolation, seam_pairs, seam_report, seam_gate, chunk_levels, footprint_overlap, merge_totals, lod_tiles, corridor_guard,
         residual_summary, residuals_by_video, warp_windows, path_resample, path_smooth, path_headings, road_ribbon, pass_pair_matrix, queue_state, holdout_common, sequence_ranking, budget, clip_pieces, newest_steps, verdicts,
         weak_pass_list, pass_components, capture_centres, camera_deal, cell_states, coverage_ratio, mean_psnr, largest_pass, route_chain, pass_cover, exact_seams, newest_profiles, missing_images, pass_overlap, cube_layouts, lens_pixels,
         manifest_totals, chunk_files, world_files, level_files, lod_rollup, envelope_refresh, world_points, world_header, moved_cameras, database_states, largest_models, black_point_share, fenced_frames, reachable_segments, stream_zip, only_named, listed_names, geo_lines, enu_lines, frame_lines,
