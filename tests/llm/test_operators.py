@@ -737,3 +737,32 @@ def test_pages_of_one_template(spark, crowd):
     r.shuffle(rows)
     got = {tuple(x) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), crowd=crowd).collect()}
     assert got == brute_groups(rows, 5, 80)
+
+
+# 1: threshold and verdict
+
+
+@pytest.mark.parametrize("false_rejects", [0.005, 0.05])
+def test_url_threshold_by_counting_held_out_scores(spark, false_rejects):
+    """The verdict of every url from its score and a threshold found by trying every bin over the held-out accepted urls."""
+    r = random.Random(7)
+    word = lambda: "".join(r.choices("abcdefghilmnoprstu", k=r.randint(3, 8)))
+    good = [f"https://{word()}.org/{word()}/{word()}-{r.randrange(99)}" for _ in range(900)]
+    bad = [f"http://{r.choice(['casino', 'ads', 'porn'])}-{word()}.biz/{word()}?win={r.randrange(10**6)}" for _ in range(300)] + [f"http://{word()}.org/free-casino-win?win={r.randrange(10**6)}" for _ in range(40)]
+    rows = list(enumerate(good + bad + [None, "", good[0]]))
+    df = frame(spark, rows, "page_id long, url string")
+    got = {x.page_id: (x.verdict, x.lm_score) for x in urlfilter.filter_urls(df, [], false_rejects=false_rejects).collect()}
+
+    fold = {x.page_id: x.f for x in df.select("page_id", F.pmod(F.xxhash64(F.coalesce("url", F.lit(""))), F.lit(5)).alias("f")).collect()}
+    seeded = lambda u: bool(set(re.split(r"[.\-]", (re.search(r"://([^/?#]*)", u or "") or [None, ""])[1])) & set(urlfilter.SEED_WORDS))
+    labelled = [(i, u, int(seeded(u)), fold[i] > 0) for i, u in rows]
+    train = spark.createDataFrame(labelled, "page_id long, url string, label int, trains boolean")
+    model = urlfilter.gram_scores(urlfilter.train(train, 4), 4).persist()
+    score = {x.page_id: x.lm_score for x in urlfilter.score(df, model, 4).collect()}
+    held = [score[i] for i, _, label, trains in labelled if not label and not trains]
+    # Scores count by bins of 64 units, cut towards 0.
+    allowed = int(len(held) * false_rejects)
+    fits = [b for b in range(0, 16 * 65536 // 64 + 2) if sum(int(s / 64) >= b for s in held) <= allowed]
+    threshold = 64 * min(fits)
+    assert got == {i: ("block" if score[i] > threshold else "allow", score[i] / 65536) for i, _ in rows}
+    assert sum(s > threshold for s in held) <= allowed and 0 < sum(v == "block" for v, _ in got.values()) < len(rows) / 2
