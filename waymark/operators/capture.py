@@ -179,8 +179,10 @@ def by_camera(folders: DataFrame, specs: DataFrame) -> DataFrame:
 def first_failed(status: DataFrame, n: int = 6) -> DataFrame:
     """(stage, failed, first): how many items of a stage failed, and the first n names."""
     w = Window.partitionBy("stage").orderBy("item")
-    own = status.where("state = 'failed'").withColumn("_k", F.row_number().over(w))
-    return own.groupBy("stage").agg(F.count("*").alias("failed"), F.array_sort(F.collect_list(F.when(F.col("_k") <= n, F.col("item")))).alias("first"))
+    own = status.where("state = 'failed'")
+    # Ranks beyond n are pruned before the shuffle, so a stage's failures are never sorted in one place.
+    first = own.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= n).groupBy("stage").agg(F.array_sort(F.collect_list("item")).alias("first"))
+    return own.groupBy("stage").agg(F.count("*").alias("failed")).join(first, "stage").select("stage", "failed", "first")
 
 
 def still_to_do(items: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

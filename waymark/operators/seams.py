@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.scalars import verdict
+from waymark.operators.selection import quantiles
 from waymark.operators.shared import written
 
 
@@ -48,17 +49,19 @@ def seam_pairs(points: DataFrame, bucket_m: float = 6.0, min_pairs: int = 20, ex
 
 def seam_report(pairs: DataFrame, fail_over: float = 3.0) -> DataFrame:
     """One row: seams, the median of medians, the worst, and the chunks in any pair of at least fail_over."""
-    bad = F.when(F.col("median_dz") >= fail_over, F.array("a", "b")).otherwise(F.array().cast("array<string>"))
-    return pairs.agg(F.count("*").alias("seams"), F.median("median_dz").alias("median"), F.max("median_dz").alias("worst"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(bad)))).alias("offenders"))
+    pairs = written(pairs, "seams")
+    bad = pairs.where(F.col("median_dz") >= fail_over).select(F.explode(F.array("a", "b")).alias("_c")).distinct().agg(F.array_sort(F.collect_list("_c")).alias("offenders"))
+    middle = quantiles(pairs, [], "median_dz", {"median": 0.5}).drop("n")
+    totals = pairs.agg(F.count("*").alias("seams"), F.max("median_dz").alias("worst"))
+    return totals.join(F.broadcast(middle), F.lit(True), "left").join(F.broadcast(bad), F.lit(True), "left").select("seams", "median", "worst", "offenders")
 
 
 def seam_gate(pairs: DataFrame, fail_over: float = 3.0) -> DataFrame:
     """One row: the gate's upper median, the worst, and ok: true, false, or false with `skipped` if nothing overlaps."""
-    ranked = F.array_sort(F.collect_list("median_dz"))
-    out = pairs.agg(F.count("*").alias("seams"), ranked.alias("_m"))
-    return out.select(
-        "seams", F.get("_m", (F.col("seams") / 2).cast("int")).alias("upper_median"), F.when(F.col("seams") > 0, F.element_at("_m", -1)).alias("worst"), (F.col("seams") == 0).alias("skipped"), F.coalesce(F.when(F.col("seams") > 0, F.element_at("_m", -1) <= fail_over), F.lit(False)).alias("ok")
-    )
+    pairs = written(pairs, "seams")
+    middle = quantiles(pairs, [], "median_dz", {"upper_median": 0.5}, upper=True).drop("n")
+    totals = pairs.agg(F.count("*").alias("seams"), F.max("median_dz").alias("worst")).join(F.broadcast(middle), F.lit(True), "left")
+    return totals.select("seams", "upper_median", "worst", (F.col("seams") == 0).alias("skipped"), F.coalesce(F.col("worst") <= fail_over, F.lit(False)).alias("ok"))
 
 
 def footprints(chunks: DataFrame, hull: DataFrame, least: float = 0.30) -> DataFrame:

@@ -18,8 +18,8 @@ def _ordered(values: np.ndarray) -> np.ndarray:
     return np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], settled: int = 4096) -> DataFrame:
-    """(keys, n, one column for each of shares): exact quantiles of a double by group, linear between neighbours; n counts values.
+def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], settled: int = 4096, upper: bool = False) -> DataFrame:
+    """(keys, n, one column for each of shares): exact quantiles of a double by group, linear between neighbours (upper: the larger neighbour); n counts values.
 
     A double's bits, read as an ordered long, are looked at 16 at a time: counts by the bits so far tell which values of 16 more
     bits hold the wanted places, and only rows that share those go on, until at most `settled` rows are left for each place, which are
@@ -79,5 +79,8 @@ def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, floa
     for name in names:
         at = F.lit(float(shares[name])) * (F.col("n") - 1)
         lo, hi = F.col(f"`{name}_lo`"), F.col(f"`{name}_hi`")
+        if upper:
+            columns.append(hi["_v"].alias(name))
+            continue
         columns.append(F.when(lo["_place"] == hi["_place"], lo["_v"]).otherwise((hi["_place"] - at) * lo["_v"] + (at - lo["_place"]) * hi["_v"]).alias(name))
     return out.select(*(["_key.*"] if keys else []), "n", *columns)
