@@ -18,7 +18,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def duck(sql):
     c = duckdb.connect()
-    for t in ("events", "lineitem", "orders", "part"):
+    for t in ("embeddings", "events", "lineitem", "orders", "part"):
         c.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     r = c.execute(sql)
     return [d[0] for d in r.description], r.fetchall()
