@@ -12,7 +12,7 @@ from waymark.llm.common import arrow_map, read, stored
 from waymark.llm.textbytes import string_bytes
 
 #: (action, host, path) of the query's rules.
-RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("allow", "example.net", "/de/8"), ("block", "org", "/es/")]
+RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 
 #: Words of host names that mark a url as an example of a rejected one.
 SEED_WORDS = ["ad", "adserver", "ads", "adult", "banner", "bet", "betting", "casino", "clicks", "gambling", "loan", "malware", "phish", "pills", "poker", "popup", "porn", "scam", "sex", "spam", "torrent", "tracker", "viagra", "warez", "xxx"]
