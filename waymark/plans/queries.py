@@ -605,7 +605,7 @@ def road_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def centre_lines(spark: SparkSession, d: str) -> DataFrame:
     """The corridor's centre lines as the lines of an OBJ file, z up."""
-    pts = _corridor(spark, d).select((F.expr("cast(substring(video, 2) as int)") * 100000 + F.col("pass")).alias("pass"), "seq", "x", "y", "z")
+    pts = _corridor(spark, d).select((F.expr("cast(substring(video, 2) as bigint)") * 100000 + F.col("pass")).alias("pass"), "seq", "x", "y", "z")
     return files.obj_lines(pts, 2.4, False)
 
 
