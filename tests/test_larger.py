@@ -8,7 +8,7 @@ from waymark.plans.queries import QUERIES
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["centre_lines"])
+@pytest.mark.parametrize("name", ["centre_lines", "road_lines"])
 def test_lines_of_users_beyond_an_int(spark, tmp_path, name):
     """Users counted on by a multiple of 77 drive the same ways, and the lines' numbers start anew: 77,000 times 100,000 is no int."""
     duckdb.sql(f"copy (select * replace (user_id + 77000 as user_id) from '{SMALL}/events.parquet') to '{tmp_path}/events.parquet' (format parquet)")
