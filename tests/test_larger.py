@@ -1,8 +1,13 @@
 """Queries on tables that are larger, or have larger keys, than the given ones."""
 
+import time
+
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from waymark.operators import discs, seams
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
 
@@ -24,3 +29,22 @@ def test_levels_keep_what_sql_keeps_of_equal_contributions(spark):
     want = duck.execute(ORACLES["lod_tiles"]).fetchall()
     got = QUERIES["lod_tiles"](spark, "/root/testdata/sf0.1").select("chunk", "idx", "p", "s", "e", "opacity").collect()
     assert sorted(map(tuple, got)) == sorted(want) and len(got) == 75000
+
+
+def test_differences_by_all_pairs():
+    r = np.random.default_rng(4)
+    for n, extent, high in ((3000, 6, 900), (2500, 18, 1500), (4000, 1, 2), (1800, 40, 300_000)):
+        a, b = [(np.round(r.normal(0, extent / 4, m), 3), np.round(r.normal(0, extent / 4, m), 3), r.integers(-high, high, m)) for m in (n, n + 500)]
+        near = (a[0][:, None] - b[0]) ** 2 + (a[1][:, None] - b[1]) ** 2 <= 36.0
+        want = np.unique((b[2] - a[2][:, None])[near], return_counts=True)
+        dz, count = discs.differences(a, b, 6.0)
+        assert dz.tolist() == want[0].tolist() and count.tolist() == want[1].tolist()
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_crowded_buckets_meet_without_a_look_at_each_pair(spark, exact):
+    """Two chunks of 60,000 points on one square metre: 3,600 million pairs, with heights of 0 to 4 and 100 to 104 mm."""
+    p = spark.range(120_000).select(F.concat(F.lit("c"), F.col("id") % 2).alias("chunk"), (F.col("id") * 7919 % 1000 / 1000).alias("x"), (F.col("id") * 104729 % 1000 / 1000).alias("y"), ((F.floor(F.col("id") / 2) % 5 + F.col("id") % 2 * 100) / 1000).alias("z"))
+    began = time.time()
+    assert [tuple(x) for x in seams.seam_pairs(p, exact=exact).collect()] == [("c0", "c1", 3_600_000_000, 0.1, 0.103, "agree")]
+    assert time.time() - began < 60
