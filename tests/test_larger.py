@@ -1,5 +1,6 @@
 """Queries on tables that are larger, or have larger keys, than the given ones."""
 
+import random
 import time
 
 import duckdb
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.operators import discs, seams
+from waymark.operators import discs, levelling, seams
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
 
@@ -48,3 +49,23 @@ def test_crowded_buckets_meet_without_a_look_at_each_pair(spark, exact):
     began = time.time()
     assert [tuple(x) for x in seams.seam_pairs(p, exact=exact).collect()] == [("c0", "c1", 3_600_000_000, 0.1, 0.103, "agree")]
     assert time.time() - began < 60
+
+
+def test_a_gathered_network_is_levelled_like_one_that_stays(spark):
+    r = random.Random(8)
+    true = {f"c{k:02d}": r.uniform(-2, 2) for k in range(14)}
+    names = sorted(true)
+    ties = [(a, b, true[a] - true[b] + r.gauss(0, 0.02), r.randrange(5, 300)) for part in (names[:9], names[9:]) for i, a in enumerate(part) for b in part[i + 1 : i + 4]]
+    df = spark.createDataFrame([*ties, ("c00", "c05", true["c00"] - true["c05"] + 30.0, 9)], "a string, b string, dz double, w long")
+    (one, judged), (two, other) = (levelling.level(df, gathered=n) for n in (100_000, 0))
+    got, want = ({x.node: (x.group, x.offset) for x in o.collect()} for o in (one, two))
+    assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-8 for k in got)
+    marks = [sorted((x.a, x.b, x.rejected, round(x.residual, 7)) for x in j.collect()) for j in (judged, other)]
+    assert marks[0] == marks[1] and sum(m[2] for m in marks[0]) == 1
+
+
+def test_levelling_takes_few_jobs(spark):
+    """300 chunks in a ring: as many steps as there are nodes, which were a join and two jobs each."""
+    df = spark.range(300).select(F.format_string("c%03d", "id").alias("a"), F.format_string("c%03d", (F.col("id") + 1) % 300).alias("b"), F.lit(0.01).alias("dz"), F.lit(1).alias("w"))
+    began = time.time()
+    assert levelling.level(df)[0].count() == 300 and time.time() - began < 20

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,62 @@ def _solved(ties: DataFrame, tolerance: float, steps: int) -> DataFrame:
     raise RuntimeError(f"the network did not settle in {steps} steps")
 
 
-def level(ties: DataFrame, least_m: float = 0.5, spread: float = 4.0, rounds: int = 12, tolerance: float = 1e-10, steps: int = 2000) -> tuple[DataFrame, DataFrame]:
+def _solved_here(a: np.ndarray, b: np.ndarray, dz: np.ndarray, w: np.ndarray, n: int, tolerance: float, steps: int) -> np.ndarray:
+    """_solved() for nodes 0 to n - 1 in memory; 0 for those without a tie."""
+    ends = np.concatenate([a, b])
+    d = np.bincount(ends, np.concatenate([w, w]), n)
+    r = np.bincount(ends, np.concatenate([w * dz, -w * dz]), n)
+    d = np.where(d > 0, d, 1.0)
+    h, p, first = np.zeros(n), r / d, None
+    for _ in range(steps):
+        q = np.bincount(ends, np.concatenate([w * (p[a] - p[b]), w * (p[b] - p[a])]), n)
+        pq, rz = p @ q, r @ (r / d)
+        first = rz if first is None else first
+        if not rz or not pq or rz <= tolerance * tolerance * first:
+            return h
+        h, r = h + rz / pq * p, r - rz / pq * q
+        p = r / d + (r @ (r / d)) / rz * p
+    raise RuntimeError(f"the network did not settle in {steps} steps")
+
+
+def _level_here(own: DataFrame, least_m: float, spread: float, rounds: int, tolerance: float, steps: int) -> tuple[DataFrame, DataFrame]:
+    """level() of ties that are gathered."""
+    spark, schema = own.sparkSession, own.schema
+    rows = own.collect()
+    names = sorted({r[c] for r in rows for c in ("a", "b")})
+    at = {v: k for k, v in enumerate(names)}
+    a, b = (np.array([at[r[c]] for r in rows], dtype=np.int64) for c in ("a", "b"))
+    dz, w = (np.array([r[c] for r in rows], dtype=np.float64) for c in ("dz", "w"))
+    rejected = np.zeros(len(rows), dtype=bool)
+    for k in range(rounds):
+        kept = ~rejected
+        h = _solved_here(a[kept], b[kept], dz[kept], w[kept], len(names), tolerance, steps)
+        residual = dz + h[b] - h[a]
+        size = np.abs(residual)
+        limit = max(least_m, spread * 1.4826 * float(np.quantile(size, 0.5)))
+        worst = np.full(len(names), -1.0)
+        for end in (a, b):
+            np.maximum.at(worst, end[kept], size[kept])
+        before, rejected = rejected, (size > limit) & (rejected | ((size >= worst[a]) & (size >= worst[b])))
+        if (rejected == before).all():
+            break
+    group = np.arange(len(names))
+    while True:
+        low = group.copy()
+        for x, y in ((a, b), (b, a)):
+            np.minimum.at(low, x[kept], group[y[kept]])
+        low = low[low]
+        if (low == group).all():
+            break
+        group = low
+    mean = np.bincount(group, h, len(names)) / np.maximum(np.bincount(group, minlength=len(names)), 1)
+    node = schema["a"].dataType.simpleString()
+    offsets = spark.createDataFrame([(v, names[g], float(x)) for v, g, x in zip(names, group, h - mean[group])], f"node {node}, group {node}, offset double")
+    judged = [(r["a"], r["b"], r["dz"], r["w"], float(x), bool(y)) for r, x, y in zip(rows, residual, rejected)]
+    return offsets, spark.createDataFrame(judged, f"a {node}, b {node}, dz double, w double, residual double, rejected boolean")
+
+
+def level(ties: DataFrame, least_m: float = 0.5, spread: float = 4.0, rounds: int = 12, tolerance: float = 1e-10, steps: int = 2000, gathered: int = 100_000) -> tuple[DataFrame, DataFrame]:
     """Offsets (node, group, offset) that make heights agree, and the ties with their `residual` and whether they were `rejected`.
 
     ties: (a, b, dz, w), how much higher b is than a where they meet, and how much that counts; a row a pair. Heights plus offsets agree as well as
@@ -47,10 +103,14 @@ def level(ties: DataFrame, least_m: float = 0.5, spread: float = 4.0, rounds: in
     again; one left out that fits later is taken back. That goes on until nothing changes or `rounds` are over. In each group of nodes
     that accepted ties join, named by its smallest node, offsets have a mean of 0: a common shift can't be known. A node without an accepted tie is a group of its own.
 
+    A network of up to `gathered` ties is solved on the driver; a larger one stays where it is, a few jobs a step.
+
     Cases: ties with a null, of a node with itself, or of no weight say nothing; no ties: no rows.
     """
     own = ties.select("a", "b", F.col("dz").cast("double").alias("dz"), F.col("w").cast("double").alias("w")).where("a is not null and b is not null and dz is not null and a != b and w > 0")
     own = written(own.withColumn("_t", F.monotonically_increasing_id()), "network")
+    if 0 < own.count() <= gathered:
+        return _level_here(own, least_m, spread, rounds, tolerance, steps)
     nodes = own.select(F.col("a").alias("node")).union(own.select("b")).distinct()
     judged, before = own.withColumn("rejected", F.lit(False)), None
     for _ in range(rounds):
