@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.operators import discs, levelling, seams
+from waymark.operators import discs, levelling, route, seams
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
 
@@ -69,3 +69,27 @@ def test_levelling_takes_few_jobs(spark):
     df = spark.range(300).select(F.format_string("c%03d", "id").alias("a"), F.format_string("c%03d", (F.col("id") + 1) % 300).alias("b"), F.lit(0.01).alias("dz"), F.lit(1).alias("w"))
     began = time.time()
     assert levelling.level(df)[0].count() == 300 and time.time() - began < 20
+
+
+@pytest.mark.parametrize("block", [1, 60, 1 << 16])
+def test_routes_by_blocks_are_the_greedy_chain(spark, block):
+    """Retraces against a plain fold over all pairs of vertices, whatever comes to a block."""
+    r = np.random.default_rng(6)
+    walks = {k: np.round(r.normal(0, 3, 3) + np.cumsum(r.normal(0, 1.2, (int(r.integers(2, 30)), 3)), axis=0), 3) for k in range(40)}
+    rows = [(k, i, *map(float, v)) for k, w in walks.items() for i, v in enumerate(w)]
+    length = {k: float(np.sqrt((np.diff(w, axis=0) ** 2).sum(axis=1)).sum()) for k, w in walks.items()}
+    kept = []
+    for k in sorted((k for k in walks if length[k] >= 4.0), key=lambda k: (-length[k], k)):
+        near = sum(any(((v - w) ** 2).sum() <= 2.25 for o in kept for w in walks[o]) for v in walks[k])
+        if not kept or near < 0.6 * len(walks[k]):
+            kept.append(k)
+    got = route.build_route(spark.createDataFrame(rows, "pass long, seq long, x double, y double, z double"), 1e9, 4.0, 0.6, 1.5, block).collect()
+    assert {x["pass"] for x in got} == set(kept) and 5 < len(kept) < 35 and [x.ord for x in got] == list(range(len(kept)))
+
+
+def test_passes_that_all_come_near_each_other_gather_no_sets(spark):
+    """600 passes along one line: each vertex is near all longer passes, 599 of them."""
+    p = spark.range(60_000).select(F.floor(F.col("id") / 100).alias("pass"), (F.col("id") % 100).alias("seq"), (F.col("id") % 100 * (1 + F.floor(F.col("id") / 100) / 10_000)).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
+    began = time.time()
+    assert [(x["pass"], x.ord) for x in route.build_route(p, 60.0, 5.0, 0.9, 20.0).collect()] == [(599, 0)]
+    assert time.time() - began < 30
