@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.operators import discs, levelling, route, seams
+from waymark.operators import corridor, discs, levelling, route, seams
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
 
@@ -93,3 +93,25 @@ def test_passes_that_all_come_near_each_other_gather_no_sets(spark):
     began = time.time()
     assert [(x["pass"], x.ord) for x in route.build_route(p, 60.0, 5.0, 0.9, 20.0).collect()] == [(599, 0)]
     assert time.time() - began < 30
+
+
+@pytest.mark.parametrize("crowd", [1 << 15, 3000])
+def test_a_crowd_of_segments_is_not_met_pair_by_pair(spark, crowd):
+    """20,000 points and 5,000 segments on a few metres: 100 million pairs; every hundredth point against all segments, ties by pass and index."""
+    r = np.random.default_rng(9)
+    a = np.round(r.uniform(0, 3, (5000, 3)), 2)
+    b = np.round(a + r.uniform(-1, 1, (5000, 3)), 2)
+    a[:50], b[:50] = a[50:100], b[50:100]
+    p = np.round(r.uniform(-1, 4, (20_000, 3)), 2)
+    p[:100] = a[:100]
+    segs = spark.createDataFrame([(k % 70, k, *map(float, (*a[k], *b[k]))) for k in range(5000)], "pass long, idx long, ax double, ay double, az double, bx double, by_ double, bz double")
+    points = spark.createDataFrame([(k, *map(float, v)) for k, v in enumerate(p)], "k long, x double, y double, z double")
+    began = time.time()
+    got = {x.k: (x.d, x.qx, x.qy, x.qz) for x in corridor.nearest_on_corridor(points, "k", segs, 1.0, crowd).collect()}
+    assert time.time() - began < 60 and len(got) == 20_000
+    for k in [*range(100), *range(100, 20_000, 100)]:
+        d = b - a
+        t = np.clip(((p[k] - a) * d).sum(axis=1) / (d * d).sum(axis=1), 0, 1)
+        far = ((p[k] - a - t[:, None] * d) ** 2).sum(axis=1)
+        m = min(np.flatnonzero(far <= far.min() + 1e-12), key=lambda m: (m % 70, m))
+        assert got[k] == pytest.approx((far[m] ** 0.5, *(a[m] + t[m] * d[m])), abs=1e-6)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.operators.discs import grouped
 from waymark.operators.passes import split_passes, thin
 from waymark.operators.shared import written, with_place
 
@@ -75,31 +80,101 @@ def near_corridor(points: DataFrame, key: list[str], segs: DataFrame, radius: fl
     return placed.join(grid, cond, "left_semi").drop("_px", "_py")
 
 
-def nearest_on_corridor(points: DataFrame, key: str, segs: DataFrame, reach: float) -> DataFrame:
+def _places_on(p: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of points (rows) to segments (columns), and where on these they are nearest; the arithmetic of _square()."""
+    d = b - a
+    norm = d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1] + d[:, 2] * d[:, 2]
+    dot = sum((p[:, k, None] - a[:, k]) * d[:, k] for k in range(3))
+    t = np.where(norm < 1e-12, 0.0, np.maximum(0.0, np.minimum(1.0, dot / np.maximum(norm, 1e-12))))
+    return sum((p[:, k, None] - a[:, k] - t * d[:, k]) ** 2 for k in range(3)), t
+
+
+def _nearest(p: np.ndarray, a: np.ndarray, b: np.ndarray, rank: np.ndarray, few: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(squared distance, segment, nearest place) for each point; ties by rank, then by place.
+
+    Points are halved until few are left. A box of points only keeps the segments that may be nearest to one of them: those not farther from its
+    middle than the nearest one by more than the box's diagonal. So a crowd of segments is compared with few points only.
+    """
+    d2, seg, at = np.empty(len(p)), np.empty(len(p), dtype=np.int64), np.empty((len(p), 3))
+    wait = [(np.arange(len(p)), np.arange(len(a)))]
+    while wait:
+        own, segs = wait.pop()
+        low, high = p[own].min(axis=0), p[own].max(axis=0)
+        if len(segs) > 1:
+            far = np.sqrt(_places_on((low + high)[None] / 2, a[segs], b[segs])[0][0])
+            segs = segs[far <= (far.min() + np.linalg.norm(high - low)) * (1 + 1e-9) + 1e-9]
+        if len(own) > few and len(own) * len(segs) > 4096 and (high > low).any():
+            axis = int((high - low).argmax())
+            right = p[own, axis] > (low[axis] + high[axis]) / 2
+            wait += [(own[right], segs), (own[~right], segs)]
+            continue
+        step = max(1, (1 << 20) // len(segs))
+        for k in range(0, len(own), step):
+            some = own[k : k + step]
+            square, t = _places_on(p[some], a[segs], b[segs])
+            least = square.min(axis=1)
+            row, col = np.nonzero(square == least[:, None])
+            place = a[segs[col]] + t[row, col, None] * (b[segs[col]] - a[segs[col]])
+            order = np.lexsort((place[:, 2], place[:, 1], place[:, 0], rank[segs[col]], row))
+            first = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])]
+            d2[some], seg[some], at[some] = least, segs[col[first]], place[first]
+    return d2, seg, at
+
+
+def _hits(batches: Iterator[pa.RecordBatch], reach: float) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, part, side, _place or pass, idx, x, y, z, ...), sorted by cell and part: each place's nearest within reach."""
+    names = ["_place", "d2", "pass", "idx", "qx", "qy", "qz"]
+
+    def closed(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        side = t["side"].to_numpy() == 0
+        if side.all() or not side.any():
+            return
+        own, segs = t.filter(pa.array(side)), t.filter(pa.array(~side))
+        ids, idx = segs["id"].to_numpy(), segs["idx"].to_numpy()
+        order = np.lexsort((idx, ids))
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], (np.diff(ids[order]) != 0) | (np.diff(idx[order]) != 0)]))
+        p, a = (np.stack([x[c].to_numpy() for c in "xyz"], axis=1) for x in (own, segs))
+        d2, seg, at = _nearest(p, a, np.stack([segs[c].to_numpy() for c in ("bx", "by_", "bz")], axis=1), rank)
+        near = d2 <= reach * reach
+        if near.any():
+            yield pa.RecordBatch.from_arrays([pa.array(v[near]) for v in (own["id"].to_numpy(), d2, ids[seg], idx[seg], at[:, 0], at[:, 1], at[:, 2])], names=names)
+
+    return grouped(batches, 4, closed)
+
+
+def nearest_on_corridor(points: DataFrame, key: str, segs: DataFrame, reach: float, crowd: int = 1 << 15) -> DataFrame:
     """points with (d, qx, qy, qz): the nearest place of the corridor in space, at any distance; null without segments.
 
-    A segment goes to the grid cells of size `reach` that its box, widened by reach, covers, and a point to its own, so a place
-    within reach is proven nearest. Points that find none go on with four times the reach, until all have one: few
+    A segment goes to the grid cells of four times `reach` that its box, widened by reach, covers, and a point to its own, so a place
+    within reach is proven nearest. Within a cell halved boxes of points rule out segments; no row a pair is made, and of a cell's points and segments
+    at most `crowd` each meet at a time. Points that find none go on with four times the reach, until all have one: few
     rounds, each an equi-join of the places still open, which are written between rounds. Ties go to the first pass
     and segment. Each place is asked for once, however many points lie there, and points find theirs by place: `key` may repeat.
     """
-    p, a, b = [F.col(c) for c in ("x", "y", "z")], [F.col(c) for c in ("ax", "ay", "az")], [F.col(c) for c in ("bx", "by_", "bz")]
-    t = _share(p, a, b)
-    at = [x + t * (y - x) for x, y in zip(a, b)]
-    hit = F.struct(_square(p, a, b).alias("d2"), F.col("pass").alias("pass"), F.col("idx").alias("idx"), *[q.alias(n) for q, n in zip(at, ("qx", "qy", "qz"))])
     places = points.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in "xyz"]).where("x is not null and y is not null and z is not null").distinct()
     places = written(places.withColumn("_place", F.monotonically_increasing_id()))
     wait = places
-    found, segs = None, written(segs.select("pass", "idx", "ax", "ay", "az", "bx", "by_", "bz"))
+    found, segs = None, written(segs.select("pass", "idx", "ax", "ay", "az", "bx", "by_", "bz").dropna(subset=["ax", "ay", "az", "bx", "by_", "bz"]))
     if not segs.take(1):
         none = F.lit(None).cast("double")
         return points.withColumns({c: none for c in ("d", "qx", "qy", "qz")})
     while True:
-        size = F.lit(float(reach))
-        grid = segs.withColumn("_gx", F.explode(F.sequence(F.floor((F.least("ax", "bx") - reach) / size), F.floor((F.greatest("ax", "bx") + reach) / size))))
-        grid = grid.withColumn("_gy", F.explode(F.sequence(F.floor((F.least("ay", "by_") - reach) / size), F.floor((F.greatest("ay", "by_") + reach) / size))))
-        pairs = wait.withColumns({"_gx": F.floor(F.col("x") / size), "_gy": F.floor(F.col("y") / size)}).join(grid, ["_gx", "_gy"])
-        best = written(pairs.groupBy("_place").agg(F.min(hit).alias("_q")).where(F.col("_q.d2") <= reach * reach))
+        size = F.lit(4.0 * reach)
+        grid = segs.withColumn("gx", F.explode(F.sequence(F.floor((F.least("ax", "bx") - reach) / size), F.floor((F.greatest("ax", "bx") + reach) / size))))
+        grid = grid.withColumn("gy", F.explode(F.sequence(F.floor((F.least("ay", "by_") - reach) / size), F.floor((F.greatest("ay", "by_") + reach) / size))))
+        grid = grid.select("gx", "gy", F.col("pass").cast("bigint").alias("id"), F.col("idx").cast("bigint").alias("idx"), F.col("ax").alias("x"), F.col("ay").alias("y"), F.col("az").alias("z"), "bx", "by_", "bz")
+        asked = wait.select(F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"), F.col("_place").alias("id"), "x", "y", "z")
+        parts = [df.groupBy("gx", "gy").agg(F.ceil(F.count("*") / crowd).cast("bigint").alias(n)).where(F.col(n) > 1) for df, n in ((asked, "_i"), (grid, "_j"))]
+        sides = []
+        for df, own, met, n in ((asked, "i", "j", 0), (grid, "j", "i", 1)):
+            out = df.join(parts[0], ["gx", "gy"], "left").join(parts[1], ["gx", "gy"], "left").na.fill(1, ["_i", "_j"])
+            out = out.withColumn(own, F.pmod(F.xxhash64("id", "x", "y", "z"), F.col(f"_{own}"))).withColumn(met, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"_{met}") - 1)))
+            sides.append(out.withColumn("side", F.lit(n)).drop("_i", "_j"))
+        keys = ["gx", "gy", "i", "j"]
+        both = sides[1].unionByName(sides[0], allowMissingColumns=True).select(*keys, "side", "id", "idx", "x", "y", "z", "bx", "by_", "bz")
+        hits = both.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches, reach=reach: _hits(batches, reach), "_place bigint, d2 double, pass bigint, idx bigint, qx double, qy double, qz double")
+        best = written(hits.groupBy("_place").agg(F.min(F.struct("d2", "pass", "idx", "qx", "qy", "qz")).alias("_q")))
         found = best if found is None else found.union(best)
         wait = written(wait.join(best.select("_place"), "_place", "left_anti"))
         if not wait.take(1):
