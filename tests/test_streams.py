@@ -58,3 +58,17 @@ def test_selection_stream_is_the_batch_selection(spark, tmp_path):
     want = passes.select_frames(df, ["video"], 5.0)
     names = ["video", "seg", "i", "dist", "sharp"]
     assert sorted(map(tuple, got.select(names).collect()), key=str) == sorted(map(tuple, want.select(names).collect()), key=str) and got.count() > 20
+
+
+def test_items_of_a_bucket_keep_their_own_deadlines(spark, tmp_path):
+    """200 items in one bucket, in three, or nearly each in its own: the same rows, whichever part ends a lease while others of its bucket get events."""
+    r = random.Random(3)
+    rows = [(p, f"s{k % 2}", f"i{k}", p * 3600 + r.randrange(3600), r.choice(["claim", "heartbeat", "heartbeat", "failed", "done", None])) for p in range(4) for k in range(200) if r.random() < 0.4]
+    df = spark.createDataFrame(rows, "part int, stage string, item string, at long, kind string").select("part", "stage", "item", F.timestamp_seconds("at").alias("ts"), "kind")
+    got = []
+    for buckets in (1, 3, 1024):
+        path = str(tmp_path / str(buckets))
+        got.append(drained(queue.queue_stream(deliver(df, 4, f"{path}/in"), 1500.0, 2, buckets=buckets), path))
+    want = sorted(map(tuple, got[2].collect()))
+    assert [sorted(map(tuple, g.collect())) for g in got[:2]] == [want, want]
+    assert len(set(want)) == len(want) and sum(x[4] for x in want) > 20
