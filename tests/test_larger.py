@@ -1,5 +1,6 @@
 """Queries on tables that are larger, or have larger keys, than the given ones."""
 
+import math
 import random
 import time
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.operators import corridor, discs, levelling, route, seams
+from waymark.operators import corridor, discs, encounters, levelling, route, seams
 from waymark.plans.oracles import ORACLES
 from waymark.plans.queries import QUERIES
 
@@ -115,3 +116,23 @@ def test_a_crowd_of_segments_is_not_met_pair_by_pair(spark, crowd):
         far = ((p[k] - a - t[:, None] * d) ** 2).sum(axis=1)
         m = min(np.flatnonzero(far <= far.min() + 1e-12), key=lambda m: (m % 70, m))
         assert got[k] == pytest.approx((far[m] ** 0.5, *(a[m] + t[m] * d[m])), abs=1e-6)
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 15])
+@pytest.mark.parametrize("median", [True, False])
+def test_encounters_by_all_pairs(spark, block, median):
+    """Passes of uneven length, one with a number twice, one with a place missing, on a grid of half metres, so that points lie at the radius exactly."""
+    r = np.random.default_rng(2)
+    rows = [(k, i, *map(float, np.round(r.normal(0, 3, 3) * 2) / 2)) for k in (3, 5, 6, 9, 12, 40) for i in range(int(r.integers(1, 25)))]
+    rows += [(9, 0, 0.5, 0.5, 0.5), (12, 99, None, 1.0, 1.0)]
+    got = encounters.encounters(spark.createDataFrame(rows, "pass long, seq long, x double, y double, z double"), "xy" if median else "xyz", 2.0, median, not median, median, block).collect()
+    want = {}
+    for a, s, *p in rows:
+        for b, _, *q in rows:
+            if None not in (*p, *q) and (a < b if median else a != b):
+                d = math.sqrt(sum((u - v) ** 2 for u, v in zip(p[: 3 - median], q)))
+                if d < 2.0 or (d == 2.0 and not median):
+                    near = want.setdefault((a, b), {})
+                    near[s] = min(d, near.get(s, d))
+    assert {(x.a, x.b): (x.n, x.every) for x in got} == {k: (len(v), sum(row[0] == k[0] for row in rows)) for k, v in want.items()} and len(want) > 8
+    assert not median or {(x.a, x.b): x.median for x in got} == {k: float(np.median(list(v.values()))) for k, v in want.items()}
